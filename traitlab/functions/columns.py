@@ -22,6 +22,7 @@ __all__ = [
     "arg_min",
     "arg_max",
     "softmax",
+    "softmax_columns",
     "relu",
     "elapsed_seconds",
     "text_label",
@@ -115,6 +116,22 @@ def softmax(values: Sequence[Column]) -> list[Column]:
     return [e / total for e in exps]
 
 
+def softmax_columns(df, scores: Sequence[Column], outs: Sequence[str], tmp: str = "_sm"):
+    """Softmax of per-class score expressions as staged projections: scores,
+    then the row maximum, then the exponentials, then the normaliser, each
+    computed once per row.  (Inlining the whole formula into every output
+    column multiplies the expression size by the number of classes.)"""
+    k = len(scores)
+    s_cols = [f"{tmp}_s{i}" for i in range(k)]
+    e_cols = [f"{tmp}_e{i}" for i in range(k)]
+    df = df.withColumns(dict(zip(s_cols, scores)))
+    df = df.withColumn(f"{tmp}_m", F.greatest(*[F.col(c) for c in s_cols]) if k > 1 else F.col(s_cols[0]))
+    df = df.withColumns({e: F.exp(F.col(s) - F.col(f"{tmp}_m")) for s, e in zip(s_cols, e_cols)})
+    df = df.withColumn(f"{tmp}_t", reduce(add, [F.col(e) for e in e_cols]))
+    df = df.withColumns({o: F.col(e) / F.col(f"{tmp}_t") for o, e in zip(outs, e_cols)})
+    return df.drop(*s_cols, *e_cols, f"{tmp}_m", f"{tmp}_t")
+
+
 def relu(c: Column) -> Column:
     return F.greatest(c, F.lit(0.0))
 

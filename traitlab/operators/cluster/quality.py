@@ -141,11 +141,13 @@ def silhouette_sq_frame(df: DataFrame, cols: Sequence[str], label: str = "cluste
         return spark.range(1).select(F.lit(-1.0).alias("silhouette_sq"))
     info = {r[label]: (r["_n"], [r[f"_s_{c}"] / r["_n"] for c in cols], r["_q"] / r["_n"]) for r in rows}
     xx = reduce(add, [F.col(c) * F.col(c) for c in cols])
-    dist = {}
-    for k, (_n, mu, qq) in info.items():
-        dot = reduce(add, [F.col(c) * F.lit(m) for c, m in zip(cols, mu)])
-        dist[k] = xx - F.lit(2.0) * dot + F.lit(qq)
     keys = list(info)
+    # stage the K distances as columns so each is computed once per row
+    df = df.select(label, *cols).withColumn("_xx", xx)
+    df = df.withColumns(
+        {f"_d{i}": F.col("_xx") - F.lit(2.0) * reduce(add, [F.col(c) * F.lit(m) for c, m in zip(cols, info[k][1])]) + F.lit(info[k][2]) for i, k in enumerate(keys)}
+    )
+    dist = {k: F.col(f"_d{i}") for i, k in enumerate(keys)}
     own_n = F.element_at(F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(info[k][0]))]), F.col(label))
     own = F.when(F.col(label) == F.lit(keys[0]), dist[keys[0]])
     for k in keys[1:]:

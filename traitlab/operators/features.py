@@ -137,14 +137,18 @@ def moments(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.nda
 
     schema = "n long, s array<double>, g array<double>"
     parts = df.select(*cols).mapInPandas(partial, schema)
-    agg = parts.agg(
-        F.sum("n").alias("n"),
-        F.array(*[F.sum(F.col("s")[i]) for i in range(p)]).alias("s"),
-        F.array(*[F.sum(F.col("g")[i]) for i in range(p * p)]).alias("g"),
-    ).collect()[0]
-    n = int(agg["n"])
-    mean = np.array(agg["s"]) / n
-    g = np.array(agg["g"]).reshape(p, p) / n
+    # element-wise sums of the partial vectors: one group per matrix cell,
+    # partial aggregation per partition; p*p + p + 1 numbers reach the driver
+    cells = parts.select(
+        F.posexplode(F.concat(F.array(F.col("n").cast("double")), F.col("s"), F.col("g"))).alias("pos", "v")
+    )
+    tot = cells.groupBy("pos").agg(F.sum("v").alias("v")).collect()
+    vec = np.zeros(1 + p + p * p)
+    for r in tot:
+        vec[r["pos"]] = r["v"]
+    n = int(round(vec[0]))
+    mean = vec[1 : 1 + p] / n
+    g = vec[1 + p :].reshape(p, p) / n
     return n, mean, g - np.outer(mean, mean)
 
 
