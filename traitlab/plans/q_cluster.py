@@ -173,3 +173,123 @@ def c02_uniform_box_init(spark, sf_dir):
     p = flows.embedding_points(spark, sf_dir)
     model = KM.kmeans(p, "vec_id", X5, k=4, max_iter=20, init="box", seed=42)
     return model.assign(p).select("vec_id", "cluster")
+
+
+# ---------------------------------------------------------------- C4, C5, C7, C8: Gaussian mixture
+
+GMM_K = 2
+X2 = ["x1", "x2"]
+
+
+def _gmm_ctes(steps: int = 2, k: int = GMM_K, tied: bool = False) -> list[str]:
+    """EM in SQL for two features (closed-form 2x2 inverse); th<i> = params
+    after i M-steps, r<i> = responsibilities under th<i>."""
+    D = O.det_sql("vec_id")
+    ctes = [
+        f"p AS ({emb_sql(2)})",
+        "nn AS (SELECT count(*) AS n FROM p)",
+        f"th0 AS (SELECT row_number() OVER (ORDER BY {D}, vec_id) - 1 AS cid, 1.0E0 / {k} AS pi, x1 AS m1, x2 AS m2, 1.0E0 AS s11, 0.0E0 AS s12, 1.0E0 AS s22 FROM p ORDER BY {D}, vec_id LIMIT {k})",
+    ]
+
+    def e_step(i):
+        return [
+            f"lp{i} AS (SELECT p.vec_id, p.x1, p.x2, t.cid, ln(t.pi) - ln(2 * pi()) - 0.5 * ln(t.s11 * t.s22 - t.s12 * t.s12) - 0.5 * "
+            f"((t.s22 * (p.x1 - t.m1) * (p.x1 - t.m1) - 2 * t.s12 * (p.x1 - t.m1) * (p.x2 - t.m2) + t.s11 * (p.x2 - t.m2) * (p.x2 - t.m2)) / (t.s11 * t.s22 - t.s12 * t.s12)) AS lp "
+            f"FROM p JOIN th{i} t ON TRUE)",
+            f"mx{i} AS (SELECT *, max(lp) OVER (PARTITION BY vec_id) AS m FROM lp{i})",
+            f"ex{i} AS (SELECT *, exp(lp - m) AS e FROM mx{i})",
+            f"r{i} AS (SELECT *, e / sum(e) OVER (PARTITION BY vec_id) AS r, m + ln(sum(e) OVER (PARTITION BY vec_id)) AS llrow FROM ex{i})",
+        ]
+
+    for i in range(steps):
+        ctes += e_step(i)
+        ctes.append(
+            f"ag{i + 1} AS (SELECT cid, sum(r) AS nk, sum(r * x1) AS sx1, sum(r * x2) AS sx2, sum(r * x1 * x1) AS q11, sum(r * x1 * x2) AS q12, sum(r * x2 * x2) AS q22 FROM r{i} GROUP BY cid)"
+        )
+        full = (
+            f"fc{i + 1} AS (SELECT cid, nk, nk / nn.n AS pi, sx1 / nk AS m1, sx2 / nk AS m2, q11 / nk - (sx1 / nk) * (sx1 / nk) AS s11, "
+            f"q12 / nk - (sx1 / nk) * (sx2 / nk) AS s12, q22 / nk - (sx2 / nk) * (sx2 / nk) AS s22 FROM ag{i + 1} JOIN nn ON TRUE)"
+        )
+        ctes.append(full)
+        if tied:
+            ctes.append(
+                f"th{i + 1} AS (SELECT f.cid, f.pi, f.m1, f.m2, t.s11, t.s12, t.s22 FROM fc{i + 1} f JOIN "
+                f"(SELECT sum(nk * s11) / max(nn.n) AS s11, sum(nk * s12) / max(nn.n) AS s12, sum(nk * s22) / max(nn.n) AS s22 FROM fc{i + 1} JOIN nn ON TRUE) t ON TRUE)"
+            )
+        else:
+            ctes.append(f"th{i + 1} AS (SELECT cid, pi, m1, m2, s11, s12, s22 FROM fc{i + 1})")
+    ctes += e_step(steps)
+    return ctes
+
+
+def _gmm_params_sql(tied=False):
+    return "WITH " + ", ".join(_gmm_ctes(tied=tied)) + (
+        " SELECT CAST(cid AS INTEGER) AS cluster, round(pi, 4) AS pi, round(m1, 4) AS m1, round(m2, 4) AS m2, round(s11, 6) AS s11, round(s12, 6) AS s12, round(s22, 6) AS s22 FROM th2"
+    )
+
+
+def _gmm_frame(spark, model):
+    th = model.params
+    rows = [(j, float(th.weights[j]), float(th.means[j][0]), float(th.means[j][1]), float(th.covs[j][0, 0]), float(th.covs[j][0, 1]), float(th.covs[j][1, 1])) for j in range(len(th.weights))]
+    df = spark.createDataFrame(rows, "cluster int, pi double, m1 double, m2 double, s11 double, s12 double, s22 double")
+    return df.select("cluster", *[F.round(c, 4).alias(c) for c in ("pi", "m1", "m2")], *[F.round(c, 6).alias(c) for c in ("s11", "s12", "s22")])
+
+
+def _fit_gmm(spark, sf_dir, tied=False):
+    from traitlab.operators.cluster import gmm as G
+
+    p = flows.embedding_points(spark, sf_dir, 2)
+    return p, G.gmm(p, "vec_id", X2, k=GMM_K, max_iter=2, tol=0.0, covariance="tied" if tied else "full", reg=0.0)
+
+
+@register("c04_gmm_parity", _gmm_params_sql)
+def c04_gmm_parity(spark, sf_dir):
+    """Full-covariance EM, k=2 on two features, two EM steps from the first
+    2 rows by det (sql-k)."""
+    _p, model = _fit_gmm(spark, sf_dir)
+    return _gmm_frame(spark, model)
+
+
+@register("c05_gmm_tied", lambda: _gmm_params_sql(tied=True))
+def c05_gmm_tied(spark, sf_dir):
+    _p, model = _fit_gmm(spark, sf_dir, tied=True)
+    return _gmm_frame(spark, model)
+
+
+def _c07_sql():
+    return "WITH " + ", ".join(_gmm_ctes()) + (
+        " SELECT vec_id, round(max(CASE WHEN cid = 0 THEN r END), 4) AS p_0, round(max(CASE WHEN cid = 1 THEN r END), 4) AS p_1, "
+        "CAST(arg_max(cid, lp * 1.0E0 - cid * 1e-300) AS INTEGER) AS cluster FROM r1 GROUP BY vec_id"
+    )
+
+
+@register("c07_gmm_responsibilities", _c07_sql)
+def c07_gmm_responsibilities(spark, sf_dir):
+    """Soft assignment and label from the last E-step (parameters after one
+    M-step when two were run)."""
+    p, model = _fit_gmm(spark, sf_dir)
+    out = model.transform(p).select("vec_id", "p_0", "p_1", "cluster")
+    return round_doubles(out, 4)
+
+
+def _c08_sql():
+    return "WITH " + ", ".join(_gmm_ctes()) + " SELECT round(sum(llrow), 4) AS log_likelihood FROM (SELECT DISTINCT vec_id, llrow FROM r2) t"
+
+
+@register("c08_gmm_loglik", _c08_sql)
+def c08_gmm_loglik(spark, sf_dir):
+    from traitlab.operators.cluster import gmm as G
+
+    p, model = _fit_gmm(spark, sf_dir)
+    st = G.log_densities(p, X2, model.params)
+    return st.agg(F.round(F.sum(F.col("_m") + F.log("_t")), 4).alias("log_likelihood"))
+
+
+@register("c04_gmm_ml")
+def c04_gmm_ml(spark, sf_dir):
+    """Rows-only: Spark ML GaussianMixture labels on two features."""
+    from traitlab.operators.cluster import gmm as G
+
+    p = flows.embedding_points(spark, sf_dir, 2)
+    out, _m = G.gmm_ml(p, X2, k=3, max_iter=50)
+    return out.select("vec_id", "cluster")
