@@ -293,3 +293,35 @@ def c04_gmm_ml(spark, sf_dir):
     p = flows.embedding_points(spark, sf_dir, 2)
     out, _m = G.gmm_ml(p, X2, k=3, max_iter=50)
     return out.select("vec_id", "cluster")
+
+
+# ---------------------------------------------------------------- C6 DBSCAN
+
+DB_EPS, DB_MIN = 0.2, 6
+
+
+def _c06_sql():
+    D2 = "(a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)"
+    return (
+        f"WITH RECURSIVE raw AS ({emb_sql(2)}), st AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS s1, avg(x2) AS m2, stddev_pop(x2) AS s2 FROM raw), "
+        "p AS (SELECT vec_id, (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2 FROM raw JOIN st ON TRUE), "
+        f"pairs AS (SELECT a.vec_id AS i, b.vec_id AS j FROM p a JOIN p b ON {D2} <= CAST({DB_EPS * DB_EPS!r} AS DOUBLE)), "
+        f"core AS (SELECT i FROM pairs GROUP BY i HAVING count(*) >= {DB_MIN}), "
+        "ce AS (SELECT pairs.i, pairs.j FROM pairs WHERE i IN (SELECT i FROM core) AND j IN (SELECT i FROM core)), "
+        "reach(i, j) AS (SELECT i, j FROM ce UNION SELECT reach.i, ce.j FROM reach JOIN ce ON reach.j = ce.i), "
+        "comp AS (SELECT i, min(j) AS root FROM reach GROUP BY i), "
+        "cid AS (SELECT i, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster FROM comp), "
+        "border AS (SELECT pr.i, min(cid.cluster) AS cluster FROM pairs pr JOIN cid ON pr.j = cid.i WHERE pr.i NOT IN (SELECT i FROM core) GROUP BY pr.i) "
+        "SELECT p.vec_id, CAST(coalesce(cid.cluster, border.cluster, -1) AS INTEGER) AS cluster FROM p LEFT JOIN cid ON p.vec_id = cid.i LEFT JOIN border ON p.vec_id = border.i"
+    )
+
+
+@register("c06_dbscan", _c06_sql)
+def c06_dbscan(spark, sf_dir):
+    """DBSCAN on two standardised features (eps 0.2, min_samples 6)."""
+    from traitlab.operators.cluster.dbscan import dbscan
+    from traitlab.operators.features import standardize
+
+    p = flows.embedding_points(spark, sf_dir, 2)
+    z, _sc = standardize(p, X2)
+    return dbscan(z, "vec_id", X2, eps=DB_EPS, min_samples=DB_MIN)
