@@ -81,3 +81,21 @@ def embedding_points(spark: SparkSession, sf_dir: str, dims: int = 5) -> DataFra
     """vec_id, label and the first ``dims`` embedding values as doubles."""
     emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i + 1}") for i in range(dims)])
+
+
+def cluster_model(spark: SparkSession, sf_dir: str, k: int = 5):
+    """The scoring model of the minimum slice: scaler fitted on the cleaned
+    responses + the first k rows by det (in z space) as centres."""
+    from traitlab.streaming.scoring import ClusterScorer
+
+    clean = clean_survey(spark, sf_dir)
+    _, sc = standardize(clean.select(*SCORES), SCORES)
+    centers = init_first_rows(sc.transform(clean, suffix="_z"), "row_id", ZSCORES, k)
+    return ClusterScorer(list(SCORES), sc, centers)
+
+
+def new_responses(spark: SparkSession, sf_dir: str, complete_only: bool = True) -> DataFrame:
+    """Responses not used for training (IPC = 2), scored; complete ones only
+    unless ``complete_only`` is off."""
+    scored = trait_scores(numeric_survey(spark, sf_dir).filter(F.col("IPC") == 2))
+    return drop_null_rows(scored, ITEMS) if complete_only else scored
