@@ -176,3 +176,60 @@ def kept_share(df: DataFrame, keep) -> DataFrame:
         (F.col("n_before") - F.col("n_kept")).alias("n_dropped"),
         F.try_divide(F.col("n_kept") * F.lit(100.0), F.col("n_before")).alias("kept_pct"),
     )
+
+
+# ---------------------------------------------------------------- grid-result analyses
+
+METRICS = ["calinski_harabasz", "davies_bouldin", "silhouette"]
+
+
+def metric_means(grid: DataFrame, by: Sequence[str], metrics: Sequence[str] = METRICS) -> DataFrame:
+    """Mean of each metric by the given keys (e.g. model, factor_analysis)."""
+    return grid.groupBy(*by).agg(*[F.avg(m).alias(m) for m in metrics])
+
+
+def best_config(grid: DataFrame, model: str = "model") -> DataFrame:
+    """composite = min-max(silhouette) + min-max(cluster_entropy) over the
+    whole table; the first maximum per model (ties: config_id).  The ranges
+    are one global aggregate (literals); the per-model pick is a window over
+    result rows (one per configuration)."""
+    from traitlab.operators.features import minmax
+
+    g = grid.filter(F.col("silhouette").isNotNull() & F.col("cluster_entropy").isNotNull())
+    g = minmax(g, ["silhouette", "cluster_entropy"], suffix="_norm")
+    g = g.withColumn("composite", F.col("silhouette_norm") + F.col("cluster_entropy_norm"))
+    w = Window.partitionBy(model).orderBy(F.desc("composite"), "config_id")
+    return g.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+
+
+def global_max(grid: DataFrame, metric: str) -> DataFrame:
+    """A15."""
+    return grid.agg(F.max(metric).alias(f"max_{metric}"))
+
+
+def compare_best(grid: DataFrame, metrics: Sequence[str] = METRICS, by: str = "factor_analysis", model: str = "model") -> DataFrame:
+    """Per (switch, metric) the model with the highest mean is "best";
+    every other model gets the symmetric % difference
+    abs(a - b) / ((a + b) / 2) * 100, rounded to 1 (a maximum counts as best
+    for every metric, Davies-Bouldin included)."""
+    means = metric_means(grid, [by, model], metrics)
+    long = means.unpivot([by, model], list(metrics), "metric", "value")
+    w = Window.partitionBy(by, "metric").orderBy(F.desc("value"), model)
+    ranked = long.withColumn("_r", F.row_number().over(w))
+    best = ranked.filter(F.col("_r") == 1).select(by, "metric", F.col(model).alias("best_model"), F.col("value").alias("best_value"))
+    others = ranked.filter(F.col("_r") > 1).drop("_r")
+    j = others.join(best, [by, "metric"])
+    diff = F.abs(F.col("best_value") - F.col("value")) / ((F.col("best_value") + F.col("value")) / 2) * 100
+    return j.select(by, "metric", "best_model", F.col(model).alias("other_model"), F.bround(diff, 1).alias("pct_diff"))
+
+
+def summary_sentences(cmp: DataFrame, by: str = "factor_analysis") -> DataFrame:
+    """One sentence per (metric, switch) from the A16 table."""
+    g = cmp.groupBy("metric", by, "best_model").agg(
+        F.array_join(F.array_sort(F.collect_list(F.format_string("%s (%.1f%%)", F.col("other_model"), F.col("pct_diff")))), " and ").alias("others")
+    )
+    return g.select(
+        "metric",
+        by,
+        F.format_string("For %s (%s = %s), %s is best, ahead of %s.", F.col("metric"), F.lit(by), F.col(by).cast("string"), F.col("best_model"), F.col("others")).alias("sentence"),
+    )
