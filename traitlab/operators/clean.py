@@ -67,17 +67,15 @@ def trait_scores(
     One projection: ten additions per trait inside whole-stage codegen."""
     rows = scoring if scoring is not None else scoring_rows()
     by_prefix: dict[str, list[Column]] = {p: [] for p in PREFIXES}
+    present = set(df.columns)
     for item_id, prefix, _item, rev, _q in rows:
-        if item_id not in df.columns:
+        if item_id not in present:
             continue
         v = F.col(item_id)
         if valid_range is not None:
             v = F.when(v.between(*valid_range), v)
         by_prefix[prefix].append(reverse_key(v) if rev else v)
-    out = df
-    for prefix, parts in by_prefix.items():
-        out = out.withColumn(SCORE_OF_PREFIX[prefix], null_skipping_sum(parts))
-    return out
+    return df.withColumns({SCORE_OF_PREFIX[prefix]: null_skipping_sum(parts) for prefix, parts in by_prefix.items()})
 
 
 def answered_count(cols: Sequence[str]) -> Column:

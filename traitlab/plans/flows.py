@@ -22,9 +22,23 @@ def parsed_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_tab_lines(survey_lines_for(spark, sf_dir), RAW_COLUMNS)
 
 
+_NUMERIC: dict = {}
+
+
 def numeric_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 -> P1: every column but ``country`` as double."""
-    return to_number(parsed_survey(spark, sf_dir), except_cols=["country"], keep=["row_id"])
+    """S1 -> P1: every column but ``country`` as double.
+
+    The coerced table is written once per session (reliable checkpoint in
+    ``spark.checkpoint.dir``), like the cleaned file of the reference that
+    every later step reads: the 55 regex-guarded casts run once, and later
+    filters read plain doubles instead of re-deriving them per predicate."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _NUMERIC:
+        from traitlab.session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        _NUMERIC[key] = to_number(parsed_survey(spark, sf_dir), except_cols=["country"], keep=["row_id"]).checkpoint(eager=True)
+    return _NUMERIC[key]
 
 
 def clean_survey(spark: SparkSession, sf_dir: str) -> DataFrame:

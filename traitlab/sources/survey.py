@@ -70,8 +70,11 @@ def survey_lines(customer: DataFrame, materialize: bool = True) -> DataFrame:
         return lines
     from traitlab.session import checkpoint_dir
 
-    checkpoint_dir(lines.sparkSession)
-    return lines.checkpoint(eager=True)
+    spark = lines.sparkSession
+    checkpoint_dir(spark)
+    # the fixture comes from one small file; spread it like a raw file of
+    # many blocks would be, so the parse runs on every core
+    return lines.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
 
 
 def load_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
