@@ -141,7 +141,7 @@ def prediction_summary(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame
     dist = pred.groupBy(F.col(p).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
     summary = dist.agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("cls").cast("string"), "n"))))).alias("pred_distribution"),
-        F.max_by("cls", F.struct("n", -F.col("cls").cast("double"))).alias("top_class"),
+        F.min_by("cls", F.struct(-F.col("n"), F.col("cls"))).alias("top_class"),
         F.count(F.lit(1)).alias("n_pred_classes"),
     )
     ntrue = pred.agg(F.count_distinct(y).alias("n_true_classes"))

@@ -170,7 +170,15 @@ def best_by_accuracy(results: DataFrame) -> DataFrame:
     return results.filter(F.col("error").isNull()).orderBy(F.desc("accuracy"), "model", "params").limit(1)
 
 
-def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[str, Sequence], n_iter: int = 10, folds: int = 3, seed: int = 42, parallelism: int = 4):
+def _strategy(mf) -> str:
+    if mf is None or mf == "all":
+        return "all"
+    if isinstance(mf, float):
+        return str(mf)
+    return {"sqrt": "sqrt", "log2": "log2"}.get(mf, "sqrt")
+
+
+def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[str, Sequence], n_iter: int = 10, folds: int = 3, seed: int = 42, parallelism: int = 4, balanced: bool = True):
     """M3: seeded random sample of the random-forest grid, k-fold CV on
     accuracy (folds by det rank, ``foldCol``), refit of the best on all of
     ``train``.  Returns (best FittedModel, table of tried configurations)."""
@@ -187,10 +195,16 @@ def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[
     grid = param_grid(space)
     rnd = random.Random(seed)
     picks = rnd.sample(grid, min(n_iter, len(grid)))
+    from traitlab.operators.sample import class_weights
+
     data, _labels = _indexed(train, y)
     data = make_folds(data, _key_of(train), folds, stratify=y, seed=seed, out="_fold")
+    if balanced:
+        data = class_weights(data, y, out="_w")
     data = assemble(data, list(cols), "_features")
     rf = RandomForestClassifier(featuresCol="_features", labelCol="_label", seed=seed)
+    if balanced:
+        rf.setWeightCol("_w")
     maps = []
     for p in picks:
         depth = p.get("max_depth")
@@ -199,14 +213,18 @@ def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[
                 rf.numTrees: int(p.get("n_estimators", 100)),
                 rf.maxDepth: 30 if depth is None or depth > 30 else int(depth),
                 rf.minInstancesPerNode: int(p.get("min_samples_leaf", 1)),
-                rf.featureSubsetStrategy: {"sqrt": "sqrt", "log2": "log2", None: "all"}.get(p.get("max_features", "sqrt"), "sqrt"),
+                rf.featureSubsetStrategy: _strategy(p.get("max_features", "sqrt")),
+                rf.bootstrap: bool(p.get("bootstrap", True)),
             }
         )
     ev = MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy")
     cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, foldCol="_fold", parallelism=parallelism, seed=seed)
     cvm = cv.fit(data)
     best_i = max(range(len(picks)), key=lambda i: cvm.avgMetrics[i])
-    best = fit_forest(train, list(cols), y, picks[best_i], seed=seed)
+    if balanced:
+        best = fit_forest(class_weights(train, y, out="_w"), list(cols), y, picks[best_i], weight="_w", seed=seed)
+    else:
+        best = fit_forest(train, list(cols), y, picks[best_i], seed=seed)
     spark = train.sparkSession
     tried = spark.createDataFrame([(json.dumps(p, sort_keys=True, default=str), float(m)) for p, m in zip(picks, cvm.avgMetrics)], "params string, cv_accuracy double")
     return best, tried

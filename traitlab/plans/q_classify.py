@@ -226,3 +226,81 @@ def l05_random_forest(spark, sf_dir):
 @register("l08_mlp")
 def l08_mlp(spark, sf_dir):
     return _ml_pred(spark, sf_dir, L.fit_mlp, {"hidden_layer_sizes": (16,), "max_iter": 50})
+
+
+# ---------------------------------------------------------------- L2 / L4 / L9 / L11-L13
+
+GD_STEPS, GD_LR, GD_C = 3, 0.1, 1.0
+
+
+def _l02_sql():
+    ctes = [f"pts AS ({emb_sql(2)})", "tr AS (SELECT x1, x2, CAST(label % 2 AS INTEGER) AS y FROM pts)",
+            "w0 AS (SELECT 0.0E0 AS w00, 0.0E0 AS w01, 0.0E0 AS w10, 0.0E0 AS w11, 0.0E0 AS w20, 0.0E0 AS w21)"]
+    for t in range(GD_STEPS):
+        ctes.append(f"z{t} AS (SELECT tr.*, w00 + w10 * x1 + w20 * x2 AS z0, w01 + w11 * x1 + w21 * x2 AS z1 FROM tr JOIN w{t} ON TRUE)")
+        ctes.append(f"e{t} AS (SELECT *, exp(z0 - greatest(z0, z1)) AS e0, exp(z1 - greatest(z0, z1)) AS e1 FROM z{t})")
+        ctes.append(f"p{t} AS (SELECT *, e0 / (e0 + e1) - CAST(y = 0 AS DOUBLE) AS d0, e1 / (e0 + e1) - CAST(y = 1 AS DOUBLE) AS d1 FROM e{t})")
+        ctes.append(f"g{t} AS (SELECT avg(d0) AS g00, avg(d1) AS g01, avg(x1 * d0) AS g10, avg(x1 * d1) AS g11, avg(x2 * d0) AS g20, avg(x2 * d1) AS g21 FROM p{t})")
+        ups = ", ".join(f"w{i}{k} - {GD_LR} * (g{i}{k} + w{i}{k} / {GD_C}) AS w{i}{k}" for i in range(3) for k in range(2))
+        ctes.append(f"w{t + 1} AS (SELECT {ups} FROM w{t} JOIN g{t} ON TRUE)")
+    terms = ["intercept", "x1", "x2"]
+    sel = " UNION ALL ".join(f"SELECT '{terms[i]}' AS term, {k} AS cls, round(w{i}{k}, 6) AS weight FROM w{GD_STEPS}" for i in range(3) for k in range(2))
+    return "WITH " + ", ".join(ctes) + " " + sel
+
+
+@register("l02_softmax_gd", _l02_sql)
+def l02_softmax_gd(spark, sf_dir):
+    """Softmax regression by gradient descent (lr 0.1, l2 penalty W/C), two
+    features, two classes (label parity), three steps (sql-k)."""
+    p = flows.embedding_points(spark, sf_dir, 2).withColumn("y", (F.col("label") % 2).cast("int"))
+    m = L.fit_softmax_gd(p, ["x1", "x2"], "y", lr=GD_LR, epochs=GD_STEPS, c_reg=GD_C, classes=[0, 1])
+    terms = ["intercept", "x1", "x2"]
+    rows = [(terms[i], k, float(m.w[i, k])) for i in range(3) for k in range(2)]
+    return round_doubles(spark.createDataFrame(rows, "term string, cls int, weight double"))
+
+
+@register("l04_svm_gd")
+def l04_svm_gd(spark, sf_dir):
+    """Rows-only: one-vs-rest linear SVM by batch sub-gradient descent."""
+    train, test = split_embeddings(spark, sf_dir)
+    m = L.fit_svm_gd(train, X5, "label", epochs=20)
+    return m.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
+
+
+@register("l09_relu_net")
+def l09_relu_net(spark, sf_dir):
+    """Rows-only: ReLU network trained by distributed full-batch backprop."""
+    train, test = split_embeddings(spark, sf_dir)
+    net = L.fit_relu_net(train, X5, "label", hidden=(16,), lr=0.5, max_iter=15)
+    return net.transform(test.select("vec_id", "label", *X5)).select("vec_id", F.col("label").alias("y"), "p")
+
+
+@register("l11_us_region_model")
+def l11_us_region_model(spark, sf_dir):
+    """Rows-only: the US-region forest end to end; its class report."""
+    from traitlab.plans.workflows import us_region_model
+
+    _m, report = us_region_model(flows.clean_survey(spark, sf_dir))
+    return round_doubles(report, 4)
+
+
+@register("l12_location_model")
+def l12_location_model(spark, sf_dir):
+    """Rows-only: region model end to end (random search with 3 draws here;
+    the operator's default is 10)."""
+    from traitlab.plans.workflows import location_model
+    from traitlab.sources.dims import country_fixture
+
+    _best, row, _tried = location_model(flows.clean_survey(spark, sf_dir), country_fixture(spark), n_iter=3)
+    return round_doubles(row, 4)
+
+
+@register("l13_cluster_model")
+def l13_cluster_model(spark, sf_dir):
+    """Rows-only: classifier grid predicting the C3 cluster from answers and scores."""
+    from traitlab.plans.workflows import cluster_membership_model
+    from traitlab.sources.dims import ITEMS, SCORES
+
+    df = flows.labelled_survey(spark, sf_dir)
+    res = cluster_membership_model(df, ITEMS + SCORES, "cluster")
+    return round_doubles(res.drop("seconds"), 4)
