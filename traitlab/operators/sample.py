@@ -186,15 +186,36 @@ def bootstrap(df: DataFrame, seed: int = 42) -> DataFrame:
     return df.sample(withReplacement=True, fraction=1.0, seed=seed)
 
 
-def det_rank(df: DataFrame, key: str, seed: int = 42, by: Sequence[str] | None = None, out: str = "rank", bits: int = 16) -> DataFrame:
+def perm_key(key: str, stream: int) -> Column:
+    """An order key per permutation stream: ``key * m mod 2**31`` with an odd
+    multiplier that depends on the stream (different seeds of ``det`` only
+    rotate one cyclic order, which is useless for independent permutations)."""
+    from traitlab.functions.columns import DET_ADD, DET_MOD
+
+    m = perm_multiplier(stream)
+    return ((F.col(key).cast("long") * F.lit(m) + F.lit(DET_ADD)) % F.lit(DET_MOD)).cast("long")
+
+
+def perm_multiplier(stream: int) -> int:
+    """Odd multiplier below 2**31 for a permutation stream, spread over the
+    whole range so that streams give unrelated orders."""
+    from traitlab.functions.columns import DET_MOD, DET_MULT
+
+    return ((DET_MULT * (2 * int(stream) + 1)) % DET_MOD) | 1
+
+
+def det_rank(
+    df: DataFrame, key: str, seed: int = 42, by: Sequence[str] | None = None, out: str = "rank", bits: int = 16, order: Column | None = None
+) -> DataFrame:
     """0-based rank of each row by (det, key) within ``by``, without a
     single-partition window: offset of the det bucket + row_number inside it.
+    ``order`` replaces det by another key in [0, 2**31).
 
     Rows are shuffled by (by, bucket); det is uniform, so a hot class is
     spread over all buckets."""
     by = list(by or [])
     shift = 31 - bits
-    d = det(key, seed)
+    d = det(key, seed) if order is None else order
     base = df.withColumn("_det", d).withColumn("_b", F.shiftright("_det", shift))
     h = base.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

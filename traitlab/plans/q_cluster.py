@@ -325,3 +325,44 @@ def c06_dbscan(spark, sf_dir):
     p = flows.embedding_points(spark, sf_dir, 2)
     z, _sc = standardize(p, X2)
     return dbscan(z, "vec_id", X2, eps=DB_EPS, min_samples=DB_MIN)
+
+
+# ---------------------------------------------------------------- C14 KDE enrichment
+
+KDE_B = 3
+
+
+def _c14_sql():
+    from traitlab.functions.columns import DET_ADD, DET_MOD
+    from traitlab.operators.sample import perm_multiplier
+
+    ctes = [
+        f"p AS ({emb_sql(2)})",
+        "c AS (SELECT label, avg(x1) AS m1, avg(x2) AS m2 FROM p GROUP BY label)",
+        "bw AS (SELECT ((stddev_pop(x1) + stddev_pop(x2)) / 2) * pow(count(*), -1.0E0 / 6) AS h FROM p)",
+        "real AS (SELECT c.label, avg(exp(-((p.x1 - c.m1) * (p.x1 - c.m1) + (p.x2 - c.m2) * (p.x2 - c.m2)) / (2 * bw.h * bw.h))) AS density FROM p JOIN c ON TRUE JOIN bw ON TRUE GROUP BY c.label)",
+    ]
+    nulls = []
+    for b in range(1, KDE_B + 1):
+        for j, col in enumerate(X2):
+            m = perm_multiplier(1000 * b + j)
+            ctes.append(f"r{b}_{j} AS (SELECT row_number() OVER (ORDER BY (CAST(vec_id AS BIGINT) * {m} + {DET_ADD}) % {DET_MOD}, vec_id) - 1 AS rk, {col} FROM p)")
+        ctes.append(f"n{b} AS (SELECT {b} AS b, a.x1, z.x2 FROM r{b}_0 a JOIN r{b}_1 z ON a.rk = z.rk)")
+        nulls.append(f"SELECT * FROM n{b}")
+    ctes.append("nl AS (" + " UNION ALL ".join(nulls) + ")")
+    ctes.append(
+        "nd AS (SELECT nl.b, c.label, avg(exp(-((nl.x1 - c.m1) * (nl.x1 - c.m1) + (nl.x2 - c.m2) * (nl.x2 - c.m2)) / (2 * bw.h * bw.h))) AS nd FROM nl JOIN c ON TRUE JOIN bw ON TRUE GROUP BY nl.b, c.label)"
+    )
+    return "WITH " + ", ".join(ctes) + (
+        " SELECT r.label AS cluster, round(r.density, 6) AS density, round(avg(nd.nd), 6) AS null_mean, round(r.density / avg(nd.nd), 6) AS enrichment, "
+        f"round((count(*) FILTER (WHERE nd.nd >= r.density) + 1) / {KDE_B + 1}.0E0, 6) AS p_value FROM real r JOIN nd ON r.label = nd.label GROUP BY r.label, r.density"
+    )
+
+
+@register("c14_kde_enrichment", _c14_sql)
+def c14_kde_enrichment(spark, sf_dir):
+    """KDE density at each label centre vs column-permuted nulls (3 draws)."""
+    from traitlab.operators.cluster.kde import kde_enrichment
+
+    p = flows.embedding_points(spark, sf_dir, 2)
+    return round_doubles(kde_enrichment(p, "vec_id", X2, "label", n_null=KDE_B))
