@@ -135,3 +135,37 @@ def e08_eps_pairs(spark, sf_dir):
 
 
 __all__ = ["SCORES"]
+
+
+def _e02_sql():
+    from traitlab.sources.dims import ITEMS, scoring_rows
+
+    vals = ", ".join(f"('{i}', {O.q(q)})" for i, _p, _j, _r, q in scoring_rows())
+    items = ", ".join(ITEMS)
+    return O.with_clean(
+        f"dim AS (SELECT * FROM (VALUES {vals}) AS t(id, question))",
+        f"long AS (SELECT row_id, item, answer FROM (UNPIVOT (SELECT row_id, {items} FROM clean) ON {items} INTO NAME item VALUE answer))",
+    ) + "SELECT l.row_id, l.item, l.answer, d.question FROM long l LEFT JOIN dim d ON l.item = d.id"
+
+
+@register("e02_attach_question", _e02_sql)
+def e02_attach_question(spark, sf_dir):
+    """Question text by item id on the long form (broadcast of the 50-row
+    item dimension)."""
+    from traitlab.operators.enrich import attach_question
+    from traitlab.operators.profile import to_long
+    from traitlab.sources.dims import ITEMS, scoring_dim
+
+    long = to_long(flows.clean_survey(spark, sf_dir).select("row_id", *ITEMS), ["row_id"], ITEMS, "item", "answer")
+    return attach_question(long, scoring_dim(spark)).select("row_id", "item", "answer", "question")
+
+
+@register("p08_decorate")
+def p08_decorate(spark, sf_dir):
+    """Rows-only: the first 55 headers become 'id: question' where mapped."""
+    from traitlab.operators.clean import decorate
+    from traitlab.sources.dims import ITEMS, scoring_rows
+
+    mapping = {i: q for i, _p, _j, _r, q in scoring_rows()}
+    df = flows.clean_survey(spark, sf_dir).select(*ITEMS, *SCORES)
+    return decorate(df, mapping, 55)
