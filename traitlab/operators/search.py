@@ -235,3 +235,58 @@ def _key_of(df: DataFrame) -> str:
         if k in df.columns:
             return k
     raise ValueError("random_search needs a row key column (row_id / vec_id)")
+
+
+ASSIGNMENT_SCHEMA = T.StructType(
+    [
+        T.StructField("config_id", T.StringType()),
+        T.StructField("model", T.StringType()),
+        T.StructField("data_type", T.StringType()),
+        T.StructField("scaled", T.BooleanType()),
+        T.StructField("n_clusters", T.IntegerType()),
+        T.StructField("calinski_harabasz", T.DoubleType()),
+        T.StructField("davies_bouldin", T.DoubleType()),
+        T.StructField("silhouette", T.DoubleType()),
+        T.StructField("n_clusters_found", T.LongType()),
+        T.StructField("cluster_entropy", T.DoubleType()),
+    ]
+)
+
+
+def assignment_grid(
+    df: DataFrame,
+    key: str,
+    feature_sets: Mapping[str, Sequence[str]],
+    ks: Sequence[int] = (3, 4),
+    lloyd_steps: Sequence[int] = (0, 1),
+    scaled: Sequence[bool] = (False, True),
+) -> DataFrame:
+    """A K-Means grid whose every fit SQL can reproduce: start from the first
+    k rows by det, run 0 or 1 Lloyd updates, assign; metrics CH, DB, squared
+    silhouette, clusters found and entropy.  Model names ``KMeans<steps>``."""
+    from traitlab.operators.cluster.kmeans import assign_nearest, init_first_rows, lloyd_step
+    from traitlab.operators.features import standardize
+
+    spark = df.sparkSession
+    rows = []
+    for data_type, cols in feature_sets.items():
+        cols = list(cols)
+        base = df.select(key, *cols)
+        for sc in scaled:
+            feats = standardize(base, cols)[0] if sc else base
+            feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+            for steps in lloyd_steps:
+                for k in ks:
+                    centers = init_first_rows(feats, key, cols, k)
+                    for _ in range(steps):
+                        centers = lloyd_step(feats, cols, centers)
+                    lab = assign_nearest(feats, cols, centers)
+                    ch = Q.calinski_harabasz_frame(lab, cols).first()[0]
+                    db = Q.davies_bouldin_frame(lab, cols).first()[0]
+                    sil = Q.silhouette_sq_frame(lab, cols).first()[0]
+                    found = Q.clusters_found(lab)
+                    ent = Q.cluster_entropy(lab)
+                    model = f"KMeans{steps}"
+                    rows.append((f"{model}|{data_type}|{str(sc).lower()}|{k}", model, data_type, sc, k, float(ch), float(db), float(sil), int(found), float(ent)))
+            feats.unpersist()
+    return spark.createDataFrame(rows, ASSIGNMENT_SCHEMA)

@@ -35,4 +35,4 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from traitlab.plans import q_classify, q_cluster, q_enrich, q_features, q_profile, q_sample, q_scoring, q_search, q_survey  # noqa: F401
+    from traitlab.plans import q_classify, q_cluster, q_enrich, q_features, q_grid, q_profile, q_sample, q_scoring, q_search, q_survey  # noqa: F401

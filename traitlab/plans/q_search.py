@@ -1,5 +1,6 @@
-"""Queries for model search (M1-M3) and the grid-result analyses
-(A4, A12, A14-A18, P14, P17, U1) over the grid those searches produce."""
+"""Queries for model search (M1-M3) with all three clustering models and
+the Spark ML classifiers (rows-checked; the analyses of a grid are
+SQL-checked in ``q_grid``)."""
 
 from __future__ import annotations
 
@@ -38,75 +39,6 @@ def m01_cluster_grid(spark, sf_dir):
     return round_doubles(g.drop("seconds"), 4)
 
 
-@register("a04_pivot_clusters_found")
-def a04_pivot_clusters_found(spark, sf_dir):
-    """Rows-only: mean silhouette by clusters found x model."""
-    g = cluster_grid_results(spark, sf_dir)
-    return round_doubles(A.pivot_mean(g, "n_clusters_found", "model", "silhouette", ["DBScan", "GMM", "KMeans"]), 4)
-
-
-@register("a12_metric_means")
-def a12_metric_means(spark, sf_dir):
-    g = cluster_grid_results(spark, sf_dir)
-    return round_doubles(A.metric_means(g, ["model", "factor_analysis"]), 4)
-
-
-@register("a14_best_config")
-def a14_best_config(spark, sf_dir):
-    g = cluster_grid_results(spark, sf_dir)
-    return round_doubles(A.best_config(g).select("model", "config_id", "params", "composite"), 4)
-
-
-@register("a15_global_max")
-def a15_global_max(spark, sf_dir):
-    return round_doubles(A.global_max(cluster_grid_results(spark, sf_dir), "silhouette"), 4)
-
-
-@register("a16_compare_best")
-def a16_compare_best(spark, sf_dir):
-    return A.compare_best(cluster_grid_results(spark, sf_dir))
-
-
-@register("a17_summary_sentences")
-def a17_summary_sentences(spark, sf_dir):
-    return A.summary_sentences(A.compare_best(cluster_grid_results(spark, sf_dir)))
-
-
-@register("a18_five_numbers_grid")
-def a18_five_numbers_grid(spark, sf_dir):
-    g = cluster_grid_results(spark, sf_dir)
-    return round_doubles(A.five_numbers(g, ["model", "factor_analysis"], "silhouette"), 4)
-
-
-@register("p14_relabel_metrics")
-def p14_relabel_metrics(spark, sf_dir):
-    """Rows-only: metric display names and '_Mean' suffix removal."""
-    from traitlab.operators.clean import relabel
-
-    long = A.to_long(A.metric_means(cluster_grid_results(spark, sf_dir), ["model"]).withColumnsRenamed({m: f"{m}_Mean" for m in A.METRICS}), ["model"], [f"{m}_Mean" for m in A.METRICS], "metric", "value")
-    long = long.withColumn("metric", F.regexp_replace("metric", "_Mean$", ""))
-    names = {"calinski_harabasz": "Calinski-Harabasz", "davies_bouldin": "Davies-Bouldin", "silhouette": "Silhouette"}
-    return round_doubles(relabel(long, "metric", names, "Other", out="metric_name"), 4)
-
-
-@register("p17_db_ch_ratio")
-def p17_db_ch_ratio(spark, sf_dir):
-    from traitlab.operators.clean import ratio
-
-    g = cluster_grid_results(spark, sf_dir)
-    return round_doubles(ratio(g, "davies_bouldin", "calinski_harabasz", "db_ch_ratio").select("config_id", "db_ch_ratio"), 6)
-
-
-@register("u01_union_results")
-def u01_union_results(spark, sf_dir):
-    """Rows-only: results of separate runs with different columns, unioned by
-    name (missing columns become null)."""
-    g = cluster_grid_results(spark, sf_dir)
-    km = g.filter(F.col("model") == "KMeans").select("model", "params", "silhouette")
-    db = g.filter(F.col("model") == "DBScan").select("model", "params", "n_clusters_found")
-    return round_doubles(km.unionByName(db, allowMissingColumns=True), 4)
-
-
 @register("m02_classifier_grid")
 def m02_classifier_grid(spark, sf_dir):
     """Rows-only: classifier grid on the embeddings split, sorted by accuracy."""
