@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitlab.operators.enrich import eps_pairs
-from traitlab.session import checkpoint_dir
+from traitlab.session import checkpoint_dir, reliable_checkpoint
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1
     symmetric; ``nodes`` has column v.  Returns (v, root)."""
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    labels = nodes.select("v", F.col("v").alias("root")).checkpoint()
+    labels = reliable_checkpoint(nodes.select("v", F.col("v").alias("root")))
     for _ in range(max_rounds):
         prop = edges.join(labels.withColumnRenamed("v", "j"), "j").groupBy(F.col("i").alias("v")).agg(F.min("root").alias("cand"))
         step = labels.join(prop, "v", "left").select("v", F.least("root", F.coalesce("cand", "root")).alias("root"))
@@ -37,9 +37,10 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1
         jump = step.alias("a").join(step.alias("b"), F.col("a.root") == F.col("b.v"), "left").select(
             F.col("a.v").alias("v"), F.least(F.col("a.root"), F.coalesce(F.col("b.root"), F.col("a.root"))).alias("root")
         )
-        new = jump.checkpoint()
-        changed = new.join(labels.withColumnRenamed("root", "old"), "v").filter(F.col("root") != F.col("old")).limit(1).count()
-        labels = new
+        flagged = jump.join(labels.withColumnRenamed("root", "old"), "v").withColumn("_chg", F.col("root") != F.col("old")).drop("old")
+        flagged = reliable_checkpoint(flagged)  # written once, read by the test and the next round
+        changed = flagged.filter("_chg").limit(1).count()
+        labels = flagged.drop("_chg")
         if changed == 0:
             break
     return labels
@@ -53,8 +54,8 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     ce = pairs.join(core.withColumnRenamed("v", "i"), "i", "left_semi").join(core.withColumnRenamed("v", "j"), "j", "left_semi")
     # the iteration reads the core graph every round: write it once
     checkpoint_dir(df.sparkSession)
-    core = core.checkpoint()
-    ce = ce.checkpoint()
+    core = reliable_checkpoint(core)
+    ce = reliable_checkpoint(ce)
     comp = connected_components(ce, core)
     roots = comp.select("root").distinct()
     ids = roots.withColumn(out, (F.dense_rank().over(Window.orderBy("root")) - 1).cast("int"))

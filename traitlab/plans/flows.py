@@ -37,7 +37,9 @@ def numeric_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         from traitlab.session import checkpoint_dir
 
         checkpoint_dir(spark)
-        _NUMERIC[key] = to_number(parsed_survey(spark, sf_dir), except_cols=["country"], keep=["row_id"]).checkpoint(eager=True)
+        from traitlab.session import reliable_checkpoint
+
+        _NUMERIC[key] = reliable_checkpoint(to_number(parsed_survey(spark, sf_dir), except_cols=["country"], keep=["row_id"]))
     return _NUMERIC[key]
 
 

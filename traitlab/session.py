@@ -48,3 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="traitlab-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` to ``spark.checkpoint.dir`` and return the DataFrame read
+    back from there (lineage cut, survives executor loss).
+
+    The rows are persisted first so the checkpoint write reads them instead of
+    recomputing the plan a second time; the cache is released afterwards."""
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

@@ -74,7 +74,9 @@ def survey_lines(customer: DataFrame, materialize: bool = True) -> DataFrame:
     checkpoint_dir(spark)
     # the fixture comes from one small file; spread it like a raw file of
     # many blocks would be, so the parse runs on every core
-    return lines.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    from traitlab.session import reliable_checkpoint
+
+    return reliable_checkpoint(lines.repartition(spark.sparkContext.defaultParallelism))
 
 
 def load_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
