@@ -222,3 +222,12 @@ def test_factor_analysis_reconstructs_covariance(spark):
     approx = m.components.T @ m.components + np.diag(m.noise_variance)
     assert np.abs(approx - cov).max() < 0.1
     assert all(ll2 >= ll1 - 1e-6 for ll1, ll2 in zip(m.loglike, m.loglike[1:]))
+
+
+def test_eps_pairs_high_dim_grid_on_three(spark):
+    rng = np.random.default_rng(9)
+    x = rng.random((120, 5))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "k long, a double, b double, c double, d double, e double")
+    got = {(r.i, r.j) for r in eps_pairs(df, "k", list("abcde"), 0.35).collect()}
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    assert got == {(i, j) for i in range(120) for j in range(120) if d2[i, j] <= 0.35**2}

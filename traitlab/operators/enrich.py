@@ -58,25 +58,28 @@ def attach_labels(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     return df.join(labels, key)
 
 
-def eps_pairs(df: DataFrame, key: str, cols: Sequence[str], eps: float, with_self: bool = True) -> DataFrame:
+def eps_pairs(df: DataFrame, key: str, cols: Sequence[str], eps: float, with_self: bool = True, grid_dims: int = 3) -> DataFrame:
     """All pairs (i, j) with Euclidean distance <= eps.
 
-    Points are put in grid cells of side eps; each point is replicated to
-    its 3^d neighbouring cells and joined to the points *in* that cell by an
-    equi-join on the cell, then the exact distance is filtered.  Work is
-    proportional to the number of near pairs, not n^2."""
+    Points are put in grid cells of side eps over the first ``grid_dims``
+    columns; each point is replicated to its 3^g neighbouring cells and
+    joined to the points *in* that cell by an equi-join on the cell, then the
+    exact distance over all columns is filtered.  Exact for any g: two points
+    within eps differ by at most eps in every coordinate.  g <= 3 caps the
+    replication at 27x; work is proportional to near pairs, not n^2."""
     d = len(cols)
-    cell = [F.floor(F.col(c) / F.lit(float(eps))).cast("long") for c in cols]
+    g = max(1, min(d, grid_dims))
+    cell = [F.floor(F.col(c) / F.lit(float(eps))).cast("long") for c in cols[:g]]
     pts = df.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_x{i}") for i, c in enumerate(cols)], *[x.alias(f"_g{i}") for i, x in enumerate(cell)])
-    offsets = list(itertools.product([-1, 0, 1], repeat=d))
+    offsets = list(itertools.product([-1, 0, 1], repeat=g))
     off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_off")
     left = pts.select("*", off).select(
         F.col("_k").alias("i"),
         *[F.col(f"_x{j}").alias(f"_a{j}") for j in range(d)],
-        *[(F.col(f"_g{j}") + F.col("_off")[j]).alias(f"_g{j}") for j in range(d)],
+        *[(F.col(f"_g{j}") + F.col("_off")[j]).alias(f"_g{j}") for j in range(g)],
     )
-    right = pts.select(F.col("_k").alias("j"), *[F.col(f"_x{j}").alias(f"_b{j}") for j in range(d)], *[f"_g{j}" for j in range(d)])
-    pairs = left.join(right, [f"_g{j}" for j in range(d)])
+    right = pts.select(F.col("_k").alias("j"), *[F.col(f"_x{j}").alias(f"_b{j}") for j in range(d)], *[f"_g{j}" for j in range(g)])
+    pairs = left.join(right, [f"_g{j}" for j in range(g)])
     diffs = [F.col(f"_a{j}") - F.col(f"_b{j}") for j in range(d)]
     dist2 = sum((x * x for x in diffs[1:]), diffs[0] * diffs[0])
     pairs = pairs.filter(dist2 <= F.lit(float(eps) ** 2))

@@ -304,3 +304,10 @@ def l13_cluster_model(spark, sf_dir):
     df = flows.labelled_survey(spark, sf_dir)
     res = cluster_membership_model(df, ITEMS + SCORES, "cluster")
     return round_doubles(res.drop("seconds"), 4)
+
+
+@register("l06_forest_all_features")
+def l06_forest_all_features(spark, sf_dir):
+    """Rows-only: random forest over all features (no feature subsampling),
+    Gini impurity, depth limit, majority vote."""
+    return _ml_pred(spark, sf_dir, L.fit_forest, {"n_estimators": 10, "max_depth": 6, "max_features": None})
