@@ -23,18 +23,28 @@ from pyspark.sql import functions as F
 from traitlab.operators.enrich import eps_pairs
 from traitlab.session import checkpoint_dir, reliable_checkpoint
 
+MAX_CLUSTER_IDS = 100_000  # above this the ids come from a window over the distinct roots
+
 
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Min-label components of an undirected graph.  ``edges`` (i, j) must be
-    symmetric; ``nodes`` has column v.  Returns (v, root)."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
+    symmetric; ``nodes`` has column v.  Returns (v, root).
+
+    Each round (Shiloach-Vishkin style): every edge offers the smaller of its
+    two current roots to the larger root ("hooking" whole trees, not single
+    nodes), every node follows its root's new root, then one pointer jump.
+    Rounds grow with log(component size) instead of its diameter.  Labels are
+    written with a reliable checkpoint every round."""
     labels = reliable_checkpoint(nodes.select("v", F.col("v").alias("root")))
     for _ in range(max_rounds):
-        prop = edges.join(labels.withColumnRenamed("v", "j"), "j").groupBy(F.col("i").alias("v")).agg(F.min("root").alias("cand"))
-        step = labels.join(prop, "v", "left").select("v", F.least("root", F.coalesce("cand", "root")).alias("root"))
-        # pointer jumping: adopt the label of your label
-        jump = step.alias("a").join(step.alias("b"), F.col("a.root") == F.col("b.v"), "left").select(
+        lab_i = labels.select(F.col("v").alias("i"), F.col("root").alias("ri"))
+        lab_j = labels.select(F.col("v").alias("j"), F.col("root").alias("rj"))
+        er = edges.join(lab_i, "i").join(lab_j, "j")
+        # hook: root ri adopts the smallest root seen across its edges
+        hook = er.groupBy(F.col("ri").alias("r")).agg(F.min("rj").alias("h"))
+        hooked = labels.join(hook, labels.root == hook.r, "left").select("v", F.least("root", F.coalesce("h", "root")).alias("root"))
+        # pointer jump: adopt the label of your label
+        jump = hooked.alias("a").join(hooked.alias("b"), F.col("a.root") == F.col("b.v"), "left").select(
             F.col("a.v").alias("v"), F.least(F.col("a.root"), F.coalesce(F.col("b.root"), F.col("a.root"))).alias("root")
         )
         flagged = jump.join(labels.withColumnRenamed("root", "old"), "v").withColumn("_chg", F.col("root") != F.col("old")).drop("old")
@@ -58,8 +68,15 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     ce = reliable_checkpoint(ce)
     comp = connected_components(ce, core)
     roots = comp.select("root").distinct()
-    ids = roots.withColumn(out, (F.dense_rank().over(Window.orderBy("root")) - 1).cast("int"))
-    core_lab = comp.join(ids, "root").select(F.col("v").alias(key), out)
+    n_roots = roots.count()
+    if n_roots <= MAX_CLUSTER_IDS:
+        # cluster ids 0..C-1 by smallest member: C sorted roots as a literal map
+        ordered = [r[0] for r in roots.orderBy("root").collect()]
+        idmap = F.create_map(*[x for i, r in enumerate(ordered) for x in (F.lit(r), F.lit(i))]) if ordered else None
+        core_lab = comp.select(F.col("v").alias(key), (F.element_at(idmap, F.col("root")) if idmap is not None else F.lit(None)).cast("int").alias(out))
+    else:
+        ids = roots.withColumn(out, (F.dense_rank().over(Window.orderBy("root")) - 1).cast("int"))
+        core_lab = comp.join(ids, "root").select(F.col("v").alias(key), out)
     border = (
         pairs.join(core.withColumnRenamed("v", "i"), "i", "left_anti")
         .join(core_lab.withColumnRenamed(key, "j"), "j")

@@ -28,6 +28,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def tune_for_scale(spark: SparkSession, advisory_mb: int = 128, max_partition_mb: int = 128, broadcast_mb: int = 64) -> None:
+    """Settings for large inputs: AQE coalesces/splits shuffle partitions to
+    ``advisory_mb`` and splits skewed join partitions; scans cut files into
+    ``max_partition_mb`` splits; automatic broadcast stays below a fixed size
+    (explicit broadcasts in this library are bounded by construction)."""
+    conf = spark.conf
+    conf.set("spark.sql.adaptive.enabled", "true")
+    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{advisory_mb}m")
+    conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "4")
+    conf.set("spark.sql.files.maxPartitionBytes", f"{max_partition_mb}m")
+    conf.set("spark.sql.autoBroadcastJoinThreshold", f"{broadcast_mb}m")
+    conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", f"{broadcast_mb}m")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
