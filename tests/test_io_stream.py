@@ -107,3 +107,13 @@ def test_cluster_grid_resumes_from_log(spark, sf_small, tmp_path):
     again = cluster_grid(p, "vec_id", {"d2": ["x1", "x2"]}, space, result_log=log)
     assert first.count() == 2 and again.count() == 2
     assert again.filter(F.col("error").isNotNull()).count() == 0
+
+
+def test_row_index_exact_over_many_partitions(spark, tmp_path):
+    from traitlab.sources.io import with_row_index
+
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 3).alias("v"))
+    out = with_row_index(df).toPandas()
+    assert sorted(out.row_id) == list(range(5000))
+    # input order is kept: v grows with the row number
+    assert (out.sort_values("row_id").v.diff().dropna() > 0).all()

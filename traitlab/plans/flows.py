@@ -32,7 +32,7 @@ def numeric_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``spark.checkpoint.dir``), like the cleaned file of the reference that
     every later step reads: the 55 regex-guarded casts run once, and later
     filters read plain doubles instead of re-deriving them per predicate."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _NUMERIC:
         from traitlab.session import checkpoint_dir
 

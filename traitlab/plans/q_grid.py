@@ -25,7 +25,7 @@ _GRID: dict = {}
 
 
 def grid(spark, sf_dir):
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GRID:
         p = flows.embedding_points(spark, sf_dir, 5)
         _GRID[key] = M.assignment_grid(p, "vec_id", FEATURES, KS, STEPS, SCALED).cache()

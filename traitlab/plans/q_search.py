@@ -24,7 +24,7 @@ _GRID: dict = {}
 def cluster_grid_results(spark, sf_dir):
     """M1 over the embeddings (5 dims), factor analysis off and on (2 factors).
     Computed once per session and sf (each fit is a set of Spark jobs)."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GRID:
         p = flows.embedding_points(spark, sf_dir, 5)
         res = M.cluster_grid(p, "vec_id", {"dims5": X5}, CLUSTER_SPACE, factor_analysis=(False, True), n_factors=2, max_seconds=1800)

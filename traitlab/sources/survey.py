@@ -88,7 +88,7 @@ _LINES: dict[tuple[int, str], DataFrame] = {}
 
 def survey_lines_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materialised survey lines of ``sf_dir``, computed once per session."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LINES:
         _LINES[key] = survey_lines(load_customer(spark, sf_dir))
     return _LINES[key]
