@@ -86,19 +86,35 @@ def confusion_wide(pred: DataFrame, classes: Sequence, y: str = "y", p: str = "p
     return pred.groupBy(y).pivot(p, list(classes)).count().na.fill(0)
 
 
+def _per_class_rows(pred: DataFrame, y: str, p: str) -> list[tuple]:
+    """(cls, support, npred, tp, precision, recall, f1) from the confusion
+    counts: one scan of the predictions, at most classes^2 rows collected."""
+    from traitlab.operators.sample import MAX_GROUPS, collect_bounded
+
+    cm = collect_bounded(confusion(pred, y, p), MAX_GROUPS, "confusion counts")
+    support, npred, tp = {}, {}, {}
+    for r in cm:
+        support[r["y"]] = support.get(r["y"], 0) + r["n"]
+        npred[r["p"]] = npred.get(r["p"], 0) + r["n"]
+        if r["y"] == r["p"]:
+            tp[r["y"]] = tp.get(r["y"], 0) + r["n"]
+    out = []
+    for c in sorted(set(support) | set(npred), key=lambda v: (v is None, str(v))):
+        s_, n_, t_ = support.get(c, 0), npred.get(c, 0), tp.get(c, 0)
+        prec = t_ / n_ if n_ > 0 else 0.0
+        rec = t_ / s_ if s_ > 0 else 0.0
+        f1 = 2.0 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0
+        out.append((c, s_, n_, t_, prec, rec, f1))
+    return out
+
+
 def per_class(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Per class: support, predicted count, true positives, precision, recall, f1.
     Classes are those seen as truth or as prediction."""
-    cm = confusion(pred, y, p)
-    truth = cm.groupBy(F.col("y").alias("cls")).agg(F.sum("n").alias("support"))
-    predicted = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("npred"))
-    tp = cm.filter(F.col("y") == F.col("p")).select(F.col("y").alias("cls"), F.col("n").alias("tp"))
-    t = truth.join(predicted, "cls", "full").join(tp, "cls", "left").na.fill(0, ["support", "npred", "tp"])
-    prec = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(F.lit(0.0))
-    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
-    t = t.withColumns({"precision": prec, "recall": rec})
-    f1 = F.when(F.col("precision") + F.col("recall") > 0, F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))
-    return t.withColumn("f1", f1)
+    rows = _per_class_rows(pred, y, p)
+    cls_type = pred.schema[y].dataType.simpleString()
+    schema = f"cls {cls_type}, support bigint, npred bigint, tp bigint, precision double, recall double, f1 double"
+    return pred.sparkSession.createDataFrame(rows, schema)
 
 
 def weighted_prf(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -113,26 +129,17 @@ def weighted_prf(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 
 def class_report(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """K7: per-class rows plus 'accuracy', 'macro avg' and 'weighted avg'."""
-    pc = per_class(pred, y, p)
-    rows = pc.select(F.col("cls").cast("string").alias("label"), "precision", "recall", "f1", F.col("support").cast("long").alias("support"))
-    tot = F.sum("support")
-    macro = pc.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), tot.cast("long").alias("support"))
-    weighted = pc.agg(
-        F.lit("weighted avg").alias("label"),
-        (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
-        (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"),
-        tot.cast("long").alias("support"),
-    )
-    acc = pc.agg(
-        F.lit("accuracy").alias("label"),
-        F.lit(None).cast("double").alias("precision"),
-        F.lit(None).cast("double").alias("recall"),
-        (F.sum("tp") / tot).alias("f1"),
-        tot.cast("long").alias("support"),
-    )
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    """K7: per-class rows plus 'accuracy', 'macro avg' and 'weighted avg'
+    (one scan of the predictions; the rest is arithmetic on classes^2 counts)."""
+    rows = _per_class_rows(pred, y, p)
+    tot = sum(r[1] for r in rows)
+    out = [(str(c), pr, rc, f1, int(s_)) for c, s_, _n, _t, pr, rc, f1 in rows]
+    if rows and tot:
+        out.append(("accuracy", None, None, sum(r[3] for r in rows) / tot, int(tot)))
+        k = len(rows)
+        out.append(("macro avg", sum(r[4] for r in rows) / k, sum(r[5] for r in rows) / k, sum(r[6] for r in rows) / k, int(tot)))
+        out.append(("weighted avg", sum(r[4] * r[1] for r in rows) / tot, sum(r[5] * r[1] for r in rows) / tot, sum(r[6] * r[1] for r in rows) / tot, int(tot)))
+    return pred.sparkSession.createDataFrame(out, "label string, precision double, recall double, f1 double, support bigint")
 
 
 def prediction_summary(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
