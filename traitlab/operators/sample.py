@@ -76,17 +76,54 @@ def first_n_cut(df: DataFrame, key: str, n: int | Callable[[Column], Column], se
     return need.join(cut3, grp, "left")
 
 
+def _global_cut(df: DataFrame, key: str, n, seed: int) -> dict:
+    """Global cut with three small aggregations collected to the driver:
+    bucket counts (<= 32768 rows), exact det counts inside the cut bucket
+    (<= 65536 rows), then the keys sharing the cut det value (collisions)."""
+    base = df.select(F.col(key).alias("_key"), det(key, seed).alias("_det"))
+    h1 = collect_bounded(base.groupBy(F.shiftright("_det", 16).alias("_b")).agg(F.count(F.lit(1)).alias("_c")), 1 << 15, "bucket counts")
+    cnt = sum(int(r["_c"]) for r in h1)
+    if callable(n):
+        need = spark_eval_need(df.sparkSession, n, cnt)
+    else:
+        need = int(n)
+    need = min(need, cnt)
+    out = {"_cnt": cnt, "_need": need, "_dstar": None, "_kstar": None}
+    if need <= 0 or need >= cnt:
+        return out
+    acc = 0
+    for r in sorted(h1, key=lambda r: r["_b"]):
+        if acc + r["_c"] >= need:
+            b_star, r1 = int(r["_b"]), need - acc
+            break
+        acc += r["_c"]
+    h2 = collect_bounded(base.filter(F.shiftright("_det", 16) == F.lit(b_star)).groupBy("_det").agg(F.count(F.lit(1)).alias("_c")), 1 << 16, "det counts")
+    acc = 0
+    for r in sorted(h2, key=lambda r: r["_det"]):
+        if acc + r["_c"] >= r1:
+            d_star, r2 = int(r["_det"]), r1 - acc
+            break
+        acc += r["_c"]
+    ties = base.filter(F.col("_det") == F.lit(d_star)).select("_key").orderBy("_key").limit(r2).collect()
+    out.update({"_dstar": d_star, "_kstar": ties[-1]["_key"]})
+    return out
+
+
+def spark_eval_need(spark, n, cnt: int) -> int:
+    """Evaluate a need expression n(count) (a Column function) for a known count."""
+    return int(spark.range(1).select(n(F.lit(cnt)).cast("long")).first()[0])
+
+
 def first_n(df: DataFrame, key: str, n: int | Callable[[Column], Column], seed: int = 42, by: Sequence[str] | None = None, flag: str | None = None) -> DataFrame:
     """Rows that are among the first ``n`` by (det, key), per group ``by``.
 
     ``n`` is an int or a function of the group size Column.  With ``flag``
     every row is kept and ``flag`` tells whether it is in the first n."""
     by = list(by or [])
-    cuts = collect_bounded(first_n_cut(df, key, n, seed, by), MAX_GROUPS, "first_n cuts")
     spark = df.sparkSession
     d = det(key, seed)
     if not by:
-        c = cuts[0]
+        c = _global_cut(df, key, n, seed)
         if c["_need"] >= c["_cnt"]:
             inside = F.lit(True)
         elif c["_need"] <= 0 or c["_dstar"] is None:
@@ -94,6 +131,7 @@ def first_n(df: DataFrame, key: str, n: int | Callable[[Column], Column], seed:
         else:
             inside = (d < F.lit(c["_dstar"])) | ((d == F.lit(c["_dstar"])) & (F.col(key) <= F.lit(c["_kstar"])))
         return df.withColumn(flag, inside) if flag else df.filter(inside)
+    cuts = collect_bounded(first_n_cut(df, key, n, seed, by), MAX_GROUPS, "first_n cuts")
     schema = df.select(*by).schema
     fields = [f.jsonValue() for f in schema.fields]
     rows = [tuple(r[b] for b in by) + (int(r["_cnt"]), int(r["_need"]), r["_dstar"], r["_kstar"]) for r in cuts]
