@@ -85,6 +85,7 @@ def score_stream(
     prepare=None,
     checkpoint: str | None = None,
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """R2: score files arriving in ``source_dir`` into a Parquet sink.
 
@@ -92,7 +93,10 @@ def score_stream(
     scoring (e.g. cleaning and trait scores).  Stateless, so exactly-once
     comes from the file sink plus the checkpoint."""
     base = checkpoint or f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))  # bounded micro-batches
+    stream = reader.parquet(source_dir)
     if prepare is not None:
         stream = prepare(stream)
     scored = model.transform(stream)
