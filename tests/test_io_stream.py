@@ -31,7 +31,7 @@ def test_sinks_round_trip(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "csv")).orderBy("id").collect()
     assert back[0]["country"] == "NA"
     js = [json.loads(x) for f in (tmp_path / "json").glob("part-*") for x in f.read_text().splitlines()]
-    assert len(js) == 2
+    assert len(js) == 2 and sorted((r.get("v") is None) for r in js) == [False, True]
 
 
 def test_append_log_and_finished_configs(spark, tmp_path):

@@ -90,12 +90,14 @@ def answer_histogram(df: DataFrame, items: Sequence[str], label: str = "cluster"
     counts = long.groupBy("item", F.col("answer").cast("int").alias("answer"), label).agg(F.count(F.lit(1)).alias("n"))
     bar = Window.partitionBy("item", "answer")
     stack = bar.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumns(
+    out = counts.withColumns(
         {
             "offset": F.coalesce(F.sum("n").over(stack), F.lit(0)).cast("long"),
             "total": F.sum("n").over(bar).cast("long"),
         }
     )
+    # the y-axis maximum: one window over the aggregated bars (items x answers x clusters rows)
+    return out.withColumn("max_total", F.max("total").over(Window.partitionBy()))
 
 
 def correlations(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:

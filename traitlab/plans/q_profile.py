@@ -81,8 +81,8 @@ def _a06_sql():
         f"long AS (SELECT cluster, item, answer FROM (UNPIVOT (SELECT lab.cluster, {items} FROM clean c JOIN lab ON c.row_id = lab.row_id) ON {items} INTO NAME item VALUE answer))",
         "cnt AS (SELECT item, CAST(answer AS INTEGER) AS answer, cluster, count(*) AS n FROM long WHERE answer IN (1, 2, 3, 4, 5) GROUP BY item, CAST(answer AS INTEGER), cluster)",
     ) + (
-        "SELECT item, answer, cluster, n, CAST(coalesce(sum(n) OVER (PARTITION BY item, answer ORDER BY cluster ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset, "
-        "CAST(sum(n) OVER (PARTITION BY item, answer) AS BIGINT) AS total FROM cnt"
+        "SELECT *, max(total) OVER () AS max_total FROM (SELECT item, answer, cluster, n, CAST(coalesce(sum(n) OVER (PARTITION BY item, answer ORDER BY cluster ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset, "
+        "CAST(sum(n) OVER (PARTITION BY item, answer) AS BIGINT) AS total FROM cnt) t"
     )
 
 

@@ -106,6 +106,9 @@ def read_grid_results(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Parquet by default; CSV with header; JSON lines."""
+    if fmt == "json":
+        # JSON has no NaN: write it as null
+        df = df.select(*[F.nanvl(F.col(f"`{f.name}`"), F.lit(None)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema.fields])
     w = df.write.mode(mode)
     if fmt == "csv":
         w.option("header", True).csv(path)
