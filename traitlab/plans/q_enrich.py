@@ -160,9 +160,17 @@ def e02_attach_question(spark, sf_dir):
     return attach_question(long, scoring_dim(spark)).select("row_id", "item", "answer", "question")
 
 
-@register("p08_decorate")
+def _p08_sql():
+    from traitlab.sources.dims import ITEMS, scoring_rows
+
+    mapping = {i: q for i, _p, _j, _r, q in scoring_rows()}
+    cols = ", ".join(f'{c} AS "{c}: {mapping[c]}"' for c in ITEMS)
+    return O.with_clean() + f"SELECT {cols}, {', '.join(SCORES)} FROM clean"
+
+
+@register("p08_decorate", _p08_sql)
 def p08_decorate(spark, sf_dir):
-    """Rows-only: the first 55 headers become 'id: question' where mapped."""
+    """The first 55 headers become 'id: question' where mapped (scores keep their names)."""
     from traitlab.operators.clean import decorate
     from traitlab.sources.dims import ITEMS, scoring_rows
 
