@@ -231,3 +231,30 @@ def test_eps_pairs_high_dim_grid_on_three(spark):
     got = {(r.i, r.j) for r in eps_pairs(df, "k", list("abcde"), 0.35).collect()}
     d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
     assert got == {(i, j) for i in range(120) for j in range(120) if d2[i, j] <= 0.35**2}
+
+
+def test_best_split_continuous_brute_force(spark):
+    from traitlab.operators.classify.models import best_split
+
+    rng = np.random.default_rng(13)
+    n = 400
+    pdf = pd.DataFrame({"f1": rng.normal(0, 1, n).round(3), "f2": rng.random(n).round(2), "y": rng.choice(["a", "b", "c"], n)})
+    pdf.loc[pdf.f2 > 0.7, "y"] = "a"
+    got = best_split(spark.createDataFrame(pdf), ["f1", "f2"], "y", buckets=8).first()
+
+    def gini(lab):
+        if len(lab) == 0:
+            return 0.0
+        p = lab.value_counts(normalize=True)
+        return 1.0 - float((p**2).sum())
+
+    best = None
+    for f in ["f1", "f2"]:
+        for t in sorted(pdf[f].unique()):
+            left, right = pdf[pdf[f] <= t].y, pdf[pdf[f] > t].y
+            if len(right) == 0:
+                continue
+            g = (len(left) * gini(left) + len(right) * gini(right)) / n
+            cand = (round(g, 12), f, t)
+            best = cand if best is None or cand < best else best
+    assert (got.feature, got.threshold) == (best[1], best[2]) and got.gini == pytest.approx(best[0], abs=1e-9)
