@@ -311,3 +311,41 @@ def l06_forest_all_features(spark, sf_dir):
     """Rows-only: random forest over all features (no feature subsampling),
     Gini impurity, depth limit, majority vote."""
     return _ml_pred(spark, sf_dir, L.fit_forest, {"n_estimators": 10, "max_depth": 6, "max_features": None})
+
+
+SVM_STEPS, SVM_LR, SVM_C = 3, 0.01, 1.0
+
+
+def _l04k_sql():
+    ctes = [f"pts AS ({emb_sql(2)})", "tr AS (SELECT x1, x2, CAST(label % 2 AS INTEGER) AS y FROM pts)",
+            "w0 AS (SELECT 0.0E0 AS w00, 0.0E0 AS w01, 0.0E0 AS w10, 0.0E0 AS w11, 0.0E0 AS w20, 0.0E0 AS w21)"]
+    for t in range(SVM_STEPS):
+        ctes.append(
+            f"z{t} AS (SELECT tr.*, CASE WHEN y = 0 THEN 1.0E0 ELSE -1.0E0 END AS t0, CASE WHEN y = 1 THEN 1.0E0 ELSE -1.0E0 END AS t1, "
+            f"w00 + w10 * x1 + w20 * x2 AS s0, w01 + w11 * x1 + w21 * x2 AS s1 FROM tr JOIN w{t} ON TRUE)"
+        )
+        ctes.append(f"a{t} AS (SELECT *, CAST(t0 * s0 < 1 AS DOUBLE) AS a0, CAST(t1 * s1 < 1 AS DOUBLE) AS a1 FROM z{t})")
+        ctes.append(
+            f"g{t} AS (SELECT avg(-a0 * t0) AS g00, avg(-a1 * t1) AS g01, avg(-a0 * t0 * x1) AS g10, avg(-a1 * t1 * x1) AS g11, "
+            f"avg(-a0 * t0 * x2) AS g20, avg(-a1 * t1 * x2) AS g21 FROM a{t})"
+        )
+        ups = ", ".join(
+            (f"w{i}{k} - {SVM_LR} * g{i}{k} AS w{i}{k}" if i == 0 else f"w{i}{k} - {SVM_LR} * (g{i}{k} + 2.0 * w{i}{k} / {SVM_C}) AS w{i}{k}")
+            for i in range(3)
+            for k in range(2)
+        )
+        ctes.append(f"w{t + 1} AS (SELECT {ups} FROM w{t} JOIN g{t} ON TRUE)")
+    terms = ["intercept", "x1", "x2"]
+    sel = " UNION ALL ".join(f"SELECT '{terms[i]}' AS term, {k} AS cls, round(w{i}{k}, 9) AS weight FROM w{SVM_STEPS}" for i in range(3) for k in range(2))
+    return "WITH " + ", ".join(ctes) + " " + sel
+
+
+@register("l04_svm_gd_parity", _l04k_sql)
+def l04_svm_gd_parity(spark, sf_dir):
+    """One-vs-rest linear SVM by batch sub-gradient (lr 0.01, reg 2w/C on the
+    weights), two features, two classes (label parity), three steps (sql-k)."""
+    p = flows.embedding_points(spark, sf_dir, 2).withColumn("y", (F.col("label") % 2).cast("int"))
+    m = L.fit_svm_gd(p, ["x1", "x2"], "y", lr=SVM_LR, epochs=SVM_STEPS, c_reg=SVM_C, classes=[0, 1])
+    terms = ["intercept", "x1", "x2"]
+    rows = [(terms[i], k, float(m.w[i, k])) for i in range(3) for k in range(2)]
+    return round_doubles(spark.createDataFrame(rows, "term string, cls int, weight double"), 9)
