@@ -28,18 +28,18 @@ _NUMERIC: dict = {}
 def numeric_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 -> P1: every column but ``country`` as double.
 
-    The coerced table is written once per session (reliable checkpoint in
-    ``spark.checkpoint.dir``), like the cleaned file of the reference that
+    The coerced table is written once per session as Parquet in
+    ``spark.checkpoint.dir``, like the cleaned file of the reference that
     every later step reads: the 55 regex-guarded casts run once, and later
-    filters read plain doubles instead of re-deriving them per predicate."""
+    plans get column pruning and pushed filters at the scan."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _NUMERIC:
         from traitlab.session import checkpoint_dir
 
         checkpoint_dir(spark)
-        from traitlab.session import reliable_checkpoint
+        from traitlab.session import scratch_table
 
-        _NUMERIC[key] = reliable_checkpoint(to_number(parsed_survey(spark, sf_dir), except_cols=["country"], keep=["row_id"]))
+        _NUMERIC[key] = scratch_table(to_number(parsed_survey(spark, sf_dir), except_cols=["country"], keep=["row_id"]), "survey-numeric")
     return _NUMERIC[key]
 
 

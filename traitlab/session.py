@@ -79,3 +79,17 @@ def reliable_checkpoint(df):
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def scratch_table(df, name: str):
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
+
+    Unlike a checkpointed RDD, later plans over the written table get column
+    pruning and filter pushdown at the scan; the files live in the shared
+    folder, so a lost executor costs nothing."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
