@@ -28,9 +28,9 @@ __all__ = [
     "text_label",
 ]
 
-# The text a number may have (pandas ``to_numeric`` accepts
-# these shapes; we also reject 'nan' and 'inf').
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# The text a number may have, surrounding blanks allowed
+# (pandas ``to_numeric`` accepts these shapes; we also reject 'nan' and 'inf').
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 # The deterministic ordering key shared with the SQL oracle.
 DET_MULT = 1103515245
@@ -47,7 +47,8 @@ def det(key: str | Column, seed: int = 42) -> Column:
 def guarded_number(c: str | Column) -> Column:
     """Text -> double; anything that is not a plain decimal number -> null."""
     col = F.col(c) if isinstance(c, str) else c
-    t = F.trim(col.cast("string"))
+    t = col.cast("string")
+    # one regex test, one cast (the cast ignores the surrounding blanks)
     return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
 
 

@@ -19,7 +19,7 @@ def det_sql(key: str = "row_id", seed: int = 42) -> str:
 
 
 def guard_sql(c: str) -> str:
-    return f"CASE WHEN regexp_matches(trim(CAST({c} AS VARCHAR)), '{NUMBER_PATTERN}') THEN TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE) END"
+    return f"CASE WHEN regexp_matches(CAST({c} AS VARCHAR), '{NUMBER_PATTERN}') THEN TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE) END"
 
 
 def rnd(expr: str, digits: int = 6) -> str:
