@@ -157,3 +157,24 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     return map_batches(picked, work, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, rejected_by string")
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000) -> DataFrame:
+    """The rows of ``docs`` that pass the base rule and the cascade, with all
+    columns, filtered where they are read (no shuffle, no join)."""
+    order = cascade_order(measure(docs, text_col, rules, sample_rows))
+    ordered = sorted(rules, key=lambda r: order.index(r.name))
+    at = docs.columns.index(text_col)
+
+    def good(text: str | None) -> bool:
+        doc = Doc(text or "")
+        b = base_figures(doc)
+        return not b["base_failed"] and not any(r.rejects(doc, b) for r in ordered)
+
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array([good(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
