@@ -67,23 +67,29 @@ def distinct_pairs(df: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def parts_for(rows: int, per_part: int = 100_000) -> int:
+    """Partitions for so many narrow rows."""
+    return max(1, -(-rows // per_part))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges(a, b)``; root is the smallest id
     reachable.  Alternates large-star and small-star steps until no edge
-    changes; each round's edges and minima are written tables.  A hub's edges
-    meet their minimum by broadcast if the minima are few, else in a join
-    whose hot keys AQE splits."""
+    changes; each round's edges and minima are written tables, in partitions
+    that follow the number of edges.  A hub's edges meet their minimum by
+    broadcast if the minima are few, else in a join whose hot keys AQE
+    splits."""
     links = written(distinct_pairs(edges).select(F.col("b").alias("hi"), F.col("a").alias("lo")), "edges")
-    state = None
+    state, parts = None, None
     while True:
         now = links.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == state or not now[0]:
-            return links.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(links.select(F.col("lo").alias("node"), F.col("lo").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
-        state = now
+            both = links.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(links.select(F.col("lo").alias("node"), F.col("lo").alias("root")))
+            return both.groupBy("node").agg(F.min("root").alias("root"))
+        state, parts = now, parts_for(now[0])
         both = links.select(F.col("hi").alias("x"), F.col("lo").alias("y")).unionByName(links.select(F.col("lo").alias("x"), F.col("hi").alias("y")))
-        least = written(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m")), "least")
+        least = written(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m")).coalesce(parts), "least")
         large = both.where("y > x").join(small(least), "x").select(F.col("y").alias("hi"), F.col("m").alias("lo"))
-        large = written(large.distinct(), "large")
-        down = written(large.groupBy("hi").agg(F.min("lo").alias("m")), "down")
+        down = written(large.groupBy("hi").agg(F.min("lo").alias("m")).coalesce(parts), "down")
         moved = large.join(small(down), "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        links = written(moved.unionByName(down.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        links = written(moved.unionByName(down.select("hi", F.col("m").alias("lo"))).distinct().coalesce(parts), "edges")

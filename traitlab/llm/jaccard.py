@@ -15,7 +15,10 @@ Equal sets are collapsed to one node first.  Inside a signature's group not all
 pairs are formed: every member is compared with one leader, components are
 merged, and later rounds take other leaders for the groups that still span
 several components.  What is still open then is compared pair by pair, so the
-components are exact.  Each comparison counts common elements exactly.
+components are exact.  A pair's sets are met only if their parity sketches (one
+bit per hashed place, set where an odd number of elements falls) allow a link:
+the bits that differ never exceed the elements that differ.  Then the common
+elements are counted exactly.
 
 Edge cases: a null or empty text, or one without words, has the empty set and
 links with nothing; with fewer words than a shingle the whole sequence is the
@@ -27,13 +30,15 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.llm.common import connected_components, distinct_pairs, lists, map_batches, small, written
+from traitlab.llm.common import BROADCAST_ROWS, connected_components, distinct_pairs, lists, map_batches, small, written
 from traitlab.llm.text import mix, shingle_set
 
 _U = np.uint64
+#: longs in a parity sketch (a power of two)
+SKETCH = 16
 
 
 class Bands:
@@ -73,6 +78,12 @@ def signatures(shingles: np.ndarray, num: int, den: int, n2: int, k2: int, bands
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def set_name(shingles: np.ndarray) -> int:
+    """64-bit fingerprint of a set, as a signed number."""
+    with np.errstate(over="ignore"):
+        return int(mix(np.array([mix(shingles).sum(dtype=np.uint64) + _U(len(shingles))])).view(np.int64)[0])
+
+
 def _sets(docs: DataFrame, shingle: int, num: int, den: int, n2: int, k2: int) -> DataFrame:
     """(id, n, node, check, sigs) per row.  ``sigs`` is filled where a task
     first meets a set, so copies add little to the signature shuffle."""
@@ -89,11 +100,9 @@ def _sets(docs: DataFrame, shingle: int, num: int, den: int, n2: int, k2: int) -
                     check.append(None)
                     sigs.append(s)
                     continue
-                with np.errstate(over="ignore"):
-                    a = int(mix(np.array([mix(s).sum(dtype=np.uint64) + _U(len(s))]))[0])
-                    b = int(mix(np.array([mix(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)]))[0])
-                node.append(a - 2**64 if a >= 2**63 else a)
-                check.append(b - 2**64 if b >= 2**63 else b)
+                a = set_name(s)
+                node.append(a)
+                check.append(set_name(s ^ _U(0xA5A5A5A5A5A5A5A5)))
                 new = key is not None and a not in seen
                 if new:
                     if len(seen) > 1_000_000:
@@ -106,18 +115,38 @@ def _sets(docs: DataFrame, shingle: int, num: int, den: int, n2: int, k2: int) -
 
 
 def _members(sets: DataFrame) -> DataFrame:
-    """(sig, node, n) of the signatures that two or more nodes share.  The one
+    """(sig, node) of the signatures that two or more nodes share.  The one
     shuffle by signature serves both the count and the members."""
-    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "node", "n").repartition("sig")
+    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "node").repartition("sig")
     shared = rows.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("sig")
     return rows.join(shared, "sig", "left_semi").dropDuplicates(["sig", "node"])
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """SKETCH longs; bit j is the parity of the elements hashed to place j."""
+    with np.errstate(over="ignore"):
+        place = mix(shingles ^ _U(0x94D049BB133111EB)) >> _U(64 - 6 - SKETCH.bit_length() + 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def _differ(x: str, y: str) -> Column:
+    """Bits in which the sketches of sides ``x`` and ``y`` differ."""
+    return sum((F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(SKETCH)), F.lit(0))
+
+
+def _may_link(num: int, den: int) -> Column:
+    """Sizes and sketches of sides x and y allow similarity num/den."""
+    sizes = (F.least("xn", "yn") * den) >= F.greatest("xn", "yn") * num
+    return sizes & (_differ("x", "y") * (den + num) <= (F.col("xn") + F.col("yn")) * (den - num))
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame, num: int, den: int) -> DataFrame:
-    """Of ``pairs(a, b)`` those whose sets reach num/den."""
-    left = arrays.select(F.col("node").alias("a"), F.col("s").alias("sa"))
-    right = arrays.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
+    """Of ``pairs(a, b)``, a written table, those whose sets reach num/den."""
+    few = small(pairs)
+    left = arrays.select(F.col("node").alias("a"), F.col("s").alias("sa")).join(few, "a")
+    right = arrays.select(F.col("node").alias("b"), F.col("s").alias("sb")).join(small(pairs.select("b").distinct(), 10 * BROADCAST_ROWS) if few is not pairs else pairs.select("b").distinct(), "b", "left_semi")
+    both = left.join(right, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
     return both.where(F.col("i") * den >= (F.col("na") + F.col("nb") - F.col("i")) * num).select("a", "b")
 
 
@@ -144,39 +173,48 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int, num: int, den: int, leader_rounds: int) -> DataFrame | None:
     """Links between nodes that connect every component (null if none)."""
-    if members.isEmpty():
+    rows = members.count()
+    if not rows:
         return None
     nodes = written(members.select("node").distinct().join(reps, "node").select("node", F.col("rep").alias("id")), "nodes")
 
     def arrays(batches):
         for cols in batches:
-            yield {"node": cols["node"], "s": lists([shingle_set(t, shingle) for t in cols["t"]])}
+            named = [(x, shingle_set(t, shingle)) for x, t in zip(cols["node"], cols["t"])]
+            named = [(x, s) for x, s in named if set_name(s) == x]  # rows may share an id
+            sets = [s for _, s in named]
+            yield {"node": [x for x, _ in named], "n": [len(s) for s in sets], "s": lists(sets), "sketch": lists([parity_sketch(s) for s in sets])}
 
     texts = picked.join(small(nodes), "id").select("node", "t")
-    whole = written(map_batches(texts, arrays, "node long, s array<long>").dropDuplicates(["node"]), "arrays")
-    links, comp, done, before = None, members.select("node").distinct().select("node", F.col("node").alias("root")), None, None
+    whole = map_batches(texts, arrays, "node long, n long, s array<long>, sketch array<long>")
+    whole = written(whole.select("node", "n", "s", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)]).dropDuplicates(["node"]), "arrays")
+    info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
+    links, before = None, None
     for turn in range(leader_rounds + 1):
         if turn:
             comp = written(connected_components(links), "comp")
-        at = members.join(small(comp) if turn else comp, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("root"))
-        spread = at.groupBy("sig", "root").agg(F.count("*").alias("k")).groupBy("sig").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count("*").alias("roots"))
-        spread = written(spread.where("roots > 1"), "open")
-        rows, cross = spread.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("own")) / 2)).first()
-        if not rows:
-            return links
-        at = at.join(small(spread.select("sig")), "sig", "left_semi")
-        last = turn == leader_rounds or (turn > 0 and (cross <= 4 * rows or cross > 0.9 * before))
+            at = members.join(small(comp), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+            spread = at.groupBy("sig", "root").agg(F.count("*").alias("k")).groupBy("sig").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count("*").alias("roots"))
+            spread = written(spread.where("roots > 1"), "open")
+            rows, cross = spread.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("own")) / 2)).first()
+            if not rows:
+                return links
+            members = written(members.join(small(spread.select("sig")), "sig", "left_semi"), "open-members")
+            at = members.join(small(comp), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+        else:
+            at, cross = members.withColumn("root", F.col("node")), float("inf")
+        last = turn == leader_rounds or cross <= 20 * rows or (turn > 1 and cross > 0.8 * before)
         before = cross
         if last:
-            x, y = at.select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")), at.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-            pairs = x.join(y, "sig").where("a < b and ra != rb").where((F.least("na", "nb") * den) >= F.greatest("na", "nb") * num).select("a", "b").distinct()
+            x = at.select("sig", F.col("node").alias("x"), F.col("root").alias("xr")).join(small(info("x")), "x")
+            y = at.select("sig", F.col("node").alias("y"), F.col("root").alias("yr")).join(small(info("y")), "y")
+            pairs = x.join(y, "sig").where("x < y and xr != yr").where(_may_link(num, den)).select("x", "y").distinct()
         else:
-            pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)) if not turn else F.xxhash64("node", "sig", F.lit(turn)), F.col("node"), F.col("root"), F.col("n")))
-            lead = written(at.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("b"), F.col("l.root").alias("rb"), F.col("l.n").alias("nb")), "lead")
-            met = at.join(small(lead), "sig").where("root != rb").where((F.least("n", "nb") * den) >= F.greatest("n", "nb") * num)
-            pairs = distinct_pairs(met.select(F.col("node").alias("a"), "b"))
-        pairs = written(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
+            pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)) if not turn else F.xxhash64("node", "sig", F.lit(turn)), F.col("node"), F.col("root")))
+            lead = written(at.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("lead"), F.col("l.root").alias("lr")), "lead")
+            met = written(distinct_pairs(at.join(small(lead), "sig").where("root != lr").select("node", "lead"), "node", "lead"), "met")
+            pairs = met.select(F.col("a").alias("x"), F.col("b").alias("y")).join(small(info("x")), "x").join(small(info("y")), "y").where(_may_link(num, den)).select("x", "y")
+        pairs = written(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), "pairs")
         new = written(_verified(pairs, whole, num, den), "links")
         links = new if links is None else links.unionByName(new)
         if last:
