@@ -184,7 +184,7 @@ def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             yield {"id": ids, "host": hosts, "path": paths, "places": lists(places, pa.int32()) if places else [], "hashes": lists(hashes) if hashes else []}
 
     picked = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    outlines = map_batches(picked, outline, "id long, host string, path string, places array<int>, hashes array<long>")
+    outlines = map_batches(picked, outline, "id long, host string, path string, places array<int>, hashes array<long>").where("size(places) > 0")
     order = ["host", "path", "id"]
     ranged = written(outlines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "outlines")
     # the first and last page of each partition, given to the one before or after

@@ -56,6 +56,16 @@ def term_rates(text: str | None) -> np.ndarray:
     return out
 
 
+def leading_directions(x: np.ndarray, dims: int, extra: int = 16, turns: int = 4) -> np.ndarray:
+    """The right singular vectors of the ``dims`` largest singular values, by
+    subspace iteration from a fixed random start."""
+    dims = min(dims, *x.shape)
+    q = np.random.default_rng(3).standard_normal((x.shape[1], min(dims + extra, x.shape[1]))).astype(np.float32)
+    for _ in range(turns):
+        q, _ = np.linalg.qr(x.T @ (x @ q))
+    return q @ np.linalg.svd(x @ q, full_matrices=False)[2][:dims].T
+
+
 class Voter:
     """Projection, labelled vectors and votes."""
 
@@ -63,8 +73,7 @@ class Voter:
         n = len(terms)
         self.idf = (np.log((1 + n) / (1 + (terms > 0).sum(axis=0))) + 1).astype(np.float32)
         x = self._scaled(terms)
-        values, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-        self.basis = vectors[:, np.argsort(values)[::-1][:dims]].astype(np.float32)
+        self.basis = leading_directions(x, dims)
         self.known, self.y, self.weight, self.k = self._unit(x @ self.basis), y.astype(np.float32), weight.astype(np.float32), min(k, n)
         self.prior = float((y * weight).sum() / weight.sum())
 
