@@ -27,12 +27,13 @@ ln AS (SELECT rid, list_filter(string_split(text, chr(10)), lambda l: regexp_mat
 f AS (SELECT d.doc_id, d.text, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(top.c, 0) AS top,
+        len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS stutter,
         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS up, length(regexp_replace(text, '[^a-z]', '', 'g')) AS low, length(regexp_replace(text, '[^!]', '', 'g')) AS ex
       FROM d JOIN w USING (rid) JOIN ln USING (rid) LEFT JOIN cov USING (rid) LEFT JOIN top USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 2 * n_words OR word_chars > 25 * n_words
-       OR 10 * up > 6 * (up + low) OR 2 * ex > n_words OR 4 * top > n_words) AS kept
+  NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 25 * n_words
+       OR 10 * up > 6 * (up + low) OR 2 * ex > n_words OR 4 * top > n_words OR 10 * stutter > 3 * n_words) AS kept
 FROM b
 """
 

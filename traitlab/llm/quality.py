@@ -1,7 +1,8 @@
 """Quality classifier by nearest-neighbour voting (operator 3).
 
 A text's terms are its pairs of neighbouring characters (after folding bytes
-into classes) and the share of words that repeat the word before them.  On a
+into classes), the share of words that repeat the word before them, and the
+share of words in eight-word windows that recur in the text.  On a
 bounded labelled sample the weighted term matrix is factored (latent semantic
 analysis), and the sample's unit vectors are broadcast with their labels.
 Every document is projected the same way; its cosines with all labelled
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from traitlab.llm.common import map_batches
 from traitlab.llm.labelled import crc_mod, training_sample
-from traitlab.llm.text import word_hashes
+from traitlab.llm.text import covered, window_hashes, word_hashes
 
 
 def _classes() -> np.ndarray:
@@ -40,19 +41,28 @@ def _classes() -> np.ndarray:
 
 
 _CLASS, N_CLASSES = _classes(), 46
-N_TERMS = N_CLASSES * N_CLASSES + 1
+N_TERMS = N_CLASSES * N_CLASSES + 2
+#: weight of a share of repeats beside the logarithms of the other terms
+REPEATS, WINDOW = 40.0, 8
+#: words below which a repeat is weighed as in a text of so many
+FEW = 100
 
 
 def term_rates(text: str | None) -> np.ndarray:
-    """log(1 + occurrences per 1000 characters) of every term."""
+    """log(1 + occurrences per 1000 bytes) of every pair, and the weighed
+    shares of repeats."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     out = np.zeros(N_TERMS, dtype=np.float32)
     if len(raw) > 1:
         c = _CLASS[np.frombuffer(raw, dtype=np.uint8)]
-        out[:-1] = np.bincount(c[:-1] * N_CLASSES + c[1:], minlength=N_TERMS - 1)
+        out[:-2] = np.log1p(np.bincount(c[:-1] * N_CLASSES + c[1:], minlength=N_TERMS - 2) * (1000 / len(raw)))
         words = word_hashes(raw)[0]
-        out[-1] = (words[1:] == words[:-1]).sum() * 5
-        np.log1p(out * (1000 / len(raw)), out=out)
+        if len(words) > 1:
+            out[-2] = REPEATS * (words[1:] == words[:-1]).sum() / max(len(words), FEW)
+        windows = window_hashes(words, WINDOW)
+        if len(windows) > 1:
+            _, where, count = np.unique(windows, return_inverse=True, return_counts=True)
+            out[-1] = REPEATS * covered(np.flatnonzero(count[where] > 1), WINDOW, len(words)).sum() / max(len(words), FEW)
     return out
 
 

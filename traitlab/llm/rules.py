@@ -87,12 +87,13 @@ def _one_word(doc: Doc, base: dict) -> bool:
 
 RULES = (
     Rule("symbols", lambda d, b: 10 * b["n_symbols"] > 3 * b["n_words"]),
-    Rule("duplicate_lines", lambda d, b: 10 * b["n_dup_lines"] > 3 * b["n_lines"]),
+    Rule("duplicate_lines", lambda d, b: 2 * b["n_dup_lines"] > b["n_lines"]),
     Rule("short_words", lambda d, b: b["word_chars"] < 2 * b["n_words"]),
     Rule("long_words", lambda d, b: b["word_chars"] > 25 * b["n_words"]),
     Rule("shouting", _shouting),
     Rule("exclamations", lambda d, b: 2 * int((d.raw == 33).sum()) > b["n_words"]),
     Rule("one_word", _one_word),
+    Rule("stutter", lambda d, b: 10 * int((d.words[1:] == d.words[:-1]).sum()) > 3 * b["n_words"]),
 )
 
 
