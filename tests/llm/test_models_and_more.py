@@ -328,9 +328,9 @@ def test_automaton_equals_edit_distance():
 
 
 def test_context_tells_quotation_from_abuse():
-    scan = toxicity.Scanner(toxicity.LexiconAutomaton(["scoundrel"], []))
-    abuse = scan.hits("you are a scoundrel and you know it")[0][2]
-    quote = scan.hits('he wrote that "the scoundrel of the tale" was a title')[0][2]
+    scan = toxicity.Scanner(toxicity.Lexicon({"scoundrel": 5.0}, {}, frozenset(["scoundrel"])))
+    abuse = scan.hits("you are a scoundrel and you know it")[0][3]
+    quote = scan.hits('he wrote that "the scoundrel of the tale" was a title')[0][3]
     assert abuse > 0.9 and quote < 0.5
 
 

@@ -37,7 +37,7 @@ from traitlab.llm.text import mix, window_hashes, word_hashes
 _U = np.uint64
 _ROWS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 SLICE_BITS = 22
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 
 def _sliding(x: np.ndarray, size: int, op) -> np.ndarray:
@@ -147,21 +147,30 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def windows(batches):
         maps = [np.frombuffer(m, dtype=np.uint8) for m in shared.value]
+
+        def firsts(hashes, ids, starts):
+            h, d, p = np.concatenate(hashes), np.concatenate(ids), np.concatenate(starts)
+            order = np.lexsort((p, d, h))  # the first of each hash among these
+            keep = order[np.flatnonzero(np.diff(h[order], prepend=h[order][:1] ^ _U(1)))]
+            keep.sort()
+            return {"h": _long(h[keep]), "d": _long(d[keep]), "p": _int(p[keep])}
+
         for cols in batches:
-            hashes, ids, starts = [], [], []
+            held: tuple[list, list, list] = ([], [], [])
+            n = 0
             for key, text in zip(cols["id"], cols["t"]):
                 words = word_hashes((text or "").encode("utf-8", "surrogatepass"))[0]
                 at = _candidates(words, maps, size, gram, bits)
                 if len(at):
-                    hashes.append(window_hashes(words, size)[at])
-                    ids.append(np.full(len(at), key, dtype=np.int64))
-                    starts.append(at)
-            if hashes:
-                h, d, p = np.concatenate(hashes), np.concatenate(ids), np.concatenate(starts)
-                order = np.lexsort((p, d, h))  # the first of each hash in this batch
-                keep = order[np.flatnonzero(np.diff(h[order], prepend=h[order][:1] ^ _U(1)))]
-                keep.sort()
-                yield {"h": _long(h[keep]), "d": _long(d[keep]), "p": _int(p[keep])}
+                    held[0].append(window_hashes(words, size)[at])
+                    held[1].append(np.full(len(at), key, dtype=np.int64))
+                    held[2].append(at)
+                    n += len(at)
+                if n > FLUSH // 4:
+                    yield firsts(*held)
+                    held, n = ([], [], []), 0
+            if n:
+                yield firsts(*held)
 
     found = map_batches(picked.where("id is not null"), windows, "h long, d long, p int")
     first = found.groupBy("h").agg(F.min(F.struct("d", "p")).alias("f"))

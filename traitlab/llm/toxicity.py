@@ -1,15 +1,16 @@
 """Toxicity by Levenshtein automata over a learned lexicon (operator 10).
 
 From a bounded labelled sample come a lexicon of words, and of word stems,
-that stand in toxic documents and hardly elsewhere.  The lexicon is a trie;
-the Levenshtein automata of its entries are intersected with it on the fly, as
-one deterministic automaton whose states are kept, so that a word is read once
-and either is an entry, begins with a stem, or is a misspelling within the
-entry's edit bound.  Misspellings that clean training documents use are
-ordinary words and left out.  Each hit is weighed by a window of words around
+that stand in toxic documents and seldom elsewhere, each weighed by its log
+odds.  The lexicon is a trie; the Levenshtein automata of its strong words are
+intersected with it on the fly, as one deterministic automaton whose states are
+kept, so that a word is read once and either is an entry, begins with a stem,
+or is a misspelling within the entry's edit bound.  Misspellings that clean
+training documents use are ordinary words and left out.  Each hit is weighed by a window of words around
 it: quotation marks about it and words of reporting speak for quotation, words
 of address for abuse.  A logistic model of the weighed hits, fitted on the
-other half of the sample, gives the score.
+other half of the sample than its lexicon, gives the score; the final lexicon
+is learned from both halves.
 
 Edge cases: a null or empty text has no hits and gets the score of a text
 without hits; a null id is not held out; without training rows of both labels
@@ -20,6 +21,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -42,12 +45,13 @@ NONE, FUZZY, DIRECT = 0, 1, 2
 class LexiconAutomaton:
     """Deterministic automaton of trie x Levenshtein; states made when met."""
 
-    def __init__(self, words: list[str], stems: list[str], ordinary: frozenset = frozenset(), most_states: int = 50_000):
+    def __init__(self, words: Iterable[str], stems: Iterable[str], ordinary: frozenset = frozenset(), most_states: int = 50_000, strong: frozenset | None = None):
+        """``strong``: the words that take misspellings (all if None)."""
         self.child: list[dict[str, int]] = [{}]
         self.edits, self.whole, self.stem = [0], [-1], [False]
         for entries, stem in ((words, False), (stems, True)):
             for w in sorted(entries):
-                k, at = 0 if stem else self.bound(w), 0
+                k, at = 0 if stem or (strong is not None and w not in strong) else self.bound(w), 0
                 for c in w:
                     if c not in self.child[at]:
                         self.child[at][c] = len(self.child)
@@ -124,34 +128,55 @@ class LexiconAutomaton:
         return NONE if best is None else DIRECT if best == 0 else NONE if word in self.ordinary else FUZZY
 
 
+@dataclass
+class Lexicon:
+    """Words and stems with their weights; the words that take misspellings;
+    near misses that are ordinary words."""
+
+    words: dict[str, float]
+    stems: dict[str, float]
+    strong: frozenset = frozenset()
+    ordinary: frozenset = frozenset()
+
+
 class Scanner:
     """Weighed hits of a text; verdicts on words are kept while there is room."""
 
-    def __init__(self, automaton: LexiconAutomaton, room: int = 300_000):
-        self.automaton, self.room, self.known = automaton, room, {}
-
-    def verdict(self, word: str) -> int:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > self.room:
-                self.known.clear()
-            bare = word.strip(MARKS)
-            got = self.known[word] = self.automaton.read(bare) if len(bare) > 2 else NONE
+    def __init__(self, lexicon: Lexicon, room: int = 300_000):
+        self.lexicon = lexicon
+        self.automaton = LexiconAutomaton(lexicon.words, lexicon.stems, lexicon.ordinary, strong=lexicon.strong)
+        self.room, self.known = room, {}
+
+    def verdict(self, word: str) -> tuple[int, float] | None:
+        """(kind, weight) of a hit."""
+        if word in self.known:
+            return self.known[word]
+        if len(self.known) > self.room:
+            self.known.clear()
+        bare, got = word.strip(MARKS), None
+        if len(bare) > 2 and (kind := self.automaton.read(bare)):
+            weight = max((self.lexicon.stems.get(bare[:n], 0.0) for n in STEM), default=0.0)
+            got = (kind, max(weight, self.lexicon.words.get(bare, 0.0)) if kind == DIRECT else 1.0)
+        self.known[word] = got
         return got
 
-    def hits(self, text: str | None) -> list[tuple[str, int, float]]:
-        """(word, kind, context score from 0, quotation, to 1, abuse)."""
+    def hits(self, text: str | None) -> list[tuple[str, int, float, float]]:
+        """(word, kind, weight, context score from 0, quotation, to 1, abuse)."""
         words = (text or "").lower().split()
-        found = {w for w in set(words) if self.verdict(w)}
-        return [(w.strip(MARKS), self.known.get(w) or self.verdict(w), context(words, i)) for i, w in enumerate(words) if w in found] if found else []
+        found = {w: v for w in set(words) if (v := self.verdict(w))}
+        return [(w.strip(MARKS), *found[w], context(words, i)) for i, w in enumerate(words) if w in found] if found else []
 
     def features(self, text: str | None) -> list[float]:
-        direct = fuzzy = quoted = 0.0
-        for _, kind, score in self.hits(text):
-            direct += score * (kind == DIRECT)
-            fuzzy += score * (kind == FUZZY)
+        top = direct = fuzzy = quoted = 0.0
+        n = len((text or "").split())
+        for _, kind, weight, score in self.hits(text):
+            if kind == DIRECT:
+                direct += weight * score
+                top = max(top, weight * score)
+            else:
+                fuzzy += score
             quoted += 1 - score
-        return [min(direct, 1.0), math.log1p(direct), min(fuzzy, 1.0), math.log1p(fuzzy), math.log1p(quoted)]
+        return [top, math.log1p(direct), math.log1p(100 * direct / max(n, 1)), min(fuzzy, 1.0), math.log1p(fuzzy), math.log1p(quoted), math.log1p(n) / 10]
 
 
 def context(words: list[str], i: int) -> float:
@@ -178,15 +203,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50)
     return w
 
 
-def learn_lexicon(sample: DataFrame, min_share: float, min_docs: int, purity: float, most: int) -> tuple[list[str], list[str]]:
-    """Words and stems of toxic documents in the sample (id, t, y): in at least
+def learn_lexicon(sample: DataFrame, min_share: float, min_docs: int, purity: float, most: int) -> Lexicon:
+    """Words and stems of toxic documents in the sample (t, y): in at least
     ``min_share`` of them and ``min_docs``, and toxic in a share ``purity`` of
-    their documents (both classes weighed alike); stems with four words or
-    more.  Equal texts count once."""
+    their documents (both classes weighed alike, counts taken on the safe side); a stem has at least twice the
+    documents of any listed word it begins.  Strong words are in ten times
+    ``min_share`` of the toxic documents and in no clean one."""
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return [], []
+        return Lexicon({}, {})
 
     def work(batches):
         count: dict[tuple[str, bool], list] = {}
@@ -201,67 +227,71 @@ def learn_lexicon(sample: DataFrame, min_share: float, min_docs: int, purity: fl
 
     least = max(min_docs, math.ceil(min_share * toxic))
     counted = map_batches(sample.select("t", "y"), work, "w string, stem boolean, clean long, toxic long").groupBy("w", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    share = F.col("toxic") / toxic / (F.col("toxic") / toxic + F.col("clean") / clean)
-    rows = counted.where((F.col("toxic") >= least) & (share >= purity)).orderBy(F.desc("toxic"), "w").limit(most).collect()
-    words = [r["w"] for r in rows if not r["stem"]]
-    stems: list[str] = []
-    for s in sorted((r["w"] for r in rows if r["stem"]), key=len):
-        # the shortest stem that is pure; not one whose documents all have one listed word
-        own = next(r["toxic"] for r in rows if r["stem"] and r["w"] == s)
-        listed = max((r["toxic"] for r in rows if not r["stem"] and r["w"].startswith(s)), default=0)
-        if not any(s.startswith(t) for t in stems) and listed < 0.5 * own:
-            stems.append(s)
-    return [w for w in words if not any(w.startswith(s) for s in stems)], stems
-
-
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tuple[int, int] = (5, 0), per_class: int = 6000, min_share: float = 0.02, min_docs: int = 5, purity: float = 0.98, most_entries: int = 2000, id_col: str = "doc_id", text_col: str = "text"):
-    """(words, stems, ordinary, weights, prior) from at most about
-    ``per_class`` labelled rows of either class whose crc32 modulo ``fold[0]``
-    is not ``fold[1]``."""
-    sample, count = training_sample(docs, labels, label_col, crc_mod(F.col("id"), fold[0]) != fold[1], per_class, id_col, text_col)
-    prior = count[1] / max(1, count[0] + count[1]) if count[0] + count[1] else 0.5
-    sample = sample.dropDuplicates(["t", "y"])
-    half = F.pmod(F.xxhash64("t", F.lit(7)), F.lit(2))
-    words, stems = learn_lexicon(sample.where(half == 0), min_share, min_docs, purity, most_entries)
-    spark = docs.sparkSession
-    lexicon = spark.sparkContext.broadcast((words, stems))
+    sure = (F.col("toxic") - F.sqrt("toxic")) / toxic  # less a standard deviation
+    share = sure / (sure + (F.col("clean") + 1) / clean)
+    rows = counted.where((F.col("toxic") >= least) & (share >= purity)).orderBy(F.desc(share * F.col("toxic")), "w", "stem").limit(most).collect()
+    weigh = lambda r: math.log((r["toxic"] + 0.5) / (toxic + 1)) - math.log((r["clean"] + 0.5) / (clean + 1))
+    words = {r["w"]: r for r in rows if not r["stem"]}
+    best: dict[str, int] = {}  # of the listed words that begin so
+    for w, r in words.items():
+        for n in STEM:
+            best[w[:n]] = max(best.get(w[:n], 0), r["toxic"])
+    stems = {r["w"]: weigh(r) for r in rows if r["stem"] and best.get(r["w"], 0) * 2 <= r["toxic"]}
+    strong = frozenset(w for w, r in words.items() if not r["clean"] and r["toxic"] >= 10 * min_share * toxic)
+    return Lexicon({w: weigh(r) for w, r in words.items()}, stems, strong)
+
+
+def with_ordinary(lexicon: Lexicon, clean: DataFrame, most: int) -> Lexicon:
+    """The lexicon, knowing the near misses that clean texts (t) use."""
+    shared = clean.sparkSession.sparkContext.broadcast(lexicon)
 
     def misspelt(batches):
-        scan = Scanner(LexiconAutomaton(*lexicon.value))
+        scan = Scanner(shared.value)
         seen: Counter = Counter()
         for cols in batches:
             for t in cols["t"]:
-                seen.update({w for w in (x.strip(MARKS) for x in set(t.lower().split())) if scan.verdict(w) == FUZZY})
+                seen.update({w for w in (x.strip(MARKS) for x in set(t.lower().split())) if (v := scan.verdict(w)) and v[0] == FUZZY})
         yield {"w": list(seen), "n": list(seen.values())}
 
-    clean = map_batches(sample.where((half == 0) & (F.col("y") == 0)).select("t"), misspelt, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    ordinary = frozenset(r["w"] for r in clean.orderBy(F.desc("n"), "w").limit(most_entries).collect())
-    listed = spark.sparkContext.broadcast(ordinary)
+    rows = map_batches(clean, misspelt, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(most).collect()
+    return Lexicon(lexicon.words, lexicon.stems, lexicon.strong, frozenset(r["w"] for r in rows))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tuple[int, int] = (5, 0), per_class: int = 6000, min_share: float = 0.01, min_docs: int = 3, purity: float = 0.85, most_entries: int = 4000, id_col: str = "doc_id", text_col: str = "text"):
+    """(lexicon, weights, prior) from at most about ``per_class`` labelled rows
+    of either class whose crc32 modulo ``fold[0]`` is not ``fold[1]``; weights
+    is None without rows of both classes."""
+    sample, count = training_sample(docs, labels, label_col, crc_mod(F.col("id"), fold[0]) != fold[1], per_class, id_col, text_col)
+    prior = count[1] / (count[0] + count[1]) if count[0] + count[1] else 0.5
+    sample = sample.select("t", "y").dropDuplicates(["t", "y"])
+    half = F.pmod(F.xxhash64("t", F.lit(7)), F.lit(2))
+    options = (min_share, min_docs, purity, most_entries)
+    first, second = sample.where(half == 0), sample.where(half == 1)
+    lexicon = with_ordinary(learn_lexicon(first, *options), first.where("y = 0").select("t"), most_entries)
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def measure(batches):
-        scan = Scanner(LexiconAutomaton(*lexicon.value, listed.value))
+        scan = Scanner(shared.value)
         for cols in batches:
             yield {"y": cols["y"], "x": [scan.features(t) for t in cols["t"]]}
 
-    rows = map_batches(sample.where(half == 1).select("t", "y"), measure, "y int, x array<double>").collect()
-    y = np.array([r["y"] for r in rows], dtype=float)
-    if len(set(y.tolist())) < 2:
-        return words, stems, ordinary, None, prior
-    rows = sorted((r["y"], *r["x"]) for r in rows)
+    rows = sorted((r["y"], *r["x"]) for r in map_batches(second, measure, "y int, x array<double>").collect())
+    if len({r[0] for r in rows}) < 2:
+        return lexicon, None, prior
     x, y = np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float)
     weights = logistic(x, y)
     # the sample's classes are of other sizes than the labelled rows'
     weights[-1] += math.log(max(prior, 1e-6) / max(1 - prior, 1e-6)) - math.log(y.mean() / (1 - y.mean()))
-    return words, stems, ordinary, weights, prior
+    return with_ordinary(learn_lexicon(sample, *options), sample.where("y = 0").select("t"), most_entries), weights, prior
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tuple[int, int] = (5, 0), id_col: str = "doc_id", text_col: str = "text", **fitting) -> DataFrame:
-    """(doc_id, held_out, score, predicted, n_hits) per row of ``docs``."""
+    """(doc_id, held_out, score, predicted) per row of ``docs``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label_col, fold, id_col=id_col, text_col=text_col, **fitting))
 
     def work(batches):
-        words, stems, ordinary, weights, prior = model.value
-        scan = Scanner(LexiconAutomaton(words, stems, ordinary))
+        lexicon, weights, prior = model.value
+        scan = Scanner(lexicon)
         for cols in batches:
             scores = []
             for t in cols["t"]:
