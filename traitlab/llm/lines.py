@@ -27,35 +27,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.llm.common import small, written
+from traitlab.llm.common import parts_for, small, written
 
-_SPACE = r"[\x20\x09-\x0D]"
-
-
-def _number(text: Column) -> Column:
-    """60 bits of an MD5, as a number that sorts like the hash."""
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+_SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
 def _tokens(line: Column) -> Column:
-    """Words of a line, those with a digit masked."""
-    words = F.filter(F.split(line, _SPACE + "+"), lambda w: w != "")
-    return F.when(line.rlike("[0-9]"), F.transform(words, lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(words)
-
-
-def _path(tokens: Column, depth: int) -> Column:
-    return _number(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
+    """Words of a line, those with a digit masked (none: one empty word)."""
+    bare = F.btrim(line, F.lit(" \t\r\x0b\x0c"))
+    masked = F.when(bare.rlike("[0-9]"), F.regexp_replace(bare, f"{_WORD}*[0-9]{_WORD}*", "<*>")).otherwise(bare)
+    return F.split(masked, _SPACE + "+")
 
 
 def _split(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _leaf(words: Column, depth: int) -> Column:
+    return F.xxhash64(F.size(words), F.slice(words, 1, depth))
+
+
 def _lines(rows: DataFrame, depth: int) -> DataFrame:
-    """(key, text_hash, i, line, tokens, leaf) of every line."""
-    lines = rows.where("t is not null").select("key", "text_hash", F.posexplode(_split(F.col("t"))).alias("i", "line"))
-    lines = lines.withColumn("tokens", _tokens(F.col("line")))
-    return lines.withColumn("leaf", _path(F.col("tokens"), depth))
+    """(key, text_hash, i, leaf, n, template, family) of every line.  All of a
+    document's lines are at hand in its row, so its least leaves need no
+    shuffle."""
+    words = rows.where("t is not null").select("key", "text_hash", F.transform(_split(F.col("t")), _tokens).alias("words"))
+    info = F.transform("words", lambda w: F.struct(_leaf(w, depth).alias("leaf"), F.size(w).alias("n"), F.xxhash64(w).alias("template")))
+    words = words.select("key", "text_hash", info.alias("lines")).withColumn("leaves", F.col("lines.leaf"))
+    words = words.withColumn("l1", F.array_min("leaves"))
+    words = words.withColumn("l2", F.array_min(F.filter("leaves", lambda x: x != F.col("l1"))))
+    flat = words.select("key", "text_hash", "l1", "l2", F.posexplode("lines").alias("i", "x")).select("key", "text_hash", "l1", "l2", "i", "x.*")
+    # a line's family: the least leaf of its document's other lines
+    family = F.coalesce(F.when(F.col("leaf") == F.col("l1"), F.col("l2")).otherwise(F.col("l1")), F.col("text_hash"))
+    return flat.select("key", "text_hash", "i", "leaf", "n", "template", family.alias("family"))
 
 
 def _recurring(uses: DataFrame, name: str, min_docs: int) -> DataFrame:
@@ -71,15 +75,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(rows with ``key`` and ``t``, table (key, places) of dropped lines)."""
     text = F.col(text_col)
     rows = docs.withColumn("key", F.xxhash64(F.col(id_col), text)).withColumn("t", text).withColumn("text_hash", F.xxhash64(text))
-    lines = _lines(rows.select("key", "text_hash", "t"), depth)
-    flat = lines.select("key", "text_hash", "i", "leaf", F.size("tokens").alias("n"), _number(F.concat_ws(" ", "tokens")).alias("template"))
-    # the two least leaves of a document name the family of each of its lines;
-    # partial aggregation meets a document's lines in one task
-    flat = written(flat, "lines")
-    least = flat.groupBy("key").agg(F.array_sort(F.collect_set("leaf")).alias("l")).select("key", F.get("l", F.lit(0)).alias("l1"), F.get("l", F.lit(1)).alias("l2"))
-    family = F.coalesce(F.when(F.col("leaf") == F.col("l1"), F.col("l2")).otherwise(F.col("l1")), F.col("text_hash"))
-    flat = flat.where(F.col("n") >= min_words).join(least, "key").select("key", "text_hash", "i", "leaf", "n", "template", family.alias("family"))
-    flat = written(flat, "families")
+    flat = written(_lines(rows.select("key", "text_hash", "t"), depth).where(F.col("n") >= min_words), "lines")
     exact = _recurring(flat, "template", min_docs)
     general = _general(rows, flat, depth, min_docs, general_words, fixed)
     gone = written(exact.unionByName(general).distinct(), "templates")
@@ -89,20 +85,26 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def _general(rows: DataFrame, flat: DataFrame, depth: int, min_docs: int, general_words: int, fixed: float) -> DataFrame:
     """Masked lines that match a generalised template that recurs."""
-    leaves = flat.where(F.col("n") >= general_words).groupBy("leaf").agg(F.min("template").alias("a"), F.max("template").alias("b"), F.min("text_hash").alias("x"), F.max("text_hash").alias("y"))
-    leaves = written(leaves.where("a != b and x != y").select("leaf"), "leaves")
-    lines = _lines(rows.select("key", "text_hash", "t"), depth).select("leaf", "tokens")
-    kinds = lines.join(small(leaves), "leaf", "left_semi").select("leaf", _number(F.concat_ws(" ", "tokens")).alias("template"), "tokens")
-    kinds = written(kinds.groupBy("leaf", "template").agg(F.first("tokens").alias("tokens")), "kinds")
-    words = kinds.select("leaf", "template", F.size("tokens").alias("n"), F.posexplode("tokens").alias("p", "word"))
+    # only leaves with several templates in more than min_docs texts can hold one
+    kinds = flat.where(F.col("n") >= general_words).groupBy("leaf", "template").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y"))
+    leaves = kinds.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum(F.when(F.col("x") == F.col("y"), 1).otherwise(2)).alias("texts"))
+    leaves = written(leaves.where((F.col("kinds") > 1) & (F.col("texts") > min_docs)).select("leaf"), "leaves")
+    lines = flat.join(small(leaves), "leaf", "left_semi")
+    # one line of each kind brings its words: the first by (key, place)
+    where = written(lines.groupBy("leaf", "template").agg(F.min(F.struct("key", "i")).alias("at")).select("leaf", "template", "at.*"), "kinds")
+    parts = parts_for(where.count(), 20_000)
+    texts = rows.select("key", "t").join(small(where.groupBy("key").agg(F.collect_list(F.struct("leaf", "template", "i")).alias("at"))), "key")
+    words = texts.select(F.explode("at").alias("at"), _split(F.col("t")).alias("lines")).select("at.leaf", "at.template", _tokens(F.get("lines", F.col("at.i"))).alias("tokens"))
+    words = written(words.dropDuplicates(["leaf", "template"]).coalesce(parts), "words").select("leaf", "template", F.size("tokens").alias("n"), F.posexplode("tokens").alias("p", "word"))
     count = words.groupBy("leaf", "n", "p", "word").agg(F.count("*").alias("k"))
     mode = count.groupBy("leaf", "n", "p").agg(F.max(F.struct("k", "word")).alias("m"), F.sum("k").alias("all"))
     kept = mode.where((F.col("m.k") * 2 >= F.col("all")) & (F.col("m.word") != "<*>")).select("leaf", "n", "p", F.col("m.word").alias("word"))
-    tree = written(kept.groupBy("leaf", "n").agg(F.count("*").alias("c")).where(F.col("c") >= F.lit(fixed) * F.col("n")).select("leaf", "c"), "tree")
-    agree = words.join(kept.select("leaf", "p", "word"), ["leaf", "p", "word"]).groupBy("leaf", "template").agg(F.count("*").alias("same"))
-    matching = written(agree.join(small(tree), "leaf").where("same = c").select("leaf", "template"), "matching")
-    uses = flat.join(small(matching), ["leaf", "template"], "left_semi").select(F.col("leaf").alias("g"), "family", "text_hash")
-    again = written(_recurring(uses, "g", min_docs), "general")
+    kept = written(kept.coalesce(parts), "fixed")
+    tree = written(kept.groupBy("leaf", "n").agg(F.count("*").alias("c")).where(F.col("c") >= F.lit(fixed) * F.col("n")).select("leaf", "c").coalesce(parts), "tree")
+    agree = words.join(small(kept.select("leaf", "p", "word")), ["leaf", "p", "word"]).groupBy("leaf", "template").agg(F.count("*").alias("same"))
+    matching = written(agree.join(small(tree), "leaf").where("same = c").select("leaf", "template").coalesce(parts), "matching")
+    uses = lines.join(small(matching), ["leaf", "template"], "left_semi").select(F.col("leaf").alias("g"), "family", "text_hash")
+    again = written(_recurring(uses, "g", min_docs).coalesce(parts), "general")
     return matching.join(small(again), matching["leaf"] == again["g"], "left_semi").select("template")
 
 
