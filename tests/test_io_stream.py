@@ -71,9 +71,9 @@ def test_model_save_load(spark, sf_small, tmp_path):
 def test_dbscan_partition_independent(spark, sf_small):
     from traitlab.operators.cluster.dbscan import dbscan
     from traitlab.operators.features import standardize
-    from traitlab.plans.flows import embedding_points
+    from traitlab.plans.flows import walsh_points
 
-    p = embedding_points(spark, sf_small, 2)
+    p = walsh_points(spark, sf_small)
     z, _ = standardize(p, ["x1", "x2"])
     a = {tuple(r) for r in dbscan(z.repartition(1), "vec_id", ["x1", "x2"], 0.2, 6).collect()}
     b = {tuple(r) for r in dbscan(z.repartition(7), "vec_id", ["x1", "x2"], 0.2, 6).collect()}
@@ -82,9 +82,9 @@ def test_dbscan_partition_independent(spark, sf_small):
 
 def test_gmm_loglik_never_decreases(spark, sf_small):
     from traitlab.operators.cluster.gmm import gmm
-    from traitlab.plans.flows import embedding_points
+    from traitlab.plans.flows import walsh_points
 
-    p = embedding_points(spark, sf_small, 2)
+    p = walsh_points(spark, sf_small)
     m = gmm(p, "vec_id", ["x1", "x2"], k=3, max_iter=8, tol=0.0)
     assert all(b >= a - 1e-6 for a, b in zip(m.loglik, m.loglik[1:]))
 
@@ -98,9 +98,9 @@ def test_search_param_grid():
 
 def test_cluster_grid_resumes_from_log(spark, sf_small, tmp_path):
     from traitlab.operators.search import cluster_grid
-    from traitlab.plans.flows import embedding_points
+    from traitlab.plans.flows import walsh_points
 
-    p = embedding_points(spark, sf_small, 2)
+    p = walsh_points(spark, sf_small)
     space = {"KMeans": {"n_clusters": [2, 3], "max_iter": [3]}}
     log = str(tmp_path / "grid")
     first = cluster_grid(p, "vec_id", {"d2": ["x1", "x2"]}, space, result_log=log)

@@ -21,12 +21,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitlab.operators.enrich import eps_pairs
-from traitlab.session import checkpoint_dir, reliable_checkpoint
+from traitlab.session import checkpoint_dir, reliable_checkpoint, scratch_table
 
-MAX_CLUSTER_IDS = 100_000  # above this the ids come from a window over the distinct roots
 
+def ordered_ids(values: DataFrame, col: str, out: str) -> DataFrame:
+    """0-based position of each distinct value in sorted order: range
+    partitions, the offset of each (one row per partition), and the row number
+    inside it.  No task sorts all values."""
+    parts = scratch_table(values.select(col).repartitionByRange(col).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy(F.col("a._part").alias("_part")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(col)) - 1
+    return parts.join(F.broadcast(before), "_part").select(col, (F.col("_off") + inside).alias(out))
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100) -> DataFrame:
+
+def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """Min-label components of an undirected graph.  ``edges`` (i, j) must be
     symmetric; ``nodes`` has column v.  Returns (v, root).
 
@@ -36,7 +45,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1
     Rounds grow with log(component size) instead of its diameter.  Labels are
     written with a reliable checkpoint every round."""
     labels = reliable_checkpoint(nodes.select("v", F.col("v").alias("root")))
-    for _ in range(max_rounds):
+    for turn in range(max_rounds + 1):
+        if turn == max_rounds:
+            raise RuntimeError(f"components not settled after {max_rounds} rounds")
         lab_i = labels.select(F.col("v").alias("i"), F.col("root").alias("ri"))
         lab_j = labels.select(F.col("v").alias("j"), F.col("root").alias("rj"))
         er = edges.join(lab_i, "i").join(lab_j, "j")
@@ -67,16 +78,8 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     core = reliable_checkpoint(core)
     ce = reliable_checkpoint(ce)
     comp = connected_components(ce, core)
-    roots = comp.select("root").distinct()
-    n_roots = roots.count()
-    if n_roots <= MAX_CLUSTER_IDS:
-        # cluster ids 0..C-1 by smallest member: C sorted roots as a literal map
-        ordered = [r[0] for r in roots.orderBy("root").collect()]
-        idmap = F.create_map(*[x for i, r in enumerate(ordered) for x in (F.lit(r), F.lit(i))]) if ordered else None
-        core_lab = comp.select(F.col("v").alias(key), (F.element_at(idmap, F.col("root")) if idmap is not None else F.lit(None)).cast("int").alias(out))
-    else:
-        ids = roots.withColumn(out, (F.dense_rank().over(Window.orderBy("root")) - 1).cast("int"))
-        core_lab = comp.join(ids, "root").select(F.col("v").alias(key), out)
+    ids = ordered_ids(comp.select("root").distinct(), "root", out)
+    core_lab = comp.join(ids, "root").select(F.col("v").alias(key), F.col(out).cast("int").alias(out))
     border = (
         pairs.join(core.withColumnRenamed("v", "i"), "i", "left_anti")
         .join(core_lab.withColumnRenamed(key, "j"), "j")

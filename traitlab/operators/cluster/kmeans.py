@@ -3,11 +3,8 @@
 Two flavours:
 
 * ``kmeans`` (parity / sql-k): Lloyd iterations where the k centroids (k*p
-  numbers) live on the driver and are inlined as literals; each iteration is
-  one aggregation job (assign = codegen'd argmin expression, update =
-  ``groupBy(cluster).avg`` with map-side partial aggregation, k rows back).
-  Lineage does not grow across iterations because the centroids are
-  literals, so no checkpoint is needed.
+  numbers) live on the driver and travel as a broadcast; each iteration is
+  one job of per-partition sums.  Lineage does not grow across iterations.
 * ``kmeans_ml``: ``pyspark.ml.clustering.KMeans`` (k-means|| init).
 """
 
@@ -56,13 +53,33 @@ def init_uniform_box(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42)
 
 
 def lloyd_step(df: DataFrame, cols: Sequence[str], centers: list[list[float]]) -> list[list[float]]:
-    """One Lloyd update; an empty cluster keeps its old centre."""
-    assigned = assign_nearest(df, cols, centers, "_c")
-    rows = assigned.groupBy("_c").agg(*[F.avg(c).alias(c) for c in cols]).collect()
-    new = [list(c) for c in centers]
+    """One Lloyd update; an empty cluster keeps its old centre.  Each partition
+    returns one row of sums (k x (p + 1) numbers) from vectorised distances:
+    the centres travel as a broadcast, so a step needs no newly generated
+    code.  Ties go to the lowest index, as in ``assign_nearest``."""
+    cols, k = list(cols), len(centers)
+    shared = df.sparkSession.sparkContext.broadcast(np.array(centers, dtype=float))
+
+    def sums(frames):
+        import pandas as pd
+
+        c = shared.value
+        total = np.zeros((k, len(cols) + 1))
+        for pdf in frames:
+            x = pdf[cols].to_numpy(dtype=float)
+            dist = np.stack([np.square(x - m).sum(axis=1) for m in c], axis=1)
+            near = dist.argmin(axis=1) if len(x) else np.empty(0, dtype=int)
+            np.add.at(total, near, np.column_stack([x, np.ones(len(x))]))
+        yield pd.DataFrame({"s": [total.ravel().tolist()]})
+
+    cells = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna().mapInPandas(sums, "s array<double>")
+    rows = cells.select(F.posexplode("s").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).collect()
+    total = np.zeros(k * (len(cols) + 1))
     for r in rows:
-        new[int(r["_c"])] = [float(r[c]) for c in cols]
-    return new
+        total[r["at"]] = r["v"]
+    total = total.reshape(k, -1)
+    shared.unpersist()
+    return [(t[:-1] / t[-1]).tolist() if t[-1] else list(c) for t, c in zip(total, centers)]
 
 
 def kmeans(

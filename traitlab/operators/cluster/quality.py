@@ -1,11 +1,11 @@
 """Internal cluster-quality metrics.
 
 Every metric is one or two aggregation passes whose results have one row per
-cluster (K rows, collected under a size bound).  Nothing is O(n^2) except
-the exact Euclidean silhouette, which has no closed form: it broadcasts the
-point matrix under a checked size and computes per-partition with NumPy,
-emitting one row per point (never one per pair).  The squared-distance
-silhouette (Spark's ``ClusteringEvaluator`` definition) is O(n*K)."""
+cluster (K rows, collected under a size bound), on values less their overall
+mean.  The squared-distance silhouette (Spark's ``ClusteringEvaluator``
+definition) is exact and O(n*K), and the default of ``cluster_quality``; the
+Euclidean one has no closed form and is taken against a bounded evaluation
+sample."""
 
 from __future__ import annotations
 
@@ -14,14 +14,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitlab.operators.sample import MAX_GROUPS, collect_bounded
 
-MAX_SILHOUETTE_CELLS = 50_000_000  # n * p doubles broadcast for the exact silhouette
+SILHOUETTE_ROWS = 2_000  # reference rows of the Euclidean silhouette
 
 
 def _cluster_sums(df: DataFrame, cols: Sequence[str], label: str) -> list:
@@ -31,6 +29,13 @@ def _cluster_sums(df: DataFrame, cols: Sequence[str], label: str) -> list:
     return collect_bounded(df.groupBy(label).agg(*aggs), MAX_GROUPS, "cluster sums")
 
 
+def centred(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """label and ``cols`` less their overall means (one pass, p numbers): the
+    metrics are shift-invariant, sums of squares of large offsets are not."""
+    m = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return df.select(label, *[(F.col(c) - F.lit(float(m[f"m{i}"]) if m[f"m{i}"] is not None else 0.0)).alias(c) for i, c in enumerate(cols)])
+
+
 def cluster_summary(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
     """One row per cluster: n, per-column sums, sum of squared norms."""
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -44,7 +49,7 @@ def calinski_harabasz_frame(df: DataFrame, cols: Sequence[str], label: str = "cl
     per-cluster sums (K rows), then one aggregate over those K rows.
 
     between = sum_k |s_k|^2/n_k - |sum_k s_k|^2/n ; within = sum q - sum_k |s_k|^2/n_k."""
-    summ = cluster_summary(df, cols, label)
+    summ = cluster_summary(centred(df, cols, label), cols, label)
     norm_k = reduce(add, [F.col(f"_s_{c}") * F.col(f"_s_{c}") for c in cols]) / F.col("_n")
     tot = summ.agg(
         F.count(F.lit(1)).alias("k"),
@@ -56,7 +61,7 @@ def calinski_harabasz_frame(df: DataFrame, cols: Sequence[str], label: str = "cl
     grand = reduce(add, [F.col(f"t_{c}") * F.col(f"t_{c}") for c in cols]) / F.col("n")
     between = F.col("bk") - grand
     within = F.col("q") - F.col("bk")
-    ch = (between / (F.col("k") - 1)) / (within / (F.col("n") - F.col("k")))
+    ch = F.try_divide(F.try_divide(between, F.col("k") - 1), F.try_divide(within, F.col("n") - F.col("k")))
     val = F.when(F.col("k") < 2, F.lit(-1.0)).when(within <= 0, F.lit(float(zero_within))).otherwise(ch)
     return tot.select(val.alias("calinski_harabasz"))
 
@@ -135,6 +140,7 @@ def silhouette_sq_frame(df: DataFrame, cols: Sequence[str], label: str = "cluste
     Mean squared distance from x to cluster C is |x|^2 - 2 x.mu_C + mean_C|y|^2,
     so a point needs only the K cluster summaries (collected under a bound):
     O(n*K), two passes.  Singleton clusters score 0; one cluster gives -1."""
+    df = centred(df, cols, label)
     rows = _cluster_sums(df, cols, label)
     spark = df.sparkSession
     if len(rows) < 2:
@@ -152,9 +158,9 @@ def silhouette_sq_frame(df: DataFrame, cols: Sequence[str], label: str = "cluste
     own = F.when(F.col(label) == F.lit(keys[0]), dist[keys[0]])
     for k in keys[1:]:
         own = own.when(F.col(label) == F.lit(k), dist[k])
-    a = own * own_n / (own_n - F.lit(1))  # mean over the other members
+    a = F.try_divide(own * own_n, own_n - F.lit(1))  # mean over the other members
     b = F.least(*[F.when(F.col(label) != F.lit(k), dist[k]) for k in keys])
-    s = F.when(own_n <= 1, F.lit(0.0)).otherwise(F.coalesce((b - a) / F.greatest(a, b), F.lit(0.0)))
+    s = F.when(own_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
     return df.agg(F.avg(s).alias("silhouette_sq"))
 
 
@@ -162,57 +168,38 @@ def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str = "cluster") ->
     return float(silhouette_sq_frame(df, cols, label).first()[0])
 
 
-def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
-    """C13 exact Euclidean silhouette (sklearn definition; singleton -> 0).
+def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster", evaluate_on: int = SILHOUETTE_ROWS, key: str | None = None) -> DataFrame:
+    """C13 Euclidean silhouette (singleton -> 0) on an evaluation sample.
 
-    The (n x p) point matrix and labels are broadcast once under a checked
-    size; each partition computes, for its own rows, the mean distance to
-    every cluster with NumPy and returns one (a, b) row per point.  The
-    average is a Spark aggregation.  Beyond the size bound use
-    ``silhouette_sq``, which is O(n*K)."""
+    All rows are scored if there are at most ``evaluate_on``; beyond that every
+    row is scored against a sample of about that many reference rows, drawn by
+    a hash of its values: a documented estimate, since this form has no closed
+    formula.  ``silhouette_sq`` is exact over all rows at any size.  The
+    reference rows (at most about ``evaluate_on``) are broadcast by the join
+    of one-row-per-cluster arrays; no row reaches the driver."""
     cols = list(cols)
-    n_rows = df.count()
-    if n_rows * len(cols) > MAX_SILHOUETTE_CELLS:
-        raise ValueError("silhouette: point matrix above the broadcast bound; use silhouette_sq")
-    pts = df.select(*cols, label).toPandas() if n_rows <= 200_000 else None
-    if pts is None:
-        raise ValueError("silhouette: too many rows to broadcast")
-    labels = pts[label].to_numpy()
-    uniq = np.unique(labels)
-    spark = df.sparkSession
-    if len(uniq) < 2:
-        return spark.range(1).select(F.lit(-1.0).alias("silhouette"))
-    bc = spark.sparkContext.broadcast((pts[cols].to_numpy(dtype=float), labels))
-
-    def part(it):
-        x_all, lab_all = bc.value
-        groups = {u: x_all[lab_all == u] for u in np.unique(lab_all)}
-        for pdf in it:
-            x = pdf[cols].to_numpy(dtype=float)
-            lab = pdf[label].to_numpy()
-            a = np.zeros(len(x))
-            b = np.full(len(x), np.inf)
-            size = np.zeros(len(x))
-            for u, g in groups.items():
-                d = np.sqrt(((x[:, None, :] - g[None, :, :]) ** 2).sum(axis=2)).sum(axis=1)
-                same = lab == u
-                cnt = len(g)
-                a = np.where(same, d / max(cnt - 1, 1), a)
-                size = np.where(same, cnt, size)
-                b = np.where(~same, np.minimum(b, d / cnt), b)
-            s = np.where(size > 1, (b - a) / np.maximum(a, b), 0.0)
-            s = np.nan_to_num(s)
-            yield pd.DataFrame({"s": s})
-
-    out = df.select(*cols, label).mapInPandas(part, "s double")
-    return out.agg(F.avg("s").alias("silhouette"))
+    data = df.select(label, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+    n = data.count()
+    ref = data if n <= evaluate_on else data.where(F.pmod(F.xxhash64("x"), F.lit(1_000_000)) < F.lit(int(1_000_000 * evaluate_on / n)))
+    groups = ref.groupBy(F.col(label).alias("_l")).agg(F.collect_list("x").alias("xs"))
+    if groups.limit(2).count() < 2:
+        return df.sparkSession.range(1).select(F.lit(-1.0).alias("silhouette"))
+    table = groups.agg(F.collect_list(F.struct("_l", "xs")).alias("g"))
+    dist = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
+    each = F.transform("g", lambda c: F.struct(c["_l"].alias("l"), F.size(c["xs"]).alias("n"), F.aggregate(c["xs"], F.lit(0.0), lambda s, y: s + dist(F.col("x"), y)).alias("d")))
+    near = data.join(F.broadcast(table)).select(F.col(label).alias("l"), each.alias("e"))
+    own = F.element_at(F.filter("e", lambda c: c["l"].eqNullSafe(F.col("l"))), 1)
+    others = F.transform(F.filter("e", lambda c: ~c["l"].eqNullSafe(F.col("l"))), lambda c: c["d"] / c["n"])
+    a, b = F.try_divide(own["d"], own["n"] - 1), F.array_min(others)
+    s = F.when(F.coalesce(own["n"], F.lit(0)) <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    return near.agg(F.avg(s).alias("silhouette"))
 
 
 def silhouette(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> float:
     return float(silhouette_frame(df, cols, label).first()[0])
 
 
-def cluster_quality(df: DataFrame, cols: Sequence[str], label: str = "cluster", exact_silhouette: bool = True) -> dict:
+def cluster_quality(df: DataFrame, cols: Sequence[str], label: str = "cluster", exact_silhouette: bool = False) -> dict:
     """All metrics with the degenerate-label guard (one cluster ->
     CH -1, DB +inf, silhouette -1); noise -1 counts as a cluster."""
     k = int(df.agg(F.count_distinct(label)).collect()[0][0])

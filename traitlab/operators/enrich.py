@@ -13,27 +13,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.operators.sample import MAX_GROUPS, collect_bounded
+from traitlab.operators.sample import MAX_GROUPS
+from traitlab.session import scratch_table
+
+
+def _small(dim: DataFrame) -> DataFrame:
+    """A dimension, broadcast if its size allows."""
+    return F.broadcast(dim) if dim.limit(MAX_GROUPS + 1).count() <= MAX_GROUPS else dim
 
 
 def join_country(df: DataFrame, dim: DataFrame, on: str = "country") -> DataFrame:
     """Left join to the country dimension on the ISO code."""
-    return df.join(F.broadcast(dim), on, "left")
+    return df.join(_small(dim), on, "left")
 
 
 def attach_question(long: DataFrame, dim: DataFrame, item: str = "item") -> DataFrame:
     """Question text by item id (long form)."""
-    return long.join(F.broadcast(dim.select(F.col("id").alias(item), "question")), item, "left")
+    return long.join(_small(dim.select(F.col("id").alias(item), "question")), item, "left")
 
 
 def fold_rare(df: DataFrame, col: str, into: str, min_count: int = 5000, out: str | None = None) -> DataFrame:
     """Values with fewer than ``min_count`` rows are replaced by ``into``
-    (a null ``into`` keeps the value).  The count table has one row per
-    value; it is collected under a size bound and applied as a literal set."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    rare = [r[0] for r in collect_bounded(counts.filter(F.col("_n") < min_count).select(col), MAX_GROUPS, "fold_rare")]
-    is_rare = F.col(col).isin(rare) if rare else F.lit(False)
-    return df.withColumn(out or col, F.when(is_rare, F.coalesce(F.col(into), F.col(col))).otherwise(F.col(col)))
+    (a null ``into`` keeps the value; a null value is never rare).  The table
+    of rare values is joined, by broadcast while it is small."""
+    rare = scratch_table(df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_rare")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < min_count).select("_rare"), "rare")
+    side = F.broadcast(rare) if rare.count() <= MAX_GROUPS else rare
+    value = F.when(F.col("_rare").isNotNull(), F.coalesce(F.col(into), F.col(col))).otherwise(F.col(col))
+    return df.join(side, df[col] == rare["_rare"], "left").withColumn(out or col, value).drop("_rare")
 
 
 def glue_labels(frames: Sequence[DataFrame], key: str, names: Sequence[str], label: str = "cluster") -> DataFrame:

@@ -12,7 +12,6 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,10 +66,10 @@ def minmax(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None,
             lo, hi = r[f"_lo_{c}"], r[f"_hi_{c}"]
             exprs[c + suffix] = F.try_divide(F.col(c) - F.lit(lo), F.lit(hi) - F.lit(lo))
         return df.withColumns(exprs)
-    rng = df.groupBy(*by).agg(*aggs)
-    rows = collect_bounded(rng, MAX_GROUPS, "minmax groups")
-    rng_local = df.sparkSession.createDataFrame(rows, rng.schema)
-    j = df.join(F.broadcast(rng_local), list(by), "left")
+    keys = {b: f"_by{i}" for i, b in enumerate(by)}
+    rng = df.groupBy(*by).agg(*aggs).withColumnsRenamed(keys)
+    same = reduce(lambda x, y: x & y, [df[b].eqNullSafe(rng[k]) for b, k in keys.items()])
+    j = df.join(rng, same, "left").drop(*keys.values())
     exprs = {c + suffix: F.try_divide(F.col(c) - F.col(f"_lo_{c}"), F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) for c in cols}
     return j.withColumns(exprs).drop(*[f"_{k}_{c}" for c in cols for k in ("lo", "hi")])
 
@@ -83,73 +82,63 @@ class LabelMap:
     labels: list
 
     def column(self, col: str):
-        m = F.create_map(*[x for i, v in enumerate(self.labels) for x in (F.lit(v), F.lit(i))])
+        known = [v for v in self.labels if v is not None]
+        if not known:
+            return F.lit(None).cast("int")
+        m = F.create_map(*[x for i, v in enumerate(known) for x in (F.lit(v), F.lit(i))])
         return F.try_element_at(m, F.col(col)).cast("int")
 
 
 def encode_labels(df: DataFrame, y: str, out: str | None = None) -> tuple[DataFrame, LabelMap]:
-    """sorted distinct labels -> 0..k-1 (alphabetical, like a label encoder).
+    """sorted distinct labels -> 0..k-1 (alphabetical, like a label encoder);
+    a null label stays null.
 
     The distinct set is bounded (classes), collected with a size check and
     applied as a literal map lookup."""
-    vals = collect_bounded(df.select(y).distinct().orderBy(y), MAX_GROUPS, "encode_labels")
+    vals = collect_bounded(df.select(y).where(F.col(y).isNotNull()).distinct().orderBy(y), MAX_GROUPS, "encode_labels")
     lm = LabelMap([r[0] for r in vals])
     return df.withColumn(out or f"{y}_code", lm.column(y)), lm
 
 
 def one_hot(df: DataFrame, y: str, classes: Sequence, prefix: str = "is_") -> DataFrame:
     """one 0/1 column per class."""
-    return df.withColumns({f"{prefix}{c}": (F.col(y) == F.lit(c)).cast("double") for c in classes})
+    return df.withColumns({f"{prefix}{c}": F.col(y).eqNullSafe(F.lit(c)).cast("double") for c in classes})
 
 
 # ------------------------------------------------------------------ moments
 
+#: p x p numbers are held on the driver
+MAX_MOMENT_COLUMNS = 4096
+
 
 def moments(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
-    """Count, mean vector and population covariance matrix of ``cols``.
+    """Count, mean vector and population covariance matrix of ``cols`` over the
+    rows without a null or NaN in them.
+
+    One path for any number of columns, in the JVM: a summary pass (count,
+    means, variances), then Spark's tree-aggregated correlation matrix, which
+    centres the rows before it multiplies them; p x p numbers reach the
+    driver."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation, Summarizer
 
-    Few columns: one ``agg`` of avg and covar_pop.  Many columns: each
-    partition builds its partial Gram matrix with NumPy (``mapInPandas``),
-    and only the p*p partial sums are combined."""
     cols = list(cols)
     p = len(cols)
-    if p <= 12:
-        aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-        pairs = [(i, j) for i in range(p) for j in range(i, p)]
-        aggs += [F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]
-        r = df.agg(*aggs).collect()[0]
-        mean = np.array([r[f"m{i}"] for i in range(p)], dtype=float)
-        cov = np.zeros((p, p))
-        for i, j in pairs:
-            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-        return int(r["n"]), mean, cov
-
-    def partial(it):
-        n = 0
-        s = np.zeros(p)
-        g = np.zeros((p, p))
-        for pdf in it:
-            x = pdf[cols].to_numpy(dtype=float)
-            n += x.shape[0]
-            s += x.sum(axis=0)
-            g += x.T @ x
-        yield pd.DataFrame({"n": [n], "s": [s.tolist()], "g": [g.ravel().tolist()]})
-
-    schema = "n long, s array<double>, g array<double>"
-    parts = df.select(*cols).mapInPandas(partial, schema)
-    # element-wise sums of the partial vectors: one group per matrix cell,
-    # partial aggregation per partition; p*p + p + 1 numbers reach the driver
-    cells = parts.select(
-        F.posexplode(F.concat(F.array(F.col("n").cast("double")), F.col("s"), F.col("g"))).alias("pos", "v")
-    )
-    tot = cells.groupBy("pos").agg(F.sum("v").alias("v")).collect()
-    vec = np.zeros(1 + p + p * p)
-    for r in tot:
-        vec[r["pos"]] = r["v"]
-    n = int(round(vec[0]))
-    mean = vec[1 : 1 + p] / n
-    g = vec[1 + p :].reshape(p, p) / n
-    return n, mean, g - np.outer(mean, mean)
+    if p > MAX_MOMENT_COLUMNS:
+        raise ValueError(f"moments: {p} columns; at most {MAX_MOMENT_COLUMNS}")
+    x = VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="skip").transform(df.select(*[F.col(c).cast("double").alias(c) for c in cols])).select("_x")
+    r = x.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_x")).alias("s")).first()["s"]
+    n = int(r["count"])
+    if n == 0:
+        return 0, np.full(p, np.nan), np.full((p, p), np.nan)
+    mean, var = r["mean"].toArray(), r["variance"].toArray() * ((n - 1) / n)
+    cov = np.diag(var)
+    if p > 1 and n > 1:
+        corr = np.nan_to_num(Correlation.corr(x, "_x").first()[0].toArray())  # NaN where a column is constant
+        std = np.sqrt(var)
+        cov = corr * np.outer(std, std)
+        np.fill_diagonal(cov, var)
+    return n, mean, cov
 
 
 def covariance_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -193,44 +182,45 @@ class FactorModel:
         return df.withColumns(exprs)
 
 
+def _profile(cov: np.ndarray, psi: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """For given noise variances: the k x p loadings that maximise the
+    likelihood, and the deviance per row ``log|S| + tr(S^-1 C)`` there, S being
+    loadings' loadings + diag(psi) (Joreskog's profile form).
+
+    In units of the noise the covariance has eigenvalues e; the best loadings
+    keep the k largest, each less the unit of noise, and the model's own
+    eigenvalues are max(e, 1) for these and 1 for the rest."""
+    unit = 1.0 / np.sqrt(psi)
+    e, v = np.linalg.eigh(unit[:, None] * cov * unit[None, :])
+    kept, rest = slice(len(e) - k, len(e)), slice(0, len(e) - k)
+    strength = np.clip(e[kept] - 1.0, 0.0, None)
+    loadings = (v[:, kept] * np.sqrt(strength) / unit[:, None]).T[::-1]
+    model = strength + 1.0
+    deviance = np.log(psi).sum() + np.log(model).sum() + (e[kept] / model).sum() + e[rest].sum()
+    return loadings, float(deviance)
+
+
 def fit_factor_analysis(df: DataFrame, cols: Sequence[str], n_factors: int = 5, max_iter: int = 1000, tol: float = 1e-2) -> FactorModel:
     """maximum-likelihood factor analysis from the covariance matrix.
 
-    The data pass is one moments aggregation; the iteration runs on the
-    p x p matrix on the driver (p <= ~60): each step takes the top
-    eigenpairs of Psi^-1/2 C Psi^-1/2 (the SVD of the scaled data) and
-    updates the loadings and the noise variances.  Sign rule: the largest
-    loading of every factor is positive."""
+    ``moments`` is the only pass over the data.  On the driver a fixed-point
+    iteration on p x p matrices alternates the best loadings for the noise
+    variances with the noise that these loadings leave, until the
+    log-likelihood rises by less than ``tol``.  Signs: the largest loading of
+    every factor is positive."""
     n, mean, cov = moments(df, cols)
-    p = len(cols)
-    k = min(n_factors, p)
-    var = np.diag(cov).copy()
-    small = 1e-12
-    psi = np.ones(p)
-    old_ll = -np.inf
-    llconst = p * np.log(2.0 * np.pi) + k
-    lls = []
-    w = np.zeros((k, p))
-    it = 0
-    for it in range(1, max_iter + 1):
-        sqrt_psi = np.sqrt(psi) + small
-        m = cov / np.outer(sqrt_psi, sqrt_psi)
-        evals, evecs = np.linalg.eigh(m)
-        order = np.argsort(evals)[::-1]
-        s = evals[order[:k]]
-        vh = evecs[:, order[:k]].T
-        unexp = float(np.sum(evals[order[k:]]))
-        w = np.sqrt(np.maximum(s - 1.0, 0.0))[:, None] * vh * sqrt_psi
-        ll = -0.5 * n * (llconst + np.sum(np.log(np.maximum(s, small))) + unexp + np.sum(np.log(psi)))
-        lls.append(ll)
-        if ll - old_ll < tol:
+    k = min(n_factors, len(cols))
+    psi = np.ones(len(cols))
+    trace: list[float] = []
+    loadings = np.zeros((k, len(cols)))
+    for _ in range(max_iter):
+        loadings, deviance = _profile(cov, psi, k)
+        trace.append(-0.5 * n * (len(cols) * np.log(2 * np.pi) + deviance))
+        if len(trace) > 1 and trace[-1] - trace[-2] < tol:
             break
-        old_ll = ll
-        psi = np.maximum(var - np.sum(w**2, axis=0), small)
-    for j in range(k):
-        if w[j, np.argmax(np.abs(w[j]))] < 0:
-            w[j] = -w[j]
-    return FactorModel(list(cols), mean, w, psi, it, lls)
+        psi = np.maximum(np.diag(cov) - np.square(loadings).sum(axis=0), 1e-12)
+    peak = loadings[np.arange(k), np.abs(loadings).argmax(axis=1)]
+    return FactorModel(list(cols), mean, loadings * np.where(peak < 0, -1.0, 1.0)[:, None], psi, len(trace), trace)
 
 
 def factor_scores(df: DataFrame, cols: Sequence[str], n_factors: int = 5, prefix: str = "factor_") -> tuple[DataFrame, FactorModel]:

@@ -141,9 +141,13 @@ def top_groups(df: DataFrame, by: str, part: str, score: str, n: int = 5) -> Dat
 def correlation_ratio(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     """eta^2 = between-group / total sum of squares, per feature.
 
-    Per-group sums and squares are one aggregation (k rows per feature);
-    no second pass over the rows."""
-    long = df.select(y, *cols).unpivot([y], list(cols), "feature", "x").filter(F.col("x").isNotNull())
+    A first pass takes the means; the second works on values less their mean
+    (so that large offsets do not cancel): per-group sums and squares, k rows
+    per feature."""
+    cols = list(cols)
+    m = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    centred = df.select(y, *[(F.col(c) - F.lit(float(m[f"m{i}"]) if m[f"m{i}"] is not None else 0.0)).alias(c) for i, c in enumerate(cols)])
+    long = centred.unpivot([y], cols, "feature", "x").filter(F.col("x").isNotNull())
     g = long.groupBy("feature", y).agg(F.count(F.lit(1)).alias("ng"), F.sum("x").alias("sg"), F.sum(F.col("x") * F.col("x")).alias("qg"))
     t = g.groupBy("feature").agg(
         F.sum("ng").alias("n"),

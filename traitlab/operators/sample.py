@@ -19,6 +19,8 @@ the same as any other: its rows are only counted, never sorted together.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,14 @@ def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", broadcast: bool = False) -> DataFrame:
+    """Equi-join in which null matches null; ``on`` appears once (left's)."""
+    names = {c: f"_on_{i}" for i, c in enumerate(on)}
+    right = right.withColumnsRenamed(names)
+    same = reduce(and_, [left[c].eqNullSafe(right[n]) for c, n in names.items()])
+    return left.join(F.broadcast(right) if broadcast else right, same, how).drop(*names.values())
+
+
 def _need_table(base: DataFrame, by: list[str], n: int | Callable[[Column], Column]) -> DataFrame:
     counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_cnt"))
     need = n(F.col("_cnt")) if callable(n) else F.lit(int(n))
@@ -56,12 +66,13 @@ def first_n_cut(df: DataFrame, key: str, n: int | Callable[[Column], Column], se
     # level 1: buckets of 2**16 det values (<= 32768 histogram rows per group)
     h1 = base.groupBy(*grp, F.shiftright("_det", 16).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     w1 = Window.partitionBy(*grp).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    h1 = h1.withColumn("_cum", F.sum("_c").over(w1)).join(need, grp)
+    h1 = h1.withColumn("_cum", F.sum("_c").over(w1))
+    h1 = null_safe_join(h1, need, grp)
     cut1 = h1.filter((F.col("_need") > 0) & (F.col("_cum") - F.col("_c") < F.col("_need")) & (F.col("_cum") >= F.col("_need")))
     cut1 = cut1.select(*grp, "_b", (F.col("_need") - (F.col("_cum") - F.col("_c"))).alias("_r1"))
 
     # level 2: exact det values inside the cut bucket (<= 65536 per group)
-    inb = base.withColumn("_b", F.shiftright("_det", 16)).join(cut1, grp + ["_b"])
+    inb = null_safe_join(base.withColumn("_b", F.shiftright("_det", 16)), cut1, grp + ["_b"])
     h2 = inb.groupBy(*grp, "_det", "_r1").agg(F.count(F.lit(1)).alias("_c"))
     w2 = Window.partitionBy(*grp).orderBy("_det").rowsBetween(Window.unboundedPreceding, 0)
     h2 = h2.withColumn("_cum", F.sum("_c").over(w2))
@@ -69,19 +80,19 @@ def first_n_cut(df: DataFrame, key: str, n: int | Callable[[Column], Column], se
     cut2 = cut2.select(*grp, F.col("_det").alias("_dstar"), (F.col("_r1") - (F.col("_cum") - F.col("_c"))).alias("_r2"))
 
     # level 3: rows sharing the cut det value, ranked by key (collisions only)
-    tie = base.join(cut2, grp).filter(F.col("_det") == F.col("_dstar"))
+    tie = null_safe_join(base, cut2, grp).filter(F.col("_det") == F.col("_dstar"))
     w3 = Window.partitionBy(*grp).orderBy("_key")
     tie = tie.withColumn("_rn", F.row_number().over(w3)).filter(F.col("_rn") == F.col("_r2"))
     cut3 = tie.select(*grp, "_dstar", F.col("_key").alias("_kstar"))
-    return need.join(cut3, grp, "left")
+    return null_safe_join(need, cut3, grp, "left")
 
 
 def _global_cut(df: DataFrame, key: str, n, seed: int) -> dict:
     """Global cut with three small aggregations collected to the driver:
-    bucket counts (<= 32768 rows), exact det counts inside the cut bucket
+    bucket counts (<= 2^17 rows: keys may be negative), exact det counts inside the cut bucket
     (<= 65536 rows), then the keys sharing the cut det value (collisions)."""
     base = df.select(F.col(key).alias("_key"), det(key, seed).alias("_det"))
-    h1 = collect_bounded(base.groupBy(F.shiftright("_det", 16).alias("_b")).agg(F.count(F.lit(1)).alias("_c")), 1 << 15, "bucket counts")
+    h1 = collect_bounded(base.groupBy(F.shiftright("_det", 16).alias("_b")).agg(F.count(F.lit(1)).alias("_c")), 1 << 17, "bucket counts")
     cnt = sum(int(r["_c"]) for r in h1)
     if callable(n):
         need = spark_eval_need(df.sparkSession, n, cnt)
@@ -120,7 +131,6 @@ def first_n(df: DataFrame, key: str, n: int | Callable[[Column], Column], seed:
     ``n`` is an int or a function of the group size Column.  With ``flag``
     every row is kept and ``flag`` tells whether it is in the first n."""
     by = list(by or [])
-    spark = df.sparkSession
     d = det(key, seed)
     if not by:
         c = _global_cut(df, key, n, seed)
@@ -131,24 +141,11 @@ def first_n(df: DataFrame, key: str, n: int | Callable[[Column], Column], seed:
         else:
             inside = (d < F.lit(c["_dstar"])) | ((d == F.lit(c["_dstar"])) & (F.col(key) <= F.lit(c["_kstar"])))
         return df.withColumn(flag, inside) if flag else df.filter(inside)
-    cuts = collect_bounded(first_n_cut(df, key, n, seed, by), MAX_GROUPS, "first_n cuts")
-    schema = df.select(*by).schema
-    fields = [f.jsonValue() for f in schema.fields]
-    rows = [tuple(r[b] for b in by) + (int(r["_cnt"]), int(r["_need"]), r["_dstar"], r["_kstar"]) for r in cuts]
-    from pyspark.sql import types as T
-
-    key_type = df.schema[key].dataType
-    cut_schema = T.StructType(
-        [T.StructField.fromJson(f) for f in fields]
-        + [
-            T.StructField("_cnt", T.LongType()),
-            T.StructField("_need", T.LongType()),
-            T.StructField("_dstar", T.LongType()),
-            T.StructField("_kstar", key_type),
-        ]
-    )
-    cut_df = spark.createDataFrame(rows, cut_schema)
-    joined = df.join(F.broadcast(cut_df), by, "left")
+    from traitlab.session import scratch_table
+
+    # one row per group, a null group included; broadcast while it is small
+    cuts = scratch_table(first_n_cut(df, key, n, seed, by), "cuts")
+    joined = null_safe_join(df, cuts, by, "left", broadcast=cuts.count() <= MAX_GROUPS)
     inside = (F.col("_need") >= F.col("_cnt")) | (
         (F.col("_need") > 0) & ((d < F.col("_dstar")) | ((d == F.col("_dstar")) & (F.col(key) <= F.col("_kstar"))))
     )
@@ -211,12 +208,12 @@ def class_weights(df: DataFrame, y: str, out: str = "weight") -> DataFrame:
 
     The class table is one row per class; it is joined back with a broadcast
     after checking its size."""
-    counts = df.groupBy(y).agg(F.count(F.lit(1)).alias("_nc"))
-    rows = collect_bounded(counts, MAX_GROUPS, "class_weights")
-    total = sum(int(r["_nc"]) for r in rows)
-    k = len(rows)
-    w = df.sparkSession.createDataFrame([(r[y], total / (k * int(r["_nc"]))) for r in rows], df.select(y).schema.add(out, "double"))
-    return df.join(F.broadcast(w), y, "left")
+    from traitlab.session import scratch_table
+
+    counts = scratch_table(df.groupBy(y).agg(F.count(F.lit(1)).alias("_nc")), "class-counts")
+    total, k = counts.agg(F.sum("_nc"), F.count("*")).first()
+    weights = counts.select(y, (F.lit(float(total or 0)) / (F.lit(k) * F.col("_nc"))).alias(out))
+    return null_safe_join(df, weights, [y], "left", broadcast=k <= MAX_GROUPS)
 
 
 def bootstrap(df: DataFrame, seed: int = 42) -> DataFrame:
@@ -258,8 +255,7 @@ def det_rank(
     h = base.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = h.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
-    offs = F.broadcast(offs) if not by else offs
-    ranked = base.join(offs, by + ["_b"])
+    ranked = null_safe_join(base, offs, by + ["_b"], broadcast=not by)
     wr = Window.partitionBy(*by, "_b").orderBy("_det", key)
     return ranked.withColumn(out, (F.col("_off") + F.row_number().over(wr) - 1).cast("long")).drop("_det", "_b", "_off")
 

@@ -81,9 +81,9 @@ def cluster_grid(
     space: Mapping[str, Mapping[str, Sequence]],
     factor_analysis: Sequence[bool] = (False,),
     n_factors: int = 5,
-    max_seconds: float = 2400.0,
+    max_seconds: float = float("inf"),
     result_log: str | None = None,
-    exact_silhouette: bool = True,
+    exact_silhouette: bool = False,
 ) -> DataFrame:
     """M1: fit every (model, feature set, FA switch, parameters) configuration,
     score it with the internal metrics and return one row per configuration."""
@@ -112,7 +112,8 @@ def cluster_grid(
                         if cid in done:
                             continue
                         if time.monotonic() - start > max_seconds:
-                            break
+                            rows.append((cid, model, data_type, fa, json.dumps(params, sort_keys=True), None, None, None, None, None, 0.0, "skipped: time budget"))
+                            continue
                         t0 = time.monotonic()
                         try:
                             lab = _fit_labels(model, feats, key, fcols, params)
@@ -137,7 +138,7 @@ def classifier_grid(
     cols: Sequence[str],
     y: str,
     space: Mapping[str, Mapping[str, Sequence]],
-    max_seconds: float = 2400.0,
+    max_seconds: float = float("inf"),
 ) -> DataFrame:
     """M2: fit every classifier configuration on ``train``, score on ``test``;
     rows sorted by accuracy (ties: model, params)."""
@@ -150,7 +151,8 @@ def classifier_grid(
     for model, pspace in space.items():
         for params in param_grid(pspace):
             if time.monotonic() - start > max_seconds:
-                break
+                rows.append((model, json.dumps(params, sort_keys=True, default=str), None, None, None, None, None, "", 0.0, "skipped: time budget"))
+                continue
             t0 = time.monotonic()
             try:
                 fm = FITTERS[model](train, list(cols), y, params)
@@ -170,14 +172,6 @@ def best_by_accuracy(results: DataFrame) -> DataFrame:
     return results.filter(F.col("error").isNull()).orderBy(F.desc("accuracy"), "model", "params").limit(1)
 
 
-def _strategy(mf) -> str:
-    if mf is None or mf == "all":
-        return "all"
-    if isinstance(mf, float):
-        return str(mf)
-    return {"sqrt": "sqrt", "log2": "log2"}.get(mf, "sqrt")
-
-
 def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[str, Sequence], n_iter: int = 10, folds: int = 3, seed: int = 42, parallelism: int = 4, balanced: bool = True):
     """M3: seeded random sample of the random-forest grid, k-fold CV on
     accuracy (folds by det rank, ``foldCol``), refit of the best on all of
@@ -188,7 +182,7 @@ def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator
 
-    from traitlab.operators.classify.models import _indexed, fit_forest
+    from traitlab.operators.classify.models import _indexed, fit_forest, forest_features
     from traitlab.operators.features import assemble
     from traitlab.operators.sample import folds as make_folds
 
@@ -211,9 +205,9 @@ def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[
         maps.append(
             {
                 rf.numTrees: int(p.get("n_estimators", 100)),
-                rf.maxDepth: 30 if depth is None or depth > 30 else int(depth),
+                rf.maxDepth: 30 if depth is None else min(int(depth), 30),
                 rf.minInstancesPerNode: int(p.get("min_samples_leaf", 1)),
-                rf.featureSubsetStrategy: _strategy(p.get("max_features", "sqrt")),
+                rf.featureSubsetStrategy: forest_features(p.get("max_features", "sqrt")),
                 rf.bootstrap: bool(p.get("bootstrap", True)),
             }
         )

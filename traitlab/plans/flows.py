@@ -93,10 +93,39 @@ def region_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched_survey(spark, sf_dir).withColumn("region_label", text_label("region"))
 
 
-def embedding_points(spark: SparkSession, sf_dir: str, dims: int = 5) -> DataFrame:
-    """vec_id, label and the first ``dims`` embedding values as doubles."""
+#: values of a stored vector
+N_VALUES = 64
+
+
+def _value(i: int):
+    return F.col("embedding")[i].cast("double")
+
+
+def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, label and all embedding values as doubles x1..x64."""
     emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i + 1}") for i in range(dims)])
+    return emb.select("vec_id", "label", *[_value(i).alias(f"x{i + 1}") for i in range(N_VALUES)])
+
+
+def walsh_sign(j: int, i: int) -> int:
+    """Sign of value ``i`` in feature ``j``: bit ``j`` of ``i``."""
+    return -1 if (i >> j) & 1 else 1
+
+
+def walsh_points(spark: SparkSession, sf_dir: str, dims: int = 2, prefix: str = "x", keep: bool = False) -> DataFrame:
+    """vec_id, label and ``dims`` features, each a signed sum of all 64 values
+    (Walsh functions, scaled by 1/8), for methods that need few dimensions;
+    with ``keep`` beside x1..x64."""
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    every = [_value(i).alias(f"x{i + 1}") for i in range(N_VALUES)] if keep else []
+
+    def feature(j):
+        total = _value(0)
+        for i in range(1, N_VALUES):
+            total = total + _value(i) if walsh_sign(j, i) > 0 else total - _value(i)
+        return (total / 8.0).alias(f"{prefix}{j + 1}")
+
+    return emb.select("vec_id", "label", *every, *[feature(j) for j in range(dims)])
 
 
 def cluster_model(spark: SparkSession, sf_dir: str, k: int = 5):

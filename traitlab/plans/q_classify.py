@@ -1,7 +1,7 @@
 """Queries for classifiers (L) and classifier metrics (K).
 
 The SQL-checked predictions come from the nearest-centroid classifier on
-the embeddings (5 dims, label 0-9, 20 % test split by det); the Spark ML
+the embeddings (64 values, label 0-9, 20 % test split by det); the Spark ML
 estimators are rows-only checks."""
 
 from __future__ import annotations
@@ -14,27 +14,27 @@ from traitlab.operators.classify import models as L
 from traitlab.plans import flows
 from traitlab.plans import oracle as O
 from traitlab.plans.catalog import register, round_doubles
-from traitlab.plans.q_cluster import X5, emb_sql, sq
+from traitlab.plans.q_cluster import XS, emb_sql, sq, walsh_sql
 
 CLASSES = list(range(10))
 D = O.det_sql("vec_id")
 
 
-def split_embeddings(spark, sf_dir, dims=5):
-    p = flows.embedding_points(spark, sf_dir, dims)
+def split_embeddings(spark, sf_dir):
+    p = flows.embedding_points(spark, sf_dir)
     s = B.split(p, "vec_id", 0.2)
     return s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
 
 
 def predictions(spark, sf_dir):
     train, test = split_embeddings(spark, sf_dir)
-    model = L.fit_nearest_centroid(train, X5, "label")
+    model = L.fit_nearest_centroid(train, XS, "label")
     pred = model.transform(test)
     return pred.select("vec_id", F.col("label").alias("y"), "p", *[f"prob_{c}" for c in model.classes]), model.classes
 
 
 def pred_ctes() -> list[str]:
-    means = ", ".join(f"avg({c}) AS {c}" for c in X5)
+    means = ", ".join(f"avg({c}) AS {c}" for c in XS)
     probs = ", ".join(f"max(CASE WHEN c = {c} THEN prob END) AS prob_{c}" for c in CLASSES)
     return [
         f"pts AS ({emb_sql()})",
@@ -204,7 +204,7 @@ def l07_best_split(spark, sf_dir):
 
 def _ml_pred(spark, sf_dir, fit, params):
     train, test = split_embeddings(spark, sf_dir)
-    fm = fit(train, X5, "label", params)
+    fm = fit(train, XS, "label", params)
     return fm.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
 
 
@@ -234,7 +234,7 @@ GD_STEPS, GD_LR, GD_C = 3, 0.1, 1.0
 
 
 def _l02_sql():
-    ctes = [f"pts AS ({emb_sql(2)})", "tr AS (SELECT x1, x2, CAST(label % 2 AS INTEGER) AS y FROM pts)",
+    ctes = [f"pts AS ({walsh_sql()})", "tr AS (SELECT x1, x2, CAST(label % 2 AS INTEGER) AS y FROM pts)",
             "w0 AS (SELECT 0.0E0 AS w00, 0.0E0 AS w01, 0.0E0 AS w10, 0.0E0 AS w11, 0.0E0 AS w20, 0.0E0 AS w21)"]
     for t in range(GD_STEPS):
         ctes.append(f"z{t} AS (SELECT tr.*, w00 + w10 * x1 + w20 * x2 AS z0, w01 + w11 * x1 + w21 * x2 AS z1 FROM tr JOIN w{t} ON TRUE)")
@@ -252,7 +252,7 @@ def _l02_sql():
 def l02_softmax_gd(spark, sf_dir):
     """Softmax regression by gradient descent (lr 0.1, l2 penalty W/C), two
     features, two classes (label parity), three steps (sql-k)."""
-    p = flows.embedding_points(spark, sf_dir, 2).withColumn("y", (F.col("label") % 2).cast("int"))
+    p = flows.walsh_points(spark, sf_dir).withColumn("y", (F.col("label") % 2).cast("int"))
     m = L.fit_softmax_gd(p, ["x1", "x2"], "y", lr=GD_LR, epochs=GD_STEPS, c_reg=GD_C, classes=[0, 1])
     terms = ["intercept", "x1", "x2"]
     rows = [(terms[i], k, float(m.w[i, k])) for i in range(3) for k in range(2)]
@@ -263,7 +263,7 @@ def l02_softmax_gd(spark, sf_dir):
 def l04_svm_gd(spark, sf_dir):
     """Rows-only: one-vs-rest linear SVM by batch sub-gradient descent."""
     train, test = split_embeddings(spark, sf_dir)
-    m = L.fit_svm_gd(train, X5, "label", epochs=20)
+    m = L.fit_svm_gd(train, XS, "label", epochs=20)
     return m.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
 
 
@@ -271,8 +271,8 @@ def l04_svm_gd(spark, sf_dir):
 def l09_relu_net(spark, sf_dir):
     """Rows-only: ReLU network trained by distributed full-batch backprop."""
     train, test = split_embeddings(spark, sf_dir)
-    net = L.fit_relu_net(train, X5, "label", hidden=(16,), lr=0.5, max_iter=15)
-    return net.transform(test.select("vec_id", "label", *X5)).select("vec_id", F.col("label").alias("y"), "p")
+    net = L.fit_relu_net(train, XS, "label", hidden=(16,), lr=0.5, max_iter=15)
+    return net.transform(test.select("vec_id", "label", *XS)).select("vec_id", F.col("label").alias("y"), "p")
 
 
 @register("l11_us_region_model")
@@ -317,7 +317,7 @@ SVM_STEPS, SVM_LR, SVM_C = 3, 0.01, 1.0
 
 
 def _l04k_sql():
-    ctes = [f"pts AS ({emb_sql(2)})", "tr AS (SELECT x1, x2, CAST(label % 2 AS INTEGER) AS y FROM pts)",
+    ctes = [f"pts AS ({walsh_sql()})", "tr AS (SELECT x1, x2, CAST(label % 2 AS INTEGER) AS y FROM pts)",
             "w0 AS (SELECT 0.0E0 AS w00, 0.0E0 AS w01, 0.0E0 AS w10, 0.0E0 AS w11, 0.0E0 AS w20, 0.0E0 AS w21)"]
     for t in range(SVM_STEPS):
         ctes.append(
@@ -344,7 +344,7 @@ def _l04k_sql():
 def l04_svm_gd_parity(spark, sf_dir):
     """One-vs-rest linear SVM by batch sub-gradient (lr 0.01, reg 2w/C on the
     weights), two features, two classes (label parity), three steps (sql-k)."""
-    p = flows.embedding_points(spark, sf_dir, 2).withColumn("y", (F.col("label") % 2).cast("int"))
+    p = flows.walsh_points(spark, sf_dir).withColumn("y", (F.col("label") % 2).cast("int"))
     m = L.fit_svm_gd(p, ["x1", "x2"], "y", lr=SVM_LR, epochs=SVM_STEPS, c_reg=SVM_C, classes=[0, 1])
     terms = ["intercept", "x1", "x2"]
     rows = [(terms[i], k, float(m.w[i, k])) for i in range(3) for k in range(2)]

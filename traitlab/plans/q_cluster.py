@@ -1,5 +1,6 @@
 """Queries for clustering and cluster metrics (C1-C15) on the embeddings
-table (first five dimensions; the stored ``label`` is the given cluster)."""
+table (all 64 values; the mixture, DBSCAN and KDE queries on two signed sums
+of all of them; the stored ``label`` is the given cluster)."""
 
 from __future__ import annotations
 
@@ -11,20 +12,28 @@ from traitlab.plans import flows
 from traitlab.plans import oracle as O
 from traitlab.plans.catalog import register, round_doubles
 
-X5 = [f"x{i}" for i in range(1, 6)]
+XS = [f"x{i}" for i in range(1, flows.N_VALUES + 1)]
 
 
-def emb_sql(dims: int = 5) -> str:
-    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i + 1}" for i in range(dims))
+def emb_sql() -> str:
+    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i + 1}" for i in range(flows.N_VALUES))
     return f"SELECT vec_id, label, {cols} FROM embeddings"
 
 
-def sq(a: str, b: str, cols=X5) -> str:
+def walsh_sql(dims: int = 2, prefix: str = "x", keep: bool = False) -> str:
+    """Signed sums of all values, as ``flows.walsh_points``."""
+    val = [f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(flows.N_VALUES)]
+    sums = [val[0] + "".join((" + " if flows.walsh_sign(j, i) > 0 else " - ") + val[i] for i in range(1, flows.N_VALUES)) for j in range(dims)]
+    every = "".join(f"{v} AS x{i + 1}, " for i, v in enumerate(val)) if keep else ""
+    return f"SELECT vec_id, label, {every}" + ", ".join(f"({s}) / 8.0E0 AS {prefix}{j + 1}" for j, s in enumerate(sums)) + " FROM embeddings"
+
+
+def sq(a: str, b: str, cols=XS) -> str:
     return " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in cols)
 
 
 def _c09_sql():
-    means = ", ".join(f"avg({c}) AS {c}" for c in X5)
+    means = ", ".join(f"avg({c}) AS {c}" for c in XS)
     return (
         f"WITH p AS ({emb_sql()}), c AS (SELECT label, count(*) AS n, {means} FROM p GROUP BY label), g AS (SELECT {means} FROM p), "
         f"bt AS (SELECT sum(c.n * ({sq('c', 'g')})) AS b, count(*) AS k, sum(c.n) AS n FROM c JOIN g ON TRUE), "
@@ -35,11 +44,11 @@ def _c09_sql():
 
 @register("c09_calinski_harabasz", _c09_sql)
 def c09_calinski_harabasz(spark, sf_dir):
-    return round_doubles(Q.calinski_harabasz_frame(flows.embedding_points(spark, sf_dir), X5, "label"))
+    return round_doubles(Q.calinski_harabasz_frame(flows.embedding_points(spark, sf_dir), XS, "label"))
 
 
 def _c10_sql():
-    means = ", ".join(f"avg({c}) AS {c}" for c in X5)
+    means = ", ".join(f"avg({c}) AS {c}" for c in XS)
     return (
         f"WITH p AS ({emb_sql()}), c AS (SELECT label, {means} FROM p GROUP BY label), "
         f"s AS (SELECT c.*, sc.s FROM c JOIN (SELECT p.label, avg(sqrt({sq('p', 'c')})) AS s FROM p JOIN c ON p.label = c.label GROUP BY p.label) sc ON c.label = sc.label), "
@@ -50,7 +59,7 @@ def _c10_sql():
 
 @register("c10_davies_bouldin", _c10_sql)
 def c10_davies_bouldin(spark, sf_dir):
-    return round_doubles(Q.davies_bouldin_frame(flows.embedding_points(spark, sf_dir), X5, "label"))
+    return round_doubles(Q.davies_bouldin_frame(flows.embedding_points(spark, sf_dir), XS, "label"))
 
 
 def _c11_sql():
@@ -89,12 +98,12 @@ def _sil_sql(squared: bool, name: str):
 
 @register("c13_silhouette", lambda: _sil_sql(False, "silhouette"))
 def c13_silhouette(spark, sf_dir):
-    return round_doubles(Q.silhouette_frame(flows.embedding_points(spark, sf_dir), X5, "label"))
+    return round_doubles(Q.silhouette_frame(flows.embedding_points(spark, sf_dir), XS, "label"))
 
 
 @register("c13_silhouette_sq", lambda: _sil_sql(True, "silhouette_sq"))
 def c13_silhouette_sq(spark, sf_dir):
-    return round_doubles(Q.silhouette_sq_frame(flows.embedding_points(spark, sf_dir), X5, "label"))
+    return round_doubles(Q.silhouette_sq_frame(flows.embedding_points(spark, sf_dir), XS, "label"))
 
 
 def _c15_sql():
@@ -109,53 +118,42 @@ def _c15_sql():
 def c15_degenerate_labels(spark, sf_dir):
     """All rows in one cluster: CH -1, DB +inf, silhouette -1."""
     p = flows.embedding_points(spark, sf_dir).withColumn("one", F.lit(0))
-    ch = Q.calinski_harabasz_frame(p, X5, "one")
-    db = Q.davies_bouldin_frame(p, X5, "one")
-    sl = Q.silhouette_sq_frame(p, X5, "one")
-    return _one_row(spark, ch, db, sl)
-
-
-def _one_row(spark, *frames):
-    """Glue one-row metric frames side by side (each is a finished aggregate)."""
-    vals = {}
-    for f in frames:
-        r = f.first()
-        vals.update(r.asDict())
-    return spark.createDataFrame([tuple(vals.values())], ", ".join(f"{k} double" for k in vals))
+    q = Q.cluster_quality(p, XS, "one")
+    return spark.createDataFrame([(float(q["calinski_harabasz"]), float(q["davies_bouldin"]), float(q["silhouette"]))], "calinski_harabasz double, davies_bouldin double, silhouette_sq double")
 
 
 def _c03_sql():
-    return f"WITH p AS ({emb_sql()}), " + O.nearest_first_k_ctes("p", X5, 4, key="vec_id") + " SELECT vec_id, cluster FROM lab"
+    return f"WITH p AS ({emb_sql()}), " + O.nearest_first_k_ctes("p", XS, 4, key="vec_id") + " SELECT vec_id, cluster FROM lab"
 
 
 @register("c03_assign_nearest", _c03_sql)
 def c03_assign_nearest(spark, sf_dir):
     p = flows.embedding_points(spark, sf_dir)
-    centers = KM.init_first_rows(p, "vec_id", X5, 4)
-    return KM.assign_nearest(p, X5, centers).select("vec_id", "cluster")
+    centers = KM.init_first_rows(p, "vec_id", XS, 4)
+    return KM.assign_nearest(p, XS, centers).select("vec_id", "cluster")
 
 
 def _c01_sql(iters: int = 3, k: int = 4):
     D = O.det_sql("vec_id")
-    cols = ", ".join(X5)
+    cols = ", ".join(XS)
     ctes = [f"p AS ({emb_sql()})", f"cen0 AS (SELECT row_number() OVER (ORDER BY {D}, vec_id) - 1 AS cid, {cols} FROM p ORDER BY {D}, vec_id LIMIT {k})"]
     for it in range(1, iters + 1):
         prev = f"cen{it - 1}"
         ctes.append(
             f"a{it} AS (SELECT vec_id, cid FROM (SELECT p.vec_id, c.cid, row_number() OVER (PARTITION BY p.vec_id ORDER BY {sq('p', 'c')}, c.cid) AS rn FROM p JOIN {prev} c ON TRUE) t WHERE rn = 1)"
         )
-        ctes.append(f"m{it} AS (SELECT a.cid, " + ", ".join(f"avg(p.{c}) AS {c}" for c in X5) + f" FROM a{it} a JOIN p ON a.vec_id = p.vec_id GROUP BY a.cid)")
-        ctes.append(f"cen{it} AS (SELECT c.cid, " + ", ".join(f"coalesce(m.{c}, c.{c}) AS {c}" for c in X5) + f" FROM {prev} c LEFT JOIN m{it} m ON c.cid = m.cid)")
-    return "WITH " + ", ".join(ctes) + f" SELECT CAST(cid AS INTEGER) AS cluster, " + ", ".join(f"round({c}, 4) AS {c}" for c in X5) + f" FROM cen{iters}"
+        ctes.append(f"m{it} AS (SELECT a.cid, " + ", ".join(f"avg(p.{c}) AS {c}" for c in XS) + f" FROM a{it} a JOIN p ON a.vec_id = p.vec_id GROUP BY a.cid)")
+        ctes.append(f"cen{it} AS (SELECT c.cid, " + ", ".join(f"coalesce(m.{c}, c.{c}) AS {c}" for c in XS) + f" FROM {prev} c LEFT JOIN m{it} m ON c.cid = m.cid)")
+    return "WITH " + ", ".join(ctes) + f" SELECT CAST(cid AS INTEGER) AS cluster, " + ", ".join(f"round({c}, 4) AS {c}" for c in XS) + f" FROM cen{iters}"
 
 
 @register("c01_kmeans_parity", _c01_sql)
 def c01_kmeans_parity(spark, sf_dir):
     """Lloyd K-Means, k=4, started from the first 4 rows by det, 3 updates."""
     p = flows.embedding_points(spark, sf_dir)
-    model = KM.kmeans(p, "vec_id", X5, k=4, max_iter=3, tol=0.0)
+    model = KM.kmeans(p, "vec_id", XS, k=4, max_iter=3, tol=0.0)
     rows = [(i, *c) for i, c in enumerate(model.centers)]
-    out = spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in X5))
+    out = spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in XS))
     return round_doubles(out, 4)
 
 
@@ -163,7 +161,7 @@ def c01_kmeans_parity(spark, sf_dir):
 def c01_kmeans_ml(spark, sf_dir):
     """Rows-only: Spark ML K-Means (k-means|| init) labels of the embeddings."""
     p = flows.embedding_points(spark, sf_dir)
-    out, _model = KM.kmeans_ml(p, X5, k=4, max_iter=20, seed=42)
+    out, _model = KM.kmeans_ml(p, XS, k=4, max_iter=20, seed=42)
     return out.select("vec_id", "cluster")
 
 
@@ -171,7 +169,7 @@ def c01_kmeans_ml(spark, sf_dir):
 def c02_uniform_box_init(spark, sf_dir):
     """Rows-only: K-Means from a seeded uniform-box start (C2), final labels."""
     p = flows.embedding_points(spark, sf_dir)
-    model = KM.kmeans(p, "vec_id", X5, k=4, max_iter=20, init="box", seed=42)
+    model = KM.kmeans(p, "vec_id", XS, k=4, max_iter=20, init="box", seed=42)
     return model.assign(p).select("vec_id", "cluster")
 
 
@@ -186,7 +184,7 @@ def _gmm_ctes(steps: int = 2, k: int = GMM_K, tied: bool = False) -> list[str]:
     after i M-steps, r<i> = responsibilities under th<i>."""
     D = O.det_sql("vec_id")
     ctes = [
-        f"p AS ({emb_sql(2)})",
+        f"p AS ({walsh_sql()})",
         "nn AS (SELECT count(*) AS n FROM p)",
         f"th0 AS (SELECT row_number() OVER (ORDER BY {D}, vec_id) - 1 AS cid, 1.0E0 / {k} AS pi, x1 AS m1, x2 AS m2, 1.0E0 AS s11, 0.0E0 AS s12, 1.0E0 AS s22 FROM p ORDER BY {D}, vec_id LIMIT {k})",
     ]
@@ -238,7 +236,7 @@ def _gmm_frame(spark, model):
 def _fit_gmm(spark, sf_dir, tied=False):
     from traitlab.operators.cluster import gmm as G
 
-    p = flows.embedding_points(spark, sf_dir, 2)
+    p = flows.walsh_points(spark, sf_dir)
     return p, G.gmm(p, "vec_id", X2, k=GMM_K, max_iter=2, tol=0.0, covariance="tied" if tied else "full", reg=0.0)
 
 
@@ -290,7 +288,7 @@ def c04_gmm_ml(spark, sf_dir):
     """Rows-only: Spark ML GaussianMixture labels on two features."""
     from traitlab.operators.cluster import gmm as G
 
-    p = flows.embedding_points(spark, sf_dir, 2)
+    p = flows.walsh_points(spark, sf_dir)
     out, _m = G.gmm_ml(p, X2, k=3, max_iter=50)
     return out.select("vec_id", "cluster")
 
@@ -303,7 +301,7 @@ DB_EPS, DB_MIN = 0.2, 6
 def _c06_sql():
     D2 = "(a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)"
     return (
-        f"WITH RECURSIVE raw AS ({emb_sql(2)}), st AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS s1, avg(x2) AS m2, stddev_pop(x2) AS s2 FROM raw), "
+        f"WITH RECURSIVE raw AS ({walsh_sql()}), st AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS s1, avg(x2) AS m2, stddev_pop(x2) AS s2 FROM raw), "
         "p AS (SELECT vec_id, (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2 FROM raw JOIN st ON TRUE), "
         f"pairs AS (SELECT a.vec_id AS i, b.vec_id AS j FROM p a JOIN p b ON {D2} <= CAST({DB_EPS * DB_EPS!r} AS DOUBLE)), "
         f"core AS (SELECT i FROM pairs GROUP BY i HAVING count(*) >= {DB_MIN}), "
@@ -322,7 +320,7 @@ def c06_dbscan(spark, sf_dir):
     from traitlab.operators.cluster.dbscan import dbscan
     from traitlab.operators.features import standardize
 
-    p = flows.embedding_points(spark, sf_dir, 2)
+    p = flows.walsh_points(spark, sf_dir)
     z, _sc = standardize(p, X2)
     return dbscan(z, "vec_id", X2, eps=DB_EPS, min_samples=DB_MIN)
 
@@ -337,7 +335,7 @@ def _c14_sql():
     from traitlab.operators.sample import perm_multiplier
 
     ctes = [
-        f"p AS ({emb_sql(2)})",
+        f"p AS ({walsh_sql()})",
         "c AS (SELECT label, avg(x1) AS m1, avg(x2) AS m2 FROM p GROUP BY label)",
         "bw AS (SELECT ((stddev_pop(x1) + stddev_pop(x2)) / 2) * pow(count(*), -1.0E0 / 6) AS h FROM p)",
         "real AS (SELECT c.label, avg(exp(-((p.x1 - c.m1) * (p.x1 - c.m1) + (p.x2 - c.m2) * (p.x2 - c.m2)) / (2 * bw.h * bw.h))) AS density FROM p JOIN c ON TRUE JOIN bw ON TRUE GROUP BY c.label)",
@@ -364,5 +362,5 @@ def c14_kde_enrichment(spark, sf_dir):
     """KDE density at each label centre vs column-permuted nulls (3 draws)."""
     from traitlab.operators.cluster.kde import kde_enrichment
 
-    p = flows.embedding_points(spark, sf_dir, 2)
+    p = flows.walsh_points(spark, sf_dir)
     return round_doubles(kde_enrichment(p, "vec_id", X2, "label", n_null=KDE_B))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from traitlab.plans import flows
 from traitlab.plans import oracle as O
 from traitlab.plans.catalog import register, round_doubles
+from traitlab.plans.q_cluster import walsh_sql
 from traitlab.sources.dims import SCORES
 
 
@@ -63,16 +64,15 @@ def _e05_sql():
 
 @register("e05_glue_labels", _e05_sql)
 def e05_glue_labels(spark, sf_dir):
-    """Two labellings of the same rows glued on row_id.  Both are column
-    expressions over one scan, so the "glue" needs no join here; the
-    operator (``glue_labels``) joins runs that were produced separately."""
+    """Two labellings of the same rows glued on row_id."""
     from traitlab.operators.cluster.kmeans import assign_nearest, init_first_rows
+    from traitlab.operators.enrich import glue_labels
 
     zs = flows.zscored_survey(spark, sf_dir)
     c3 = init_first_rows(zs, "row_id", flows.ZSCORES, 3)
     c5 = init_first_rows(zs, "row_id", flows.ZSCORES, 5)
-    both = assign_nearest(assign_nearest(zs, flows.ZSCORES, c3, "kmeans_3"), flows.ZSCORES, c5, "kmeans_5")
-    return both.select("row_id", "kmeans_3", "kmeans_5")
+    runs = [assign_nearest(zs, flows.ZSCORES, c).select("row_id", "cluster") for c in (c3, c5)]
+    return glue_labels(runs, "row_id", ["kmeans_3", "kmeans_5"])
 
 
 def _e06_sql():
@@ -114,14 +114,9 @@ def e07_attach_labels(spark, sf_dir):
 E08_EPS = 0.02
 
 
-def embedding_sql(dims: int = 5) -> str:
-    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i + 1}" for i in range(dims))
-    return f"SELECT vec_id, label, {cols} FROM embeddings"
-
-
 def _e08_sql():
     return (
-        f"WITH p AS ({embedding_sql(2)}) SELECT a.vec_id AS i, b.vec_id AS j, round(sqrt((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2)), 6) AS dist "
+        f"WITH p AS ({walsh_sql()}) SELECT a.vec_id AS i, b.vec_id AS j, round(sqrt((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2)), 6) AS dist "
         f"FROM p a JOIN p b ON (a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) <= CAST({E08_EPS * E08_EPS!r} AS DOUBLE)"
     )
 
@@ -130,7 +125,7 @@ def _e08_sql():
 def e08_eps_pairs(spark, sf_dir):
     from traitlab.operators.enrich import eps_pairs
 
-    pts = flows.embedding_points(spark, sf_dir, 2)
+    pts = flows.walsh_points(spark, sf_dir)
     return round_doubles(eps_pairs(pts, "vec_id", ["x1", "x2"], E08_EPS))
 
 

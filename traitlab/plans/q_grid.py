@@ -1,6 +1,6 @@
 """Grid-result analyses (A4, A12, A14-A17, P14, P17) over a K-Means grid whose
 fits SQL can reproduce, so every analysis has an oracle.  The grid runs on
-the embeddings: feature sets of 2 and 5 dimensions, raw and standardised,
+the embeddings: two signed sums of all values, or all 64 values, raw and standardised,
 0 or 1 Lloyd updates from the first k rows by det, k in {3, 4}."""
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from traitlab.operators import search as M
 from traitlab.plans import flows
 from traitlab.plans import oracle as O
 from traitlab.plans.catalog import register, round_doubles
-from traitlab.plans.q_cluster import emb_sql
+from traitlab.plans.q_cluster import XS, walsh_sql
 
-FEATURES = {"dims2": ["x1", "x2"], "dims5": ["x1", "x2", "x3", "x4", "x5"]}
+FEATURES = {"sums2": ["w1", "w2"], "all64": XS}
 KS = (3, 4)
 STEPS = (0, 1)
 SCALED = (False, True)
@@ -27,7 +27,7 @@ _GRID: dict = {}
 def grid(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GRID:
-        p = flows.embedding_points(spark, sf_dir, 5)
+        p = flows.walsh_points(spark, sf_dir, 2, "w", keep=True)
         _GRID[key] = M.assignment_grid(p, "vec_id", FEATURES, KS, STEPS, SCALED).cache()
     return _GRID[key]
 
@@ -43,9 +43,9 @@ def _config_ctes(i: int, data_type: str, cols: list[str], scaled: bool, steps: i
     if scaled:
         stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
         zs = ", ".join(f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END AS {c}" for c in cols)
-        ctes = [f"{g}_st AS (SELECT {stats} FROM e5)", f"{g}_p AS (SELECT vec_id, {zs} FROM e5 JOIN {g}_st ON TRUE)"]
+        ctes = [f"{g}_st AS (SELECT {stats} FROM pts0)", f"{g}_p AS (SELECT vec_id, {zs} FROM pts0 JOIN {g}_st ON TRUE)"]
     else:
-        ctes = [f"{g}_p AS (SELECT vec_id, {clist} FROM e5)"]
+        ctes = [f"{g}_p AS (SELECT vec_id, {clist} FROM pts0)"]
     ctes.append(f"{g}_c0 AS (SELECT row_number() OVER (ORDER BY {D}, vec_id) - 1 AS cid, {clist} FROM {g}_p ORDER BY {D}, vec_id LIMIT {k})")
 
     def assign(c, name):
@@ -93,7 +93,7 @@ def _config_ctes(i: int, data_type: str, cols: list[str], scaled: bool, steps: i
 
 
 def grid_ctes() -> list[str]:
-    ctes = [f"e5 AS ({emb_sql(5)})"]
+    ctes = [f"pts0 AS ({walsh_sql(2, 'w', keep=True)})"]
     rows = []
     i = 0
     for data_type, cols in FEATURES.items():

@@ -23,7 +23,7 @@ def _a02_sql():
         *LAB,
         f"prof AS (SELECT lab.cluster, {aggs} FROM clean c JOIN lab ON c.row_id = lab.row_id GROUP BY lab.cluster)",
         f"long AS ({unions})",
-    ) + "SELECT * FROM (PIVOT (SELECT stat, trait, 'Cluster ' || CAST(cluster AS VARCHAR) AS cname, round(value, 6) AS value FROM long) ON cname USING first(value))"
+    ) + "SELECT stat, trait, " + ", ".join(f"round(max(CASE WHEN cluster = {c} THEN value END), 6) AS \"Cluster {c}\"" for c in range(5)) + " FROM long GROUP BY stat, trait"
 
 
 @register("a02_profile_wide", _a02_sql)

@@ -10,7 +10,7 @@ from traitlab.operators import profile as A
 from traitlab.operators import search as M
 from traitlab.plans import flows
 from traitlab.plans.catalog import register, round_doubles
-from traitlab.plans.q_cluster import X5
+from traitlab.plans.q_cluster import XS
 
 CLUSTER_SPACE = {
     "KMeans": {"n_clusters": [3, 4], "max_iter": [10]},
@@ -22,12 +22,12 @@ _GRID: dict = {}
 
 
 def cluster_grid_results(spark, sf_dir):
-    """M1 over the embeddings (5 dims), factor analysis off and on (2 factors).
+    """M1 over the embeddings (all 64 values), factor analysis off and on (2 factors).
     Computed once per session and sf (each fit is a set of Spark jobs)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GRID:
-        p = flows.embedding_points(spark, sf_dir, 5)
-        res = M.cluster_grid(p, "vec_id", {"dims5": X5}, CLUSTER_SPACE, factor_analysis=(False, True), n_factors=2, max_seconds=1800)
+        p = flows.embedding_points(spark, sf_dir)
+        res = M.cluster_grid(p, "vec_id", {"all64": XS}, CLUSTER_SPACE, factor_analysis=(False, True), n_factors=2)
         _GRID[key] = res.cache()
     return _GRID[key]
 
@@ -46,7 +46,7 @@ def m02_classifier_grid(spark, sf_dir):
 
     train, test = split_embeddings(spark, sf_dir)
     space = {"LogisticRegression": {"C": [0.1, 1.0], "max_iter": [50]}, "RandomForest": {"n_estimators": [10], "max_depth": [5]}}
-    return round_doubles(M.classifier_grid(train, test, X5, "label", space).drop("seconds"), 4)
+    return round_doubles(M.classifier_grid(train, test, XS, "label", space).drop("seconds"), 4)
 
 
 @register("m03_random_search")
@@ -56,5 +56,5 @@ def m03_random_search(spark, sf_dir):
 
     train, _test = split_embeddings(spark, sf_dir)
     space = {"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1, 2]}
-    _best, tried = M.random_search(train, X5, "label", space, n_iter=3, folds=3)
+    _best, tried = M.random_search(train, XS, "label", space, n_iter=3, folds=3)
     return round_doubles(tried, 4)

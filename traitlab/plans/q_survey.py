@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from traitlab.functions.columns import guarded_number
 from traitlab.plans import flows
 from traitlab.plans import oracle as O
 from traitlab.plans.catalog import register, round_doubles
@@ -189,12 +190,12 @@ def p12_keep_notnull(spark, sf_dir):
 
 
 def _p13_sql():
-    return O.with_clean() + "SELECT row_id, v AS value FROM (SELECT row_id, TRY_CAST(EST3 AS DOUBLE) AS v FROM parsed) t WHERE v IS NOT NULL AND NOT isnan(v) AND v BETWEEN 1 AND 5"
+    return O.with_clean() + "SELECT row_id, v AS value FROM (SELECT row_id, " + O.guard_sql("EST3") + " AS v FROM parsed) t WHERE v IS NOT NULL AND NOT isnan(v) AND v BETWEEN 1 AND 5"
 
 
 @register("p13_text_number", _p13_sql)
 def p13_text_number(spark, sf_dir):
-    v = F.col("EST3").try_cast("double")
+    v = guarded_number("EST3")
     df = flows.parsed_survey(spark, sf_dir).select("row_id", v.alias("value"))
     return df.filter(F.col("value").isNotNull() & ~F.isnan("value") & F.col("value").between(1, 5))
 

@@ -5,8 +5,11 @@ Readers take explicit schemas (no inference in production) and never set
 
 from __future__ import annotations
 
+import importlib
+import json
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,21 +131,96 @@ def finished_configs(spark: SparkSession, path: str, key: str = "config_id") ->
 
     The log holds one row per configuration, so the set is bounded by the
     grid size."""
+    from pyspark.errors import AnalysisException
+
     try:
         df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent log means nothing finished
-        return set()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no log yet
+            return set()
+        raise
     if key not in df.columns:
         return set()
     return {r[0] for r in df.select(key).distinct().collect()}
 
 
-def save_model(model, path: str) -> None:
-    """Spark ML persistence (PipelineModel, fitted estimators)."""
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str):
+def save_model(model, path: str, spark: SparkSession | None = None) -> None:
+    """A fitted model at ``path``.  Spark ML models use their own writer.
+    The library's dataclasses (scaler, label map, linear model, network,
+    nearest centroid, fitted classifier) are one JSON record, with the Spark
+    model they wrap, if any, beside it."""
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+        return
+    spark = spark or SparkSession.active()
+    state, wrapped = _state(model)
+    if wrapped is not None:
+        wrapped.write().overwrite().save(f"{path}/spark")
+        state["spark_class"] = f"{type(wrapped).__module__}.{type(wrapped).__qualname__}"
+    spark.createDataFrame([(json.dumps(state),)], "model string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
+
+
+def load_model(path: str, spark: SparkSession | None = None):
+    """What ``save_model`` wrote."""
+    from pyspark.errors import AnalysisException
     from pyspark.ml import PipelineModel
 
-    return PipelineModel.load(path)
+    spark = spark or SparkSession.active()
+    try:
+        state = json.loads(spark.read.text(f"{path}/state").first()[0])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return PipelineModel.load(path)
+    return _restored(state, path)
+
+
+def _models() -> dict:
+    from traitlab.operators.classify.models import FittedModel, LinearModel, NearestCentroid, ReluNet
+    from traitlab.operators.features import LabelMap, Scaler
+
+    return {c.__name__: c for c in (FittedModel, LinearModel, NearestCentroid, ReluNet, LabelMap, Scaler)}
+
+
+def _state(model) -> tuple[dict, object]:
+    import dataclasses
+
+    if type(model).__name__ not in _models():
+        raise TypeError(f"cannot save a {type(model).__name__}")
+    fields, wrapped = {}, None
+    for f in dataclasses.fields(model):
+        v = getattr(model, f.name)
+        if f.name == "model":
+            if hasattr(v, "write"):
+                wrapped, v = v, None
+            else:
+                v = _state(v)[0]
+        elif isinstance(v, T.DataType):
+            v = {"type": v.jsonValue()}
+        elif isinstance(v, np.ndarray):
+            v = {"array": v.tolist()}
+        elif isinstance(v, list) and v and isinstance(v[0], np.ndarray):
+            v = {"arrays": [x.tolist() for x in v]}
+        fields[f.name] = v
+    return {"class": type(model).__name__, "fields": fields}, wrapped
+
+
+def _restored(state: dict, path: str):
+    fields = {}
+    for name, v in state["fields"].items():
+        if name == "model":
+            if v is None:
+                module, _, cls = state["spark_class"].rpartition(".")
+                if module.split(".")[:2] != ["pyspark", "ml"]:
+                    raise ValueError(f"not a Spark ML class: {module}.{cls}")
+                v = getattr(importlib.import_module(module), cls).load(f"{path}/spark")
+            else:
+                v = _restored(v, path)
+        elif isinstance(v, dict) and set(v) == {"type"}:
+            v = T._parse_datatype_json_value(v["type"])
+        elif isinstance(v, dict) and set(v) == {"array"}:
+            v = np.array(v["array"])
+        elif isinstance(v, dict) and set(v) == {"arrays"}:
+            v = [np.array(x) for x in v["arrays"]]
+        fields[name] = v
+    return _models()[state["class"]](**fields)

@@ -72,11 +72,9 @@ def survey_lines(customer: DataFrame, materialize: bool = True) -> DataFrame:
 
     spark = lines.sparkSession
     checkpoint_dir(spark)
-    # the fixture comes from one small file; spread it like a raw file of
-    # many blocks would be, so the parse runs on every core
     from traitlab.session import reliable_checkpoint
 
-    return reliable_checkpoint(lines.repartition(spark.sparkContext.defaultParallelism))
+    return reliable_checkpoint(lines)
 
 
 def load_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
