@@ -48,4 +48,15 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-SQL = {"op2_ngram_jaccard_join": OP2, "op4_quality_rules": OP4, "op5_substring_dedup": OP5}
+OP9 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, lambda z: z IS NULL OR NOT isfinite(z))) = 0 AND len(list_filter(x, lambda z: z <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
+
+SQL = {"op2_ngram_jaccard_join": OP2, "op4_quality_rules": OP4, "op5_substring_dedup": OP5, "op9_embedding_near_dedup": OP9}
