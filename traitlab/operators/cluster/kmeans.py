@@ -67,12 +67,13 @@ def lloyd_step(df: DataFrame, cols: Sequence[str], centers: list[list[float]]) -
         total = np.zeros((k, len(cols) + 1))
         for pdf in frames:
             x = pdf[cols].to_numpy(dtype=float)
+            x = x[~np.isnan(x).any(axis=1)]
             dist = np.stack([np.square(x - m).sum(axis=1) for m in c], axis=1)
             near = dist.argmin(axis=1) if len(x) else np.empty(0, dtype=int)
             np.add.at(total, near, np.column_stack([x, np.ones(len(x))]))
         yield pd.DataFrame({"s": [total.ravel().tolist()]})
 
-    cells = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna().mapInPandas(sums, "s array<double>")
+    cells = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(sums, "s array<double>")
     rows = cells.select(F.posexplode("s").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).collect()
     total = np.zeros(k * (len(cols) + 1))
     for r in rows:
