@@ -84,6 +84,28 @@ def test_jaccard_all_pairs_share_a_signature():
             assert set(jaccard.signatures(a, 90, 100, 3, 1, bands).tolist()) & set(jaccard.signatures(b, 90, 100, 3, 1, bands).tolist())
 
 
+def test_jaccard_large_sets_of_two_size_classes(spark):
+    base = ["w%d" % i for i in range(2000)]
+    data = [(1, " ".join(base)), (2, " ".join(base + ["x%d" % i for i in range(90)])), (3, " ".join(base[300:] + ["y%d" % i for i in range(300)])), (4, " ".join(base[:-150]))]
+    got = jaccard.jaccard_groups(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(got)) == brute_groups(data, 3, 90, 100)
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        size = int(rng.integers(1, 6000))
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(len(a) * rng.random())], rng.integers(0, 2**63, size // 10).astype(np.uint64)]))
+        if not len(b):
+            continue
+        differ = len(np.setxor1d(a, b))
+        longs = 1 << int(rng.integers(0, 8))
+        x, y, twice = jaccard.parity_sketch(a, longs), jaccard.parity_sketch(b, longs), jaccard.parity_sketch(a, 2 * longs)
+        assert sum(bin(int(v) & (2**64 - 1)).count("1") for v in x ^ y) <= differ
+        assert (twice[:longs] ^ twice[longs:] == x).all()
+
+
 def test_jaccard_empty(no_docs):
     assert rows(jaccard.jaccard_groups(no_docs)) == []
 

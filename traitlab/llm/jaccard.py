@@ -84,61 +84,82 @@ def set_name(shingles: np.ndarray) -> int:
         return int(mix(np.array([mix(shingles).sum(dtype=np.uint64) + _U(len(shingles))])).view(np.int64)[0])
 
 
-def _sets(docs: DataFrame, shingle: int, num: int, den: int, n2: int, k2: int) -> DataFrame:
-    """(id, n, node, check, sigs) per row.  ``sigs`` is filled where a task
-    first meets a set, so copies add little to the signature shuffle."""
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, n, node, check) per row; null names for the empty set."""
+
+    def work(batches):
+        for cols in batches:
+            sets = [shingle_set(t, shingle) for t in cols["t"]]
+            name = [set_name(s) if len(s) else None for s in sets]
+            check = [set_name(s ^ _U(0xA5A5A5A5A5A5A5A5)) if len(s) else None for s in sets]
+            yield {"id": cols["id"], "n": [len(s) for s in sets], "node": name, "check": check}
+
+    return map_batches(docs, work, "id long, n long, node long, check long")
+
+
+def _signed(docs: DataFrame, shingle: int, num: int, den: int, n2: int, k2: int) -> DataFrame:
+    """(node, sigs) where a task first meets a set, so that copies add little
+    to the signature shuffle."""
 
     def work(batches):
         bands, seen = Bands(), set()
         for cols in batches:
-            n, node, check, sigs = [], [], [], []
-            for key, text in zip(cols["id"], cols["t"]):
+            node, sigs = [], []
+            for text in cols["t"]:
                 s = shingle_set(text, shingle)
-                n.append(len(s))
-                if not len(s):
-                    node.append(None)
-                    check.append(None)
-                    sigs.append(s)
+                if not len(s) or (name := set_name(s)) in seen:
                     continue
-                a = set_name(s)
-                node.append(a)
-                check.append(set_name(s ^ _U(0xA5A5A5A5A5A5A5A5)))
-                new = key is not None and a not in seen
-                if new:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen.add(a)
-                sigs.append(signatures(s, num, den, n2, k2, bands) if new else s[:0])
-            yield {"id": cols["id"], "n": n, "node": node, "check": check, "sigs": lists(sigs)}
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                seen.add(name)
+                node.append(name)
+                sigs.append(signatures(s, num, den, n2, k2, bands))
+            yield {"node": node, "sigs": lists(sigs)}
 
-    return map_batches(docs, work, "id long, n long, node long, check long, sigs array<long>")
+    return map_batches(docs.where("id is not null").select("t"), work, "node long, sigs array<long>")
 
 
-def _members(sets: DataFrame) -> DataFrame:
+def _members(signed: DataFrame) -> DataFrame:
     """(sig, node) of the signatures that two or more nodes share.  The one
     shuffle by signature serves both the count and the members."""
-    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "node").repartition("sig")
+    rows = signed.select(F.explode("sigs").alias("sig"), "node").repartition("sig")
     shared = rows.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("sig")
     return rows.join(shared, "sig", "left_semi").dropDuplicates(["sig", "node"])
 
 
-def parity_sketch(shingles: np.ndarray) -> np.ndarray:
-    """SKETCH longs; bit j is the parity of the elements hashed to place j."""
+def parity_sketch(shingles: np.ndarray, longs: int = SKETCH) -> np.ndarray:
+    """``longs`` longs (a power of two); bit j is the parity of the elements
+    hashed to place j.  Halves of a sketch, XORed, are the next smaller one."""
     with np.errstate(over="ignore"):
-        place = mix(shingles ^ _U(0x94D049BB133111EB)) >> _U(64 - 6 - SKETCH.bit_length() + 1)
-    odd = (np.bincount(place.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+        place = mix(shingles ^ _U(0x94D049BB133111EB)) & _U(64 * longs - 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=64 * longs) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> np.ndarray:
+    """For sets too large for SKETCH longs: about a bit per element."""
+    longs = 1 << max(0, int(len(shingles) // 64).bit_length())
+    return parity_sketch(shingles, longs) if longs > SKETCH else np.empty(0, np.int64)
+
+
 def _differ(x: str, y: str) -> Column:
     """Bits in which the sketches of sides ``x`` and ``y`` differ."""
     return sum((F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(SKETCH)), F.lit(0))
 
 
+def _differ_wide(x: Column, y: Column) -> Column:
+    """The same of wide sketches, the longer one folded (0 without both)."""
+    half = lambda v: F.zip_with(F.slice(v, 1, (F.size(v) / 2).cast("int")), F.slice(v, (F.size(v) / 2).cast("int") + 1, F.size(v)), lambda p, q: p.bitwiseXOR(q))
+    bits = lambda v, w: F.aggregate(F.zip_with(v, w, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, b: s + b)
+    one, two = F.size(x), F.size(y)
+    return F.when((one == 0) | (two == 0), 0).when(one == two, bits(x, y)).when(one == 2 * two, bits(half(x), y)).when(two == 2 * one, bits(x, half(y))).otherwise(0)
+
+
 def _may_link(num: int, den: int) -> Column:
     """Sizes and sketches of sides x and y allow similarity num/den."""
     sizes = (F.least("xn", "yn") * den) >= F.greatest("xn", "yn") * num
-    return sizes & (_differ("x", "y") * (den + num) <= (F.col("xn") + F.col("yn")) * (den - num))
+    most = (F.col("xn") + F.col("yn")) * (den - num)
+    return sizes & (_differ("x", "y") * (den + num) <= most) & (_differ_wide(F.col("xw"), F.col("yw")) * (den + num) <= most)
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame, num: int, den: int) -> DataFrame:
@@ -154,11 +175,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_shingles, component_id) per document; documents link when
     ``den * |A and B| >= num * |A or B|``."""
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    sets = written(_sets(picked, shingle, num, den, n2, k2), "sets")
+    sets = written(_sets(picked, shingle), "sets")
     reps = written(sets.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("rep"), F.min("check").alias("c1"), F.max("check").alias("c2")), "reps")
     if not reps.where("c1 != c2").isEmpty():
         raise ValueError("two different sets share a 64-bit fingerprint; give the operator another seed")
-    members = written(_members(sets), "members")
+    members = written(_members(_signed(picked, shingle, num, den, n2, k2)), "members")
     links = _links(picked, reps, members, shingle, num, den, leader_rounds)
     if links is None:
         classes = reps.select("node", F.col("rep").alias("component_id"))
@@ -183,12 +204,13 @@ def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int,
             named = [(x, shingle_set(t, shingle)) for x, t in zip(cols["node"], cols["t"])]
             named = [(x, s) for x, s in named if set_name(s) == x]  # rows may share an id
             sets = [s for _, s in named]
-            yield {"node": [x for x, _ in named], "n": [len(s) for s in sets], "s": lists(sets), "sketch": lists([parity_sketch(s) for s in sets])}
+            yield {"node": [x for x, _ in named], "n": [len(s) for s in sets], "s": lists(sets), "sketch": lists([parity_sketch(s) for s in sets]), "wide": lists([wide_sketch(s) for s in sets])}
 
     texts = picked.join(small(nodes), "id").select("node", "t")
-    whole = map_batches(texts, arrays, "node long, n long, s array<long>, sketch array<long>")
-    whole = written(whole.select("node", "n", "s", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)]).dropDuplicates(["node"]), "arrays")
-    info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
+    whole = map_batches(texts, arrays, "node long, n long, s array<long>, sketch array<long>, wide array<long>")
+    whole = written(whole.select("node", "n", "s", "wide", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)]).dropDuplicates(["node"]), "arrays")
+    wide_rows = BROADCAST_ROWS // 4  # a row of sketches is some hundred bytes
+    info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("wide").alias(f"{side}w"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
     links, before = None, None
     for turn in range(leader_rounds + 1):
         if turn:
@@ -206,14 +228,14 @@ def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int,
         last = turn == leader_rounds or cross <= 20 * rows or (turn > 1 and cross > 0.8 * before)
         before = cross
         if last:
-            x = at.select("sig", F.col("node").alias("x"), F.col("root").alias("xr")).join(small(info("x")), "x")
-            y = at.select("sig", F.col("node").alias("y"), F.col("root").alias("yr")).join(small(info("y")), "y")
+            x = at.select("sig", F.col("node").alias("x"), F.col("root").alias("xr")).join(small(info("x"), wide_rows), "x")
+            y = at.select("sig", F.col("node").alias("y"), F.col("root").alias("yr")).join(small(info("y"), wide_rows), "y")
             pairs = x.join(y, "sig").where("x < y and xr != yr").where(_may_link(num, den)).select("x", "y").distinct()
         else:
             pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)) if not turn else F.xxhash64("node", "sig", F.lit(turn)), F.col("node"), F.col("root")))
             lead = written(at.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("lead"), F.col("l.root").alias("lr")), "lead")
             met = written(distinct_pairs(at.join(small(lead), "sig").where("root != lr").select("node", "lead"), "node", "lead"), "met")
-            pairs = met.select(F.col("a").alias("x"), F.col("b").alias("y")).join(small(info("x")), "x").join(small(info("y")), "y").where(_may_link(num, den)).select("x", "y")
+            pairs = met.select(F.col("a").alias("x"), F.col("b").alias("y")).join(small(info("x"), wide_rows), "x").join(small(info("y"), wide_rows), "y").where(_may_link(num, den)).select("x", "y")
         pairs = written(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), "pairs")
         new = written(_verified(pairs, whole, num, den), "links")
         links = new if links is None else links.unionByName(new)
