@@ -38,12 +38,12 @@ def profile_long(profile: DataFrame, cols: Sequence[str], label: str = "cluster"
     )
 
 
-def profile_wide(profile: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
+def profile_wide(profile: DataFrame, cols: Sequence[str], label: str = "cluster", ids: Sequence | None = None) -> DataFrame:
     """A2: rows (stat, trait), one column ``Cluster c`` per cluster id.
 
-    Pivot values are the (bounded) cluster ids, listed explicitly so the
-    pivot needs no extra distinct job."""
-    ids = sorted(r[0] for r in collect_bounded(profile.select(label).distinct(), MAX_GROUPS, "profile_wide"))
+    Pivot values are the cluster ids, listed explicitly: ``ids``, or those
+    found (bounded)."""
+    ids = list(ids) if ids is not None else sorted(r[0] for r in collect_bounded(profile.select(label).distinct(), MAX_GROUPS, "profile_wide"))
     long = profile_long(profile, cols, label)
     wide = long.groupBy("stat", "trait").pivot(label, ids).agg(F.first("value"))
     return wide.select("stat", "trait", *[F.col(f"`{i}`").alias(f"Cluster {i}") for i in ids])
