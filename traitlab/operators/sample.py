@@ -216,8 +216,23 @@ def class_weights(df: DataFrame, y: str, out: str = "weight") -> DataFrame:
     return null_safe_join(df, weights, [y], "left", broadcast=k <= MAX_GROUPS)
 
 
-def bootstrap(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Sample with replacement, expected size n (Poisson per row)."""
+def bootstrap(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """Exactly n draws with replacement.  Draw j takes the row whose rank
+    by det is the MD5 of (seed, j) modulo n: counts per rank (aggregated
+    before the join) say how often a row is repeated, so no draw is listed
+    until its row is found."""
+    ranked = det_rank(df, key, seed, out="_rank")
+    n = df.count()
+    if n == 0:
+        return df
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))), 1, 15), 16, 10).cast("long") % F.lit(n)
+    times = df.sparkSession.range(n).select(drawn.alias("_rank")).groupBy("_rank").agg(F.count("*").cast("int").alias("_times"))
+    out = ranked.join(times, "_rank").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return out.drop("_rank", "_times", "_copy")
+
+
+def bootstrap_fast(df: DataFrame, seed: int = 42) -> DataFrame:
+    """B8 in one pass: a Poisson draw per row, expected size n."""
     return df.sample(withReplacement=True, fraction=1.0, seed=seed)
 
 

@@ -119,10 +119,17 @@ def b10_stratified_folds(spark, sf_dir):
     return B.folds(flows.clean_survey(spark, sf_dir), "row_id", 3, stratify="country").select("row_id", "country", "fold")
 
 
-@register("b08_bootstrap")
+def _b08_sql():
+    return O.with_clean(
+        f"rk AS (SELECT row_id, o_score, row_number() OVER (ORDER BY {D}, row_id) - 1 AS rank FROM clean)",
+        "dr AS (SELECT CAST(CAST('0x' || substr(md5('42:' || CAST(j AS VARCHAR)), 1, 15) AS UBIGINT) % (SELECT count(*) FROM clean) AS BIGINT) AS rank FROM range(0, (SELECT count(*) FROM clean)) t(j))",
+    ) + "SELECT row_id, o_score FROM dr JOIN rk USING (rank)"
+
+
+@register("b08_bootstrap", _b08_sql)
 def b08_bootstrap(spark, sf_dir):
-    """Rows-only: sample with replacement (Poisson draw per row)."""
-    return B.bootstrap(flows.clean_survey(spark, sf_dir).select("row_id", "o_score"), seed=42)
+    """n draws with replacement."""
+    return B.bootstrap(flows.clean_survey(spark, sf_dir).select("row_id", "o_score"), "row_id", seed=42)
 
 
 __all__ = ["F"]

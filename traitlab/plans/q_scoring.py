@@ -53,9 +53,9 @@ def r03_score_safe(spark, sf_dir):
     return R.score_safe(model, flows.new_responses(spark, sf_dir, complete_only=False), ITEMS).select("row_id", "cluster", "error")
 
 
-@register("r02_score_stream")
+@register("r02_score_stream", _r01_sql)
 def r02_score_stream(spark, sf_dir):
-    """Rows-only: the new responses land as Parquet files in a source folder
+    """The new responses land as Parquet files in a source folder
     under spark.checkpoint.dir; a Structured Streaming query (availableNow)
     scores them into a Parquet sink, which is read back.  Equals r01."""
     base = f"{checkpoint_dir(spark)}/r02-{uuid.uuid4().hex}"

@@ -80,13 +80,13 @@ def location_model(df: DataFrame, dim: DataFrame, target: str = "region", key: s
 
 
 def cluster_membership_model(df: DataFrame, cols: Sequence[str], y: str, key: str = "row_id", n: int = 10_000, space: dict | None = None):
-    """Sample n rows -> 80/20 split -> standardise on train, apply to
-    test -> classifier grid -> results sorted by accuracy (best first)."""
+    """80/20 split -> at most n training rows (a bound on the fit; all
+    test rows are scored) -> standardise on train, apply to test -> classifier
+    grid -> results sorted by accuracy (best first)."""
     from traitlab.operators.search import classifier_grid
 
-    smp = B.sample_n(df, key, n)
-    sp = B.split(smp, key, 0.2)
-    train, test = sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test")
+    sp = B.split(df, key, 0.2)
+    train, test = B.sample_n(sp.filter(F.col("split") == "train"), key, n), sp.filter(F.col("split") == "test")
     train, test, _sc = standardize(train, list(cols), test)
     space = space or {"LogisticRegression": {"C": [0.1, 1.0], "max_iter": [100]}, "RandomForest": {"n_estimators": [50], "max_depth": [10]}}
     return classifier_grid(train, test, list(cols), y, space)
