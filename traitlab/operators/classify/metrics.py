@@ -86,35 +86,21 @@ def confusion_wide(pred: DataFrame, classes: Sequence, y: str = "y", p: str = "p
     return pred.groupBy(y).pivot(p, list(classes)).count().na.fill(0)
 
 
-def _per_class_rows(pred: DataFrame, y: str, p: str) -> list[tuple]:
-    """(cls, support, npred, tp, precision, recall, f1) from the confusion
-    counts: one scan of the predictions, at most classes^2 rows collected."""
-    from traitlab.operators.sample import MAX_GROUPS, collect_bounded
-
-    cm = collect_bounded(confusion(pred, y, p), MAX_GROUPS, "confusion counts")
-    support, npred, tp = {}, {}, {}
-    for r in cm:
-        support[r["y"]] = support.get(r["y"], 0) + r["n"]
-        npred[r["p"]] = npred.get(r["p"], 0) + r["n"]
-        if r["y"] == r["p"]:
-            tp[r["y"]] = tp.get(r["y"], 0) + r["n"]
-    out = []
-    for c in sorted(set(support) | set(npred), key=lambda v: (v is None, str(v))):
-        s_, n_, t_ = support.get(c, 0), npred.get(c, 0), tp.get(c, 0)
-        prec = t_ / n_ if n_ > 0 else 0.0
-        rec = t_ / s_ if s_ > 0 else 0.0
-        f1 = 2.0 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0
-        out.append((c, s_, n_, t_, prec, rec, f1))
-    return out
-
-
 def per_class(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Per class: support, predicted count, true positives, precision, recall, f1.
-    Classes are those seen as truth or as prediction."""
-    rows = _per_class_rows(pred, y, p)
-    cls_type = pred.schema[y].dataType.simpleString()
-    schema = f"cls {cls_type}, support bigint, npred bigint, tp bigint, precision double, recall double, f1 double"
-    return pred.sparkSession.createDataFrame(rows, schema)
+    Classes are those seen as truth or as prediction.  One scan of the
+    predictions; every confusion count goes to its true and its predicted
+    class, summed there."""
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    hit = F.when(F.col("y").eqNullSafe(F.col("p")), n).otherwise(zero)
+    both = F.array(
+        F.struct(F.col("y").alias("cls"), n.alias("support"), zero.alias("npred"), hit.alias("tp")),
+        F.struct(F.col("p").alias("cls"), zero.alias("support"), n.alias("npred"), zero.alias("tp")),
+    )
+    sums = confusion(pred, y, p).select(F.explode(both).alias("c")).select("c.*").groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "npred", "tp")])
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    out = sums.withColumns({"precision": share(F.col("tp"), F.col("npred")), "recall": share(F.col("tp"), F.col("support"))})
+    return out.withColumn("f1", share(F.col("precision") * F.col("recall") * 2.0, F.col("precision") + F.col("recall")))
 
 
 def weighted_prf(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -129,17 +115,29 @@ def weighted_prf(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 
 def class_report(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """K7: per-class rows plus 'accuracy', 'macro avg' and 'weighted avg'
-    (one scan of the predictions; the rest is arithmetic on classes^2 counts)."""
-    rows = _per_class_rows(pred, y, p)
-    tot = sum(r[1] for r in rows)
-    out = [(str(c), pr, rc, f1, int(s_)) for c, s_, _n, _t, pr, rc, f1 in rows]
-    if rows and tot:
-        out.append(("accuracy", None, None, sum(r[3] for r in rows) / tot, int(tot)))
-        k = len(rows)
-        out.append(("macro avg", sum(r[4] for r in rows) / k, sum(r[5] for r in rows) / k, sum(r[6] for r in rows) / k, int(tot)))
-        out.append(("weighted avg", sum(r[4] * r[1] for r in rows) / tot, sum(r[5] * r[1] for r in rows) / tot, sum(r[6] * r[1] for r in rows) / tot, int(tot)))
-    return pred.sparkSession.createDataFrame(out, "label string, precision double, recall double, f1 double, support bigint")
+    """K7: per-class rows plus 'accuracy', 'macro avg' and 'weighted avg'.
+    The per-class table (one row per class) is written once; the three rows
+    are aggregates of it."""
+    from traitlab.session import scratch_table
+
+    per = scratch_table(per_class(pred, y, p), "per-class")
+    three = ["precision", "recall", "f1"]
+    tot = F.sum("support")
+    sums = per.agg(
+        tot.alias("support"),
+        (F.sum("tp") / tot).alias("accuracy"),
+        *[F.avg(c).alias(f"macro_{c}") for c in three],
+        *[(F.sum(F.col(c) * F.col("support")) / tot).alias(f"weighted_{c}") for c in three],
+    ).where(F.col("support") > 0)
+    none = F.lit(None).cast("double")
+    line = lambda name, *v: F.struct(F.lit(name).alias("label"), *[x.alias(c) for x, c in zip(v, three)], F.col("support"))
+    extra = F.array(
+        line("accuracy", none, none, F.col("accuracy")),
+        line("macro avg", *[F.col(f"macro_{c}") for c in three]),
+        line("weighted avg", *[F.col(f"weighted_{c}") for c in three]),
+    )
+    rows = per.select(F.coalesce(F.col("cls").cast("string"), F.lit("None")).alias("label"), *three, "support")
+    return rows.unionByName(sums.select(F.explode(extra).alias("r")).select("r.*"))
 
 
 def prediction_summary(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
