@@ -62,16 +62,26 @@ def pivot_mean(df: DataFrame, row: str, col: str, value: str, values: Sequence |
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     """A5: equi-width histogram per column over [min, max]; the last bin is closed.
 
-    Unpivot -> join the per-column range (one row per column, broadcast) ->
-    bin index expression -> count; the shuffle carries counts only."""
-    long = df.unpivot([], list(cols), "trait", "value").filter(F.col("value").isNotNull())
-    rng = long.groupBy("trait").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    j = long.join(F.broadcast(rng), "trait")
-    width = F.col("hi") - F.col("lo")
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) / width * F.lit(bins)), F.lit(bins - 1))
-    )
-    out = j.groupBy("trait", b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    One wide aggregate finds the ranges (two numbers per column), then one
+    pass turns each row into its bin numbers, which are unpivoted and counted:
+    the shuffle carries counts only."""
+    cols = list(cols)
+    r = df.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(cols) for f in (F.min, F.max)]).first()
+    ranges = {c: (float(r[f"min{i}"]), float(r[f"max{i}"])) for i, c in enumerate(cols) if r[f"min{i}"] is not None}
+    spark = df.sparkSession
+    if not ranges:
+        return spark.createDataFrame([], "trait string, bin int, bin_lo double, bin_hi double, n bigint")
+
+    def bin_of(c):
+        lo, hi = ranges[c]
+        if lo == hi:
+            return F.when(F.col(c).isNotNull(), F.lit(0))
+        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+
+    long = df.select(*[bin_of(c).alias(c) for c in ranges]).unpivot([], list(ranges), "trait", "bin").filter(F.col("bin").isNotNull())
+    counts = long.groupBy("trait", "bin").agg(F.count(F.lit(1)).alias("n"))
+    table = spark.createDataFrame([(c, lo, hi) for c, (lo, hi) in ranges.items()], "trait string, lo double, hi double")
+    out = counts.join(F.broadcast(table), "trait")
     w = F.col("hi") - F.col("lo")
     return out.select(
         "trait",
@@ -116,10 +126,17 @@ def correlations(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFra
 def top_with_ties(df: DataFrame, col: str, n: int = 20) -> DataFrame:
     """Row count by ``col``; the top n counts, ties kept (``rank``).
 
-    The window runs over the aggregate (one row per value), not over rows."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    r = F.rank().over(Window.orderBy(F.desc("n")))
-    return counts.withColumn("rank", r).filter(F.col("rank") <= n)
+    The counts (one row per value) are written once; the n-th largest is the
+    cut; the rank is a window over the at most n different counts above it."""
+    from traitlab.session import scratch_table
+
+    counts = scratch_table(df.groupBy(col).agg(F.count(F.lit(1)).alias("n")), "counts")
+    cut = counts.orderBy(F.desc("n")).limit(n).agg(F.min("n")).first()[0]
+    kept = counts.filter(F.col("n") >= F.lit(cut if cut is not None else 0))
+    levels = kept.groupBy("n").agg(F.count("*").alias("_k"))
+    more = F.coalesce(F.sum("_k").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    levels = levels.select("n", (more + 1).cast("int").alias("rank"))
+    return kept.join(F.broadcast(levels), "n").select(col, "n", "rank")
 
 
 def group_means(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
