@@ -78,8 +78,12 @@ def centroids(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> dic
 
 def _own_centroid_dist(cols: Sequence[str], label: str, cents: dict) -> Column:
     m = F.create_map(*[x for k, v in cents.items() for x in (F.lit(k), F.array(*[F.lit(z) for z in v]))])
-    mu = F.element_at(m, F.col(label))
-    return F.sqrt(reduce(add, [(F.col(c) - mu[i]) * (F.col(c) - mu[i]) for i, c in enumerate(cols)]))
+    return array_dist(F.array(*[F.col(c) for c in cols]), F.element_at(m, F.col(label)))
+
+
+def array_dist(a: Column, b: Column) -> Column:
+    """Euclidean distance of two arrays."""
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
 
 
 def davies_bouldin_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
@@ -92,15 +96,10 @@ def davies_bouldin_frame(df: DataFrame, cols: Sequence[str], label: str = "clust
     cmap = F.create_map(*[x for k, v in cents.items() for x in (F.lit(k), F.array(*[F.lit(z) for z in v]))])
     scat = scat.withColumn("mu", F.element_at(cmap, F.col(label)))
     allc = scat.agg(F.collect_list(F.struct(F.col(label).alias("l"), "s", "mu")).alias("all"))
-    p = len(cols)
-
-    def dist(m1, m2):
-        return F.sqrt(reduce(add, [(m1[i] - m2[i]) * (m1[i] - m2[i]) for i in range(p)]))
-
     per = allc.select(F.explode("all").alias("me"), "all")
     ratios = F.transform(
-        F.filter("all", lambda o: (o["l"] != F.col("me")["l"]) & (dist(o["mu"], F.col("me")["mu"]) > 0)),
-        lambda o: (o["s"] + F.col("me")["s"]) / dist(o["mu"], F.col("me")["mu"]),
+        F.filter("all", lambda o: (o["l"] != F.col("me")["l"]) & (array_dist(o["mu"], F.col("me")["mu"]) > 0)),
+        lambda o: (o["s"] + F.col("me")["s"]) / array_dist(o["mu"], F.col("me")["mu"]),
     )
     per = per.select(F.coalesce(F.array_max(ratios), F.lit(0.0)).alias("r"), F.size("all").alias("k"))
     return per.agg(F.when(F.max("k") < 2, F.lit(float("inf"))).otherwise(F.avg("r")).alias("davies_bouldin"))
@@ -185,8 +184,7 @@ def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster",
     if groups.limit(2).count() < 2:
         return df.sparkSession.range(1).select(F.lit(-1.0).alias("silhouette"))
     table = groups.agg(F.collect_list(F.struct("_l", "xs")).alias("g"))
-    dist = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
-    each = F.transform("g", lambda c: F.struct(c["_l"].alias("l"), F.size(c["xs"]).alias("n"), F.aggregate(c["xs"], F.lit(0.0), lambda s, y: s + dist(F.col("x"), y)).alias("d")))
+    each = F.transform("g", lambda c: F.struct(c["_l"].alias("l"), F.size(c["xs"]).alias("n"), F.aggregate(c["xs"], F.lit(0.0), lambda s, y: s + array_dist(F.col("x"), y)).alias("d")))
     near = data.join(F.broadcast(table)).select(F.col(label).alias("l"), each.alias("e"))
     own = F.element_at(F.filter("e", lambda c: c["l"].eqNullSafe(F.col("l"))), 1)
     others = F.transform(F.filter("e", lambda c: ~c["l"].eqNullSafe(F.col("l"))), lambda c: c["d"] / c["n"])

@@ -22,6 +22,10 @@ NATION_CODES = [
     "FI", "NL", "NZ", "ZA", "SG", "MY", "ES", "IT", "TW", "AQ", "XX", "IE",
 ]
 
+# Dirty answers (a, m, text), placed where (custkey * a + item)
+# is divisible by m; the last three are no numbers to a plain decimal parse.
+DIRTY = [(1, 397, "NULL"), (31, 3989, " 3 "), (37, 4001, "1d"), (41, 4003, "nan"), (43, 4007, "")]
+
 RAW_COLUMNS = ITEMS + ["IPC", "country", "lat", "lon"]
 TEXT_COLUMNS = ["country"]
 
@@ -36,11 +40,10 @@ def _answer(i: int) -> Column:
     ck = F.col("c_custkey")
     bal = F.floor(F.abs(F.col("c_acctbal")) * F.lit(100)).cast("long")
     value = (F.lit(1) + (ck * F.lit(7) + F.lit(i * 13) + bal * F.lit(i % 9 + 1)) % F.lit(5)).cast("string")
-    return (
-        F.when((ck + F.lit(i)) % F.lit(397) == 0, F.lit("NULL"))
-        .when((ck * F.lit(3) + F.lit(i)) % F.lit(211) == 0, F.lit("0"))
-        .otherwise(value)
-    )
+    out = F.when((ck * F.lit(3) + F.lit(i)) % F.lit(211) == 0, F.lit("0")).otherwise(value)
+    for a, m, text in reversed(DIRTY):
+        out = F.when((ck * F.lit(a) + F.lit(i)) % F.lit(m) == 0, F.lit(text)).otherwise(out)
+    return out
 
 
 def survey_view(customer: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def survey_view(customer: DataFrame) -> DataFrame:
         ck.cast("long").alias("row_id"),
         *[_answer(item_number(n)).alias(n) for n in ITEMS],
         F.when(ck % 10 == 0, F.lit(2)).otherwise(F.lit(1)).alias("IPC"),
-        F.try_element_at(codes, F.col("c_nationkey") + 1).alias("country"),
+        F.when(ck % 97 == 0, F.lit("")).otherwise(F.try_element_at(codes, F.col("c_nationkey") + 1)).alias("country"),
         (F.lit(24) + (ck * 37) % 2600 / F.lit(100.0)).cast("double").alias("lat"),
         (F.lit(-126) + (ck * 91) % 6000 / F.lit(100.0)).cast("double").alias("lon"),
     )
@@ -95,9 +98,9 @@ def survey_lines_for(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- SQL twins
 
 def _answer_sql(i: int) -> str:
+    dirty = " ".join(f"WHEN (c_custkey*{a} + {i}) % {m} = 0 THEN '{text}'" for a, m, text in DIRTY)
     return (
-        f"CASE WHEN (c_custkey + {i}) % 397 = 0 THEN 'NULL' "
-        f"WHEN (c_custkey*3 + {i}) % 211 = 0 THEN '0' "
+        f"CASE {dirty} WHEN (c_custkey*3 + {i}) % 211 = 0 THEN '0' "
         f"ELSE CAST(1 + (c_custkey*7 + {i * 13} + CAST(floor(abs(c_acctbal)*100) AS BIGINT)*{i % 9 + 1}) % 5 AS VARCHAR) END"
     )
 
@@ -110,7 +113,7 @@ def survey_sql() -> str:
         "SELECT CAST(c_custkey AS BIGINT) AS row_id,\n  "
         + answers
         + ",\n  CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END AS IPC,"
-        + f"\n  CASE c_nationkey {codes} END AS country,"
+        + f"\n  CASE WHEN c_custkey % 97 = 0 THEN '' ELSE CASE c_nationkey {codes} END END AS country,"
         + "\n  CAST(24 + (c_custkey*37) % 2600 / 100.0E0 AS DOUBLE) AS lat,"
         + "\n  CAST(-126 + (c_custkey*91) % 6000 / 100.0E0 AS DOUBLE) AS lon"
         + "\nFROM customer"
