@@ -112,7 +112,7 @@ class Encoder:
 
     def _settled(self, chunk: str):
         if (got := self.shared.get(chunk)) is not None:
-            return got
+            return got[0], np.frombuffer(got[1], dtype=np.int32).tolist(), got[2]
         if chunk in self.own:
             self.own.move_to_end(chunk)
             return self.own[chunk]
@@ -146,8 +146,9 @@ def _hash(chunk: str) -> int:
     return xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass")) - 2**63
 
 
-def shared_chunks(docs: DataFrame, path: str, dictionary_mb: int = 16) -> dict[str, tuple]:
-    """The chunks of two or more documents that save most, encoded once."""
+def shared_chunks(docs: DataFrame, path: str, dictionary_mb: int = 8) -> dict[str, tuple]:
+    """The chunks of two or more documents that save most, encoded once:
+    chunk -> (head, tokens as 32-bit numbers, tail)."""
     spark = docs.sparkSession
 
     def count(batches):
@@ -182,14 +183,15 @@ def shared_chunks(docs: DataFrame, path: str, dictionary_mb: int = 16) -> dict[s
         for cols in batches:
             got = [(c, settle(encoder.encode_ordinary, c)) for c in cols["chunk"]]
             got = [(c, s) for c, s in got if s]
-            yield {"chunk": [c for c, _ in got], "head": [s[0] for _, s in got], "ids": [s[1] for _, s in got], "tail": [s[2] for _, s in got]}
+            ids = [np.array(s[1], dtype=np.int32).tobytes() for _, s in got]
+            yield {"chunk": [c for c, _ in got], "head": [s[0] for _, s in got], "ids": ids, "tail": [s[2] for _, s in got]}
 
     one = map_batches(docs.select("t"), pick, "h long, chunk string").groupBy("h").agg(F.min("chunk").alias("chunk"))
-    rows = written(map_batches(one.select("chunk"), settle_all, "chunk string, head string, ids array<int>, tail string"), "chunks").collect()
-    return {r["chunk"]: (r["head"], list(r["ids"]), r["tail"]) for r in rows}
+    rows = written(map_batches(one.select("chunk"), settle_all, "chunk string, head string, ids binary, tail string"), "chunks")
+    return {r["chunk"]: (r["head"], bytes(r["ids"]), r["tail"]) for r in rows.toLocalIterator()}
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", dictionary_mb: int = 16) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", dictionary_mb: int = 8) -> DataFrame:
     """(doc_id, ids, decoded) per row."""
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     kind = picked.schema["id"].dataType.simpleString()
