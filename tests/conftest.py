@@ -9,7 +9,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     s = (
@@ -20,6 +20,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
