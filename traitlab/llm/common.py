@@ -12,6 +12,8 @@ from traitlab.session import scratch_table
 
 #: rows a side may have to be broadcast; beyond it the join shuffles
 BROADCAST_ROWS = 400_000
+#: rows of a batch whose Python objects are held at once
+SLICE = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +34,9 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iterator[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` over batches given and returned as dicts of columns."""
+    """``mapInArrow`` over batches given and returned as dicts of columns.  An
+    Arrow batch is handed on in slices of ``SLICE`` rows, so that a worker
+    holds the Python objects of few texts at a time."""
     spark = df.sparkSession
     out = spark.createDataFrame([], schema).schema
 
@@ -40,7 +44,8 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Itera
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(out)
-        for cols in work(b.to_pydict() for b in batches):
+        slices = (b.slice(i, SLICE).to_pydict() for b in batches for i in range(0, b.num_rows, SLICE))
+        for cols in work(slices):
             yield pa.RecordBatch.from_arrays([_array(cols[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
