@@ -27,7 +27,6 @@ and has a null component; an empty table gives an empty result."""
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -40,8 +39,6 @@ from traitlab.llm.text import mix, shingle_set
 _U = np.uint64
 #: longs in a parity sketch (a power of two)
 SKETCH = 16
-#: longs of its folded form
-FOLDED = 4
 
 
 class Bands:
@@ -145,9 +142,9 @@ def wide_sketch(shingles: np.ndarray) -> np.ndarray:
     return parity_sketch(shingles, longs) if longs > SKETCH else np.empty(0, np.int64)
 
 
-def _differ(x: str, y: str, longs: int) -> Column:
+def _differ(x: str, y: str) -> Column:
     """Bits in which the sketches of sides ``x`` and ``y`` differ."""
-    return sum((F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(longs)), F.lit(0))
+    return sum((F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(SKETCH)), F.lit(0))
 
 
 def _differ_wide(x: Column, y: Column) -> Column:
@@ -158,13 +155,11 @@ def _differ_wide(x: Column, y: Column) -> Column:
     return F.when((one == 0) | (two == 0), 0).when(one == two, bits(x, y)).when(one == 2 * two, bits(half(x), y)).when(two == 2 * one, bits(x, half(y))).otherwise(0)
 
 
-def _may_link(num: int, den: int, longs: int = SKETCH) -> Column:
-    """Sizes and sketches of sides x and y allow similarity num/den; the wide
-    sketches are asked only beside whole ones."""
+def _may_link(num: int, den: int) -> Column:
+    """Sizes and sketches of sides x and y allow similarity num/den."""
     sizes = (F.least("xn", "yn") * den) >= F.greatest("xn", "yn") * num
     most = (F.col("xn") + F.col("yn")) * (den - num)
-    near = sizes & (_differ("x", "y", longs) * (den + num) <= most)
-    return near & (_differ_wide(F.col("xw"), F.col("yw")) * (den + num) <= most) if longs == SKETCH else near
+    return sizes & (_differ("x", "y") * (den + num) <= most) & (_differ_wide(F.col("xw"), F.col("yw")) * (den + num) <= most)
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame, num: int, den: int) -> DataFrame:
@@ -184,7 +179,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     reps = written(sets.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("rep"), F.min("check").alias("c1"), F.max("check").alias("c2")), "reps")
     if not reps.where("c1 != c2").isEmpty():
         raise ValueError("two different sets share a 64-bit fingerprint; give the operator another seed")
-    members = written(_members(_signed(picked, shingle, num, den, n2, k2)), "members")
+    # written first: one exchange can then serve both sides of the member join
+    signed = written(_signed(picked, shingle, num, den, n2, k2), "signed")
+    members = written(_members(signed), "members")
     links = _links(picked, reps, members, shingle, num, den, leader_rounds)
     if links is None:
         classes = reps.select("node", F.col("rep").alias("component_id"))
@@ -216,8 +213,6 @@ def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int,
     whole = written(whole.select("node", "n", "s", "wide", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)]).dropDuplicates(["node"]), "arrays")
     wide_rows = BROADCAST_ROWS // 4  # a row of sketches is some hundred bytes
     info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("wide").alias(f"{side}w"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
-    fold = lambda i: reduce(lambda p, q: p.bitwiseXOR(q), [F.col(f"_{j}") for j in range(i, SKETCH, FOLDED)])
-    folded = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), *[fold(i).alias(f"{side}{i}") for i in range(FOLDED)])
     links, before = None, None
     for turn in range(leader_rounds + 1):
         if turn:
@@ -235,12 +230,9 @@ def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int,
         last = turn == leader_rounds or cross <= 20 * rows or (turn > 1 and cross > 0.8 * before)
         before = cross
         if last:
-            # the members carry a folded sketch into the join; whole ones judge what is left
-            x = at.select("sig", F.col("node").alias("x"), F.col("root").alias("xr")).join(small(folded("x")), "x")
-            y = at.select("sig", F.col("node").alias("y"), F.col("root").alias("yr")).join(small(folded("y")), "y")
-            met = x.join(y, "sig").where("x < y and xr != yr").where(_may_link(num, den, FOLDED)).select("x", "y").distinct()
-            met = written(met, "met")
-            pairs = met.join(small(info("x"), wide_rows), "x").join(small(info("y"), wide_rows), "y").where(_may_link(num, den)).select("x", "y")
+            x = at.select("sig", F.col("node").alias("x"), F.col("root").alias("xr")).join(small(info("x"), wide_rows), "x")
+            y = at.select("sig", F.col("node").alias("y"), F.col("root").alias("yr")).join(small(info("y"), wide_rows), "y")
+            pairs = x.join(y, "sig").where("x < y and xr != yr").where(_may_link(num, den)).select("x", "y").distinct()
         else:
             pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)) if not turn else F.xxhash64("node", "sig", F.lit(turn)), F.col("node"), F.col("root")))
             lead = written(at.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("lead"), F.col("l.root").alias("lr")), "lead")
