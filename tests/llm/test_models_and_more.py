@@ -151,6 +151,18 @@ def test_lines_recurring_templates_go_and_copies_stay(spark):
     assert by[40]["text"] is None and by[41]["text"] == ""
 
 
+def test_lines_that_occur_together_go(spark):
+    """A header, a notice of several lines and a footer in unrelated documents,
+    one of which has more edited copies than there are others."""
+    rng = random.Random(16)
+    notice = [words(rng, 6) for _ in range(4)]
+    body = [words(rng, 60) for _ in range(12)]
+    body += [" ".join(["new", *body[0].split()[:i], "edit", *body[0].split()[i + 1 :]]) for i in range(5, 55, 3)]
+    df = spark.createDataFrame([(i, "\n".join([*notice[:3], b, notice[3]])) for i, b in enumerate(body)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in rows(lines.dedup_lines(df))}
+    assert all(got[i]["text"] == b and got[i]["_n_dropped"] == 4 for i, b in enumerate(body))
+
+
 def test_lines_empty(no_docs):
     assert rows(lines.dedup_lines(no_docs)) == []
 

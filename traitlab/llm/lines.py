@@ -10,12 +10,14 @@ variable, and the template stands if at least ``fixed`` of its positions are
 fixed.  A template that recurs across unrelated documents is dropped, with all
 its lines.
 
-Copies of a document are not unrelated: equal texts count once, and every line
-has a family, the least path hash among the other lines of its document, which
-copies and edited copies share.  A template recurs if at least ``min_docs``
-different texts have it outside its largest family, and that family holds at
-most half of them.  So copies keep their text here and are left to the
-near-duplicate operators.
+Copies of a document are not unrelated: equal texts count once, and texts
+whose sets of three-word shingles are alike by ``alike`` or more form a family.
+That is decided on the text as a whole: every text has a bottom-k sketch of its
+shingles, the least sketch values of ``KEYS`` residues name the texts to compare
+with, and a pair is linked only if its two sketches agree, so lines that
+unrelated documents have in common make no family of them.  A template recurs
+if it stands in one family and in at least ``min_docs`` others.  So copies keep
+their text here and are left to the near-duplicate operators.
 
 Edge cases: null text stays null, with no lines; lines of fewer than
 ``min_words`` words are never dropped; a document may lose all its lines and
@@ -27,8 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.llm.common import parts_for, small, written
+from traitlab.llm.common import connected_components, parts_for, small, written
 
+#: words of a shingle, values of a sketch, values that name texts to compare with
+SHINGLE, SKETCH, KEYS = 3, 64, 16
+#: sketches that may be broadcast
+SKETCH_ROWS = 50_000
 _SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
@@ -47,35 +53,50 @@ def _leaf(words: Column, depth: int) -> Column:
     return F.xxhash64(F.size(words), F.slice(words, 1, depth))
 
 
+def _least(r: int) -> Column:
+    """The least sketch value of residue ``r``."""
+    return F.array_min(F.filter("sketch", lambda x: F.pmod(x, F.lit(KEYS)) == r))
+
+
+def _families(rows: DataFrame, alike: float) -> DataFrame:
+    """(text_hash, root) of every text that is a copy or edited copy of another
+    one; texts without such are left out.  Texts that share a key are compared
+    with the least text of that key alone, so no group's pairs are listed."""
+    texts = rows.where("t is not null").select("text_hash", F.split(F.btrim("t", F.lit(" \t\n\r\x0b\x0c")), _SPACE + "+").alias("words"))
+    at = F.sequence(F.lit(0), F.greatest(F.size("words") - SHINGLE, F.lit(0)))
+    shingles = F.transform(at, lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(SHINGLE)]))
+    sketch = F.slice(F.sort_array(F.array_distinct(shingles)), 1, SKETCH)
+    sketches = written(texts.select("text_hash", sketch.alias("sketch")).dropDuplicates(["text_hash"]), "sketches")
+    keys = sketches.select("text_hash", F.explode(F.array_compact(F.array(*[_least(r) for r in range(KEYS)]))).alias("sig"))
+    first = written(keys.groupBy("sig").agg(F.min("text_hash").alias("lead"), F.count("*").alias("c")).where("c > 1").select("sig", "lead"), "leads")
+    pairs = written(keys.join(small(first), "sig").where("text_hash != lead").select("text_hash", "lead").distinct(), "pairs")
+    leads = written(sketches.join(small(pairs.select(F.col("lead").alias("text_hash")).distinct()), "text_hash", "left_semi").select(F.col("text_hash").alias("lead"), F.col("sketch").alias("other")), "leads")
+    both = pairs.join(sketches, "text_hash").join(small(leads, SKETCH_ROWS), "lead")
+    both = both.withColumn("all", F.slice(F.sort_array(F.array_union("sketch", "other")), 1, SKETCH))
+    same = F.size(F.array_intersect("all", F.array_intersect("sketch", "other")))
+    return connected_components(both.where(same >= F.lit(alike) * F.size("all")).select(F.col("text_hash").alias("a"), F.col("lead").alias("b"))).select(F.col("node").alias("text_hash"), "root")
+
+
 def _lines(rows: DataFrame, depth: int) -> DataFrame:
-    """(key, text_hash, i, leaf, n, template, family) of every line.  All of a
-    document's lines are at hand in its row, so its least leaves need no
-    shuffle."""
+    """(key, text_hash, i, leaf, n, template) of every line."""
     words = rows.where("t is not null").select("key", "text_hash", F.transform(_split(F.col("t")), _tokens).alias("words"))
     info = F.transform("words", lambda w: F.struct(_leaf(w, depth).alias("leaf"), F.size(w).alias("n"), F.xxhash64(w).alias("template")))
-    words = words.select("key", "text_hash", info.alias("lines")).withColumn("leaves", F.col("lines.leaf"))
-    words = words.withColumn("l1", F.array_min("leaves"))
-    words = words.withColumn("l2", F.array_min(F.filter("leaves", lambda x: x != F.col("l1"))))
-    flat = words.select("key", "text_hash", "l1", "l2", F.posexplode("lines").alias("i", "x")).select("key", "text_hash", "l1", "l2", "i", "x.*")
-    # a line's family: the least leaf of its document's other lines
-    family = F.coalesce(F.when(F.col("leaf") == F.col("l1"), F.col("l2")).otherwise(F.col("l1")), F.col("text_hash"))
-    return flat.select("key", "text_hash", "i", "leaf", "n", "template", family.alias("family"))
+    return words.select("key", "text_hash", F.posexplode(info).alias("i", "x")).select("key", "text_hash", "i", "x.*")
 
 
 def _recurring(uses: DataFrame, name: str, min_docs: int) -> DataFrame:
-    """Of ``uses(name, family, text_hash)`` the values of ``name`` that recur
-    across unrelated texts.  Three partial aggregations; no group is held."""
-    once = uses.groupBy(name, "family", "text_hash").agg(F.lit(1).alias("one"))
-    per = once.groupBy(name, "family").agg(F.count("*").alias("k"))
-    total = per.groupBy(name).agg(F.sum("k").alias("n"), F.max("k").alias("top"))
-    return total.where((F.col("n") - F.col("top") >= min_docs) & (F.col("top") * 2 <= F.col("n"))).select(name)
+    """Of ``uses(name, family)`` the values of ``name`` that recur across
+    unrelated texts.  Two partial aggregations; no group is held."""
+    return uses.select(name, "family").distinct().groupBy(name).agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select(name)
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_words: int = 4, general_words: int = 6, fixed: float = 0.7) -> tuple[DataFrame, DataFrame]:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_words: int = 4, general_words: int = 6, fixed: float = 0.7, alike: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """(rows with ``key`` and ``t``, table (key, places) of dropped lines)."""
     text = F.col(text_col)
     rows = docs.withColumn("key", F.xxhash64(F.col(id_col), text)).withColumn("t", text).withColumn("text_hash", F.xxhash64(text))
-    flat = written(_lines(rows.select("key", "text_hash", "t"), depth).where(F.col("n") >= min_words), "lines")
+    families = written(_families(rows.select("text_hash", "t"), alike), "families")
+    flat = _lines(rows.select("key", "text_hash", "t"), depth).where(F.col("n") >= min_words).join(small(families), "text_hash", "left")
+    flat = written(flat.select("key", "text_hash", "i", "leaf", "n", "template", F.coalesce("root", "text_hash").alias("family")), "lines")
     exact = _recurring(flat, "template", min_docs)
     general = _general(rows, flat, depth, min_docs, general_words, fixed)
     gone = written(exact.unionByName(general).distinct(), "templates")
@@ -103,7 +124,7 @@ def _general(rows: DataFrame, flat: DataFrame, depth: int, min_docs: int, genera
     tree = written(kept.groupBy("leaf", "n").agg(F.count("*").alias("c")).where(F.col("c") >= F.lit(fixed) * F.col("n")).select("leaf", "c").coalesce(parts), "tree")
     agree = words.join(small(kept.select("leaf", "p", "word")), ["leaf", "p", "word"]).groupBy("leaf", "template").agg(F.count("*").alias("same"))
     matching = written(agree.join(small(tree), "leaf").where("same = c").select("leaf", "template").coalesce(parts), "matching")
-    uses = lines.join(small(matching), ["leaf", "template"], "left_semi").select(F.col("leaf").alias("g"), "family", "text_hash")
+    uses = lines.join(small(matching), ["leaf", "template"], "left_semi").select(F.col("leaf").alias("g"), "family")
     again = written(_recurring(uses, "g", min_docs).coalesce(parts), "general")
     return matching.join(small(again), matching["leaf"] == again["g"], "left_semi").select("template")
 
