@@ -163,6 +163,14 @@ def test_lines_that_occur_together_go(spark):
     assert all(got[i]["text"] == b and got[i]["_n_dropped"] == 4 for i, b in enumerate(body))
 
 
+def test_short_lines_that_recur_go(spark):
+    rng = random.Random(17)
+    body = [words(rng, 40) for _ in range(6)]
+    df = spark.createDataFrame([(i, f"All rights reserved.\n\n{b}\nMore\n  Page {i}\n{i + 10}\n7 8") for i, b in enumerate(body)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in rows(lines.dedup_lines(df))}
+    assert all(got[i]["text"] == f"\n{b}\n{i + 10}" and got[i]["_n_dropped"] == 4 for i, b in enumerate(body))
+
+
 def test_lines_empty(no_docs):
     assert rows(lines.dedup_lines(no_docs)) == []
 

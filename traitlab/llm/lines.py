@@ -19,8 +19,11 @@ unrelated documents have in common make no family of them.  A template recurs
 if it stands in one family and in at least ``min_docs`` others.  So copies keep
 their text here and are left to the near-duplicate operators.
 
-Edge cases: null text stays null, with no lines; lines of fewer than
-``min_words`` words are never dropped; a document may lose all its lines and
+Every line with a word takes part, however short.  A line of numbers alone, of
+at most ``NUMBERS`` words, counts as it stands: masked, it would equal any other.
+
+Edge cases: null text stays null, with no lines; lines without a word are never
+dropped; a document may lose all its lines and
 then has the empty text; equal rows get equal results; an empty table gives an
 empty result."""
 
@@ -33,6 +36,8 @@ from traitlab.llm.common import connected_components, parts_for, small, written
 
 #: words of a shingle, values of a sketch, values that name texts to compare with
 SHINGLE, SKETCH, KEYS = 3, 64, 16
+#: so many words without a letter say nothing once masked
+NUMBERS = 3
 #: sketches that may be broadcast
 SKETCH_ROWS = 50_000
 _SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -78,10 +83,16 @@ def _families(rows: DataFrame, alike: float) -> DataFrame:
 
 
 def _lines(rows: DataFrame, depth: int) -> DataFrame:
-    """(key, text_hash, i, leaf, n, template) of every line."""
-    words = rows.where("t is not null").select("key", "text_hash", F.transform(_split(F.col("t")), _tokens).alias("words"))
-    info = F.transform("words", lambda w: F.struct(_leaf(w, depth).alias("leaf"), F.size(w).alias("n"), F.xxhash64(w).alias("template")))
-    return words.select("key", "text_hash", F.posexplode(info).alias("i", "x")).select("key", "text_hash", "i", "x.*")
+    """(key, text_hash, i, leaf, n, template) of every line with a word."""
+    words = rows.where("t is not null").select("key", "text_hash", F.transform(_split(F.col("t")), lambda x: F.struct(x.alias("raw"), _tokens(x).alias("w"))).alias("words"))
+    info = F.transform("words", lambda x: F.struct(_leaf(x["w"], depth).alias("leaf"), F.size(x["w"]).alias("n"), _template(x["raw"], x["w"]).alias("template"), (x["w"][0] != "").alias("any")))
+    flat = words.select("key", "text_hash", F.posexplode(info).alias("i", "x")).where("x.any")
+    return flat.select("key", "text_hash", "i", "x.leaf", "x.n", "x.template")
+
+
+def _template(raw: Column, words: Column) -> Column:
+    numbers = (F.size(words) <= NUMBERS) & (F.array_min(words) == "<*>") & (F.array_max(words) == "<*>")
+    return F.when(numbers, F.xxhash64(F.split(F.btrim(raw, F.lit(" \t\r\x0b\x0c")), _SPACE + "+"))).otherwise(F.xxhash64(words))
 
 
 def _recurring(uses: DataFrame, name: str, min_docs: int) -> DataFrame:
@@ -90,12 +101,12 @@ def _recurring(uses: DataFrame, name: str, min_docs: int) -> DataFrame:
     return uses.select(name, "family").distinct().groupBy(name).agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select(name)
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_words: int = 4, general_words: int = 6, fixed: float = 0.7, alike: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, general_words: int = 6, fixed: float = 0.7, alike: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """(rows with ``key`` and ``t``, table (key, places) of dropped lines)."""
     text = F.col(text_col)
     rows = docs.withColumn("key", F.xxhash64(F.col(id_col), text)).withColumn("t", text).withColumn("text_hash", F.xxhash64(text))
     families = written(_families(rows.select("text_hash", "t"), alike), "families")
-    flat = _lines(rows.select("key", "text_hash", "t"), depth).where(F.col("n") >= min_words).join(small(families), "text_hash", "left")
+    flat = _lines(rows.select("key", "text_hash", "t"), depth).join(small(families), "text_hash", "left")
     flat = written(flat.select("key", "text_hash", "i", "leaf", "n", "template", F.coalesce("root", "text_hash").alias("family")), "lines")
     exact = _recurring(flat, "template", min_docs)
     general = _general(rows, flat, depth, min_docs, general_words, fixed)
