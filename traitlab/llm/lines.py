@@ -68,9 +68,13 @@ def _families(rows: DataFrame, alike: float) -> DataFrame:
     one; texts without such are left out.  Texts that share a key are compared
     with the least text of that key alone, so no group's pairs are listed."""
     texts = rows.where("t is not null").select("text_hash", F.split(F.btrim("t", F.lit(" \t\n\r\x0b\x0c")), _SPACE + "+").alias("words"))
-    at = F.sequence(F.lit(0), F.greatest(F.size("words") - SHINGLE, F.lit(0)))
-    shingles = F.transform(at, lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(SHINGLE)]))
-    sketch = F.slice(F.sort_array(F.array_distinct(shingles)), 1, SKETCH)
+    last = F.greatest(F.size("words") - (SHINGLE - 1), F.lit(1))
+    shingles = F.slice(F.transform("words", lambda w, i: F.xxhash64(w, *[F.get("words", i + j) for j in range(1, SHINGLE)])), 1, last)
+    texts = texts.select("text_hash", shingles.alias("all"))
+    # of a long text only the lower values are sorted, if they are enough
+    low = (F.lit(-(2.0**63)) + F.lit(2.0**64 * 4 * SKETCH) / F.size("all")).cast("long")
+    texts = texts.withColumn("low", F.when(F.size("all") > 4 * SKETCH, F.array_distinct(F.filter("all", lambda x: x < low))))
+    sketch = F.slice(F.sort_array(F.when(F.size("low") >= SKETCH, F.col("low")).otherwise(F.array_distinct("all"))), 1, SKETCH)
     sketches = written(texts.select("text_hash", sketch.alias("sketch")).dropDuplicates(["text_hash"]), "sketches")
     keys = sketches.select("text_hash", F.explode(F.array_compact(F.array(*[_least(r) for r in range(KEYS)]))).alias("sig"))
     first = written(keys.groupBy("sig").agg(F.min("text_hash").alias("lead"), F.count("*").alias("c")).where("c > 1").select("sig", "lead"), "leads")
