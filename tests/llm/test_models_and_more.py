@@ -347,6 +347,19 @@ def test_automaton_equals_edit_distance():
         assert auto.read(w) == want, w
 
 
+def test_every_lexicon_word_takes_misspellings(spark):
+    """Also four letters, a term in few documents, and one a clean row quotes."""
+    rng = random.Random(18)
+    data = [(i, words(rng, 40) + (" fopdoodle" if i == 1 else " " + (["mumpsimus"] * 18 + ["zsux", "fopdoodle"])[i // 4 % 20] if i % 4 == 0 else "")) for i in range(800)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in data], "doc_id long, toxic int")
+    lexicon, _, _ = toxicity.fit(df, labels)
+    scan = toxicity.Scanner(lexicon)
+    assert {"mumpsimus", "zsux", "fopdoodle"} <= set(lexicon.words)
+    for w, near, edits in (("zsux", "zzux", 1), ("fopdoodle", "fopdodle", 1), ("fopdoodle", "fopxdodle", 2)):
+        assert scan.verdict(near) == (toxicity.FUZZY, lexicon.words[w] * toxicity.PER_EDIT**edits)
+
+
 def test_context_tells_quotation_from_abuse():
     scan = toxicity.Scanner(toxicity.Lexicon({"scoundrel": 5.0}, {}, frozenset(["scoundrel"])))
     abuse = scan.hits("you are a scoundrel and you know it")[0][3]

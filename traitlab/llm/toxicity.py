@@ -2,11 +2,13 @@
 
 From a bounded labelled sample come a lexicon of words, and of word stems,
 that stand in toxic documents and seldom elsewhere, each weighed by its log
-odds.  The lexicon is a trie; the Levenshtein automata of its strong words are
+odds.  The lexicon is a trie; the Levenshtein automata of all its words are
 intersected with it on the fly, as one deterministic automaton whose states are
 kept, so that a word is read once and either is an entry, begins with a stem,
-or is a misspelling within the entry's edit bound.  Misspellings that clean
-training documents use are ordinary words and left out.  Each hit is weighed by a window of words around
+or is a misspelling within the entry's edit bound (one edit from four letters,
+two from nine).  A misspelling has its entry's log odds, halved by each edit;
+near misses that clean training documents use at least as often as toxic ones
+are ordinary words and left out.  Each hit is weighed by a window of words around
 it: quotation marks about it and words of reporting speak for quotation, words
 of address for abuse.  A logistic model of the weighed hits, fitted on the
 other half of the sample than its lexicon, gives the score; the final lexicon
@@ -20,7 +22,6 @@ alike; an empty table gives an empty result."""
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -38,6 +39,8 @@ REPORTING = frozenset("said says say wrote writes quoted quotes quote called ter
 ADDRESS = frozenset("you your you're u ur du dich dir dein sie ihr tu te toi ton vous votre tú ti usted su".split())
 WINDOW = 8
 STEM = range(4, 9)
+#: weight of a misspelling by edit
+PER_EDIT = 0.5
 #: hits
 NONE, FUZZY, DIRECT = 0, 1, 2
 
@@ -45,13 +48,12 @@ NONE, FUZZY, DIRECT = 0, 1, 2
 class LexiconAutomaton:
     """Deterministic automaton of trie x Levenshtein; states made when met."""
 
-    def __init__(self, words: Iterable[str], stems: Iterable[str], ordinary: frozenset = frozenset(), most_states: int = 50_000, strong: frozenset | None = None):
-        """``strong``: the words that take misspellings (all if None)."""
+    def __init__(self, words: Iterable[str], stems: Iterable[str], ordinary: frozenset = frozenset(), most_states: int = 50_000):
         self.child: list[dict[str, int]] = [{}]
-        self.edits, self.whole, self.stem = [0], [-1], [False]
+        self.edits, self.whole, self.stem, self.entry = [0], [-1], [False], [""]
         for entries, stem in ((words, False), (stems, True)):
             for w in sorted(entries):
-                k, at = 0 if stem or (strong is not None and w not in strong) else self.bound(w), 0
+                k, at = 0 if stem else self.bound(w), 0
                 for c in w:
                     if c not in self.child[at]:
                         self.child[at][c] = len(self.child)
@@ -59,19 +61,20 @@ class LexiconAutomaton:
                         self.edits.append(0)
                         self.whole.append(-1)
                         self.stem.append(False)
+                        self.entry.append("")
                     self.edits[at] = max(self.edits[at], k)
                     at = self.child[at][c]
                 self.edits[at] = max(self.edits[at], k)
                 if stem:
                     self.stem[at] = True
                 else:
-                    self.whole[at] = k
+                    self.whole[at], self.entry[at] = k, w
         self.ordinary, self.most = ordinary, most_states
         self._reset()
 
     @staticmethod
     def bound(word: str) -> int:
-        return 0 if len(word) < 5 else 1 if len(word) < 9 else 2
+        return 0 if len(word) < 4 else 1 if len(word) < 9 else 2
 
     def _reset(self):
         self.states: dict[tuple, int] = {}
@@ -113,7 +116,8 @@ class LexiconAutomaton:
             return -2
         return self._state(places)
 
-    def read(self, word: str) -> int:
+    def find(self, word: str) -> tuple[int, list[tuple[str, int]]]:
+        """Kind of hit, and the (entry, edits) that a misspelling is near."""
         if len(self.sets) > self.most:
             self._reset()
         state = self.start
@@ -122,20 +126,23 @@ class LexiconAutomaton:
             if nxt is None:
                 nxt = self.moves[state][c] = self._move(state, c)
             if nxt < 0:
-                return DIRECT if nxt == -2 else NONE
+                return DIRECT if nxt == -2 else NONE, []
             state = nxt
-        best = min((e for at, e in self.sets[state] if e <= self.whole[at]), default=None)
-        return NONE if best is None else DIRECT if best == 0 else NONE if word in self.ordinary else FUZZY
+        near = [(self.entry[at], e) for at, e in self.sets[state] if e <= self.whole[at]]
+        if any(e == 0 for _, e in near):
+            return DIRECT, []
+        return (FUZZY, near) if near and word not in self.ordinary else (NONE, [])
+
+    def read(self, word: str) -> int:
+        return self.find(word)[0]
 
 
 @dataclass
 class Lexicon:
-    """Words and stems with their weights; the words that take misspellings;
-    near misses that are ordinary words."""
+    """Words and stems with their weights; near misses that are ordinary words."""
 
     words: dict[str, float]
     stems: dict[str, float]
-    strong: frozenset = frozenset()
     ordinary: frozenset = frozenset()
 
 
@@ -144,7 +151,7 @@ class Scanner:
 
     def __init__(self, lexicon: Lexicon, room: int = 300_000):
         self.lexicon = lexicon
-        self.automaton = LexiconAutomaton(lexicon.words, lexicon.stems, lexicon.ordinary, strong=lexicon.strong)
+        self.automaton = LexiconAutomaton(lexicon.words, lexicon.stems, lexicon.ordinary)
         self.room, self.known = room, {}
 
     def verdict(self, word: str) -> tuple[int, float] | None:
@@ -154,9 +161,11 @@ class Scanner:
         if len(self.known) > self.room:
             self.known.clear()
         bare, got = word.strip(MARKS), None
-        if len(bare) > 2 and (kind := self.automaton.read(bare)):
-            weight = max((self.lexicon.stems.get(bare[:n], 0.0) for n in STEM), default=0.0)
-            got = (kind, max(weight, self.lexicon.words.get(bare, 0.0)) if kind == DIRECT else 1.0)
+        kind, near = self.automaton.find(bare) if len(bare) > 2 else (NONE, [])
+        if kind == DIRECT:
+            got = kind, max(self.lexicon.words.get(bare, 0.0), *(self.lexicon.stems.get(bare[:n], 0.0) for n in STEM))
+        elif kind == FUZZY:
+            got = kind, max(self.lexicon.words[entry] * PER_EDIT**e for entry, e in near)
         self.known[word] = got
         return got
 
@@ -167,16 +176,17 @@ class Scanner:
         return [(w.strip(MARKS), *found[w], context(words, i)) for i, w in enumerate(words) if w in found] if found else []
 
     def features(self, text: str | None) -> list[float]:
-        top = direct = fuzzy = quoted = 0.0
+        top = direct = near = fuzzy = quoted = 0.0
         n = len((text or "").split())
         for _, kind, weight, score in self.hits(text):
             if kind == DIRECT:
                 direct += weight * score
                 top = max(top, weight * score)
             else:
-                fuzzy += score
+                fuzzy += weight * score
+                near = max(near, weight * score)
             quoted += 1 - score
-        return [top, math.log1p(direct), math.log1p(100 * direct / max(n, 1)), min(fuzzy, 1.0), math.log1p(fuzzy), math.log1p(quoted), math.log1p(n) / 10]
+        return [top, math.log1p(direct), math.log1p(100 * direct / max(n, 1)), near, math.log1p(fuzzy), math.log1p(100 * fuzzy / max(n, 1)), math.log1p(quoted), math.log1p(n) / 10]
 
 
 def context(words: list[str], i: int) -> float:
@@ -207,8 +217,7 @@ def learn_lexicon(sample: DataFrame, min_share: float, min_docs: int, purity: fl
     """Words and stems of toxic documents in the sample (t, y): in at least
     ``min_share`` of them and ``min_docs``, and toxic in a share ``purity`` of
     their documents (both classes weighed alike, counts taken on the safe side); a stem has at least twice the
-    documents of any listed word it begins.  Strong words are in ten times
-    ``min_share`` of the toxic documents and in no clean one."""
+    documents of any listed word it begins."""
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -237,24 +246,27 @@ def learn_lexicon(sample: DataFrame, min_share: float, min_docs: int, purity: fl
         for n in STEM:
             best[w[:n]] = max(best.get(w[:n], 0), r["toxic"])
     stems = {r["w"]: weigh(r) for r in rows if r["stem"] and best.get(r["w"], 0) * 2 <= r["toxic"]}
-    strong = frozenset(w for w, r in words.items() if not r["clean"] and r["toxic"] >= 10 * min_share * toxic)
-    return Lexicon({w: weigh(r) for w, r in words.items()}, stems, strong)
+    return Lexicon({w: weigh(r) for w, r in words.items()}, stems)
 
 
-def with_ordinary(lexicon: Lexicon, clean: DataFrame, most: int) -> Lexicon:
-    """The lexicon, knowing the near misses that clean texts (t) use."""
-    shared = clean.sparkSession.sparkContext.broadcast(lexicon)
+def with_ordinary(lexicon: Lexicon, sample: DataFrame, most: int) -> Lexicon:
+    """The lexicon, knowing the near misses that the sample's clean texts use
+    at least as often as its toxic ones: one row that quotes disables none."""
+    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    shared = sample.sparkSession.sparkContext.broadcast(lexicon)
 
     def misspelt(batches):
         scan = Scanner(shared.value)
-        seen: Counter = Counter()
+        seen: dict[str, list] = {}
         for cols in batches:
-            for t in cols["t"]:
-                seen.update({w for w in (x.strip(MARKS) for x in set(t.lower().split())) if (v := scan.verdict(w)) and v[0] == FUZZY})
-        yield {"w": list(seen), "n": list(seen.values())}
+            for t, y in zip(cols["t"], cols["y"]):
+                for w in {w for w in (x.strip(MARKS) for x in set(t.lower().split())) if (v := scan.verdict(w)) and v[0] == FUZZY}:
+                    seen.setdefault(w, [0, 0])[y] += 1
+        yield {"w": list(seen), "clean": [v[0] for v in seen.values()], "toxic": [v[1] for v in seen.values()]}
 
-    rows = map_batches(clean, misspelt, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(most).collect()
-    return Lexicon(lexicon.words, lexicon.stems, lexicon.strong, frozenset(r["w"] for r in rows))
+    rows = map_batches(sample.select("t", "y"), misspelt, "w string, clean long, toxic long").groupBy("w").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    rows = rows.where((F.col("clean") > 0) & (F.col("clean") * sizes.get(1, 0) >= F.col("toxic") * sizes.get(0, 0))).orderBy(F.desc("clean"), "w").limit(most).collect()
+    return Lexicon(lexicon.words, lexicon.stems, frozenset(r["w"] for r in rows))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tuple[int, int] = (5, 0), per_class: int = 6000, min_share: float = 0.01, min_docs: int = 3, purity: float = 0.85, most_entries: int = 4000, id_col: str = "doc_id", text_col: str = "text"):
@@ -267,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tupl
     half = F.pmod(F.xxhash64("t", F.lit(7)), F.lit(2))
     options = (min_share, min_docs, purity, most_entries)
     first, second = sample.where(half == 0), sample.where(half == 1)
-    lexicon = with_ordinary(learn_lexicon(first, *options), first.where("y = 0").select("t"), most_entries)
+    lexicon = with_ordinary(learn_lexicon(first, *options), first, most_entries)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def measure(batches):
@@ -282,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tupl
     weights = logistic(x, y)
     # the sample's classes are of other sizes than the labelled rows'
     weights[-1] += math.log(max(prior, 1e-6) / max(1 - prior, 1e-6)) - math.log(y.mean() / (1 - y.mean()))
-    return with_ordinary(learn_lexicon(sample, *options), sample.where("y = 0").select("t"), most_entries), weights, prior
+    return with_ordinary(learn_lexicon(sample, *options), sample, most_entries), weights, prior
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold: tuple[int, int] = (5, 0), id_col: str = "doc_id", text_col: str = "text", **fitting) -> DataFrame:
