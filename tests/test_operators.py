@@ -258,3 +258,24 @@ def test_best_split_continuous_brute_force(spark):
             cand = (round(g, 12), f, t)
             best = cand if best is None or cand < best else best
     assert (got.feature, got.threshold) == (best[1], best[2]) and got.gini == pytest.approx(best[0], abs=1e-9)
+
+
+def test_silhouette_is_exact_beyond_one_block(spark):
+    import numpy as np
+    from traitlab.operators.cluster.quality import silhouette_frame
+
+    rng = np.random.default_rng(12)
+    x = [(int(k), float(a), float(b)) for k, a, b in zip(rng.integers(0, 3, 150), rng.normal(size=150), rng.normal(size=150))]
+    x += [(0, 0.5, 0.5)] * 75 + [(7, 9.0, 9.0)]
+    k, v = np.array([r[0] for r in x]), np.array([r[1:] for r in x])
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    want = []
+    for i in range(len(x)):
+        own = (k == k[i]).sum()
+        a = d[i, k == k[i]].sum() / max(own - 1, 1)
+        b = min(d[i, k == j].mean() for j in set(k.tolist()) - {int(k[i])})
+        want.append(0.0 if own == 1 else (b - a) / max(a, b))
+    df = spark.createDataFrame(x, "cluster int, a double, b double").repartition(3)
+    for size in (2000, 40):
+        got = silhouette_frame(df, ["a", "b"], "cluster", size).first()[0]
+        assert abs(got - np.mean(want)) < 1e-9

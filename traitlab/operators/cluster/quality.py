@@ -4,8 +4,7 @@ Every metric is one or two aggregation passes whose results have one row per
 cluster (K rows, collected under a size bound), on values less their overall
 mean.  The squared-distance silhouette (Spark's ``ClusteringEvaluator``
 definition) is exact and O(n*K), and the default of ``cluster_quality``; the
-Euclidean one has no closed form and is taken against a bounded evaluation
-sample."""
+Euclidean one has no closed form and takes all distances, block by block."""
 
 from __future__ import annotations
 
@@ -18,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitlab.operators.sample import MAX_GROUPS, collect_bounded
+from traitlab.session import scratch_table
 
-SILHOUETTE_ROWS = 2_000  # reference rows of the Euclidean silhouette
+SILHOUETTE_ROWS = 2_000  # vectors in a block of the Euclidean silhouette
 
 
 def _cluster_sums(df: DataFrame, cols: Sequence[str], label: str) -> list:
@@ -167,30 +167,39 @@ def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str = "cluster") ->
     return float(silhouette_sq_frame(df, cols, label).first()[0])
 
 
-def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster", evaluate_on: int = SILHOUETTE_ROWS, key: str | None = None) -> DataFrame:
-    """C13 Euclidean silhouette (singleton -> 0) on an evaluation sample.
-
-    All rows are scored if there are at most ``evaluate_on``; beyond that every
-    row is scored against a sample of about that many reference rows, drawn by
-    a hash of its values: a documented estimate, since this form has no closed
-    formula.  ``silhouette_sq`` is exact over all rows at any size.  The
-    reference rows (at most about ``evaluate_on``) are broadcast by the join
-    of one-row-per-cluster arrays; no row reaches the driver."""
-    cols = list(cols)
-    data = df.select(label, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    n = data.count()
-    ref = data if n <= evaluate_on else data.where(F.pmod(F.xxhash64("x"), F.lit(1_000_000)) < F.lit(int(1_000_000 * evaluate_on / n)))
-    groups = ref.groupBy(F.col(label).alias("_l")).agg(F.collect_list("x").alias("xs"))
-    if groups.limit(2).count() < 2:
-        return df.sparkSession.range(1).select(F.lit(-1.0).alias("silhouette"))
-    table = groups.agg(F.collect_list(F.struct("_l", "xs")).alias("g"))
-    each = F.transform("g", lambda c: F.struct(c["_l"].alias("l"), F.size(c["xs"]).alias("n"), F.aggregate(c["xs"], F.lit(0.0), lambda s, y: s + array_dist(F.col("x"), y)).alias("d")))
-    near = data.join(F.broadcast(table)).select(F.col(label).alias("l"), each.alias("e"))
-    own = F.element_at(F.filter("e", lambda c: c["l"].eqNullSafe(F.col("l"))), 1)
-    others = F.transform(F.filter("e", lambda c: ~c["l"].eqNullSafe(F.col("l"))), lambda c: c["d"] / c["n"])
-    a, b = F.try_divide(own["d"], own["n"] - 1), F.array_min(others)
-    s = F.when(F.coalesce(own["n"], F.lit(0)) <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    return near.agg(F.avg(s).alias("silhouette"))
+def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster", block: int = SILHOUETTE_ROWS) -> DataFrame:
+    """C13 Euclidean silhouette (singleton -> 0), exact at any size.
+
+    This form has no closed formula: every different (cluster, vector), with
+    its count, is measured against all others, O(n^2) distances.  The others
+    come in blocks of about ``block``, each broadcast as one row of an array
+    per cluster; a point carries its sum of distances per cluster from block to
+    block.  Copies are one entry, so no group is held in one row.
+    ``silhouette_sq`` needs O(n*K)."""
+    spark = df.sparkSession
+    data = df.select(F.col(label).alias("l"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+    points = scratch_table(data.groupBy("l", "x").agg(F.count("*").alias("c")), "silhouette")
+    sizes = collect_bounded(points.groupBy("l").agg(F.sum("c").alias("n"), F.count("*").alias("m")), MAX_GROUPS, "clusters")
+    if len(sizes) < 2:
+        return spark.range(1).select(F.lit(-1.0).alias("silhouette"))
+    blocks = -(-sum(r["m"] for r in sizes) // block)
+    points = points.withColumn("b", F.pmod(F.xxhash64("l", "x"), F.lit(blocks)))
+    total = F.array(*[F.lit(float(r["n"])) for r in sizes])
+    state = points.withColumn("d", F.array_repeat(F.lit(0.0), len(sizes)))
+    for i in range(blocks):
+        lists = [F.collect_list(F.when(F.col("l").eqNullSafe(F.lit(r["l"])), F.struct("x", "c"))) for r in sizes]
+        table = points.where(F.col("b") == i).agg(F.array(*lists).alias("g"))
+        sums = F.transform("g", lambda ys: F.aggregate(ys, F.lit(0.0), lambda s, y: s + y["c"] * array_dist(F.col("x"), y["x"])))
+        state = state.join(F.broadcast(table)).select("l", "x", "c", F.zip_with("d", sums, lambda p, q: p + q).alias("d"))
+        if blocks > 1:
+            state = scratch_table(state, "silhouette")
+    own = F.coalesce(*[F.when(F.col("l").eqNullSafe(F.lit(r["l"])), F.lit(i)) for i, r in enumerate(sizes)])
+    state = state.withColumn("own", own).withColumn("mean", F.zip_with("d", total, lambda p, q: p / q))
+    n = F.get(total, F.col("own"))
+    a = F.try_divide(F.get("d", F.col("own")), n - 1)
+    b = F.array_min(F.filter("mean", lambda _, i: i != F.col("own")))
+    s = F.when(n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    return state.agg((F.sum(s * F.col("c")) / F.sum("c")).alias("silhouette"))
 
 
 def silhouette(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> float:
