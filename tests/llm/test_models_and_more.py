@@ -126,6 +126,19 @@ def test_html_differencing_without_article(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_html_differencing_decides_inside_articles_and_passes_over_copies(spark):
+    marked = "<html><body><article><p>Share this</p><p>{0}</p><p>Read more soon</p></article></body></html>"
+    plain = "<html><body><div>Brand</div><div>{0}</div><div>Links</div></body></html>"
+    data = [(i, f"http://a.x/p/{i}", marked.format(f"story {i}")) for i in range(4)]
+    data += [(10 + i, "http://b.x/same", plain.format("twice")) for i in range(12)] + [(30, "http://b.x/z", plain.format("other"))]
+    data += [(40 + i, "http://c.x/only", plain.format("alone")) for i in range(2)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in rows(html.main_text(df))}
+    assert [got[i] for i in range(4)] == [f"story {i}" for i in range(4)]
+    assert {got[10 + i] for i in range(12)} == {"twice"} and got[30] == "other"
+    assert {got[40], got[41]} == {"Brand alone Links"}
+
+
 def test_html_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert rows(html.main_text(df)) == []

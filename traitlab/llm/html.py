@@ -6,12 +6,16 @@ boilerplate (navigation, header, footer, sidebar, notice, advert, form,
 comments), or neither.  Pages of one host are sorted by URL path; each is
 paired with the neighbour whose path shares the longer prefix.  The two pages'
 lines are aligned by longest common subsequence, and lines that both have are
-deleted.  Lines inside a marked article are exempt, so that a page and its copy
-keep their text; a page with an article keeps that alone.
+deleted, inside a marked article too.  A neighbour that shares nearly all lines
+(``ALIKE``) is a copy and passed over for the next different page, so a page
+and its copy keep their text.  The markup is a check: of a page with an article
+only that is kept, and an article of which nothing would be left stays whole.
 
 Lines travel as 64-bit hashes for the pairing; the sorted order is a range
 partitioning with no task per host, and the first and last page of each
-partition (two rows per partition) are handed to the partitions beside it.
+partition, and the nearest with other lines, are handed to the partitions
+beside it.  Near copies that are not equal and fill a partition hide the pages
+beyond it; such pages take the partner on their other side, if any.
 
 Edge cases: null html counts as empty and gives an empty text; a null or odd
 url is a host of its own and has no partner unless another row has the same
@@ -38,6 +42,8 @@ _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "emb
 _BOILER = {"nav", "footer", "aside", "form", "button", "select", "textarea", "menu", "dialog", "head", "title", "label", "fieldset", "header", *_RAW}
 _BLOCK = set("address article aside blockquote body br caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 _MAIN = {"article", "main"}
+#: share of common lines from which two pages are copies
+ALIKE = 0.9
 _NAMED = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _BOILER_NAME = re.compile(r"^(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu\w*|breadcrumbs?|sidebar|side|aside|complementary|footer|header|masthead|contentinfo|cookie\w*|consent|notices?|gdpr|popup|modal|alert|newsletter|subscribe|subscription|signup|login|search|form|share|sharing|social|related|recommend\w*|comments?|commentlist|replies|reply|respond|discussion|disqus\w*|widget|toolbar|pagination|pager|copyright|legal|skip)$", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -163,22 +169,46 @@ def _keys(url: str | None) -> tuple[str, str]:
     return (m.group(1).lower(), m.group(2)) if m else ("", url or "")
 
 
+def _beyond(edge: list, end: str) -> dict[int, list[tuple]]:
+    """By partition, the nearest page of those before it in ``edge`` and the
+    nearest one whose lines differ from that one's."""
+    out, last = {}, []
+    for r in edge:
+        out[r["part"]] = last
+        first, second = r[end], r[end + "2"]
+        if second is None:  # a partition of copies
+            second = next((x for x in last if x[4] != first["hashes"]), None)
+        last = [tuple(first)] + ([tuple(second)] if second is not None else [])
+    return out
+
+
+def _different(chain: list[tuple], sets: list[frozenset], places: range, step: int) -> list[int | None]:
+    """For each place of the chain the nearest one in the direction ``step``
+    that is of the same host and no copy."""
+    out: list[int | None] = [None] * len(chain)
+    for i in places:
+        j = i + step if 0 <= i + step < len(chain) else None
+        while j is not None and chain[j][0] == chain[i][0] and len(sets[i] & sets[j]) >= ALIKE * len(sets[i] | sets[j]):
+            j = out[j]
+        out[i] = j if j is not None and chain[j][0] == chain[i][0] else None
+    return out
+
+
 def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, shared): places of the lines outside the article that a page
-    shares with its nearest neighbour; pages without any are left out."""
+    """(id, shared): places of the lines that a page shares with its nearest
+    different neighbour; pages without any are left out."""
 
     def outline(batches):
         for cols in batches:
             hosts, paths, hashes, places, ids = [], [], [], [], []
             for key, url, page in zip(cols["id"], cols["url"], cols["html"]):
-                lines, marks = text_lines(page or "")
-                out = [i for i, m in enumerate(marks) if m != ARTICLE]
+                lines, _ = text_lines(page or "")
                 host, path = _keys(url)
                 ids.append(key)
                 hosts.append(host)
                 paths.append(path)
-                places.append(np.array(out, dtype=np.int32))
-                hashes.append(_line_hashes([lines[i] for i in out]))
+                places.append(np.arange(len(lines), dtype=np.int32))
+                hashes.append(_line_hashes(lines))
             import pyarrow as pa
 
             yield {"id": ids, "host": hosts, "path": paths, "places": lists(places, pa.int32()) if places else [], "hashes": lists(hashes) if hashes else []}
@@ -187,14 +217,15 @@ def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     outlines = map_batches(picked, outline, "id long, host string, path string, places array<int>, hashes array<long>").where("size(places) > 0")
     order = ["host", "path", "id"]
     ranged = written(outlines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "outlines")
-    # the first and last page of each partition, given to the one before or after
-    ends = ranged.groupBy("part").agg(F.min(F.struct(*order, "places", "hashes")).alias("lo"), F.max(F.struct(*order, "places", "hashes")).alias("hi"))
+    # the first and last page of each partition, and those nearest to them with other lines, given to the ones beside it
+    row = F.struct(*order, "places", "hashes")
+    ends = written(ranged.groupBy("part").agg(F.min(row).alias("lo"), F.max(row).alias("hi")), "ends")
     if (n := ends.count()) > BROADCAST_ROWS:
         raise ValueError(f"{n} partitions; use fewer")
-    edge = sorted(ends.select("part", "lo", "hi").collect(), key=lambda r: r["part"])
-    extra = {}
-    for i, r in enumerate(edge):
-        extra[r["part"]] = (tuple(edge[i - 1]["hi"]) if i else None, tuple(edge[i + 1]["lo"]) if i + 1 < len(edge) else None)
+    other = ranged.join(F.broadcast(ends), "part").groupBy("part").agg(F.min(F.when(F.col("hashes") != F.col("lo.hashes"), row)).alias("lo2"), F.max(F.when(F.col("hashes") != F.col("hi.hashes"), row)).alias("hi2"))
+    edge = sorted(ends.join(other, "part").collect(), key=lambda r: r["part"])
+    before, after = _beyond(edge, "hi"), _beyond(edge[::-1], "lo")
+    extra = {r["part"]: (before[r["part"]][::-1], after[r["part"]]) for r in edge}
     shared = pages.sparkSession.sparkContext.broadcast(extra)
 
     def pair(key, table):
@@ -202,10 +233,13 @@ def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
         before, after = shared.value[key[0].as_py()]
         rows = sorted(zip(*(table.column(c).to_pylist() for c in (*order, "places", "hashes"))), key=lambda r: r[:3])
-        chain = [before, *rows, after]
+        chain = [*before, *rows, *after]
+        sets = [frozenset(r[4]) for r in chain]
+        previous = _different(chain, sets, range(len(chain)), -1)
+        following = _different(chain, sets, range(len(chain) - 1, -1, -1), 1)
         ids, found = [], []
-        for i, (host, path, id_, places, hashes) in enumerate(rows, 1):
-            beside = [x for x in (chain[i - 1], chain[i + 1]) if x is not None and x[0] == host]
+        for i, (host, path, id_, places, hashes) in enumerate(rows, len(before)):
+            beside = [chain[j] for j in (previous[i], following[i]) if j is not None]
             if not beside or not places:
                 continue
             other = max(beside, key=lambda x: len(commonprefix([x[1], path])))
@@ -227,11 +261,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             out = []
             for page, gone in zip(cols["html"], cols["shared"]):
                 lines, marks = text_lines(page or "")
-                if ARTICLE in marks:
-                    out.append(" ".join(x for x, m in zip(lines, marks) if m == ARTICLE))
-                else:
-                    drop = set(gone or ())
-                    out.append(" ".join(x for i, (x, m) in enumerate(zip(lines, marks)) if m == OTHER and i not in drop))
+                drop, region = set(gone or ()), ARTICLE if ARTICLE in marks else OTHER
+                main = [i for i, m in enumerate(marks) if m == region]
+                kept = [i for i in main if i not in drop]
+                out.append(" ".join(lines[i] for i in (kept or (main if region == ARTICLE else []))))
             yield {"page_id": cols["page_id"], "url": cols["url"], "text": out, "n_chars": [len(x) for x in out]}
 
     picked = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
