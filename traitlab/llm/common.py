@@ -67,6 +67,18 @@ def lists(arrays: list, kind=None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, type=kind or pa.int64()))
 
 
+def table_offsets(df: DataFrame, part: str, size) -> DataFrame:
+    """(part, before): the sum of ``size`` (an aggregate) over all smaller
+    parts.  ``part`` numbers the tasks that wrote ``df``, so the driver holds
+    one row per task."""
+    rows = sorted((r[0], r[1]) for r in df.groupBy(part).agg(size).collect())
+    out, total = [], 0
+    for key, n in rows:
+        out.append((key, total))
+        total += n
+    return df.sparkSession.createDataFrame(out, f"{part} long, before long")
+
+
 def distinct_pairs(df: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Each unordered pair of different ids once, smaller first."""
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()

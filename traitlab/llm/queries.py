@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitlab.llm import bpe, embeddings, html, jaccard, lines, mixing, quality, rules, substrings, toxicity
+from traitlab.llm import bpe, embeddings, html, jaccard, lines, mixing, packing, quality, rules, substrings, toxicity
 from traitlab.llm.common import table
 
 #: token shares by language that the mix aims at
@@ -72,7 +72,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_ngram_jaccard_join, op3_quality_classifier, op4_quality_rules, op5_substring_dedup, op6_bpe_round_trip, op7_html_extraction, op8_line_dedup, op9_embedding_near_dedup, op10_toxicity)
+    for f in (op1_mix_sources, op2_ngram_jaccard_join, op3_quality_classifier, op4_quality_rules, op5_substring_dedup, op6_bpe_round_trip, op7_html_extraction, op8_line_dedup, op9_embedding_near_dedup, op10_toxicity, op11_curve_packing)
 }
