@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitlab.llm import bpe, embeddings, html, jaccard, lines, mixing, packing, quality, rules, substrings, toxicity
+from traitlab.llm import bpe, embeddings, html, jaccard, lines, mixing, packing, quality, repair, rules, substrings, toxicity, tries
 from traitlab.llm.common import table
 
 #: token shares by language that the mix aims at
@@ -76,7 +76,16 @@ def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair(repair.faulted(rows, F.col("present"))).digests()
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_ngram_jaccard_join, op3_quality_classifier, op4_quality_rules, op5_substring_dedup, op6_bpe_round_trip, op7_html_extraction, op8_line_dedup, op9_embedding_near_dedup, op10_toxicity, op11_curve_packing)
+    for f in (op1_mix_sources, op2_ngram_jaccard_join, op3_quality_classifier, op4_quality_rules, op5_substring_dedup, op6_bpe_round_trip, op7_html_extraction, op8_line_dedup, op9_embedding_near_dedup, op10_toxicity, op11_curve_packing, op12_conversation_trie, op13_conversation_repair)
 }
