@@ -103,7 +103,7 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     numbered = running(turns, "c", [F.asc_nulls_first("turn"), "dg", "u"], "one", "i").withColumns({"h": h, "base": base}).select("c", "i", "dg", "ch", "h", "base")
     convs = written(numbered.where("i = 1").select("c", "h", "base"), "convs")
     heads = written(numbered.where("c = base and i <= 5").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("i", "dg", "ch"))).alias("head")).withColumnRenamed("c", "base"), "heads")
-    given = F.coalesce(F.least(F.col("h"), F.size("head")), F.lit(0))
+    given = F.least(F.col("h"), F.coalesce(F.size("head"), F.lit(0)))
     own = numbered.where("i > h").join(heads, "base", "left").select("c", (F.col("i") - F.col("h") + given).alias("d"), "dg", "ch")
     lent = convs.where("h > 0").join(heads, "base").select("c", F.explode(F.slice("head", 1, F.col("h").cast("int"))).alias("t")).select("c", F.col("t.i").alias("d"), "t.dg", "t.ch")
     both = own.unionByName(lent)
