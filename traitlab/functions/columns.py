@@ -39,9 +39,11 @@ DET_MOD = 2147483648
 
 
 def det(key: str | Column, seed: int = 42) -> Column:
-    """Deterministic pseudo-random ordering key of a row id (< 2**32)."""
+    """Deterministic pseudo-random ordering key of a row id, between -2**31
+    and 2**31.  The id is reduced first, so that no id overflows; equal keys
+    are ordered by the id itself."""
     k = F.col(key) if isinstance(key, str) else key
-    return ((k.cast("long") * F.lit(DET_MULT) + F.lit(DET_ADD * seed)) % F.lit(DET_MOD)).cast("long")
+    return ((k.cast("long") % F.lit(DET_MOD) * F.lit(DET_MULT) + F.lit(DET_ADD * seed)) % F.lit(DET_MOD)).cast("long")
 
 
 def guarded_number(c: str | Column) -> Column:

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traitlab.functions.columns import arg_min, det, sq_dist
+from traitlab.functions.vectors import INLINE_TERMS, best_position, matrix, squared_distances, summed, tasks_of, with_scores
+from traitlab.session import scratch_table
 
 
 @dataclass
@@ -33,8 +35,10 @@ class Centroids:
 
 def assign_nearest(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
     """Index of the nearest centre (squared Euclidean; lowest index on ties)."""
-    dists = [sq_dist(cols, c) for c in centers]
-    return df.withColumn(out, arg_min(dists))
+    if len(cols) * len(centers) <= INLINE_TERMS:
+        return df.withColumn(out, arg_min([sq_dist(cols, c) for c in centers]))
+    scored = with_scores(df, cols, np.array(centers, dtype=float), lambda c, x: squared_distances(x, c), len(centers), "_dist")
+    return scored.withColumn(out, (best_position("_dist", lowest=True) - 1).cast("int")).drop("_dist")
 
 
 def init_first_rows(df: DataFrame, key: str, cols: Sequence[str], k: int, seed: int = 42) -> list[list[float]]:
@@ -52,34 +56,24 @@ def init_uniform_box(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42)
     return (lo + rng.random((k, len(cols))) * (hi - lo)).tolist()
 
 
-def lloyd_step(df: DataFrame, cols: Sequence[str], centers: list[list[float]]) -> list[list[float]]:
-    """One Lloyd update; an empty cluster keeps its old centre.  Each partition
-    returns one row of sums (k x (p + 1) numbers) from vectorised distances:
-    the centres travel as a broadcast, so a step needs no newly generated
-    code.  Ties go to the lowest index, as in ``assign_nearest``."""
+def lloyd_step(df: DataFrame, cols: Sequence[str], centers: list[list[float]], tasks: int | None = None) -> list[list[float]]:
+    """One Lloyd update; an empty cluster keeps its old centre.  Each task
+    returns its sums (k x (p + 1) numbers) from vectorised distances: the
+    centres travel as a broadcast, so a step needs no newly generated code.
+    Rows with a null feature take no part.  Ties go to the lowest index, as in
+    ``assign_nearest``."""
     cols, k = list(cols), len(centers)
-    shared = df.sparkSession.sparkContext.broadcast(np.array(centers, dtype=float))
 
-    def sums(frames):
-        import pandas as pd
-
-        c = shared.value
+    def part(c, batch):
+        x = matrix(batch, cols)
+        x = x[~np.isnan(x).any(axis=1)]
         total = np.zeros((k, len(cols) + 1))
-        for pdf in frames:
-            x = pdf[cols].to_numpy(dtype=float)
-            x = x[~np.isnan(x).any(axis=1)]
-            dist = np.stack([np.square(x - m).sum(axis=1) for m in c], axis=1)
-            near = dist.argmin(axis=1) if len(x) else np.empty(0, dtype=int)
+        if len(x):
+            near = squared_distances(x, c).argmin(axis=1)
             np.add.at(total, near, np.column_stack([x, np.ones(len(x))]))
-        yield pd.DataFrame({"s": [total.ravel().tolist()]})
-
-    cells = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(sums, "s array<double>")
-    rows = cells.select(F.posexplode("s").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).collect()
-    total = np.zeros(k * (len(cols) + 1))
-    for r in rows:
-        total[r["at"]] = r["v"]
-    total = total.reshape(k, -1)
-    shared.unpersist()
+        return total.ravel()
+
+    total = summed(df.select(*cols), np.array(centers, dtype=float), part, k * (len(cols) + 1), tasks).reshape(k, -1)
     return [(t[:-1] / t[-1]).tolist() if t[-1] else list(c) for t, c in zip(total, centers)]
 
 
@@ -93,7 +87,8 @@ def kmeans(
     seed: int = 42,
     init: str | list[list[float]] = "first",
 ) -> Centroids:
-    """Lloyd's algorithm; stops when the largest centre move is < tol."""
+    """Lloyd's algorithm; stops when the largest centre move is < tol.
+    The features are written once and read by every step."""
     cols = list(cols)
     if isinstance(init, list):
         centers = init
@@ -103,8 +98,10 @@ def kmeans(
         centers = init_first_rows(df, key, cols, k, seed)
     shifts = []
     it = 0
+    data = scratch_table(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "kmeans")
+    tasks = tasks_of(data)
     for it in range(1, max_iter + 1):
-        new = lloyd_step(df, cols, centers)
+        new = lloyd_step(data, cols, centers, tasks)
         shift = max(float(np.linalg.norm(np.array(a) - np.array(b))) for a, b in zip(new, centers))
         shifts.append(shift)
         centers = new

@@ -243,7 +243,7 @@ def perm_key(key: str, stream: int) -> Column:
     from traitlab.functions.columns import DET_ADD, DET_MOD
 
     m = perm_multiplier(stream)
-    return ((F.col(key).cast("long") * F.lit(m) + F.lit(DET_ADD)) % F.lit(DET_MOD)).cast("long")
+    return ((F.col(key).cast("long") % F.lit(DET_MOD) * F.lit(m) + F.lit(DET_ADD)) % F.lit(DET_MOD)).cast("long")
 
 
 def perm_multiplier(stream: int) -> int:

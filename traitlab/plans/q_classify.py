@@ -101,10 +101,10 @@ def k04_log_loss(spark, sf_dir):
     return round_doubles(K.log_loss(pred, classes))
 
 
-@register("k05_bic", lambda: with_pred() + f"SELECT round(avg(-ln(greatest({_ptrue()}, 1e-15))) * count(*) + 5 * ln(count(*)), 6) AS bic FROM pred")
+@register("k05_bic", lambda: with_pred() + f"SELECT round(avg(-ln(greatest({_ptrue()}, 1e-15))) * count(*) + {len(XS)} * ln(count(*)), 6) AS bic FROM pred")
 def k05_bic(spark, sf_dir):
     pred, classes = predictions(spark, sf_dir)
-    return round_doubles(K.bic(pred, classes, n_features=5))
+    return round_doubles(K.bic(pred, classes, n_features=len(XS)))
 
 
 def _pc_ctes():
@@ -225,7 +225,12 @@ def l05_random_forest(spark, sf_dir):
 
 @register("l08_mlp")
 def l08_mlp(spark, sf_dir):
-    return _ml_pred(spark, sf_dir, L.fit_mlp, {"hidden_layer_sizes": (16,), "max_iter": 50})
+    """Adam on mini-batches with early stopping, ReLU; against NumPy in the
+    tests."""
+    train, test = split_embeddings(spark, sf_dir)
+    params = {"hidden_layer_sizes": (16,), "alpha": 1e-4, "solver": "adam", "learning_rate": 0.01, "early_stopping": True, "max_iter": 30}
+    fm = L.fit_mlp(train, XS, "label", params, key="vec_id")
+    return fm.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
 
 
 # ---------------------------------------------------------------- L2 / L4 / L9 / L11-L13
@@ -261,7 +266,8 @@ def l02_softmax_gd(spark, sf_dir):
 
 @register("l04_svm_gd")
 def l04_svm_gd(spark, sf_dir):
-    """Rows-only: one-vs-rest linear SVM by batch sub-gradient descent."""
+    """One-vs-rest linear SVM by batch sub-gradient descent on all 64 values;
+    against NumPy in the tests."""
     train, test = split_embeddings(spark, sf_dir)
     m = L.fit_svm_gd(train, XS, "label", epochs=20)
     return m.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
@@ -277,7 +283,8 @@ def l09_relu_net(spark, sf_dir):
 
 @register("l11_us_region_model")
 def l11_us_region_model(spark, sf_dir):
-    """Rows-only: the US-region forest end to end; its class report."""
+    """Rows-only: the US-region forest end to end (188 best-first trees of at
+    most 100 leaves); its class report."""
     from traitlab.plans.workflows import us_region_model
 
     _m, report = us_region_model(flows.clean_survey(spark, sf_dir))
@@ -308,9 +315,56 @@ def l13_cluster_model(spark, sf_dir):
 
 @register("l06_forest_all_features")
 def l06_forest_all_features(spark, sf_dir):
-    """Rows-only: random forest over all features (no feature subsampling),
-    Gini impurity, depth limit, majority vote."""
-    return _ml_pred(spark, sf_dir, L.fit_forest, {"n_estimators": 10, "max_depth": 6, "max_features": None})
+    """Ten exact trees over all 64 features (bootstrap, depth 5, majority
+    vote); against brute force in the tests."""
+    train, test = split_embeddings(spark, sf_dir)
+    fm = L.fit_exact_forest(train, XS, "label", {"n_estimators": 10, "max_depth": 5}, key="vec_id")
+    return fm.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
+
+
+@register("l05_leaf_bound_forest")
+def l05_leaf_bound_forest(spark, sf_dir):
+    """Best-first trees of at most 12 leaves with a split bound; against brute
+    force in the tests."""
+    train, test = split_embeddings(spark, sf_dir)
+    fm = L.fit_forest(train, XS, "label", {"n_estimators": 8, "max_depth": 30, "max_features": "sqrt", "max_leaf_nodes": 12, "min_samples_leaf": 2, "min_samples_split": 7}, key="vec_id")
+    return fm.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
+
+
+def _l06_sql(depth: int = 2):
+    """One tree level by level: exact best split of every node that holds
+    more than one class."""
+    ctes = [
+        f"fl AS (SELECT vec_id, label, row_number() OVER (ORDER BY {D}, vec_id) <= ceil(count(*) OVER () * 0.2) AS is_test FROM embeddings)",
+        "lg AS (SELECT vec_id, unnest(range(64)) AS f, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)",
+        "n0 AS (SELECT vec_id, label, is_test, 0 AS node FROM fl)",
+    ]
+    cnt = ", ".join(f"count(*) FILTER (WHERE label = {c}) AS c{c}" for c in CLASSES)
+    run = ", ".join(f"sum(c{c}) OVER w AS l{c}, sum(c{c}) OVER (PARTITION BY node, f) AS t{c}" for c in CLASSES)
+    nl, nt = " + ".join(f"l{c}" for c in CLASSES), " + ".join(f"t{c}" for c in CLASSES)
+    ql = " + ".join(f"CAST(l{c} AS DOUBLE) * l{c}" for c in CLASSES)
+    qr = " + ".join(f"CAST(t{c} - l{c} AS DOUBLE) * (t{c} - l{c})" for c in CLASSES)
+    for i in range(depth):
+        ctes += [
+            f"o{i} AS (SELECT node FROM n{i} WHERE NOT is_test GROUP BY node HAVING count(DISTINCT label) > 1)",
+            f"c{i} AS (SELECT node, f, v, {cnt} FROM n{i} JOIN o{i} USING (node) JOIN lg USING (vec_id) WHERE NOT is_test GROUP BY node, f, v)",
+            f"r{i} AS (SELECT node, f, v, {run} FROM c{i} WINDOW w AS (PARTITION BY node, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+            f"s{i} AS (SELECT node, f, v, round(1.0E0 - (({ql}) / ({nl}) + ({qr}) / (({nt}) - ({nl}))) / ({nt}), 10) AS score FROM r{i} WHERE ({nt}) > ({nl}))",
+            f"b{i} AS (SELECT node, f, v FROM s{i} QUALIFY row_number() OVER (PARTITION BY node ORDER BY score, f, v) = 1)",
+            f"n{i + 1} AS (SELECT n.vec_id, n.label, n.is_test, CASE WHEN b.node IS NULL THEN n.node WHEN lg.v <= b.v THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node "
+            f"FROM n{i} n LEFT JOIN b{i} b ON b.node = n.node LEFT JOIN lg ON lg.vec_id = n.vec_id AND lg.f = b.f)",
+        ]
+    ctes.append(f"vote AS (SELECT node, label AS p FROM n{depth} WHERE NOT is_test GROUP BY node, label QUALIFY row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, label) = 1)")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT n.vec_id, n.label AS y, vote.p FROM n{depth} n LEFT JOIN vote USING (node) WHERE n.is_test"
+
+
+@register("l06_exact_tree", _l06_sql)
+def l06_exact_tree(spark, sf_dir):
+    """One exact tree of depth 2 over all 64 features, without bootstrap
+    (sql-k); predictions of the test rows."""
+    train, test = split_embeddings(spark, sf_dir)
+    fm = L.fit_exact_forest(train, XS, "label", {"n_estimators": 1, "max_depth": 2, "bootstrap": False}, key="vec_id")
+    return fm.transform(test, prob_prefix=None).select("vec_id", F.col("label").alias("y"), "p")
 
 
 SVM_STEPS, SVM_LR, SVM_C = 3, 0.01, 1.0

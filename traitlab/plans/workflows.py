@@ -17,8 +17,7 @@ from traitlab.operators.enrich import fold_rare, join_country
 from traitlab.operators.features import standardize
 from traitlab.sources.dims import ITEMS, SCORES
 
-# The US-region forest of the reference (max_leaf_nodes and
-# min_samples_split have no Spark counterpart and are reported as ignored).
+# The US-region forest of the reference.
 US_FOREST = {"n_estimators": 188, "max_depth": 30, "max_features": "sqrt", "max_leaf_nodes": 100, "min_samples_leaf": 2, "min_samples_split": 7, "class_weight": "balanced"}
 
 # Random-search space of the location model.
@@ -46,7 +45,7 @@ def us_region_model(df: DataFrame, key: str = "row_id", lat: str = "lat", lon: s
     train = B.level_largest(sp.filter(F.col("split") == "train"), "region", key)
     train = B.class_weights(train, "region", out="w")
     test = sp.filter(F.col("split") == "test")
-    model = L.fit_forest(train, feats, "region", US_FOREST, weight="w")
+    model = L.fit_forest(train, feats, "region", US_FOREST, weight="w", key=key)
     pred = model.transform(test, prob_prefix=None)
     return model, K.class_report(pred, y="region", p="p")
 

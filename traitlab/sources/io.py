@@ -176,10 +176,12 @@ def load_model(path: str, spark: SparkSession | None = None):
 
 
 def _models() -> dict:
+    from traitlab.operators.classify.forest import ExactForest
     from traitlab.operators.classify.models import FittedModel, LinearModel, NearestCentroid, ReluNet
+    from traitlab.operators.classify.network import Network
     from traitlab.operators.features import LabelMap, Scaler
 
-    return {c.__name__: c for c in (FittedModel, LinearModel, NearestCentroid, ReluNet, LabelMap, Scaler)}
+    return {c.__name__: c for c in (ExactForest, FittedModel, LinearModel, NearestCentroid, Network, ReluNet, LabelMap, Scaler)}
 
 
 def _state(model) -> tuple[dict, object]:
@@ -201,6 +203,8 @@ def _state(model) -> tuple[dict, object]:
             v = {"array": v.tolist()}
         elif isinstance(v, list) and v and isinstance(v[0], np.ndarray):
             v = {"arrays": [x.tolist() for x in v]}
+        elif f.name == "trees":
+            v = {"trees": [t.state() for t in v]}
         fields[f.name] = v
     return {"class": type(model).__name__, "fields": fields}, wrapped
 
@@ -222,5 +226,9 @@ def _restored(state: dict, path: str):
             v = np.array(v["array"])
         elif isinstance(v, dict) and set(v) == {"arrays"}:
             v = [np.array(x) for x in v["arrays"]]
+        elif isinstance(v, dict) and set(v) == {"trees"}:
+            from traitlab.operators.classify.forest import Tree
+
+            v = [Tree.restored(t) for t in v["trees"]]
         fields[name] = v
     return _models()[state["class"]](**fields)
