@@ -1,29 +1,30 @@
 """Gaussian mixture by EM (C4 full covariance, C5 tied, C7 soft
-assignment, C8 log-likelihood).
+assignment, C8 log-likelihood), in any number of dimensions.
 
 Parameters (k weights, k*d means, k*d*d covariances) live on the driver and
-are inlined as literals.  One Spark job per iteration computes, with the
-current parameters: per-row log densities in log space (staged columns),
-the log-likelihood, and the sufficient statistics sum r, sum r*x,
-sum r*x*x^T of the responsibilities -- all in one aggregation with
-partial aggregation per partition.  Iteration semantics follow the
-reference loop: M-step, then log-likelihood of the new parameters, stop
-when the absolute change is below ``tol``; labels come from the last
-E-step (the parameters before the final M-step)."""
+travel as a broadcast, the covariances as inverted Cholesky factors.  One pass
+per iteration over the features, written once: every task takes the log
+densities of its rows as matrix products and adds up, per component, the
+responsibilities r, r*(x - mu) and r*(x - mu)(x - mu)', mu being the mean the
+pass started from; these sums (k * (1 + d + d*d) numbers) are mergeable.
+Iteration semantics follow the reference loop: M-step, then log-likelihood of
+the new parameters, stop when the absolute change is below ``tol``; labels
+come from the last E-step (the parameters before the final M-step).  Rows with
+a null feature take no part and get no label."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.functions.columns import arg_max, det
+from traitlab.functions.columns import det
+from traitlab.functions.vectors import best_position, matrix, softmax_rows, summed, tasks_of, with_scores
+from traitlab.session import scratch_table
 
 
 @dataclass
@@ -42,71 +43,70 @@ class GMMModel:
     n_iter: int = 0
 
     def transform(self, df: DataFrame, out: str = "cluster", prob_prefix: str = "p_", use_label_params: bool = True) -> DataFrame:
+        """Responsibilities and the most likely component (the first on ties)."""
         th = self.label_params if use_label_params else self.params
-        staged = log_densities(df, self.cols, th)
         k = len(th.weights)
-        staged = staged.withColumns({f"{prob_prefix}{j}": F.col(f"_e{j}") / F.col("_t") for j in range(k)})
-        staged = staged.withColumn(out, arg_max([F.col(f"_lp{j}") for j in range(k)]))
-        return staged.drop(*[f"_lp{j}" for j in range(k)], *[f"_e{j}" for j in range(k)], "_m", "_t")
+        scored = with_scores(df, self.cols, factors(th), log_joint, k, "_lp")
+        place = F.when(F.col("_lp").isNotNull(), (best_position("_lp") - 1).cast("int"))
+        scored = scored.withColumn(out, place)
+        share = F.transform("_lp", lambda v: F.exp(v - F.array_max("_lp")))
+        scored = scored.withColumn("_lp", share).withColumn("_t", F.aggregate("_lp", F.lit(0.0), lambda a, v: a + v))
+        return scored.withColumns({f"{prob_prefix}{j}": F.get("_lp", F.lit(j)) / F.col("_t") for j in range(k)}).drop("_lp", "_t")
 
 
-def _log_density_expr(cols: Sequence[str], weight: float, mean: np.ndarray, cov: np.ndarray):
-    d = len(cols)
-    prec = np.linalg.inv(cov)
-    _sign, logdet = np.linalg.slogdet(cov)
-    diffs = [F.col(c) - F.lit(float(mean[i])) for i, c in enumerate(cols)]
-    terms = []
-    for i in range(d):
-        terms.append(diffs[i] * diffs[i] * F.lit(float(prec[i, i])))
-        for j in range(i + 1, d):
-            terms.append(diffs[i] * diffs[j] * F.lit(float(2.0 * prec[i, j])))
-    quad = reduce(add, terms)
-    const = math.log(weight) - 0.5 * d * math.log(2.0 * math.pi) - 0.5 * logdet
-    return F.lit(const) - F.lit(0.5) * quad
-
-
-def log_densities(df: DataFrame, cols: Sequence[str], th: GMMParams) -> DataFrame:
-    """Staged columns: _lp<j> = log(pi_j N(x | mu_j, S_j)), _m = max_j, _e<j> =
-    exp(_lp<j> - _m), _t = sum_j _e<j>.  Log-likelihood of a row = _m + ln _t."""
-    k = len(th.weights)
-    out = df.withColumns({f"_lp{j}": _log_density_expr(cols, float(th.weights[j]), th.means[j], th.covs[j]) for j in range(k)})
-    out = out.withColumn("_m", F.greatest(*[F.col(f"_lp{j}") for j in range(k)]) if k > 1 else F.col("_lp0"))
-    out = out.withColumns({f"_e{j}": F.exp(F.col(f"_lp{j}") - F.col("_m")) for j in range(k)})
-    return out.withColumn("_t", reduce(add, [F.col(f"_e{j}") for j in range(k)]))
-
-
-def em_statistics(df: DataFrame, cols: Sequence[str], th: GMMParams) -> tuple[float, int, np.ndarray, np.ndarray, np.ndarray]:
-    """One pass: log-likelihood under ``th`` and the responsibility-weighted
-    sums needed by the M-step."""
-    k, d = len(th.weights), len(cols)
-    st = log_densities(df.select(*cols), cols, th)
-    st = st.withColumns({f"_r{j}": F.col(f"_e{j}") / F.col("_t") for j in range(k)})
-    aggs = [F.sum(F.col("_m") + F.log("_t")).alias("ll"), F.count(F.lit(1)).alias("n")]
-    for j in range(k):
-        r = F.col(f"_r{j}")
-        aggs.append(F.sum(r).alias(f"n{j}"))
-        aggs += [F.sum(r * F.col(c)).alias(f"s{j}_{a}") for a, c in enumerate(cols)]
-        aggs += [F.sum(r * F.col(cols[a]) * F.col(cols[b])).alias(f"q{j}_{a}_{b}") for a in range(d) for b in range(a, d)]
-    row = st.agg(*aggs).first()
-    nk = np.array([row[f"n{j}"] for j in range(k)])
-    s = np.array([[row[f"s{j}_{a}"] for a in range(d)] for j in range(k)])
-    q = np.zeros((k, d, d))
-    for j in range(k):
-        for a in range(d):
-            for b in range(a, d):
-                q[j, a, b] = q[j, b, a] = row[f"q{j}_{a}_{b}"]
-    return float(row["ll"]), int(row["n"]), nk, s, q
-
-
-def m_step(n: int, nk: np.ndarray, s: np.ndarray, q: np.ndarray, covariance: str = "full", reg: float = 0.0) -> GMMParams:
+def factors(th: GMMParams) -> list[tuple]:
+    """Per component: mean, inverse of the covariance's Cholesky factor, and
+    the constant of the log density with the weight."""
+    out, d = [], th.means.shape[1]
+    for weight, mean, cov in zip(th.weights, th.means, th.covs):
+        low = np.linalg.cholesky(cov)
+        const = (math.log(weight) if weight > 0 else -math.inf) - 0.5 * d * math.log(2.0 * math.pi) - float(np.log(np.diag(low)).sum())
+        out.append((mean, np.linalg.inv(low), const))
+    return out
+
+
+def log_joint(parts: list[tuple], x: np.ndarray) -> np.ndarray:
+    """Rows x components: ln(pi_j N(x | mu_j, S_j))."""
+    return np.stack([const - 0.5 * np.square((x - mean) @ inv.T).sum(axis=1) for mean, inv, const in parts], axis=1)
+
+
+def log_likelihood(df: DataFrame, cols: Sequence[str], th: GMMParams) -> float:
+    """Sum over rows of ln sum_j pi_j N(x | mu_j, S_j)."""
+    return em_statistics(df.select(*cols), cols, th)[0]
+
+
+def em_statistics(df: DataFrame, cols: Sequence[str], th: GMMParams, tasks: int | None = None) -> tuple[float, int, np.ndarray, np.ndarray, np.ndarray]:
+    """One pass: log-likelihood under ``th``, rows, and per component the sums
+    of r, r*(x - mu), r*(x - mu)(x - mu)'."""
+    k, d = th.means.shape
+    cols = list(cols)
+
+    def part(parts, batch):
+        x = matrix(batch, cols)
+        x = x[~np.isnan(x).any(axis=1)]
+        lp = log_joint(parts, x)
+        top = lp.max(axis=1, keepdims=True) if len(x) else lp
+        r = softmax_rows(lp)
+        sums = [np.array([float((top[:, 0] + np.log(np.exp(lp - top).sum(axis=1))).sum()) if len(x) else 0.0, len(x)]), r.sum(axis=0)]
+        diffs = [x - mean for mean, _, _ in parts]
+        sums += [r[:, j] @ diffs[j] for j in range(k)]
+        sums += [((diffs[j] * r[:, j : j + 1]).T @ diffs[j]).ravel() for j in range(k)]
+        return np.concatenate(sums)
+
+    total = summed(df.select(*cols), factors(th), part, 2 + k + k * d + k * d * d, tasks)
+    return float(total[0]), int(total[1]), total[2 : 2 + k], total[2 + k : 2 + k + k * d].reshape(k, d), total[2 + k + k * d :].reshape(k, d, d)
+
+
+def m_step(n: int, nk: np.ndarray, s: np.ndarray, q: np.ndarray, about: np.ndarray, covariance: str = "full", reg: float = 0.0) -> GMMParams:
+    """Parameters from the sums about the means ``about``."""
     k, d = s.shape
-    means = s / nk[:, None]
-    covs = np.stack([q[j] / nk[j] - np.outer(means[j], means[j]) for j in range(k)])
+    shift = s / nk[:, None]
+    covs = np.stack([q[j] / nk[j] - np.outer(shift[j], shift[j]) for j in range(k)])
     if covariance == "tied":
         pooled = sum(nk[j] * covs[j] for j in range(k)) / n
         covs = np.stack([pooled] * k)
     covs = covs + reg * np.eye(d)[None, :, :]
-    return GMMParams(nk / n, means, covs)
+    return GMMParams(nk / n, about + shift, covs)
 
 
 def init_params(df: DataFrame, key: str, cols: Sequence[str], k: int, seed: int = 42) -> GMMParams:
@@ -135,10 +135,12 @@ def gmm(
     lls: list[float] = []
     ll_old = 0.0
     it = 0
-    _ll0, n, nk, s, q = em_statistics(df, cols, th)  # E-step with the start values
+    data = scratch_table(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "mixture")
+    tasks = tasks_of(data)
+    _ll0, n, nk, s, q = em_statistics(data, cols, th, tasks)  # E-step with the start values
     for it in range(1, max_iter + 1):
-        new = m_step(n, nk, s, q, covariance, reg)
-        ll, n, nk, s, q = em_statistics(df, cols, new)  # LL of new params + next E-step sums
+        new = m_step(n, nk, s, q, th.means, covariance, reg)
+        ll, n, nk, s, q = em_statistics(data, cols, new, tasks)  # LL of new params + next E-step sums
         prev, th = th, new
         lls.append(ll)
         if abs(ll - ll_old) < tol:

@@ -10,60 +10,67 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from traitlab.functions.vectors import matrix, summed, with_scores
 from traitlab.operators.sample import MAX_GROUPS, collect_bounded
 from traitlab.session import scratch_table
 
-SILHOUETTE_ROWS = 2_000  # vectors in a block of the Euclidean silhouette
-
-
-def _cluster_sums(df: DataFrame, cols: Sequence[str], label: str) -> list:
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(c).alias(f"_s_{c}") for c in cols]
-    aggs.append(F.sum(reduce(add, [F.col(c) * F.col(c) for c in cols])).alias("_q"))
-    return collect_bounded(df.groupBy(label).agg(*aggs), MAX_GROUPS, "cluster sums")
-
-
-def centred(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """label and ``cols`` less their overall means (one pass, p numbers): the
-    metrics are shift-invariant, sums of squares of large offsets are not."""
-    m = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return df.select(label, *[(F.col(c) - F.lit(float(m[f"m{i}"]) if m[f"m{i}"] is not None else 0.0)).alias(c) for i, c in enumerate(cols)])
-
-
-def cluster_summary(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
-    """One row per cluster: n, per-column sums, sum of squared norms."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(c).alias(f"_s_{c}") for c in cols]
-    aggs.append(F.sum(reduce(add, [F.col(c) * F.col(c) for c in cols])).alias("_q"))
-    return df.groupBy(label).agg(*aggs)
+#: vectors in a block of the Euclidean silhouette
+SILHOUETTE_ROWS = 1_000
+#: doubles of cluster sums that a task holds and the driver takes
+MAX_SUMS = 20_000_000
+
+
+def cluster_sums(df: DataFrame, cols: Sequence[str], label: str) -> dict:
+    """label -> (rows, sum vector, sum of squared norms) about the overall
+    mean, and the mean under the key ``None, "mean"``: the metrics are
+    shift-invariant, sums of squares of large offsets are not.  Each task adds
+    up its rows per label (one row per label leaves it); two passes."""
+    cols, p = list(cols), len(cols)
+    labels = [r[0] for r in collect_bounded(df.select(label).distinct(), MAX_GROUPS, "clusters")]
+    if len(labels) * (p + 2) > MAX_SUMS:
+        raise ValueError(f"{len(labels)} clusters of {p} features")
+    mean = np.array([float(v) if v is not None else 0.0 for v in df.agg(F.array(*[F.avg(c) for c in cols])).first()[0]])
+    place = {v: i for i, v in enumerate(labels)}
+
+    def work(batches):
+        total = np.zeros((len(labels), p + 2))
+        for batch in batches:
+            x = matrix(batch, cols) - mean
+            at = np.array([place[v] for v in batch.column(batch.schema.get_field_index(label)).to_pylist()], dtype=np.int64)
+            np.add.at(total, at, np.column_stack([np.ones(len(x)), x, np.square(x).sum(axis=1)]))
+        seen = np.flatnonzero(total[:, 0])
+        flat = pa.array(total[seen].ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.ListArray.from_arrays(pa.array(np.arange(len(seen) + 1, dtype=np.int32) * (p + 2)), flat)], names=["at", "s"])
+
+    long = df.select(label, *cols).mapInArrow(work, "at long, s array<double>").select("at", F.posexplode("s").alias("i", "v"))
+    out = np.zeros((len(labels), p + 2))
+    for r in long.groupBy("at", "i").agg(F.sum("v").alias("v")).collect():
+        out[r["at"], r["i"]] = r["v"]
+    return {None: mean} | {(v,): (row[0], row[1:-1], row[-1]) for v, row in zip(labels, out)}
+
+
+def _one_row(df: DataFrame, name: str, value: float | None) -> DataFrame:
+    return df.sparkSession.createDataFrame([(None if value is None else float(value),)], f"{name} double")
 
 
 def calinski_harabasz_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster", zero_within: float = 0.0) -> DataFrame:
-    """C9 as a one-row DataFrame, computed entirely by Spark aggregations:
-    per-cluster sums (K rows), then one aggregate over those K rows.
-
+    """C9 as a one-row DataFrame, from the cluster sums:
     between = sum_k |s_k|^2/n_k - |sum_k s_k|^2/n ; within = sum q - sum_k |s_k|^2/n_k."""
-    summ = cluster_summary(centred(df, cols, label), cols, label)
-    norm_k = reduce(add, [F.col(f"_s_{c}") * F.col(f"_s_{c}") for c in cols]) / F.col("_n")
-    tot = summ.agg(
-        F.count(F.lit(1)).alias("k"),
-        F.sum("_n").alias("n"),
-        F.sum(norm_k).alias("bk"),
-        F.sum("_q").alias("q"),
-        *[F.sum(f"_s_{c}").alias(f"t_{c}") for c in cols],
-    )
-    grand = reduce(add, [F.col(f"t_{c}") * F.col(f"t_{c}") for c in cols]) / F.col("n")
-    between = F.col("bk") - grand
-    within = F.col("q") - F.col("bk")
-    ch = F.try_divide(F.try_divide(between, F.col("k") - 1), F.try_divide(within, F.col("n") - F.col("k")))
-    val = F.when(F.col("k") < 2, F.lit(-1.0)).when(within <= 0, F.lit(float(zero_within))).otherwise(ch)
-    return tot.select(val.alias("calinski_harabasz"))
+    rows = [v for k, v in cluster_sums(df, cols, label).items() if k is not None]
+    k, n = len(rows), sum(r[0] for r in rows)
+    if k < 2:
+        return _one_row(df, "calinski_harabasz", -1.0)
+    held = sum(float(r[1] @ r[1]) / r[0] for r in rows)
+    every = sum(r[1] for r in rows)
+    between, within = held - float(every @ every) / n, sum(r[2] for r in rows) - held
+    value = float(zero_within) if within <= 0 else None if n == k else (between / (k - 1)) / (within / (n - k))
+    return _one_row(df, "calinski_harabasz", value)
 
 
 def calinski_harabasz(df: DataFrame, cols: Sequence[str], label: str = "cluster", zero_within: float = 0.0) -> float:
@@ -72,37 +79,33 @@ def calinski_harabasz(df: DataFrame, cols: Sequence[str], label: str = "cluster"
 
 
 def centroids(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> dict:
-    rows = collect_bounded(df.groupBy(label).agg(*[F.avg(c).alias(c) for c in cols]), MAX_GROUPS, "centroids")
-    return {r[label]: [float(r[c]) for c in cols] for r in rows}
-
-
-def _own_centroid_dist(cols: Sequence[str], label: str, cents: dict) -> Column:
-    m = F.create_map(*[x for k, v in cents.items() for x in (F.lit(k), F.array(*[F.lit(z) for z in v]))])
-    return array_dist(F.array(*[F.col(c) for c in cols]), F.element_at(m, F.col(label)))
-
-
-def array_dist(a: Column, b: Column) -> Column:
-    """Euclidean distance of two arrays."""
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
+    sums = cluster_sums(df, cols, label)
+    mean = sums.pop(None)
+    return {k[0]: (r[1] / r[0] + mean).tolist() for k, r in sums.items()}
 
 
 def davies_bouldin_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
-    """C10 as a one-row DataFrame.  Pass 1: centroids (K rows, collected under
-    a bound).  Pass 2: mean distance to the own centroid per cluster.  The
-    K x K ratio maximum runs on the K-row table with array functions (no
-    join)."""
+    """C10 as a one-row DataFrame.  Pass 1: centroids.  Pass 2: every task adds
+    up the distances of its rows to their own centroid.  The ratios are taken
+    over the K centroids."""
     cents = centroids(df, cols, label)
-    scat = df.groupBy(label).agg(F.avg(_own_centroid_dist(cols, label, cents)).alias("s"))
-    cmap = F.create_map(*[x for k, v in cents.items() for x in (F.lit(k), F.array(*[F.lit(z) for z in v]))])
-    scat = scat.withColumn("mu", F.element_at(cmap, F.col(label)))
-    allc = scat.agg(F.collect_list(F.struct(F.col(label).alias("l"), "s", "mu")).alias("all"))
-    per = allc.select(F.explode("all").alias("me"), "all")
-    ratios = F.transform(
-        F.filter("all", lambda o: (o["l"] != F.col("me")["l"]) & (array_dist(o["mu"], F.col("me")["mu"]) > 0)),
-        lambda o: (o["s"] + F.col("me")["s"]) / array_dist(o["mu"], F.col("me")["mu"]),
-    )
-    per = per.select(F.coalesce(F.array_max(ratios), F.lit(0.0)).alias("r"), F.size("all").alias("k"))
-    return per.agg(F.when(F.max("k") < 2, F.lit(float("inf"))).otherwise(F.avg("r")).alias("davies_bouldin"))
+    if len(cents) < 2:
+        return _one_row(df, "davies_bouldin", math.inf)
+    mu, place, cols = np.array(list(cents.values())), {k: i for i, k in enumerate(cents)}, list(cols)
+
+    def part(mu, batch):
+        at = np.array([place[v] for v in batch.column(batch.schema.get_field_index(label)).to_pylist()], dtype=np.int64)
+        dist = np.sqrt(np.square(matrix(batch, cols) - mu[at]).sum(axis=1))
+        return np.concatenate([np.bincount(at, dist, minlength=len(mu)), np.bincount(at, minlength=len(mu))])
+
+    total = summed(df.select(label, *cols), mu, part, 2 * len(mu)).reshape(2, -1)
+    scatter = total[0] / total[1]
+    worst = []
+    for i in range(len(mu)):
+        gap = np.sqrt(np.square(mu - mu[i]).sum(axis=1))
+        far = gap > 0
+        worst.append(((scatter[far] + scatter[i]) / gap[far]).max(initial=0.0))
+    return _one_row(df, "davies_bouldin", float(np.mean(worst)))
 
 
 def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> float:
@@ -137,30 +140,37 @@ def silhouette_sq_frame(df: DataFrame, cols: Sequence[str], label: str = "cluste
     """C13 (scalable variant): silhouette with *squared* Euclidean distance.
 
     Mean squared distance from x to cluster C is |x|^2 - 2 x.mu_C + mean_C|y|^2,
-    so a point needs only the K cluster summaries (collected under a bound):
-    O(n*K), two passes.  Singleton clusters score 0; one cluster gives -1."""
-    df = centred(df, cols, label)
-    rows = _cluster_sums(df, cols, label)
-    spark = df.sparkSession
-    if len(rows) < 2:
-        return spark.range(1).select(F.lit(-1.0).alias("silhouette_sq"))
-    info = {r[label]: (r["_n"], [r[f"_s_{c}"] / r["_n"] for c in cols], r["_q"] / r["_n"]) for r in rows}
-    xx = reduce(add, [F.col(c) * F.col(c) for c in cols])
-    keys = list(info)
-    # stage the K distances as columns so each is computed once per row
-    df = df.select(label, *cols).withColumn("_xx", xx)
-    df = df.withColumns(
-        {f"_d{i}": F.col("_xx") - F.lit(2.0) * reduce(add, [F.col(c) * F.lit(m) for c, m in zip(cols, info[k][1])]) + F.lit(info[k][2]) for i, k in enumerate(keys)}
-    )
-    dist = {k: F.col(f"_d{i}") for i, k in enumerate(keys)}
-    own_n = F.element_at(F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(info[k][0]))]), F.col(label))
-    own = F.when(F.col(label) == F.lit(keys[0]), dist[keys[0]])
-    for k in keys[1:]:
-        own = own.when(F.col(label) == F.lit(k), dist[k])
-    a = F.try_divide(own * own_n, own_n - F.lit(1))  # mean over the other members
-    b = F.least(*[F.when(F.col(label) != F.lit(k), dist[k]) for k in keys])
-    s = F.when(own_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    return df.agg(F.avg(s).alias("silhouette_sq"))
+    so a point needs only the K cluster sums, which travel as a broadcast:
+    O(n*K).  Singleton clusters score 0; one cluster gives -1."""
+    sums = cluster_sums(df, cols, label)
+    mean = sums.pop(None)
+    if len(sums) < 2:
+        return _one_row(df, "silhouette_sq", -1.0)
+    keys = [k[0] for k in sums]
+    n = np.array([r[0] for r in sums.values()])
+    mu = np.array([r[1] for r in sums.values()]) / n[:, None]
+    q = np.array([r[2] for r in sums.values()]) / n
+
+    def distances(params, x):
+        mean, mu, q = params
+        x = x - mean
+        return np.square(x).sum(axis=1)[:, None] - 2.0 * x @ mu.T + q
+
+    scored = with_scores(df.select(label, *cols), cols, (mean, mu, q), distances, len(keys), "_d")
+    return _silhouette(scored, label, "_d", keys, n, "silhouette_sq")
+
+
+def _silhouette(scored: DataFrame, label: str, dist: str, keys: list, n: np.ndarray, name: str, times: str | None = None) -> DataFrame:
+    """Mean silhouette from each row's mean distance to every cluster, its own
+    included (the own mean is taken over the other members)."""
+    own = F.coalesce(*[F.when(F.col(label).eqNullSafe(F.lit(k)), F.lit(i)) for i, k in enumerate(keys)])
+    sizes = F.array(*[F.lit(float(v)) for v in n])
+    staged = scored.withColumn("_own", own).withColumn("_n", F.get(sizes, F.col("_own")))
+    a = F.try_divide(F.get(dist, F.col("_own")) * F.col("_n"), F.col("_n") - 1)
+    b = F.array_min(F.filter(dist, lambda _, i: i != F.col("_own")))
+    staged = staged.select(a.alias("a"), b.alias("b"), "_n", (F.col(times) if times else F.lit(1)).alias("c"))
+    s = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return staged.agg((F.sum(s * F.col("c")) / F.sum("c")).alias(name))
 
 
 def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> float:
@@ -171,35 +181,94 @@ def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster",
     """C13 Euclidean silhouette (singleton -> 0), exact at any size.
 
     This form has no closed formula: every different (cluster, vector), with
-    its count, is measured against all others, O(n^2) distances.  The others
-    come in blocks of about ``block``, each broadcast as one row of an array
-    per cluster; a point carries its sum of distances per cluster from block to
-    block.  Copies are one entry, so no group is held in one row.
-    ``silhouette_sq`` needs O(n*K)."""
-    spark = df.sparkSession
+    its count, is measured against all others, O(n^2) distances, in one
+    shuffle.  The vectors are dealt by hash into blocks of about ``block``;
+    each block becomes one row and is sent to every block's task, which holds
+    its own vectors and the block at hand, and adds up distances per cluster
+    as matrix products.  Copies are one entry.  ``silhouette_sq`` needs
+    O(n*K)."""
+    p = len(cols)
     data = df.select(F.col(label).alias("l"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
     points = scratch_table(data.groupBy("l", "x").agg(F.count("*").alias("c")), "silhouette")
     sizes = collect_bounded(points.groupBy("l").agg(F.sum("c").alias("n"), F.count("*").alias("m")), MAX_GROUPS, "clusters")
     if len(sizes) < 2:
-        return spark.range(1).select(F.lit(-1.0).alias("silhouette"))
+        return _one_row(df, "silhouette", -1.0)
+    keys, k = [r["l"] for r in sizes], len(sizes)
     blocks = -(-sum(r["m"] for r in sizes) // block)
-    points = points.withColumn("b", F.pmod(F.xxhash64("l", "x"), F.lit(blocks)))
-    total = F.array(*[F.lit(float(r["n"])) for r in sizes])
-    state = points.withColumn("d", F.array_repeat(F.lit(0.0), len(sizes)))
-    for i in range(blocks):
-        lists = [F.collect_list(F.when(F.col("l").eqNullSafe(F.lit(r["l"])), F.struct("x", "c"))) for r in sizes]
-        table = points.where(F.col("b") == i).agg(F.array(*lists).alias("g"))
-        sums = F.transform("g", lambda ys: F.aggregate(ys, F.lit(0.0), lambda s, y: s + y["c"] * array_dist(F.col("x"), y["x"])))
-        state = state.join(F.broadcast(table)).select("l", "x", "c", F.zip_with("d", sums, lambda p, q: p + q).alias("d"))
-        if blocks > 1:
-            state = scratch_table(state, "silhouette")
-    own = F.coalesce(*[F.when(F.col("l").eqNullSafe(F.lit(r["l"])), F.lit(i)) for i, r in enumerate(sizes)])
-    state = state.withColumn("own", own).withColumn("mean", F.zip_with("d", total, lambda p, q: p / q))
-    n = F.get(total, F.col("own"))
-    a = F.try_divide(F.get("d", F.col("own")), n - 1)
-    b = F.array_min(F.filter("mean", lambda _, i: i != F.col("own")))
-    s = F.when(n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    return state.agg((F.sum(s * F.col("c")) / F.sum("c")).alias("silhouette"))
+    own = F.coalesce(*[F.when(F.col("l").eqNullSafe(F.lit(v)), F.lit(i)) for i, v in enumerate(keys)])
+    dealt = points.select(F.pmod(F.xxhash64("l", "x"), F.lit(blocks)).alias("b"), own.alias("o"), "x", "c")
+    packed = scratch_table(dealt.repartition(blocks, "b").sortWithinPartitions("b").mapInArrow(_pack_blocks(p), "b long, part long, data binary"), "silhouette-blocks")
+    pairs = packed.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("i"), "b", "part", "data")
+    order = [F.col("i"), F.col("i") != F.col("b"), F.col("b"), F.col("part")]
+    met = pairs.repartition(blocks, "i").sortWithinPartitions(*order).mapInArrow(_meet_blocks(p, k, np.array([float(r["n"]) for r in sizes])), "o int, c long, d array<double>")
+    scored = met.withColumn("l", F.get(F.array(*[F.lit(v) for v in keys]), F.col("o")))
+    return _silhouette(scored, "l", "d", keys, np.array([r["n"] for r in sizes]), "silhouette", times="c")
+
+
+def _pack_blocks(p: int, rows: int = 64):
+    """Rows (b, o, x, c) sorted by b -> (b, part, matrix [o, c, x...] as bytes)."""
+
+    def work(batches):
+        part = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            b, o, c = (batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("b", "o", "c"))
+            x = batch.column(batch.schema.get_field_index("x")).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            full = np.column_stack([o, c, x])
+            out = []
+            for v in np.unique(b):
+                mine = full[b == v]
+                for a in range(0, len(mine), rows):
+                    out.append((int(v), part, mine[a : a + rows].tobytes()))
+                    part += 1
+            for a in range(0, len(out), 16):
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out[a : a + 16]]) for i in range(3)], names=["b", "part", "data"])
+
+    return work
+
+
+def _meet_blocks(p: int, k: int, n: np.ndarray):
+    """Rows (i, b, part, data) of each i, the own block first -> per own
+    vector its mean distances to the clusters."""
+
+    def finish(own, sums):
+        flat = pa.array((sums / n).ravel())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * k), flat)
+        return pa.RecordBatch.from_arrays([pa.array(own[:, 0].astype(np.int32)), pa.array(own[:, 1].astype(np.int64)), lists], names=["o", "c", "d"])
+
+    def add(own, sums, other):
+        d = np.zeros((len(own), len(other)))
+        for at in range(0, len(own), 64):  # differences, not products: no cancellation
+            d[at : at + 64] = np.sqrt(np.square(own[at : at + 64, None, 2:] - other[None, :, 2:]).sum(axis=2))
+        weight = np.zeros((len(other), k))
+        weight[np.arange(len(other)), other[:, 0].astype(int)] = other[:, 1]
+        sums += d @ weight
+
+    def work(batches):
+        now, own, sums, late = None, None, None, []
+        for batch in batches:
+            for i, b, data in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("i", "b", "data"))):
+                if i != now:
+                    if own is not None:
+                        yield from whole(own, sums, late)
+                    now, own, sums, late = i, None, None, []
+                other = np.frombuffer(data).reshape(-1, p + 2)
+                if b == i:
+                    late.append(other)  # the own block may come in several rows
+                    own = np.vstack(late)
+                    sums = np.zeros((len(own), k))
+                elif own is not None:
+                    add(own, sums, other)
+        if own is not None:
+            yield from whole(own, sums, late)
+
+    def whole(own, sums, late):
+        for other in late:
+            add(own, sums, other)
+        yield finish(own, sums)
+
+    return work
 
 
 def silhouette(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> float:

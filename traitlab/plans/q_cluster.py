@@ -279,8 +279,29 @@ def c08_gmm_loglik(spark, sf_dir):
     from traitlab.operators.cluster import gmm as G
 
     p, model = _fit_gmm(spark, sf_dir)
-    st = G.log_densities(p, X2, model.params)
-    return st.agg(F.round(F.sum(F.col("_m") + F.log("_t")), 4).alias("log_likelihood"))
+    return round_doubles(spark.createDataFrame([(G.log_likelihood(p, X2, model.params),)], "log_likelihood double"), 4)
+
+
+def _wide_gmm(spark, sf_dir, covariance):
+    from traitlab.operators.cluster import gmm as G
+
+    p = flows.embedding_points(spark, sf_dir)
+    return p, G.gmm(p, "vec_id", XS, k=3, max_iter=10, tol=1e-4, covariance=covariance, reg=1e-3)
+
+
+@register("c04_gmm_wide")
+def c04_gmm_wide(spark, sf_dir):
+    """Full-covariance mixture of three on all 64 values: responsibilities and
+    labels; against NumPy in the tests."""
+    p, model = _wide_gmm(spark, sf_dir, "full")
+    return round_doubles(model.transform(p.select("vec_id", *XS)).drop(*XS), 4)
+
+
+@register("c05_gmm_tied_wide")
+def c05_gmm_tied_wide(spark, sf_dir):
+    """Tied mixture of three on all 64 values: log-likelihood by iteration."""
+    _p, model = _wide_gmm(spark, sf_dir, "tied")
+    return round_doubles(spark.createDataFrame([(i, float(v)) for i, v in enumerate(model.loglik, 1)], "iteration int, log_likelihood double"), 4)
 
 
 @register("c04_gmm_ml")
