@@ -2,18 +2,19 @@
 (``y`` true label, ``p`` predicted label, optional ``prob_<class>`` columns).
 
 All metrics reduce to counts per (y, p) or per (class, score) and are
-computed with partial aggregation; the AUC prefix sums are taken over a
-bucketed score axis so no task sorts all scores of a class."""
+computed with partial aggregation; the AUC prefix sums are taken over
+range-sorted scores, so no task sorts all scores of a class."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SCORE_BUCKETS = 1 << 16
+from traitlab.operators.ordered import running_sums
+
 EPS = 1e-15
 
 
@@ -54,19 +55,13 @@ def auc_ovr(pred: DataFrame, classes: Sequence, y: str = "y", prob_prefix: str =
 
     AUC_c = sum over positives of (#negatives below + half the tied
     negatives) / (P * N).  Counts are aggregated per (class, distinct score);
-    the "negatives below" prefix sum is two-level: across 2^16 score
-    buckets (bounded window per class) plus within a bucket."""
+    the negatives below are running sums over range-sorted scores, so scores
+    that crowd in one place are still dealt over the tasks."""
     long = pred.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("cls"), F.col(f"{prob_prefix}{c}").alias("score"), (F.col(y) == F.lit(c)).alias("pos")) for c in classes])).alias("e")
     ).select("e.*")
     g = long.groupBy("cls", "score").agg(F.count_if("pos").alias("np"), F.count_if(~F.col("pos")).alias("nn"))
-    b = F.least(F.greatest(F.floor(F.col("score") * F.lit(SCORE_BUCKETS)), F.lit(0)), F.lit(SCORE_BUCKETS - 1)).cast("long")
-    g = g.withColumn("b", b)
-    bt = g.groupBy("cls", "b").agg(F.sum("nn").alias("bn"))
-    wb = Window.partitionBy("cls").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.withColumn("off", F.coalesce(F.sum("bn").over(wb), F.lit(0))).drop("bn")
-    wi = Window.partitionBy("cls", "b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.join(bt, ["cls", "b"]).withColumn("below", F.col("off") + F.coalesce(F.sum("nn").over(wi), F.lit(0)))
+    g = running_sums(g, ["cls"], ["score"], "nn", "upto").withColumn("below", F.col("upto") - F.col("nn"))
     per = g.groupBy("cls").agg(
         F.sum(F.col("np") * (F.col("below") + F.col("nn") * F.lit(0.5))).alias("s"),
         F.sum("np").alias("P"),

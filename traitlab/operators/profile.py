@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traitlab.operators.sample import MAX_GROUPS, collect_bounded
+from traitlab.operators.ordered import running_sums
+from traitlab.operators.sample import MAX_GROUPS, collect_bounded, null_safe_join
 
 
 def cluster_profile(df: DataFrame, cols: Sequence[str], label: str = "cluster") -> DataFrame:
@@ -177,15 +178,35 @@ def correlation_ratio(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     return t.select("feature", F.try_divide(between, total).alias("eta_sq"))
 
 
+def quantiles(df: DataFrame, by: Sequence[str], col: str, shares: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact quantiles per group (linear between neighbours, at place
+    (n - 1) * share).  Different values are counted first; running counts in
+    value order find the two values a place lies between.  A group with most
+    of the rows is spread over many tasks."""
+    value = F.col(col).cast("double")
+    if not by:
+        return quantiles(df.withColumn("_all", F.lit(0)), ["_all"], col, shares, names).drop("_all")
+    by = list(by)
+    rows = df.select(*by, value.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = rows.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
+    placed = running_sums(counts, by, ["_v"], "_c", "_upto")
+    # the rows of a group: its largest running count
+    sizes = placed.groupBy(*by).agg(F.max("_upto").alias("_n"))
+    both = null_safe_join(placed, sizes, by)
+    aggs = []
+    for i, q in enumerate(shares):
+        at = (F.col("_n") - 1) * F.lit(float(q))
+        for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            inside = (F.col("_upto") - F.col("_c") <= place) & (place < F.col("_upto"))
+            aggs.append(F.max(F.when(inside, F.col("_v"))).alias(f"_{side}{i}"))
+    found = both.groupBy(*by).agg(F.max("_n").alias("_n"), *aggs)
+    part = [(F.col("_n") - 1) * F.lit(float(q)) - F.floor((F.col("_n") - 1) * F.lit(float(q))) for q in shares]
+    return found.select(*by, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * part[i]).alias(n) for i, n in enumerate(names)])
+
+
 def five_numbers(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     """Exact min, quartiles, median, max per group."""
-    q = F.percentile(F.col(col), [0.0, 0.25, 0.5, 0.75, 1.0])
-    return (
-        df.filter(F.col(col).isNotNull() & ~F.isnan(col))
-        .groupBy(*by)
-        .agg(q.alias("_q"))
-        .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(["min", "q1", "median", "q3", "max"])])
-    )
+    return quantiles(df, by, col, [0.0, 0.25, 0.5, 0.75, 1.0], ["min", "q1", "median", "q3", "max"])
 
 
 def kept_share(df: DataFrame, keep) -> DataFrame:

@@ -346,26 +346,51 @@ def c06_dbscan(spark, sf_dir):
     return dbscan(z, "vec_id", X2, eps=DB_EPS, min_samples=DB_MIN)
 
 
+def _c06_wide_sql():
+    return (
+        f"WITH RECURSIVE p AS ({emb_sql()}), pairs AS (SELECT a.vec_id AS i, b.vec_id AS j FROM p a JOIN p b ON {sq('a', 'b')} <= CAST({WIDE_EPS * WIDE_EPS!r} AS DOUBLE)), "
+        f"core AS (SELECT i FROM pairs GROUP BY i HAVING count(*) >= {WIDE_MIN}), "
+        "ce AS (SELECT pairs.i, pairs.j FROM pairs WHERE i IN (SELECT i FROM core) AND j IN (SELECT i FROM core)), "
+        "reach(i, j) AS (SELECT i, j FROM ce UNION SELECT reach.i, ce.j FROM reach JOIN ce ON reach.j = ce.i), "
+        "comp AS (SELECT i, min(j) AS root FROM reach GROUP BY i), "
+        "cid AS (SELECT i, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster FROM comp), "
+        "border AS (SELECT pr.i, min(cid.cluster) AS cluster FROM pairs pr JOIN cid ON pr.j = cid.i WHERE pr.i NOT IN (SELECT i FROM core) GROUP BY pr.i) "
+        "SELECT p.vec_id, CAST(coalesce(cid.cluster, border.cluster, -1) AS INTEGER) AS cluster FROM p LEFT JOIN cid ON p.vec_id = cid.i LEFT JOIN border ON p.vec_id = border.i"
+    )
+
+
+WIDE_EPS, WIDE_MIN = 0.9, 3
+
+
+@register("c06_dbscan_wide", _c06_wide_sql)
+def c06_dbscan_wide(spark, sf_dir):
+    """DBSCAN on all 64 values (eps 0.9, min_samples 3)."""
+    from traitlab.operators.cluster.dbscan import dbscan
+
+    return dbscan(flows.embedding_points(spark, sf_dir), "vec_id", XS, eps=WIDE_EPS, min_samples=WIDE_MIN)
+
+
 # ---------------------------------------------------------------- C14 KDE enrichment
 
-KDE_B = 3
+KDE_B = 20
 
 
 def _c14_sql():
-    from traitlab.functions.columns import DET_ADD, DET_MOD
-    from traitlab.operators.sample import perm_multiplier
+    from traitlab.operators.cluster.kde import multiplier, offset, stream_of
 
+    D = O.det_sql("vec_id")
     ctes = [
         f"p AS ({walsh_sql()})",
         "c AS (SELECT label, avg(x1) AS m1, avg(x2) AS m2 FROM p GROUP BY label)",
         "bw AS (SELECT ((stddev_pop(x1) + stddev_pop(x2)) / 2) * pow(count(*), -1.0E0 / 6) AS h FROM p)",
         "real AS (SELECT c.label, avg(exp(-((p.x1 - c.m1) * (p.x1 - c.m1) + (p.x2 - c.m2) * (p.x2 - c.m2)) / (2 * bw.h * bw.h))) AS density FROM p JOIN c ON TRUE JOIN bw ON TRUE GROUP BY c.label)",
+        f"rk AS (SELECT x1, x2, row_number() OVER (ORDER BY {D}, vec_id) - 1 AS r, count(*) OVER () AS n FROM p)",
     ]
     nulls = []
     for b in range(1, KDE_B + 1):
         for j, col in enumerate(X2):
-            m = perm_multiplier(1000 * b + j)
-            ctes.append(f"r{b}_{j} AS (SELECT row_number() OVER (ORDER BY (CAST(vec_id AS BIGINT) * {m} + {DET_ADD}) % {DET_MOD}, vec_id) - 1 AS rk, {col} FROM p)")
+            s = stream_of(b, j)
+            ctes.append(f"r{b}_{j} AS (SELECT (r * {multiplier(s)} + {offset(s)}) % n AS rk, {col} FROM rk)")
         ctes.append(f"n{b} AS (SELECT {b} AS b, a.x1, z.x2 FROM r{b}_0 a JOIN r{b}_1 z ON a.rk = z.rk)")
         nulls.append(f"SELECT * FROM n{b}")
     ctes.append("nl AS (" + " UNION ALL ".join(nulls) + ")")
@@ -380,7 +405,7 @@ def _c14_sql():
 
 @register("c14_kde_enrichment", _c14_sql)
 def c14_kde_enrichment(spark, sf_dir):
-    """KDE density at each label centre vs column-permuted nulls (3 draws)."""
+    """KDE density at each label centre vs column-permuted nulls (20 draws)."""
     from traitlab.operators.cluster.kde import kde_enrichment
 
     p = flows.walsh_points(spark, sf_dir)
