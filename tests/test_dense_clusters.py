@@ -129,3 +129,65 @@ def test_silhouette_over_blocks_equals_brute_force(spark, block):
         s.append((b - a) / max(a, b) if max(a, b) else 0.0)
     assert abs(got - np.mean(s)) < 1e-9
     assert "Nested" not in Q.silhouette_frame(df, cols[:5], "cluster", block)._jdf.queryExecution().executedPlan().toString()
+
+
+# ------------------------------------------------------------------ batches of configurations and the result log
+
+
+def test_batch_equals_single_fits_and_shares_its_passes(spark):
+    from traitlab.operators.cluster import kmeans as KM
+    from traitlab.operators.cluster.batch import Batch, Config
+
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(m, 1, (80, 4)) for m in (0, 3, -3)])
+    df, cols, _ = points(spark, x)
+    start = np.array(KM.init_first_rows(df, "id", cols, 5))
+    configs = [Config("KMeans", start[:k], max_iter=m) for k in (2, 5) for m in (3, 50)] + [Config("GMM", start[:k], max_iter=8, tol=t, covariance=c) for k in (2, 3) for t, c in ((1e-3, "full"), (0.0, "tied"))]
+    batch = Batch.of(df, cols)
+    batch.fit(configs)
+    assert batch.passes <= max(50, 9) and batch.passes >= max(c.steps for c in configs)
+    fitted = batch.passes
+    rated = batch.rate(configs)
+    assert batch.passes == fitted + 3
+    for c, q in zip(configs, rated):
+        if c.model == "KMeans":
+            lab = KM.kmeans(df, "id", cols, k=len(c.start), max_iter=c.max_iter).assign(df)
+        else:
+            lab = G.gmm(df, "id", cols, k=len(c.start), max_iter=8, tol=c.tol, covariance=c.covariance).transform(df)
+        want = Q.cluster_quality(lab, cols)
+        for name, v in want.items():
+            np.testing.assert_allclose(q[name], v, rtol=1e-8, err_msg=f"{c.model} {name}")
+
+
+def test_grid_reports_collapse_and_time(spark):
+    from traitlab.operators.search import cluster_grid
+
+    df = spark.range(40).select(F.col("id").alias("row_id"), F.lit(1.0).alias("a"), F.col("id").cast("double").alias("b"))
+    with pytest.raises(ValueError):
+        cluster_grid(df, "row_id", {"s": ["a", "b"]}, {"Other": {}})
+    late = cluster_grid(df, "row_id", {"s": ["a", "b"]}, {"KMeans": {"n_clusters": [2]}, "DBScan": {"eps": [0.5]}}, max_seconds=-1.0).collect()
+    assert [r["error"] for r in late] == ["skipped: time budget"] * 2
+
+
+def test_result_log_takes_a_repeated_append_once(spark, tmp_path):
+    from traitlab.sources import io
+
+    log = str(tmp_path / "log")
+    row = lambda cid, v: spark.createDataFrame([(cid, v)], "config_id string, m double")
+    for cid, v in (("12e4", 1.0), ("007", 2.0), ("12e4", 3.0), ("007", 2.0)):
+        io.append_result(row(cid, v), log)
+    assert io.finished_configs(spark, log) == {"12e4", "007"}
+    read = spark.read.schema("m double, config_id string").parquet(log)
+    assert sorted(tuple(r) for r in read.select("config_id", "m").collect()) == [("007", 2.0), ("12e4", 3.0)]
+
+    class Killed(Exception):
+        pass
+
+    def dies(batches):
+        raise Killed("task lost")
+
+    with pytest.raises(Exception, match="task lost"):  # a write that never commits leaves the log as it was
+        io.append_result(row("new", 9.0).mapInPandas(dies, "config_id string, m double"), log)
+    assert io.finished_configs(spark, log) == {"12e4", "007"}
+    with pytest.raises(ValueError):
+        io.append_result(spark.range(1), log)

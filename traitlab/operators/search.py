@@ -1,12 +1,13 @@
 """Model search (M1-M4).
 
-The grid itself is a handful of configurations (a driver-side list); every
-fit and every metric is a Spark job over the one feature frame.  The
-feature frame is persisted for the duration of the grid and released
-afterwards.  Each finished configuration can be appended to a result log
-(Parquet), and a restart skips configurations already in the log.  A time
-budget is checked before every configuration; failures become result rows
-with an ``error`` text."""
+The grid itself is a handful of configurations (a driver-side list).  K-Means
+and mixtures over one feature table are fitted and rated together: one pass
+over the table serves every configuration that is still open (``batch.py``).
+Each finished configuration goes to a result log (Parquet, one partition per
+configuration, so that a repeated write replaces and never doubles it), and a
+restart skips configurations already in the log.  A time budget is checked
+before every pass.  A collapsed mixture and a configuration out of time become
+result rows with an ``error`` text; any other exception is raised."""
 
 from __future__ import annotations
 
@@ -16,12 +17,14 @@ import json
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from traitlab.functions.vectors import with_scores
 from traitlab.operators.cluster import quality as Q
+from traitlab.operators.cluster.batch import Batch, Config, batch_labels
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -56,22 +59,14 @@ def config_id(model: str, data_type: str, fa: bool, params: dict) -> str:
     return hashlib.sha1(json.dumps([model, data_type, fa, params], sort_keys=True).encode()).hexdigest()[:16]
 
 
-def _fit_labels(model: str, df: DataFrame, key: str, cols: list[str], params: dict) -> DataFrame:
-    from traitlab.operators.cluster.dbscan import dbscan
-    from traitlab.operators.cluster.gmm import gmm
-    from traitlab.operators.cluster.kmeans import kmeans
-
+def _config(model: str, params: dict, start) -> Config:
     if model == "KMeans":
-        m = kmeans(df, key, cols, k=int(params.get("n_clusters", 5)), max_iter=int(params.get("max_iter", 100)), tol=float(params.get("tol", 1e-6)))
-        return m.assign(df)
-    if model == "GMM":
-        m = gmm(df, key, cols, k=int(params.get("n_components", 3)), max_iter=int(params.get("max_iter", 100)), tol=float(params.get("tol", 1e-4)),
-                covariance=params.get("covariance_type", "full"))
-        return m.transform(df)
-    if model == "DBScan":
-        lab = dbscan(df, key, cols, eps=float(params.get("eps", 0.5)), min_samples=int(params.get("min_samples", 5)))
-        return df.join(lab, key)
-    raise ValueError(f"unknown model {model}")
+        return Config("KMeans", start, max_iter=int(params.get("max_iter", 100)), tol=float(params.get("tol", 1e-6)))
+    return Config("GMM", start, max_iter=int(params.get("max_iter", 100)), tol=float(params.get("tol", 1e-4)), covariance=params.get("covariance_type", "full"))
+
+
+def _clusters_asked(model: str, params: dict) -> int:
+    return int(params.get("n_clusters", 5) if model == "KMeans" else params.get("n_components", 3))
 
 
 def cluster_grid(
@@ -86,49 +81,68 @@ def cluster_grid(
     exact_silhouette: bool = False,
 ) -> DataFrame:
     """M1: fit every (model, feature set, FA switch, parameters) configuration,
-    score it with the internal metrics and return one row per configuration."""
+    score it with the internal metrics and return one row per configuration.
+    ``silhouette`` is the squared-distance form unless ``exact_silhouette``;
+    ``seconds`` of configurations fitted together is their share."""
+    from traitlab.operators.cluster.dbscan import dbscan
+    from traitlab.operators.cluster.kmeans import init_first_rows
     from traitlab.operators.features import factor_scores, standardize
     from traitlab.sources.io import append_result, finished_configs
+    from traitlab.session import scratch_table
 
+    if unknown := set(space) - {"KMeans", "GMM", "DBScan"}:
+        raise ValueError(f"unknown models {sorted(unknown)}")
     spark = df.sparkSession
     done = finished_configs(spark, result_log) if result_log else set()
     rows = []
     start = time.monotonic()
+    in_time = lambda: time.monotonic() - start <= max_seconds
+
+    def record(model, data_type, fa, params, q, seconds, error):
+        values = [q.get(m) for m in ("calinski_harabasz", "davies_bouldin", "silhouette", "n_clusters_found", "cluster_entropy")]
+        row = (config_id(model, data_type, fa, params), model, data_type, fa, json.dumps(params, sort_keys=True), *values, seconds, error)
+        rows.append(row)
+        if result_log and not (error or "").startswith("skipped"):
+            append_result(spark.createDataFrame([row], RESULT_SCHEMA), result_log)
+
     for data_type, cols in feature_sets.items():
         base = df.select(key, *cols)
         for fa in factor_analysis:
+            wanted = [(m, p) for m, pspace in space.items() for p in param_grid(pspace) if config_id(m, data_type, fa, p) not in done]
+            if not wanted:
+                continue
+            feats, fcols = base, list(cols)
             if fa:
-                feats, _m = factor_scores(base, list(cols), min(n_factors, len(cols)))
                 fcols = [f"factor_{j}" for j in range(1, min(n_factors, len(cols)) + 1)]
-                feats = feats.select(key, *fcols)
-            else:
-                feats, fcols = base, list(cols)
-            feats, _sc = standardize(feats, fcols)
-            feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                for model, pspace in space.items():
-                    for params in param_grid(pspace):
-                        cid = config_id(model, data_type, fa, params)
-                        if cid in done:
-                            continue
-                        if time.monotonic() - start > max_seconds:
-                            rows.append((cid, model, data_type, fa, json.dumps(params, sort_keys=True), None, None, None, None, None, 0.0, "skipped: time budget"))
-                            continue
-                        t0 = time.monotonic()
-                        try:
-                            lab = _fit_labels(model, feats, key, fcols, params)
-                            q = Q.cluster_quality(lab, fcols, "cluster", exact_silhouette=exact_silhouette)
-                            row = (cid, model, data_type, fa, json.dumps(params, sort_keys=True), float(q["calinski_harabasz"]), float(q["davies_bouldin"]),
-                                   float(q["silhouette"]), int(q["n_clusters_found"]), float(q["cluster_entropy"]), time.monotonic() - t0, None)
-                        except Exception as e:  # noqa: BLE001 - a failing configuration is reported, not fatal
-                            row = (cid, model, data_type, fa, json.dumps(params, sort_keys=True), None, None, None, None, None, time.monotonic() - t0, f"{type(e).__name__}: {e}"[:500])
-                        rows.append(row)
-                        if result_log:
-                            append_result(spark.createDataFrame([row], RESULT_SCHEMA), result_log)
-            finally:
-                feats.unpersist()
+                feats = factor_scores(base, list(cols), len(fcols))[0].select(key, *fcols)
+            feats = scratch_table(standardize(feats, fcols)[0], "grid-features")
+            together = [(m, p) for m, p in wanted if m != "DBScan"]
+            if together:
+                t0 = time.monotonic()
+                batch = Batch.of(feats, fcols)
+                first = np.array(init_first_rows(feats, key, fcols, max(_clusters_asked(m, p) for m, p in together)))
+                configs = [_config(m, p, first[: _clusters_asked(m, p)]) for m, p in together]
+                batch.fit(configs, in_time)
+                rated = batch.rate(configs)
+                seconds = (time.monotonic() - t0) / len(configs)
+                for (m, p), c, q in zip(together, configs, rated):
+                    if exact_silhouette and q:
+                        scored = with_scores(feats, fcols, c.scorer(c.labels_by), lambda s, x: batch_labels(s, x)[:, None], 1, "_l")
+                        q = q | {"silhouette": Q.silhouette(scored.withColumn("cluster", F.get("_l", F.lit(0)).cast("int")), fcols)}
+                    record(m, data_type, fa, p, q, seconds, c.error)
+            for m, p in wanted:
+                if m != "DBScan":
+                    continue
+                if not in_time():
+                    record(m, data_type, fa, p, {}, 0.0, "skipped: time budget")
+                    continue
+                t0 = time.monotonic()
+                lab = feats.join(dbscan(feats, key, fcols, eps=float(p.get("eps", 0.5)), min_samples=int(p.get("min_samples", 5))), key)
+                q = Q.cluster_quality(scratch_table(lab, "grid-labels"), fcols, "cluster", exact_silhouette=exact_silhouette)
+                record(m, data_type, fa, p, {k: (int if k == "n_clusters_found" else float)(v) for k, v in q.items()}, time.monotonic() - t0, None)
     if result_log:
-        return spark.read.schema(RESULT_SCHEMA).parquet(result_log)
+        skipped = spark.createDataFrame([r for r in rows if (r[-1] or "").startswith("skipped")], RESULT_SCHEMA)
+        return spark.read.schema(RESULT_SCHEMA).parquet(result_log).unionByName(skipped) if done or len(rows) > skipped.count() else skipped
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
@@ -144,6 +158,7 @@ def classifier_grid(
     rows sorted by accuracy (ties: model, params)."""
     from traitlab.operators.classify import metrics as K
     from traitlab.operators.classify.models import FITTERS
+    from traitlab.session import scratch_table
 
     spark = train.sparkSession
     rows = []
@@ -154,14 +169,11 @@ def classifier_grid(
                 rows.append((model, json.dumps(params, sort_keys=True, default=str), None, None, None, None, None, "", 0.0, "skipped: time budget"))
                 continue
             t0 = time.monotonic()
-            try:
-                fm = FITTERS[model](train, list(cols), y, params)
-                has_prob = model != "SVM"
-                pred = fm.transform(test, prob_prefix="prob_" if has_prob else None).withColumnRenamed(y, "_y")
-                m = K.metrics_row(pred, fm.label_map, len(cols), y="_y", p="p", prob_prefix="prob_" if has_prob else None)
-                rows.append((model, json.dumps(params, sort_keys=True, default=str), m["accuracy"], m["auc"], m["mse"], m["log_loss"], m["bic"], ",".join(fm.ignored_params), time.monotonic() - t0, None))
-            except Exception as e:  # noqa: BLE001
-                rows.append((model, json.dumps(params, sort_keys=True, default=str), None, None, None, None, None, "", time.monotonic() - t0, f"{type(e).__name__}: {e}"[:500]))
+            fm = FITTERS[model](train, list(cols), y, params)
+            has_prob = model != "SVM"
+            pred = scratch_table(fm.transform(test, prob_prefix="prob_" if has_prob else None).withColumnRenamed(y, "_y").drop(*cols), "predictions")
+            m = K.metrics_row(pred, fm.label_map, len(cols), y="_y", p="p", prob_prefix="prob_" if has_prob else None)
+            rows.append((model, json.dumps(params, sort_keys=True, default=str), m["accuracy"], m["auc"], m["mse"], m["log_loss"], m["bic"], ",".join(fm.ignored_params), time.monotonic() - t0, None))
     schema = "model string, params string, accuracy double, auc double, mse double, log_loss double, bic double, ignored_params string, seconds double, error string"
     out = spark.createDataFrame(rows, schema)
     return out.orderBy(F.desc_nulls_last("accuracy"), "model", "params")
@@ -258,8 +270,9 @@ def assignment_grid(
     """A K-Means grid whose every fit SQL can reproduce: start from the first
     k rows by det, run 0 or 1 Lloyd updates, assign; metrics CH, DB, squared
     silhouette, clusters found and entropy.  Model names ``KMeans<steps>``."""
-    from traitlab.operators.cluster.kmeans import assign_nearest, init_first_rows, lloyd_step
+    from traitlab.operators.cluster.kmeans import init_first_rows
     from traitlab.operators.features import standardize
+    from traitlab.session import scratch_table
 
     spark = df.sparkSession
     rows = []
@@ -267,20 +280,13 @@ def assignment_grid(
         cols = list(cols)
         base = df.select(key, *cols)
         for sc in scaled:
-            feats = standardize(base, cols)[0] if sc else base
-            feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-            for steps in lloyd_steps:
-                for k in ks:
-                    centers = init_first_rows(feats, key, cols, k)
-                    for _ in range(steps):
-                        centers = lloyd_step(feats, cols, centers)
-                    lab = assign_nearest(feats, cols, centers)
-                    ch = Q.calinski_harabasz_frame(lab, cols).first()[0]
-                    db = Q.davies_bouldin_frame(lab, cols).first()[0]
-                    sil = Q.silhouette_sq_frame(lab, cols).first()[0]
-                    found = Q.clusters_found(lab)
-                    ent = Q.cluster_entropy(lab)
-                    model = f"KMeans{steps}"
-                    rows.append((f"{model}|{data_type}|{str(sc).lower()}|{k}", model, data_type, sc, k, float(ch), float(db), float(sil), int(found), float(ent)))
-            feats.unpersist()
+            feats = scratch_table(standardize(base, cols)[0] if sc else base, "grid-features")
+            batch = Batch.of(feats, cols)
+            first = np.array(init_first_rows(feats, key, cols, max(ks)))
+            asked = [(steps, k) for steps in lloyd_steps for k in ks]
+            configs = [Config("KMeans", first[:k], max_iter=steps, tol=0.0) for steps, k in asked]
+            batch.fit(configs)
+            for (steps, k), q in zip(asked, batch.rate(configs)):
+                model = f"KMeans{steps}"
+                rows.append((f"{model}|{data_type}|{str(sc).lower()}|{k}", model, data_type, sc, k, q["calinski_harabasz"], q["davies_bouldin"], q["silhouette"], q["n_clusters_found"], q["cluster_entropy"]))
     return spark.createDataFrame(rows, ASSIGNMENT_SCHEMA)

@@ -12,9 +12,10 @@ from traitlab.plans import flows
 from traitlab.plans.catalog import register, round_doubles
 from traitlab.plans.q_cluster import XS
 
+# the reference's 8 K-Means and 16 mixture settings
 CLUSTER_SPACE = {
-    "KMeans": {"n_clusters": [3, 4], "max_iter": [10]},
-    "GMM": {"n_components": [2, 3], "max_iter": [5], "covariance_type": ["full"]},
+    "KMeans": {"n_clusters": [3, 4, 5, 6], "max_iter": [50, 100]},
+    "GMM": {"n_components": [3, 4, 5, 6], "max_iter": [50, 100], "tol": [1e-3, 1e-4]},
     "DBScan": {"eps": [0.6], "min_samples": [6]},
 }
 

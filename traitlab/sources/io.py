@@ -121,27 +121,31 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.format(fmt).save(path)
 
 
-def append_result(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append-or-create a result log."""
-    write_table(df, path, fmt=fmt, mode="append")
+def append_result(df: DataFrame, path: str, key: str = "config_id") -> None:
+    """Append-or-create a result log.  The log has one partition per
+    ``key`` and a write replaces the partitions it brings: a repeated append
+    (a retry, a restart after a crash before the caller heard of success)
+    leaves every configuration once.  Files of a write that did not commit lie
+    in a staging folder that readers pass over."""
+    if key not in df.columns:
+        raise ValueError(f"a result log needs the column {key}")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def finished_configs(spark: SparkSession, path: str, key: str = "config_id") -> set[str]:
     """Configuration ids already present in a result log (restart skips them).
 
-    The log holds one row per configuration, so the set is bounded by the
-    grid size."""
+    The log holds one partition per configuration, so the set is bounded by
+    the grid size."""
     from pyspark.errors import AnalysisException
 
-    try:
-        df = spark.read.parquet(path)
+    try:  # the key's type is given: partition names like 12e4 are no numbers
+        df = spark.read.schema(T.StructType([T.StructField(key, T.StringType())])).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no log yet
             return set()
         raise
-    if key not in df.columns:
-        return set()
-    return {r[0] for r in df.select(key).distinct().collect()}
+    return {r[0] for r in df.select(key).distinct().collect() if r[0] is not None}
 
 
 def save_model(model, path: str, spark: SparkSession | None = None) -> None:
