@@ -97,8 +97,11 @@ def test_parameters_have_effect_or_raise(two):
     assert np.allclose(c(c=0.01), c(C=0.01)) and not np.allclose(c(c=0.01), c(C=1.0))
     with pytest.raises(ValueError, match="unknown parameters"):
         L.fit_forest(two, ["a", "b"], "y", {"n_trees": 3})
-    m = L.fit_forest(two, ["a", "b"], "y", {"n_estimators": 2, "max_features": 1, "max_depth": 50})
-    assert m.model.getFeatureSubsetStrategy() == "1" and any("max_depth=50" in x for x in m.ignored_params)
+    m = L.fit_forest(two, ["a", "b"], "y", {"n_estimators": 2, "max_features": 1, "max_depth": 5})
+    assert m.model.getFeatureSubsetStrategy() == "1" and not m.ignored_params
+    deep = L.fit_forest(two, ["a", "b"], "y", {"n_estimators": 2, "max_features": 1, "max_depth": 50})
+    assert isinstance(deep.model, L.ExactForest) and not deep.ignored_params
+    assert any("max_depth=None" in x for x in L.fit_forest(two, ["a", "b"], "y", {"n_estimators": 2, "max_depth": None}).ignored_params)
     hinge, squared = (L.fit_svm_gd(two, ["a", "b"], "y", epochs=5, loss=x).w for x in ("hinge", "squared_hinge"))
     assert not np.allclose(hinge, squared)
 
