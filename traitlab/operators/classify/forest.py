@@ -145,35 +145,29 @@ def _cells(data: DataFrame, shared, p: int, classes: int, seed: int, bootstrap:
             if not batch.num_rows:
                 continue
             x, y, w, rid = _matrix(batch, "x", p), _col(batch, "y"), _col(batch, "w"), _col(batch, "rid")
-            values = [np.unique(x[:, f], return_inverse=True) for f in range(p)]
+            # the different values of all features, numbered through
+            parts = [np.unique(x[:, f], return_inverse=True) for f in range(p)]
+            begin = np.cumsum([0, *(len(u) for u, _ in parts)])
+            value, feature = np.concatenate([u for u, _ in parts]), np.repeat(np.arange(p), np.diff(begin))
+            code = np.column_stack([back + at for (_, back), at in zip(parts, begin)])
             for t, tree in trees.items():
                 slot = slots[t][route(tree, x)]
                 times = draws(rid, t, seed) if bootstrap else np.ones(len(x), dtype=np.int64)
                 rows = np.flatnonzero((slot >= 0) & (times > 0))
-                if not len(rows):
+                use = chosen[slot[rows]]
+                if not use.any():
                     continue
-                at, weight = slot[rows], w[rows] * times[rows]
-                out = []
-                for f in range(p):
-                    use = chosen[at, f]
-                    if not use.any():
-                        continue
-                    uniq, code = values[f]
-                    key, back = np.unique((at[use] * len(uniq) + code[rows[use]]) * classes + y[rows[use]], return_inverse=True)
-                    place = key // classes
-                    out.append((place // len(uniq) * p + f, uniq[place % len(uniq)], key % classes, np.bincount(back, weight[use]), np.bincount(back)))
-                if out:
-                    run, v, c, ws, m = (np.concatenate(z) for z in zip(*out))
-                    yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(v), pa.array(c.astype(np.int32)), pa.array(ws), pa.array(m)], names=["run", "v", "c", "w", "m"])
+                full = ((slot[rows, None] * len(value) + code[rows]) * classes + y[rows, None])[use]
+                weight = np.broadcast_to((w[rows] * times[rows])[:, None], use.shape)[use]
+                key, back = np.unique(full, return_inverse=True)
+                place = key // classes
+                at = place % len(value)
+                run = place // len(value) * p + feature[at]
+                yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(value[at]), pa.array((key % classes).astype(np.int32)), pa.array(np.bincount(back, weight)), pa.array(np.bincount(back))], names=["run", "v", "c", "w", "m"])
 
     return data.mapInArrow(work, _CELLS)
 
 
-def _best(scores: np.ndarray) -> int | None:
-    i = int(scores.argmin()) if len(scores) else 0
-    return i if len(scores) and np.isfinite(scores[i]) else None
-
-
 def _scan(cells: DataFrame, shared, p: int, classes: int) -> DataFrame:
     """kind 0: best candidate of a run; 1: candidates of the run that opens a
     range, with sums inside the range; 2 and 3: totals of the first and last
@@ -184,26 +178,20 @@ def _scan(cells: DataFrame, shared, p: int, classes: int) -> DataFrame:
         part = TaskContext.get().partitionId()
         rest, now, first = None, None, True  # cells of the open (run, value); sums of the open run; is it the range's first
 
-        def judged(run, v, left, m):
-            slot = run // p
-            score = split_scores(left, totals[slot])
-            score[(m < least) | (counts[slot] - m < least)] = np.inf
-            return score
-
         def close(out):
             run, left, m, best = now
             if first:
-                out.append((2, run, None, None, left, m))
+                out.append((2, run, None, None, left.tolist(), m))
             if best is not None:
                 out.append((0, run, *best))
 
         def table(rows):
             kind, run, score, v, left, m = zip(*rows) if rows else ([],) * 6
-            arrays = [pa.array(kind, pa.int32()), pa.array([part] * len(kind), pa.int64()), pa.array(run, pa.int64()), pa.array(score, pa.float64()), pa.array(v, pa.float64()), pa.array([list(z) for z in left], pa.list_(pa.float64())), pa.array(m, pa.int64())]
+            arrays = [pa.array(kind, pa.int32()), pa.array([part] * len(kind), pa.int64()), pa.array(run, pa.int64()), pa.array(score, pa.float64()), pa.array(v, pa.float64()), pa.array(left, pa.list_(pa.float64())), pa.array(m, pa.int64())]
             return pa.RecordBatch.from_arrays(arrays, names=["kind", "part", "run", "score", "v", "totals", "m"])
 
         def take(run, v, c, w, m, out):
-            """Whole (run, value) groups, sorted."""
+            """Whole (run, value) groups, sorted; all runs at once."""
             nonlocal now, first
             one = np.zeros((len(run), classes))
             one[np.arange(len(run)), c] = w
@@ -211,21 +199,35 @@ def _scan(cells: DataFrame, shared, p: int, classes: int) -> DataFrame:
             sums, seen = one.cumsum(axis=0)[last], m.cumsum()[last]
             run, v = run[last], v[last]
             begin = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
-            for a, b in zip(begin, [*begin[1:], len(run)]):
-                left, cnt = sums[a:b] - (sums[a - 1] if a else 0), seen[a:b] - (seen[a - 1] if a else 0)
-                key = int(run[a])
-                if now is not None and now[0] != key:
+            length = np.diff(np.r_[begin, len(run)])
+            base, gone, kept = np.vstack([np.zeros(classes), sums])[begin], np.r_[0, seen][begin], None
+            if now is not None and now[0] == run[0]:
+                base[0] -= now[1]
+                gone[0] -= now[2]
+                kept = now[3]
+            elif now is not None:
+                close(out)
+                first = False
+            left, cnt = sums - np.repeat(base, length, axis=0), seen - np.repeat(gone, length)
+            slot = run // p
+            score = split_scores(left, totals[slot])
+            score[(cnt < least) | (counts[slot] - cnt < least)] = np.inf
+            if first and part:  # judged later
+                n = length[0]
+                out += zip([1] * n, run[:n].tolist(), [None] * n, v[:n].tolist(), left[:n].tolist(), cnt[:n].tolist())
+                score[:n] = np.inf
+            low = np.minimum.reduceat(score, begin)
+            hits = np.flatnonzero(score == np.repeat(low, length))
+            best = hits[np.unique(np.repeat(np.arange(len(begin)), length)[hits], return_index=True)[1]]
+            ends = begin + length - 1
+            found = [(float(score[i]), float(v[i]), left[i].tolist(), int(cnt[i])) if np.isfinite(score[i]) else None for i in best]
+            if kept is not None and (found[0] is None or kept[0] <= found[0][0]):
+                found[0] = kept
+            for i, e in enumerate(ends):
+                now = (int(run[e]), left[e], int(cnt[e]), found[i])
+                if i + 1 < len(ends):
                     close(out)
-                    now, first = None, False
-                before = now or (key, np.zeros(classes), 0, None)
-                left, cnt, best = left + before[1], cnt + before[2], before[3]
-                if first and part:
-                    out += [(1, key, None, float(z), row, int(k)) for z, row, k in zip(v[a:b], left, cnt)]
-                else:
-                    score = judged(key, v[a:b], left, cnt)
-                    if (i := _best(score)) is not None and (best is None or score[i] < best[0]):
-                        best = (float(score[i]), float(v[a + i]), left[i], int(cnt[i]))
-                now = (key, left[-1], int(cnt[-1]), best)
+                    first = False
 
         for batch in batches:
             if not batch.num_rows:
@@ -244,7 +246,7 @@ def _scan(cells: DataFrame, shared, p: int, classes: int) -> DataFrame:
         if rest is not None:
             take(*rest, out)
             close(out)
-            out.append((3, now[0], None, None, now[1], now[2]))
+            out.append((3, now[0], None, None, now[1].tolist(), now[2]))
         yield table(out)
 
     return cells.repartitionByRange("run", "v").sortWithinPartitions("run", "v").mapInArrow(work, _FOUND)

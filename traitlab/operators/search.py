@@ -187,7 +187,9 @@ def best_by_accuracy(results: DataFrame) -> DataFrame:
 def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[str, Sequence], n_iter: int = 10, folds: int = 3, seed: int = 42, parallelism: int = 4, balanced: bool = True):
     """M3: seeded random sample of the random-forest grid, k-fold CV on
     accuracy (folds by det rank, ``foldCol``), refit of the best on all of
-    ``train``.  Returns (best FittedModel, table of tried configurations)."""
+    ``train``.  Returns (best FittedModel, table of tried configurations).
+    Folds and refit use Spark ML's forest, the one the folds have measured;
+    what it lacks of a drawn configuration is in ``ignored_params``."""
     import random
 
     from pyspark.ml.classification import RandomForestClassifier
@@ -228,9 +230,9 @@ def random_search(train: DataFrame, cols: Sequence[str], y: str, space: Mapping[
     cvm = cv.fit(data)
     best_i = max(range(len(picks)), key=lambda i: cvm.avgMetrics[i])
     if balanced:
-        best = fit_forest(class_weights(train, y, out="_w"), list(cols), y, picks[best_i], weight="_w", seed=seed)
+        best = fit_forest(class_weights(train, y, out="_w"), list(cols), y, picks[best_i], weight="_w", seed=seed, exact=False)
     else:
-        best = fit_forest(train, list(cols), y, picks[best_i], seed=seed)
+        best = fit_forest(train, list(cols), y, picks[best_i], seed=seed, exact=False)
     spark = train.sparkSession
     tried = spark.createDataFrame([(json.dumps(p, sort_keys=True, default=str), float(m)) for p, m in zip(picks, cvm.avgMetrics)], "params string, cv_accuracy double")
     return best, tried
