@@ -56,6 +56,25 @@ def test_jaccard_groups_match_brute_force(docs, k, num, den, n2, k2):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(got)), key=str) == brute_groups(corpus(), k, num, den)
 
 
+@pytest.mark.parametrize("held", [1 << 22, 40])
+def test_jaccard_repeat_filter_loses_no_repeated_signature(docs, held):
+    signing = jaccard.Signing(3, 90, 100, 3, 1, frozenset())
+    texts = docs.where("doc_id is not null").select(docs["text"].alias("t")).repartition(5)
+    found = {r[0] for r in jaccard._repeated(texts, signing, 6, held).collect()}
+    nodes = defaultdict(set)
+    for node, sigs in next(signing.rows([{"t": [t for i, t in corpus() if i is not None]}])):
+        for x in sigs.tolist():
+            nodes[x].add(node)
+    assert {x >> 26 for x, at in nodes.items() if len(at) > 1} <= found
+
+
+def test_jaccard_sets_that_share_a_name_are_two_nodes():
+    a = np.array([1, 2, 3], dtype=np.uint64)
+    clash = frozenset([jaccard.set_name(a)])
+    assert jaccard.node_of(a, frozenset()) == jaccard.set_name(a)
+    assert jaccard.node_of(a, clash) == jaccard.check_name(a) != jaccard.set_name(a)
+
+
 def test_jaccard_chain_beyond_leaders(spark):
     """A chain of texts, each like the next only: one component."""
     base = ["w%d" % i for i in range(60)]

@@ -11,7 +11,9 @@ the same in both sets.  Every such subset is a signature, hence no linked pair
 is missed.  A set also emits the signatures of the bands its larger partners
 may lie in.
 
-Equal sets are collapsed to one node first.  Inside a signature's group not all
+Equal sets (by a 128-bit name) are collapsed to one node first.  Nearly all
+signatures are met once: tasks first hand on short fingerprints of theirs, and
+only signatures whose fingerprint is met again are joined at all.  Inside a signature's group not all
 pairs are formed: every member is compared with one leader, components are
 merged, and later rounds take other leaders for the groups that still span
 several components.  What is still open then is compared pair by pair, so the
@@ -35,10 +37,15 @@ from pyspark.sql import functions as F
 
 from traitlab.llm.common import BROADCAST_ROWS, connected_components, distinct_pairs, lists, map_batches, small, written
 from traitlab.llm.text import mix, shingle_set
+from traitlab.operators.sample import collect_bounded
 
 _U = np.uint64
 #: longs in a parity sketch (a power of two)
 SKETCH = 16
+#: bytes of all sketches up to which they are broadcast
+SKETCH_BYTES = 32 << 20
+#: different sets that may share a 64-bit name (some are expected from 10^10 sets on)
+MAX_CLASHES = 10_000
 
 
 class Bands:
@@ -84,47 +91,105 @@ def set_name(shingles: np.ndarray) -> int:
         return int(mix(np.array([mix(shingles).sum(dtype=np.uint64) + _U(len(shingles))])).view(np.int64)[0])
 
 
+def check_name(shingles: np.ndarray) -> int:
+    """A second fingerprint: with ``set_name`` 128 bits."""
+    return set_name(shingles ^ _U(0xA5A5A5A5A5A5A5A5))
+
+
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, n, node, check) per row; null names for the empty set."""
+    """(id, n, name, check) per row; null names for the empty set."""
 
     def work(batches):
         for cols in batches:
             sets = [shingle_set(t, shingle) for t in cols["t"]]
             name = [set_name(s) if len(s) else None for s in sets]
-            check = [set_name(s ^ _U(0xA5A5A5A5A5A5A5A5)) if len(s) else None for s in sets]
-            yield {"id": cols["id"], "n": [len(s) for s in sets], "node": name, "check": check}
+            check = [check_name(s) if len(s) else None for s in sets]
+            yield {"id": cols["id"], "n": [len(s) for s in sets], "name": name, "check": check}
 
-    return map_batches(docs, work, "id long, n long, node long, check long")
+    return map_batches(docs, work, "id long, n long, name long, check long")
 
 
-def _signed(docs: DataFrame, shingle: int, num: int, den: int, n2: int, k2: int) -> DataFrame:
-    """(node, sigs) where a task first meets a set, so that copies add little
-    to the signature shuffle."""
+def node_of(shingles: np.ndarray, clashes: frozenset) -> int:
+    """The number of a set: its name, or its check where sets share a name."""
+    name = set_name(shingles)
+    return check_name(shingles) if name in clashes else name
 
-    def work(batches):
+
+class Signing:
+    """Walks batches of texts; a task signs each set it meets once."""
+
+    def __init__(self, shingle: int, num: int, den: int, n2: int, k2: int, clashes: frozenset):
+        self.shingle, self.rule, self.clashes = shingle, (num, den, n2, k2), clashes
+
+    def rows(self, batches):
+        """Lists of (node, signatures), a list per batch."""
         bands, seen = Bands(), set()
         for cols in batches:
-            node, sigs = [], []
+            out = []
             for text in cols["t"]:
-                s = shingle_set(text, shingle)
-                if not len(s) or (name := set_name(s)) in seen:
+                s = shingle_set(text, self.shingle)
+                if not len(s) or (node := node_of(s, self.clashes)) in seen:
                     continue
                 if len(seen) > 1_000_000:
                     seen.clear()
-                seen.add(name)
-                node.append(name)
-                sigs.append(signatures(s, num, den, n2, k2, bands))
-            yield {"node": node, "sigs": lists(sigs)}
+                seen.add(node)
+                out.append((node, np.unique(signatures(s, *self.rule, bands))))
+            yield out
+
 
-    return map_batches(docs.where("id is not null").select("t"), work, "node long, sigs array<long>")
+def _repeated(texts: DataFrame, signing: Signing, bits: int, held: int = 1 << 22) -> DataFrame:
+    """(fp): the leading ``32 + bits`` bits of every signature that tasks met
+    more than once, and of few others.  A task hands on its signatures as
+    sorted 32-bit numbers cut into ``2 ** bits`` slices, a number at most twice
+    per ``held`` signatures, so that a signature of many sets weighs little;
+    a slice is counted exactly."""
 
+    def work(batches):
+        have, n = [], 0
+
+        def cut():
+            every = np.sort(np.concatenate(have)) >> _U(32 - bits)
+            again = np.unique(every[1:][every[1:] == every[:-1]])
+            every = np.sort(np.concatenate([np.unique(every), again]))
+            ends = np.searchsorted(every, np.arange(1 << bits, dtype=np.uint64) << _U(32)).tolist() + [len(every)]
+            full = [i for i in range(1 << bits) if ends[i] < ends[i + 1]]
+            return {"slice": full, "fps": [every[ends[i] : ends[i + 1]].astype("<u4").tobytes() for i in full]}
+
+        for rows in signing.rows(batches):
+            for _, sigs in rows:
+                have.append(sigs)
+                n += len(sigs)
+                if n >= held:
+                    yield cut()
+                    have, n = [], 0
+        if n:
+            yield cut()
+
+    def count(key, table):
+        import pyarrow as pa
+
+        fps = np.sort(np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("fps")]))
+        again = np.unique(fps[1:][fps[1:] == fps[:-1]]).astype(np.int64)
+        return pa.table({"fp": pa.array(again + (key[0].as_py() << 32), pa.int64())})
+
+    return map_batches(texts, work, "slice long, fps binary").groupBy("slice").applyInArrow(count, "fp long")
+
+
+def _members(texts: DataFrame, signing: Signing, shingles: int) -> DataFrame:
+    """(sig, node) of the signatures that two or more nodes share.  Signatures
+    met once (nearly all) are left out before anything is joined; slices follow
+    the number of shingles, about one signature or less for each."""
+    bits = min(31, max(6, (shingles // 8_000_000).bit_length()))
+    repeated = written(_repeated(texts, signing, bits), "repeated")
+
+    def work(batches):
+        for rows in signing.rows(batches):
+            yield {"node": [x for x, _ in rows], "sigs": lists([s for _, s in rows])}
 
-def _members(signed: DataFrame) -> DataFrame:
-    """(sig, node) of the signatures that two or more nodes share.  The one
-    shuffle by signature serves both the count and the members."""
-    rows = signed.select(F.explode("sigs").alias("sig"), "node").repartition("sig")
-    shared = rows.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("sig")
-    return rows.join(shared, "sig", "left_semi").dropDuplicates(["sig", "node"])
+    rows = map_batches(texts, work, "node long, sigs array<long>").select(F.explode("sigs").alias("sig"), "node")
+    rows = written(rows.join(small(repeated, 10 * BROADCAST_ROWS), F.shiftrightunsigned("sig", 32 - bits) == F.col("fp"), "left_semi"), "signed")
+    shared = written(rows.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("sig"), "shared")
+    return rows.join(small(shared, 10 * BROADCAST_ROWS), "sig", "left_semi").dropDuplicates(["sig", "node"])
 
 
 def parity_sketch(shingles: np.ndarray, longs: int = SKETCH) -> np.ndarray:
@@ -175,14 +240,19 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_shingles, component_id) per document; documents link when
     ``den * |A and B| >= num * |A or B|``."""
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    sets = written(_sets(picked, shingle), "sets")
-    reps = written(sets.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("rep"), F.min("check").alias("c1"), F.max("check").alias("c2")), "reps")
-    if not reps.where("c1 != c2").isEmpty():
-        raise ValueError("two different sets share a 64-bit fingerprint; give the operator another seed")
-    # written first: one exchange can then serve both sides of the member join
-    signed = written(_signed(picked, shingle, num, den, n2, k2), "signed")
-    members = written(_members(signed), "members")
-    links = _links(picked, reps, members, shingle, num, den, leader_rounds)
+    named = written(_sets(picked, shingle), "sets")
+    clashes = frozenset(r[0] for r in collect_bounded(named.where("name is not null").groupBy("name").agg(F.min("check").alias("c1"), F.max("check").alias("c2")).where("c1 != c2").select("name"), MAX_CLASHES, "names of several sets"))
+    number = F.when(F.col("name").isin(*clashes), F.col("check")).otherwise(F.col("name")) if clashes else F.col("name")
+    sets = named.select("id", "n", number.alias("node"))
+    reps = written(sets.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "reps")
+    # ids of copies alone need no signing; where they are too many to broadcast they are signed too, to the same end
+    copies = written(sets.where("node is not null and id is not null").select("id").distinct().join(reps.select(F.col("rep").alias("id")).distinct(), "id", "left_anti"), "copies")
+    texts = picked.where("id is not null")
+    if copies.count() <= 10 * BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(copies), "id", "left_anti")
+    signing = Signing(shingle, num, den, n2, k2, clashes)
+    members = written(_members(texts.select("t"), signing, reps.agg(F.sum("n")).first()[0] or 0), "members")
+    links = _links(picked, reps, members, signing, num, den, leader_rounds)
     if links is None:
         classes = reps.select("node", F.col("rep").alias("component_id"))
     else:
@@ -194,7 +264,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
-def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int, num: int, den: int, leader_rounds: int) -> DataFrame | None:
+def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, signing: Signing, num: int, den: int, leader_rounds: int) -> DataFrame | None:
     """Links between nodes that connect every component (null if none)."""
     rows = members.count()
     if not rows:
@@ -203,15 +273,16 @@ def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, shingle: int,
 
     def arrays(batches):
         for cols in batches:
-            named = [(x, shingle_set(t, shingle)) for x, t in zip(cols["node"], cols["t"])]
-            named = [(x, s) for x, s in named if set_name(s) == x]  # rows may share an id
+            named = [(x, shingle_set(t, signing.shingle)) for x, t in zip(cols["node"], cols["t"])]
+            named = [(x, s) for x, s in named if len(s) and node_of(s, signing.clashes) == x]  # rows may share an id
             sets = [s for _, s in named]
             yield {"node": [x for x, _ in named], "n": [len(s) for s in sets], "s": lists(sets), "sketch": lists([parity_sketch(s) for s in sets]), "wide": lists([wide_sketch(s) for s in sets])}
 
     texts = picked.join(small(nodes), "id").select("node", "t")
     whole = map_batches(texts, arrays, "node long, n long, s array<long>, sketch array<long>, wide array<long>")
     whole = written(whole.select("node", "n", "s", "wide", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)]).dropDuplicates(["node"]), "arrays")
-    wide_rows = BROADCAST_ROWS // 4  # a row of sketches is some hundred bytes
+    n, longs = whole.agg(F.count("*"), F.sum(F.size("wide"))).first()
+    wide_rows = n if 8 * (n * (SKETCH + 4) + (longs or 0)) <= SKETCH_BYTES else 0  # broadcast by bytes
     info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("wide").alias(f"{side}w"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
     links, before = None, None
     for turn in range(leader_rounds + 1):
