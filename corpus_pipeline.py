@@ -32,7 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group of near copies: sets of
     five-word shingles with similarity 0.8 or more."""
-    groups = jaccard.jaccard_groups(docs, shingle=5, num=80, den=100, n2=2)
+    groups = jaccard.jaccard_groups(docs, shingle=5, num=80, den=100)
     return jaccard.one_of_each(docs, groups)
 
 
