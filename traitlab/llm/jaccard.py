@@ -252,7 +252,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts = texts.join(F.broadcast(copies), "id", "left_anti")
     signing = Signing(shingle, num, den, n2, k2, clashes)
     members = written(_members(texts.select("t"), signing, reps.agg(F.sum("n")).first()[0] or 0), "members")
-    links = _links(picked, reps, members, signing, num, den, leader_rounds)
+    links = _links(picked, sets.select("id"), reps, members, signing, num, den, leader_rounds)
     if links is None:
         classes = reps.select("node", F.col("rep").alias("component_id"))
     else:
@@ -264,7 +264,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
-def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, signing: Signing, num: int, den: int, leader_rounds: int) -> DataFrame | None:
+def _links(picked: DataFrame, ids: DataFrame, reps: DataFrame, members: DataFrame, signing: Signing, num: int, den: int, leader_rounds: int) -> DataFrame | None:
     """Links between nodes that connect every component (null if none)."""
     rows = members.count()
     if not rows:
@@ -280,7 +280,10 @@ def _links(picked: DataFrame, reps: DataFrame, members: DataFrame, signing: Sign
 
     texts = picked.join(small(nodes), "id").select("node", "t")
     whole = map_batches(texts, arrays, "node long, n long, s array<long>, sketch array<long>, wide array<long>")
-    whole = written(whole.select("node", "n", "s", "wide", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)]).dropDuplicates(["node"]), "arrays")
+    whole = whole.select("node", "n", "s", "wide", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)])
+    # a node comes twice only if its id does: then alone are the sets shuffled
+    again = ids.groupBy("id").count().where("count > 1")
+    whole = written(whole if again.join(nodes, "id", "left_semi").isEmpty() else whole.dropDuplicates(["node"]), "arrays")
     n, longs = whole.agg(F.count("*"), F.sum(F.size("wide"))).first()
     wide_rows = n if 8 * (n * (SKETCH + 4) + (longs or 0)) <= SKETCH_BYTES else 0  # broadcast by bytes
     info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("wide").alias(f"{side}w"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
