@@ -25,7 +25,10 @@ elements are counted exactly.
 Edge cases: a null or empty text, or one without words, has the empty set and
 links with nothing; with fewer words than a shingle the whole sequence is the
 one shingle; rows that share an id are one node; a null id links with nothing
-and has a null component; an empty table gives an empty result."""
+and has a null component; a very long text is one set, signed whole in one
+task; of ids in one component the smallest names it; columns other than id and
+text are not read, whatever their names; an empty table gives an empty
+result."""
 
 from __future__ import annotations
 
