@@ -43,11 +43,24 @@ SKETCH_ROWS = 50_000
 _SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
+def _words(bare: Column) -> Column:
+    """Words of trimmed text (none: one empty word).  A plain space is split
+    without a regular expression, the usual case."""
+    odd = [F.contains(bare, F.lit(x)) for x in ("  ", "\t", "\r", "\x0b", "\x0c")]
+    return F.when(odd[0] | odd[1] | odd[2] | odd[3] | odd[4], F.split(bare, _SPACE + "+")).otherwise(F.split(bare, " "))
+
+
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
+
+
+def _masked(words: Column) -> Column:
+    return F.transform(words, lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))
+
+
 def _tokens(line: Column) -> Column:
-    """Words of a line, those with a digit masked (none: one empty word)."""
-    bare = F.btrim(line, F.lit(" \t\r\x0b\x0c"))
-    masked = F.when(bare.rlike("[0-9]"), F.regexp_replace(bare, f"{_WORD}*[0-9]{_WORD}*", "<*>")).otherwise(bare)
-    return F.split(masked, _SPACE + "+")
+    """Words of a line, those with a digit masked."""
+    return _masked(_words(_bare(line)))
 
 
 def _split(text: Column) -> Column:
@@ -60,25 +73,45 @@ def _leaf(words: Column, depth: int) -> Column:
 
 def _least(r: int) -> Column:
     """The least sketch value of residue ``r``."""
-    return F.array_min(F.filter("sketch", lambda x: F.pmod(x, F.lit(KEYS)) == r))
-
-
-def _families(rows: DataFrame, alike: float) -> DataFrame:
-    """(text_hash, root) of every text that is a copy or edited copy of another
-    one; texts without such are left out.  Texts that share a key are compared
-    with the least text of that key alone, so no group's pairs are listed."""
-    texts = rows.where("t is not null").select("text_hash", F.split(F.btrim("t", F.lit(" \t\n\r\x0b\x0c")), _SPACE + "+").alias("words"))
+    return F.array_min(F.filter("values", lambda x: F.pmod(x, F.lit(KEYS)) == r))
+
+
+def _outlines(rows: DataFrame, depth: int) -> DataFrame:
+    """(row, key, text_hash, keys, sketch, lines) of every text, its words
+    split once.  ``lines`` holds (i, leaf, n, template) of the lines with a
+    word, ``keys`` the 64-bit values that name texts to compare with, ``sketch``
+    the upper halves of the least shingle values, in their order."""
+    lines = F.transform(_split(F.col("t")), _bare)
+    cut = F.transform(lines, lambda b: F.struct(_words(b).alias("raw"), b.rlike("[0-9]").alias("digit")))
+    both = F.transform(cut, lambda x: F.struct(x["raw"].alias("raw"), F.when(x["digit"], _masked(x["raw"])).otherwise(x["raw"]).alias("w")))
+    texts = rows.where("t is not null").select("key", "text_hash", both.alias("x"))
+    info = F.transform("x", lambda x, i: F.struct(i.alias("i"), _leaf(x["w"], depth).alias("leaf"), F.size(x["w"]).alias("n"), _template(x["raw"], x["w"]).alias("template"), (x["w"][0] != "").alias("any")))
+    words = F.flatten(F.transform(F.filter("x", lambda x: x["raw"][0] != ""), lambda x: x["raw"]))
+    texts = texts.select("key", "text_hash", F.filter(info, lambda y: y["any"]).alias("lines"), words.alias("words"))
     last = F.greatest(F.size("words") - (SHINGLE - 1), F.lit(1))
     shingles = F.slice(F.transform("words", lambda w, i: F.xxhash64(w, *[F.get("words", i + j) for j in range(1, SHINGLE)])), 1, last)
-    texts = texts.select("text_hash", shingles.alias("all"))
+    texts = texts.select("key", "text_hash", "lines", shingles.alias("all"))
     # of a long text only the lower values are sorted, if they are enough
     low = (F.lit(-(2.0**63)) + F.lit(2.0**64 * 4 * SKETCH) / F.size("all")).cast("long")
     texts = texts.withColumn("low", F.when(F.size("all") > 4 * SKETCH, F.array_distinct(F.filter("all", lambda x: x < low))))
-    sketch = F.slice(F.sort_array(F.when(F.size("low") >= SKETCH, F.col("low")).otherwise(F.array_distinct("all"))), 1, SKETCH)
-    sketches = written(texts.select("text_hash", sketch.alias("sketch")).dropDuplicates(["text_hash"]), "sketches")
-    keys = sketches.select("text_hash", F.explode(F.array_compact(F.array(*[_least(r) for r in range(KEYS)]))).alias("sig"))
+    values = F.slice(F.sort_array(F.when(F.size("low") >= SKETCH, F.col("low")).otherwise(F.array_distinct("all"))), 1, SKETCH)
+    texts = texts.select("key", "text_hash", "lines", values.alias("values"))
+    keys = F.array_compact(F.array(*[_least(r) for r in range(KEYS)]))
+    sketch = F.array_distinct(F.transform("values", lambda x: F.shiftright(x, 32).cast("int")))
+    return texts.select(F.monotonically_increasing_id().alias("row"), "key", "text_hash", keys.alias("keys"), sketch.alias("sketch"), "lines")
+
+
+def _families(outlines: DataFrame, alike: float) -> DataFrame:
+    """(text_hash, root) of every text that is a copy or edited copy of another
+    one; texts without such are left out.  Texts that share a key are compared
+    with the least text of that key alone, so no group's pairs are listed.  Of
+    equal texts only the first row's sketch moves."""
+    again = written(outlines.groupBy("text_hash").agg(F.min("row").alias("first"), F.count("*").alias("c")).where("c > 1").select("text_hash", "first"), "again")
+    once = outlines.join(small(again), "text_hash", "left").where("first is null or first = row")
+    keys = once.select("text_hash", F.explode("keys").alias("sig"))
     first = written(keys.groupBy("sig").agg(F.min("text_hash").alias("lead"), F.count("*").alias("c")).where("c > 1").select("sig", "lead"), "leads")
     pairs = written(keys.join(small(first), "sig").where("text_hash != lead").select("text_hash", "lead").distinct(), "pairs")
+    sketches = once.select("text_hash", "sketch")
     leads = written(sketches.join(small(pairs.select(F.col("lead").alias("text_hash")).distinct()), "text_hash", "left_semi").select(F.col("text_hash").alias("lead"), F.col("sketch").alias("other")), "leads")
     both = pairs.join(sketches, "text_hash").join(small(leads, SKETCH_ROWS), "lead")
     both = both.withColumn("all", F.slice(F.sort_array(F.array_union("sketch", "other")), 1, SKETCH))
@@ -86,17 +119,9 @@ def _families(rows: DataFrame, alike: float) -> DataFrame:
     return connected_components(both.where(same >= F.lit(alike) * F.size("all")).select(F.col("text_hash").alias("a"), F.col("lead").alias("b"))).select(F.col("node").alias("text_hash"), "root")
 
 
-def _lines(rows: DataFrame, depth: int) -> DataFrame:
-    """(key, text_hash, i, leaf, n, template) of every line with a word."""
-    words = rows.where("t is not null").select("key", "text_hash", F.transform(_split(F.col("t")), lambda x: F.struct(x.alias("raw"), _tokens(x).alias("w"))).alias("words"))
-    info = F.transform("words", lambda x: F.struct(_leaf(x["w"], depth).alias("leaf"), F.size(x["w"]).alias("n"), _template(x["raw"], x["w"]).alias("template"), (x["w"][0] != "").alias("any")))
-    flat = words.select("key", "text_hash", F.posexplode(info).alias("i", "x")).where("x.any")
-    return flat.select("key", "text_hash", "i", "x.leaf", "x.n", "x.template")
-
-
 def _template(raw: Column, words: Column) -> Column:
     numbers = (F.size(words) <= NUMBERS) & (F.array_min(words) == "<*>") & (F.array_max(words) == "<*>")
-    return F.when(numbers, F.xxhash64(F.split(F.btrim(raw, F.lit(" \t\r\x0b\x0c")), _SPACE + "+"))).otherwise(F.xxhash64(words))
+    return F.when(numbers, F.xxhash64(raw)).otherwise(F.xxhash64(words))
 
 
 def _recurring(uses: DataFrame, name: str, min_docs: int) -> DataFrame:
@@ -109,8 +134,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(rows with ``key`` and ``t``, table (key, places) of dropped lines)."""
     text = F.col(text_col)
     rows = docs.withColumn("key", F.xxhash64(F.col(id_col), text)).withColumn("t", text).withColumn("text_hash", F.xxhash64(text))
-    families = written(_families(rows.select("text_hash", "t"), alike), "families")
-    flat = _lines(rows.select("key", "text_hash", "t"), depth).join(small(families), "text_hash", "left")
+    outlines = written(_outlines(rows.select("key", "text_hash", "t"), depth), "outlines")
+    families = written(_families(outlines, alike), "families")
+    flat = outlines.select("key", "text_hash", F.explode("lines").alias("x")).select("key", "text_hash", "x.i", "x.leaf", "x.n", "x.template").join(small(families), "text_hash", "left")
     flat = written(flat.select("key", "text_hash", "i", "leaf", "n", "template", F.coalesce("root", "text_hash").alias("family")), "lines")
     exact = _recurring(flat, "template", min_docs)
     general = _general(rows, flat, depth, min_docs, general_words, fixed)
@@ -129,7 +155,7 @@ def _general(rows: DataFrame, flat: DataFrame, depth: int, min_docs: int, genera
     # one line of each kind brings its words: the first by (key, place)
     where = written(lines.groupBy("leaf", "template").agg(F.min(F.struct("key", "i")).alias("at")).select("leaf", "template", "at.*"), "kinds")
     parts = parts_for(where.count(), 20_000)
-    texts = rows.select("key", "t").join(small(where.groupBy("key").agg(F.collect_list(F.struct("leaf", "template", "i")).alias("at"))), "key")
+    texts = rows.select("key", "t").join(small(written(where.groupBy("key").agg(F.collect_list(F.struct("leaf", "template", "i")).alias("at")), "at")), "key")
     words = texts.select(F.explode("at").alias("at"), _split(F.col("t")).alias("lines")).select("at.leaf", "at.template", _tokens(F.get("lines", F.col("at.i"))).alias("tokens"))
     words = written(words.dropDuplicates(["leaf", "template"]).coalesce(parts), "words").select("leaf", "template", F.size("tokens").alias("n"), F.posexplode("tokens").alias("p", "word"))
     count = words.groupBy("leaf", "n", "p", "word").agg(F.count("*").alias("k"))
