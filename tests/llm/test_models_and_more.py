@@ -139,6 +139,42 @@ def test_html_differencing_decides_inside_articles_and_passes_over_copies(spark)
     assert {got[40], got[41]} == {"Brand alone Links"}
 
 
+def test_html_prose_that_neighbours_share_stays(spark):
+    """An article line goes only by the host's evidence, not because the
+    neighbour happens to hold it."""
+    marked = "<html><body><nav><p>Top stories</p></nav><article><p>{0}</p><p>{1}</p></article></body></html>"
+    second = ["A sentence of two articles.", "A sentence of two articles.", "Top stories", "Top stories", "fifth", "sixth", "seventh"]
+    data = [(i, f"http://a.x/{'top/' if x == 'Top stories' else 'p/'}{i}", marked.format(f"story {i}", x)) for i, x in enumerate(second)]
+    data += [(20 + i, f"http://b.x/{i}", marked.format(f"tale {i}", "Both pages of a small host.")) for i in range(2)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in rows(html.main_text(df))}
+    want = [f"story {i}" + ("" if x == "Top stories" else f" {x}") for i, x in enumerate(second)]
+    assert [got[i] for i in range(len(second))] == want
+    assert [got[20 + i] for i in range(2)] == [f"tale {i} Both pages of a small host." for i in range(2)]
+
+
+def test_lcs_of_very_long_pages(monkeypatch):
+    """Two pages of 50,000 common lines in another order: the longest common
+    subsequence is the longest rising run, in little memory."""
+    import bisect
+    import tracemalloc
+
+    a, b = np.arange(50_000), np.random.default_rng(3).permutation(50_000)
+    tails: list[int] = []
+    for v in b.tolist():
+        at = bisect.bisect_left(tails, v)
+        tails[at : at + 1] = [v]
+    tracemalloc.start()
+    mask = html.lcs_shared(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert mask.sum() == len(tails) and peak < 100e6
+    it = iter(b.tolist())
+    assert all(x in it for x in a[mask].tolist())
+    monkeypatch.setattr(html, "CELLS", 4)
+    test_lcs_is_longest()
+
+
 def test_html_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert rows(html.main_text(df)) == []
@@ -184,6 +220,42 @@ def test_short_lines_that_recur_go(spark):
     assert all(got[i]["text"] == f"\n{b}\n{i + 10}" and got[i]["_n_dropped"] == 4 for i, b in enumerate(body))
 
 
+def test_lines_words_are_split_alike_with_odd_spaces(spark):
+    """Fast and general splitting give the same words; texts without a word
+    and equal texts take part as stated."""
+    rng = random.Random(18)
+    gaps = [" ", "  ", "\t", " \x0b ", "\x0c", "\r "]
+    data = [(i, f"{words(rng, 30)}\n {gap.join(['Seen', 'by', 'u7x', 'and', 'others'])}{gap}\n{words(rng, 20)}") for i, gap in enumerate(gaps)]
+    data += [(20 + i, t) for i, (_, t) in enumerate(data)] + [(40, " \t\n\n "), (41, " \t\n\n "), (42, "\n")]
+    got = {r["doc_id"]: r for r in rows(lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string").repartition(3)))}
+    for i, t in data:
+        part = t.split("\n")
+        assert got[i]["text"] == (t if i >= 40 else f"{part[0]}\n{part[2]}")
+
+
+def test_families_find_pairs_of_edited_copies(spark):
+    """Of all pairs of texts of documents whose shingle sets are alike by 0.5
+    or more, counted by brute force, at least 0.9 stand in one family."""
+    import re
+    from itertools import combinations
+
+    docs_ = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r[0]: r[1] for r in docs_.select(F.xxhash64("text"), "text").where("text is not null").distinct().collect()}
+    sets = {}
+    for h, t in texts.items():
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", t) if x]
+        sets[h] = {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+    by = {}
+    for h, x in sets.items():
+        for y in x:
+            by.setdefault(y, []).append(h)
+    near = {p for hs in by.values() if len(hs) > 1 for p in combinations(sorted(hs), 2)}
+    near = [(a, b) for a, b in near if 2 * len(sets[a] & sets[b]) >= len(sets[a] | sets[b])]
+    outlines = lines.written(lines._outlines(docs_.select(F.xxhash64("doc_id").alias("key"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("t")), 3), "outlines")
+    root = dict(lines._families(outlines, 0.5).collect())
+    assert len(near) > 20 and sum(root.get(a, a) == root.get(b, b) for a, b in near) >= 0.9 * len(near)
+
+
 def test_lines_empty(no_docs):
     assert rows(lines.dedup_lines(no_docs)) == []
 

@@ -6,10 +6,13 @@ boilerplate (navigation, header, footer, sidebar, notice, advert, form,
 comments), or neither.  Pages of one host are sorted by URL path; each is
 paired with the neighbour whose path shares the longer prefix.  The two pages'
 lines are aligned by longest common subsequence, and lines that both have are
-deleted, inside a marked article too.  A neighbour that shares nearly all lines
-(``ALIKE``) is a copy and passed over for the next different page, so a page
-and its copy keep their text.  The markup is a check: of a page with an article
-only that is kept, and an article of which nothing would be left stays whole.
+deleted.  A neighbour that shares nearly all lines (``ALIKE``) is a copy and
+passed over for the next different page, so a page and its copy keep their
+text.  The markup is a check: of a page with an article only that is kept, and
+there a shared line goes only if the host shows it to be boilerplate, because
+it also stands in a region marked as such, or on over half of the host's
+different pages (at least ``LEAST_PAGES``); so prose that two neighbours happen
+to share stays.  An article of which nothing would be left stays whole.
 
 Lines travel as 64-bit hashes for the pairing; the sorted order is a range
 partitioning with no task per host, and the first and last page of each
@@ -19,7 +22,10 @@ beyond it; such pages take the partner on their other side, if any.
 
 Edge cases: null html counts as empty and gives an empty text; a null or odd
 url is a host of its own and has no partner unless another row has the same
-text there; repeated rows and copies of a url are neighbours like others;
+text there; a null id has no partner; repeated rows and copies of a url are
+neighbours like others, and of two neighbours with equally long prefixes the
+earlier one is the partner; very long pages are aligned in memory that follows
+their lines, not the product; other columns, whatever their names, are ignored;
 truncated tags and references are handled as at the end of input; an empty
 table gives an empty result."""
 
@@ -34,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.llm.common import BROADCAST_ROWS, lists, map_batches, small, written
+from traitlab.llm.common import BROADCAST_ROWS, lists, map_batches, parts_for, small, written
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|$)""", re.S)
 _RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "canvas", "video", "audio", "math"}
@@ -44,6 +50,12 @@ _BLOCK = set("address article aside blockquote body br caption dd details dialog
 _MAIN = {"article", "main"}
 #: share of common lines from which two pages are copies
 ALIKE = 0.9
+#: different pages a host must have for a line on most of them to be boilerplate
+LEAST_PAGES = 3
+#: pages of a range of neighbours
+RANGE_ROWS = 50_000
+#: cells of an alignment table that is filled as a whole
+CELLS = 1 << 20
 _NAMED = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _BOILER_NAME = re.compile(r"^(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu\w*|breadcrumbs?|sidebar|side|aside|complementary|footer|header|masthead|contentinfo|cookie\w*|consent|notices?|gdpr|popup|modal|alert|newsletter|subscribe|subscription|signup|login|search|form|share|sharing|social|related|recommend\w*|comments?|commentlist|replies|reply|respond|discussion|disqus\w*|widget|toolbar|pagination|pager|copyright|legal|skip)$", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -130,8 +142,9 @@ def text_lines(page: str) -> tuple[list[str], list[int]]:
 
 
 def lcs_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Mask of ``a``'s places in a longest common subsequence with ``b``
-    (the usual table, one row at a time; equal ends are taken first)."""
+    """Mask of ``a``'s places in a longest common subsequence with ``b``.
+    Equal ends are taken first; what is left is halved by Hirschberg's method
+    until a table of ``CELLS`` holds a part, so memory is linear."""
     out = np.zeros(len(a), dtype=bool)
     lo = 0
     while lo < min(len(a), len(b)) and a[lo] == b[lo]:
@@ -144,19 +157,63 @@ def lcs_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x, y = a[lo:ea], b[lo:eb]
     where = np.flatnonzero(np.isin(x, y))  # lines of one page alone are in no common subsequence
     x, y = x[where], y[np.isin(y, x)]
-    if len(x) and len(y):
-        table = np.zeros((len(x) + 1, len(y) + 1), dtype=np.int32)
-        for i in range(len(x) - 1, -1, -1):
-            table[i, :-1] = np.maximum.accumulate(np.maximum(table[i + 1, :-1], np.where(y == x[i], table[i + 1, 1:] + 1, 0))[::-1])[::-1]
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j] and table[i, j] == table[i + 1, j + 1] + 1:
-                out[lo + where[i]] = True
-                i, j = i + 1, j + 1
-            elif table[i + 1, j] >= table[i, j + 1]:
-                i += 1
-            else:
-                j += 1
+    mask = np.zeros(len(x), dtype=bool)
+    open_parts = [(0, len(x), 0, len(y))]
+    while open_parts:
+        i, j, k, m = open_parts.pop()
+        if j - i <= 1 or m == k or (j - i) * (m - k) <= CELLS:
+            mask[i:j] = _lcs_table(x[i:j], y[k:m])
+            continue
+        half = (i + j) // 2
+        cut = k + int(np.argmax(_lcs_lengths(x[i:half], y[k:m]) + _lcs_lengths(x[half:j][::-1], y[k:m][::-1])[::-1]))
+        open_parts += [(i, half, k, cut), (half, j, cut, m)]
+    out[lo + where[mask]] = True
+    return out
+
+
+def _lcs_lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of ``x`` and each prefix of
+    ``y``.  A row of the table is one long integer: a bit is 0 where the length
+    grows by one."""
+    places: dict[int, list[int]] = {}
+    for j, line in enumerate(y.tolist()):
+        places.setdefault(line, []).append(j)
+    full = (1 << len(y)) - 1
+    row = full
+    for line in x.tolist():
+        at = places.get(line)
+        if at:
+            hit = row & _bits(at, len(y))
+            row = ((row + hit) | (row - hit)) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(y) // 8), "little"), dtype=np.uint8), bitorder="little")[: len(y)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _bits(at: list[int], n: int) -> int:
+    if len(at) <= 16:
+        return sum(1 << j for j in at)
+    flags = np.zeros(n, dtype=np.uint8)
+    flags[at] = 1
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+
+def _lcs_table(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Mask of ``x`` by the whole table, filled one row at a time."""
+    out = np.zeros(len(x), dtype=bool)
+    if not len(x) or not len(y):
+        return out
+    table = np.zeros((len(x) + 1, len(y) + 1), dtype=np.int32)
+    for i in range(len(x) - 1, -1, -1):
+        table[i, :-1] = np.maximum.accumulate(np.maximum(table[i + 1, :-1], np.where(y == x[i], table[i + 1, 1:] + 1, 0))[::-1])[::-1]
+    i = j = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j] and table[i, j] == table[i + 1, j + 1] + 1:
+            out[i] = True
+            i, j = i + 1, j + 1
+        elif table[i + 1, j] >= table[i, j + 1]:
+            i += 1
+        else:
+            j += 1
     return out
 
 
@@ -194,31 +251,33 @@ def _different(chain: list[tuple], sets: list[frozenset], places: range, step: i
     return out
 
 
-def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, shared): places of the lines that a page shares with its nearest
-    different neighbour; pages without any are left out."""
+def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """(outlines, (id, host, main, place, hash) of the lines that a page shares
+    with its nearest different neighbour).  Only lines of the region that the
+    page's text is taken from are given; ``main`` says that it is an article."""
 
     def outline(batches):
         for cols in batches:
-            hosts, paths, hashes, places, ids = [], [], [], [], []
+            hosts, paths, hashes, regions, ids = [], [], [], [], []
             for key, url, page in zip(cols["id"], cols["url"], cols["html"]):
-                lines, _ = text_lines(page or "")
+                lines, marks = text_lines(page or "")
                 host, path = _keys(url)
                 ids.append(key)
                 hosts.append(host)
                 paths.append(path)
-                places.append(np.arange(len(lines), dtype=np.int32))
+                regions.append(np.array(marks, dtype=np.int8))
                 hashes.append(_line_hashes(lines))
             import pyarrow as pa
 
-            yield {"id": ids, "host": hosts, "path": paths, "places": lists(places, pa.int32()) if places else [], "hashes": lists(hashes) if hashes else []}
+            yield {"id": ids, "host": hosts, "path": paths, "marks": lists(regions, pa.int8()) if regions else [], "hashes": lists(hashes) if hashes else []}
 
     picked = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    outlines = map_batches(picked, outline, "id long, host string, path string, places array<int>, hashes array<long>").where("size(places) > 0")
+    outlines = map_batches(picked, outline, "id long, host string, path string, marks array<tinyint>, hashes array<long>").where("size(marks) > 0")
     order = ["host", "path", "id"]
-    ranged = written(outlines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "outlines")
+    ranges = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts_for(pages.count(), RANGE_ROWS))
+    ranged = written(outlines.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "outlines")
     # the first and last page of each partition, and those nearest to them with other lines, given to the ones beside it
-    row = F.struct(*order, "places", "hashes")
+    row = F.struct(*order, "marks", "hashes")
     ends = written(ranged.groupBy("part").agg(F.min(row).alias("lo"), F.max(row).alias("hi")), "ends")
     if (n := ends.count()) > BROADCAST_ROWS:
         raise ValueError(f"{n} partitions; use fewer")
@@ -232,29 +291,47 @@ def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         import pyarrow as pa
 
         before, after = shared.value[key[0].as_py()]
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in (*order, "places", "hashes"))), key=lambda r: r[:3])
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in (*order, "marks", "hashes"))), key=lambda r: r[:3])
         chain = [*before, *rows, *after]
         sets = [frozenset(r[4]) for r in chain]
         previous = _different(chain, sets, range(len(chain)), -1)
         following = _different(chain, sets, range(len(chain) - 1, -1, -1), 1)
-        ids, found = [], []
-        for i, (host, path, id_, places, hashes) in enumerate(rows, len(before)):
+        out: dict[str, list] = {"id": [], "host": [], "main": [], "place": [], "hash": []}
+        for i, (host, path, id_, marks, hashes) in enumerate(rows, len(before)):
             beside = [chain[j] for j in (previous[i], following[i]) if j is not None]
-            if not beside or not places:
+            if not beside:
                 continue
             other = max(beside, key=lambda x: len(commonprefix([x[1], path])))
             mask = lcs_shared(np.array(hashes, dtype=np.int64), np.array(other[4], dtype=np.int64))
-            if mask.any():
-                ids.append(id_)
-                found.append([p for p, m in zip(places, mask.tolist()) if m])
-        return pa.table({"id": pa.array(ids, pa.int64()), "shared": pa.array(found, pa.list_(pa.int32()))})
+            region = ARTICLE if ARTICLE in marks else OTHER
+            for p in np.flatnonzero(mask & (np.array(marks) == region)).tolist():
+                for name, value in zip(out, (id_, host, region == ARTICLE, p, hashes[p])):
+                    out[name].append(value)
+        return pa.table({"id": pa.array(out["id"], pa.int64()), "host": pa.array(out["host"], pa.string()), "main": pa.array(out["main"], pa.bool_()), "place": pa.array(out["place"], pa.int32()), "hash": pa.array(out["hash"], pa.int64())})
+
+    return ranged, written(ranged.groupBy("part").applyInArrow(pair, "id long, host string, main boolean, place int, hash long"), "shared")
+
 
-    return ranged.groupBy("part").applyInArrow(pair, "id long, shared array<int>")
+def boilerplate(outlines: DataFrame, shared: DataFrame) -> DataFrame:
+    """(host, hash) of the shared article lines that the host shows to be
+    boilerplate: they also stand in a region marked as such, or on over half
+    of its different pages."""
+    asked = written(shared.where("main").select("host", "hash").distinct(), "asked")
+    pages = outlines.select("host", F.xxhash64("hashes").alias("page"), "marks", "hashes")
+    pages = pages.join(small(written(asked.select("host").distinct(), "hosts")), "host", "left_semi")
+    n_pages = written(pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("n_pages")), "host-pages")
+    flat = pages.select("host", "page", F.explode(F.arrays_zip("marks", "hashes")).alias("x")).select("host", "page", F.col("x.hashes").alias("hash"), (F.col("x.marks") == BOILER).alias("named"))
+    uses = flat.join(small(asked), ["host", "hash"], "left_semi").groupBy("host", "hash", "page").agg(F.max("named").alias("named"))
+    uses = uses.groupBy("host", "hash").agg(F.max("named").alias("named"), F.count("*").alias("n")).join(small(n_pages), "host")
+    return uses.where(F.col("named") | ((F.col("n_pages") >= LEAST_PAGES) & (2 * F.col("n") > F.col("n_pages")))).select("host", "hash")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) per page."""
-    shared = written(shared_lines(pages, id_col, url_col, html_col).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("shared"))).alias("shared")), "shared")
+    outlines, found = shared_lines(pages, id_col, url_col, html_col)
+    proven = small(written(boilerplate(outlines, found), "boilerplate"))
+    gone = found.where("not main").unionByName(found.where("main").join(proven, ["host", "hash"], "left_semi"))
+    shared = written(gone.groupBy("id").agg(F.collect_set("place").alias("shared")), "gone")
 
     def extract(batches):
         for cols in batches:
