@@ -9,10 +9,10 @@ lines are aligned by longest common subsequence, and lines that both have are
 deleted.  A neighbour that shares nearly all lines (``ALIKE``) is a copy and
 passed over for the next different page, so a page and its copy keep their
 text.  The markup is a check: of a page with an article only that is kept, and
-there a shared line goes only if the host shows it to be boilerplate, because
-it also stands in a region marked as such, or on over half of the host's
-different pages (at least ``LEAST_PAGES``); so prose that two neighbours happen
-to share stays.  An article of which nothing would be left stays whole.
+there a shared line goes only if the host shows it to be boilerplate: it stands,
+in any region, on over half of the host's different pages (at least
+``LEAST_PAGES``).  So prose that two neighbours happen to share stays.  An
+article of which nothing would be left stays whole.
 
 Lines travel as 64-bit hashes for the pairing; the sorted order is a range
 partitioning with no task per host, and the first and last page of each
@@ -314,16 +314,15 @@ def shared_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 def boilerplate(outlines: DataFrame, shared: DataFrame) -> DataFrame:
     """(host, hash) of the shared article lines that the host shows to be
-    boilerplate: they also stand in a region marked as such, or on over half
-    of its different pages."""
+    boilerplate: they stand, in any region, on over half of its different
+    pages, of which there are at least ``LEAST_PAGES``."""
     asked = written(shared.where("main").select("host", "hash").distinct(), "asked")
-    pages = outlines.select("host", F.xxhash64("hashes").alias("page"), "marks", "hashes")
+    pages = outlines.select("host", F.xxhash64("hashes").alias("page"), "hashes")
     pages = pages.join(small(written(asked.select("host").distinct(), "hosts")), "host", "left_semi")
     n_pages = written(pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("n_pages")), "host-pages")
-    flat = pages.select("host", "page", F.explode(F.arrays_zip("marks", "hashes")).alias("x")).select("host", "page", F.col("x.hashes").alias("hash"), (F.col("x.marks") == BOILER).alias("named"))
-    uses = flat.join(small(asked), ["host", "hash"], "left_semi").groupBy("host", "hash", "page").agg(F.max("named").alias("named"))
-    uses = uses.groupBy("host", "hash").agg(F.max("named").alias("named"), F.count("*").alias("n")).join(small(n_pages), "host")
-    return uses.where(F.col("named") | ((F.col("n_pages") >= LEAST_PAGES) & (2 * F.col("n") > F.col("n_pages")))).select("host", "hash")
+    flat = pages.select("host", "page", F.explode("hashes").alias("hash")).join(small(asked), ["host", "hash"], "left_semi").distinct()
+    uses = flat.groupBy("host", "hash").agg(F.count("*").alias("n")).join(small(n_pages), "host")
+    return uses.where((F.col("n_pages") >= LEAST_PAGES) & (2 * F.col("n") > F.col("n_pages"))).select("host", "hash")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
