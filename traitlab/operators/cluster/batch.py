@@ -51,6 +51,11 @@ class Config:
     def scorer(self, which) -> tuple[str, object]:
         return self.model, (which if self.model == "KMeans" else factors(which))
 
+    def place(self, which) -> tuple:
+        """Equal for configurations that stand at the same parameters."""
+        held = [which] if self.model == "KMeans" else [which.weights, which.means, which.covs]
+        return self.model, *[(np.shape(v), np.asarray(v, dtype=float).tobytes()) for v in held]
+
     def size(self) -> int:
         k, d = self.start.shape
         return k * (d + 1) if self.model == "KMeans" else 2 + k + k * d + k * d * d
@@ -112,16 +117,19 @@ class Batch:
                 for c in open_:
                     c.error = "skipped: time budget"
                 return
-            ready = []
+            ready, scorers = [], {}
             for c in open_:
                 try:
-                    ready.append((c, c.scorer(c.newest)))
+                    scorers.setdefault(c.place(c.newest), (c.size(), c.scorer(c.newest)))
+                    ready.append(c)
                 except np.linalg.LinAlgError as e:  # a component has collapsed
                     c.error = f"LinAlgError: {e}"
             if not ready:
                 continue
-            sums = self._sum([s for _, s in ready], [c.size() for c, _ in ready], lambda i, s, x: _step_sums(s, x))
-            for (c, _), total in zip(ready, sums):
+            # configurations that differ in their stop alone share their sums while they stand at one place
+            sums = dict(zip(scorers, self._sum([s for _, s in scorers.values()], [n for n, _ in scorers.values()], lambda i, s, x: _step_sums(s, x))))
+            at = [c.place(c.newest) for c in ready]
+            for c, total in zip(ready, (sums[p] for p in at)):
                 _advance_kmeans(c, total) if c.model == "KMeans" else _advance_mixture(c, total, first)
             first = False
 

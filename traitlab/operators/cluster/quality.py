@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traitlab.functions.vectors import matrix, summed, with_scores
+from traitlab.functions.vectors import lifted, matrix, summed, with_scores
 from traitlab.operators.sample import MAX_GROUPS, collect_bounded
 from traitlab.session import scratch_table
 
-#: vectors in a block of the Euclidean silhouette
+#: vectors in a block of the Euclidean silhouette, at least, where they make few blocks
 SILHOUETTE_ROWS = 1_000
+#: blocks that larger inputs are dealt into, and bytes of a block beyond which they are more
+BLOCKS, BLOCK_BYTES = 24, 16 << 20
 #: doubles of cluster sums that a task holds and the driver takes
 MAX_SUMS = 20_000_000
 
@@ -177,96 +179,134 @@ def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str = "cluster") ->
     return float(silhouette_sq_frame(df, cols, label).first()[0])
 
 
-def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster", block: int = SILHOUETTE_ROWS) -> DataFrame:
+def silhouette_frame(df: DataFrame, cols: Sequence[str], label: str = "cluster", block: int | None = None) -> DataFrame:
     """C13 Euclidean silhouette (singleton -> 0), exact at any size.
 
     This form has no closed formula: every different (cluster, vector), with
-    its count, is measured against all others, O(n^2) distances, in one
-    shuffle.  The vectors are dealt by hash into blocks of about ``block``;
-    each block becomes one row and is sent to every block's task, which holds
-    its own vectors and the block at hand, and adds up distances per cluster
-    as matrix products.  Copies are one entry.  ``silhouette_sq`` needs
-    O(n*K)."""
+    its count, is measured against all others, O(n^2) distances.  The vectors
+    are dealt by hash into blocks (of about ``block``, or ``BLOCKS`` of them,
+    more where a block would outgrow ``BLOCK_BYTES``); each pair of blocks
+    meets once, in a task that holds these two, and gives every vector of both
+    its sums of distances per cluster.  So a vector is sent once per block, and
+    blocks follow the input's bytes only where memory asks for it.  Copies are
+    one entry.  ``silhouette_sq`` needs O(n*K)."""
     p = len(cols)
     data = df.select(F.col(label).alias("l"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    points = scratch_table(data.groupBy("l", "x").agg(F.count("*").alias("c")), "silhouette")
+    points = scratch_table(data.groupBy("l", "x").agg(F.count("*").alias("c")).withColumn("id", F.monotonically_increasing_id()), "silhouette")
     sizes = collect_bounded(points.groupBy("l").agg(F.sum("c").alias("n"), F.count("*").alias("m")), MAX_GROUPS, "clusters")
     if len(sizes) < 2:
         return _one_row(df, "silhouette", -1.0)
-    keys, k = [r["l"] for r in sizes], len(sizes)
-    blocks = -(-sum(r["m"] for r in sizes) // block)
+    keys, k, m = [r["l"] for r in sizes], len(sizes), sum(r["m"] for r in sizes)
+    blocks = -(-m // block) if block else max(min(BLOCKS, -(-m // SILHOUETTE_ROWS)), -(-m * 8 * (p + 2 * k + 4) // BLOCK_BYTES))
     own = F.coalesce(*[F.when(F.col("l").eqNullSafe(F.lit(v)), F.lit(i)) for i, v in enumerate(keys)])
-    dealt = points.select(F.pmod(F.xxhash64("l", "x"), F.lit(blocks)).alias("b"), own.alias("o"), "x", "c")
-    packed = scratch_table(dealt.repartition(blocks, "b").sortWithinPartitions("b").mapInArrow(_pack_blocks(p), "b long, part long, data binary"), "silhouette-blocks")
-    pairs = packed.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("i"), "b", "part", "data")
-    order = [F.col("i"), F.col("i") != F.col("b"), F.col("b"), F.col("part")]
-    met = pairs.repartition(blocks, "i").sortWithinPartitions(*order).mapInArrow(_meet_blocks(p, k, np.array([float(r["n"]) for r in sizes])), "o int, c long, d array<double>")
-    scored = met.withColumn("l", F.get(F.array(*[F.lit(v) for v in keys]), F.col("o")))
+    mine, other = F.pmod(F.xxhash64("l", "x"), F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("at")
+    dealt = points.select(mine, "id", own.alias("o"), "c", "x").select("*", other)
+    pairs = dealt.select(F.least("b", "at").alias("i"), F.greatest("b", "at").alias("j"), (F.col("b") > F.col("at")).alias("second"), "id", "o", "c", "x")
+    tasks = blocks * (blocks + 1) // 2
+    met = pairs.repartition(tasks, "i", "j").sortWithinPartitions("i", "j", "second", "id").mapInArrow(_meet_blocks(p, k), "id long, i long, j long, o int, c long, d array<double>")
+    n = np.array([float(r["n"]) for r in sizes])
+    whole = met.repartition(tasks, "id").sortWithinPartitions("id", "i", "j").mapInArrow(_add_meetings(k, n), "o int, c long, d array<double>")
+    scored = whole.withColumn("l", F.get(F.array(*[F.lit(v) for v in keys]), F.col("o")))
     return _silhouette(scored, "l", "d", keys, np.array([r["n"] for r in sizes]), "silhouette", times="c")
 
 
-def _pack_blocks(p: int, rows: int = 64):
-    """Rows (b, o, x, c) sorted by b -> (b, part, matrix [o, c, x...] as bytes)."""
+def _get(batch, name: str) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+
+
+def _vectors(batch, name: str, width: int) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(name)).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
+def distance_sums(a: np.ndarray, b: np.ndarray, by_a: np.ndarray, by_b: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of the rows of a and b, summed with the weights ``by_b`` per
+    row of a and, if ``both``, with ``by_a`` per row of b.  They come from
+    products; those so small that a product's rounding would show are taken
+    from the differences."""
+    left, right, slack = lifted(a, b)
+    sums, others = np.zeros((len(a), by_b.shape[1])), np.zeros((len(b), by_a.shape[1]))
+    for i in range(0, len(a), 256):
+        for j in range(0, len(b), 1024):
+            x, y = slice(i, i + 256), slice(j, j + 1024)
+            d = left[x] @ right[y].T
+            low, high = np.nonzero(~(d > 1e9 * slack))
+            for at in range(0, len(low), 65_536):
+                u, v = low[at : at + 65_536], high[at : at + 65_536]
+                d[u, v] = np.square(a[i + u] - b[j + v]).sum(axis=1)
+            np.sqrt(d, out=d)
+            sums[x] += d @ by_b[y]
+            if both:
+                others[y] += d.T @ by_a[x]
+    return sums, others
+
+
+def _meet_blocks(p: int, k: int):
+    """Rows (i, j, second, id, o, c, x), all of a pair of blocks together ->
+    per vector its sums of distances to the clusters in the other block."""
+
+    def weights(o, c):
+        w = np.zeros((len(o), k))
+        w[np.arange(len(o)), o] = c
+        return w
+
+    def meet(pair, held):
+        sides = [[np.concatenate(z) for z in zip(*rows)] if rows else None for rows in held]
+        a, b = sides if pair[0] != pair[1] else (sides[0], sides[0])
+        if a is None or b is None:
+            return
+        sums = distance_sums(a[3], b[3], weights(*a[1:3]), weights(*b[1:3]), a is not b)
+        for (ident, o, c, _), d in zip((a,) if a is b else (a, b), sums):
+            for at in range(0, len(ident), 8192):
+                s = slice(at, at + 8192)
+                size = len(ident[s])
+                yield pa.RecordBatch.from_arrays([pa.array(ident[s]), pa.array(np.full(size, pair[0])), pa.array(np.full(size, pair[1])), pa.array(o[s].astype(np.int32)), pa.array(c[s]), _lists(d[s])], names=["id", "i", "j", "o", "c", "d"])
 
     def work(batches):
-        part = 0
+        now, held = None, ([], [])
         for batch in batches:
             if not batch.num_rows:
                 continue
-            b, o, c = (batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("b", "o", "c"))
-            x = batch.column(batch.schema.get_field_index("x")).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
-            full = np.column_stack([o, c, x])
-            out = []
-            for v in np.unique(b):
-                mine = full[b == v]
-                for a in range(0, len(mine), rows):
-                    out.append((int(v), part, mine[a : a + rows].tobytes()))
-                    part += 1
-            for a in range(0, len(out), 16):
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out[a : a + 16]]) for i in range(3)], names=["b", "part", "data"])
+            i, j, second = (_get(batch, n) for n in ("i", "j", "second"))
+            data = _get(batch, "id"), _get(batch, "o"), _get(batch, "c"), _vectors(batch, "x", p)
+            change = np.flatnonzero((i[1:] != i[:-1]) | (j[1:] != j[:-1]) | (second[1:] != second[:-1])) + 1
+            for s, e in zip([0, *change], [*change, len(i)]):
+                if now != (pair := (int(i[s]), int(j[s]))):
+                    if now is not None:
+                        yield from meet(now, held)
+                    now, held = pair, ([], [])
+                held[int(second[s])].append([v[s:e].copy() for v in data])
+        if now is not None:
+            yield from meet(now, held)
 
     return work
 
 
-def _meet_blocks(p: int, k: int, n: np.ndarray):
-    """Rows (i, b, part, data) of each i, the own block first -> per own
-    vector its mean distances to the clusters."""
+def _add_meetings(k: int, n: np.ndarray):
+    """Rows sorted by id -> per vector its mean distances to the clusters."""
 
-    def finish(own, sums):
-        flat = pa.array((sums / n).ravel())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * k), flat)
-        return pa.RecordBatch.from_arrays([pa.array(own[:, 0].astype(np.int32)), pa.array(own[:, 1].astype(np.int64)), lists], names=["o", "c", "d"])
-
-    def add(own, sums, other):
-        d = np.zeros((len(own), len(other)))
-        for at in range(0, len(own), 64):  # differences, not products: no cancellation
-            d[at : at + 64] = np.sqrt(np.square(own[at : at + 64, None, 2:] - other[None, :, 2:]).sum(axis=2))
-        weight = np.zeros((len(other), k))
-        weight[np.arange(len(other)), other[:, 0].astype(int)] = other[:, 1]
-        sums += d @ weight
+    def finish(o, c, d):
+        return pa.RecordBatch.from_arrays([pa.array(o.astype(np.int32)), pa.array(c.astype(np.int64)), _lists(d / n)], names=["o", "c", "d"])
 
     def work(batches):
-        now, own, sums, late = None, None, None, []
+        rest = None  # the last vector of a batch may go on
         for batch in batches:
-            for i, b, data in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("i", "b", "data"))):
-                if i != now:
-                    if own is not None:
-                        yield from whole(own, sums, late)
-                    now, own, sums, late = i, None, None, []
-                other = np.frombuffer(data).reshape(-1, p + 2)
-                if b == i:
-                    late.append(other)  # the own block may come in several rows
-                    own = np.vstack(late)
-                    sums = np.zeros((len(own), k))
-                elif own is not None:
-                    add(own, sums, other)
-        if own is not None:
-            yield from whole(own, sums, late)
-
-    def whole(own, sums, late):
-        for other in late:
-            add(own, sums, other)
-        yield finish(own, sums)
+            if not batch.num_rows:
+                continue
+            cols = [_get(batch, "id"), _get(batch, "o"), _get(batch, "c"), _vectors(batch, "d", k)]
+            if rest is not None:
+                cols = [np.concatenate(z) for z in zip(rest, cols)]
+            begin = np.flatnonzero(np.r_[True, cols[0][1:] != cols[0][:-1]])
+            ident, o, c = (v[begin] for v in cols[:3])
+            d = np.add.reduceat(cols[3], begin, axis=0)
+            rest = [ident[-1:], o[-1:], c[-1:], d[-1:]]
+            if len(ident) > 1:
+                yield finish(o[:-1], c[:-1], d[:-1])
+        if rest is not None:
+            yield finish(*rest[1:])
 
     return work
 
