@@ -18,7 +18,9 @@ one leaf and sees its guests batch by batch.
 
 The result does not depend on partitioning or row order.  In many dimensions,
 or with an eps as wide as the data, most entries are guests of most leaves: the
-work then grows with the square of the different points, as the method's does."""
+distances then grow with the square of the different points, as the method's
+do; what is sent is one copy of the table per leaf, and leaves are then as few
+as memory allows (``grow_tree``)."""
 
 from __future__ import annotations
 
@@ -29,12 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from traitlab.functions.vectors import lifted
 from traitlab.operators.classify.forest import route
 from traitlab.operators.components import min_components
 from traitlab.session import scratch_table
 
-#: different points in a leaf, by expectation
+#: different points in a leaf, by expectation, where few points are guests
 LEAF = 1_000
+#: else leaves grow while a point is a guest of more than so many, down to so
+#: many leaves, or until a leaf has so many bytes
+GUESTS, LEAVES, LEAF_BYTES = 8, 24, 16 << 20
 #: points of the sample that the tree is cut from
 SAMPLE = 50_000
 
@@ -79,6 +85,20 @@ def cut_space(sample: np.ndarray, leaves: int) -> tuple[np.ndarray, ...]:
     return np.array(feature), np.array(threshold), np.array(left), np.array(right)
 
 
+def grow_tree(sample: np.ndarray, n: int, eps: float) -> tuple[np.ndarray, ...]:
+    """Tree for ``n`` entries.  Small leaves pay where their regions keep
+    points apart; where most points reach most leaves (many dimensions, wide
+    eps) every leaf costs another copy of the table, so leaves are few."""
+    size = 8 * (sample.shape[1] + 4)
+    leaves = -(-n // LEAF)
+    fewest = min(leaves, max(LEAVES, -(-n * size // LEAF_BYTES)))
+    while True:
+        tree, some = cut_space(sample, leaves), sample[:1_000]
+        if leaves <= fewest or len(reached(tree, some, eps)[0]) <= GUESTS * len(some):
+            return tree
+        leaves = max(fewest, leaves // 4)
+
+
 def reached(tree: tuple[np.ndarray, ...], x: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
     """(leaf, row) for every leaf whose region comes within eps of a row on
     each axis, its own included."""
@@ -112,15 +132,32 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 def near(a: np.ndarray, b: np.ndarray, eps: float):
     """(first row of a, which of these rows and all of b are within eps), in
-    steps of bounded size."""
-    step = max(1, 1_000_000 // max(1, b.size))
+    steps of bounded size.  Distances come from products; those that rounding
+    leaves in doubt are decided by the differences."""
+    left, right, slack = lifted(a, b)
+    if not np.isfinite(slack):
+        step = max(1, 1_000_000 // max(1, b.size))
+        for i in range(0, len(a), step):
+            yield i, np.square(a[i : i + step, None] - b[None]).sum(axis=2) <= eps * eps
+        return
+    step = max(1, 1_000_000 // max(1, len(b)))
     for i in range(0, len(a), step):
-        yield i, np.square(a[i : i + step, None] - b[None]).sum(axis=2) <= eps * eps
+        d = left[i : i + step] @ right.T
+        d -= eps * eps
+        hit = d <= 0
+        doubt = np.abs(d, out=d) <= slack
+        if doubt.any():
+            row, col = np.nonzero(doubt)
+            for at in range(0, len(row), 65_536):
+                r, c = row[at : at + 65_536], col[at : at + 65_536]
+                hit[r, c] = np.square(a[i + r] - b[c]).sum(axis=1) <= eps * eps
+        yield i, hit
 
 
 def near_counts(a: np.ndarray, b: np.ndarray, weight: np.ndarray, eps: float) -> np.ndarray:
     """Weight of the rows of b within eps of each row of a."""
-    parts = [hit @ weight for _, hit in near(a, b, eps)]
+    one = bool((weight == 1).all())
+    parts = [np.count_nonzero(hit, axis=1) if one else (hit @ weight.astype(float)).astype(np.int64) for _, hit in near(a, b, eps)]
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
 
 
@@ -163,7 +200,10 @@ def _dealt(points: DataFrame, shared, d: int, eps: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(own[i] != to), pa.array(_col(batch, "k")[i]), pa.array(_col(batch, "c")[i]), pa.array(_col(batch, "core")[i]), _lists(x[i])], names=["leaf", "guest", "k", "c", "core", "x"])
 
     dealt = points.mapInArrow(work, "leaf long, guest boolean, k long, c long, core boolean, x array<double>")
-    return dealt.repartition("leaf").sortWithinPartitions("leaf", "guest", "k")
+    # few leaves would share tasks by chance: more partitions than leaves
+    leaves = int((np.asarray(shared.value[0]) < 0).sum())
+    spread = dealt.repartition(4 * leaves, "leaf") if leaves <= LEAVES else dealt.repartition("leaf")
+    return spread.sortWithinPartitions("leaf", "guest", "k")
 
 
 def _leaves(batches, d: int):
@@ -214,23 +254,36 @@ def _core_entries(d: int, eps: float, min_samples: int):
 
 def _links(d: int, eps: float):
     """kind 0: (core entry, first core entry of its component); 1: (core guest,
-    first entry of a component it touches); 2: (border entry, core neighbour)."""
+    first entry of a component it touches); 2: (border entry, core neighbour).
+    Components are those of pieces of a leaf; the core entries of a later piece
+    are guests of the earlier ones."""
+
+    def touches(gk, gx, pieces):
+        for ck, cx, first, at in pieces:
+            for i, hit in near(gx, cx, eps):
+                # each component once per guest; the piece lies in their order
+                row, comp = np.nonzero(np.logical_or.reduceat(hit, first, axis=1))
+                yield 1, gk[i + row], ck[at[comp]]
 
     def work(batches):
         for (k, _, core, x), guests in _leaves(batches, d):
             out = []
             ck, cx = k[core], x[core]
             bk, bx = k[~core], x[~core]
-            root = local_components(cx, eps)
-            out.append((0, ck, ck[root]))
+            pieces = []
+            for s in range(0, len(ck), LEAF):
+                pk, px = ck[s : s + LEAF], cx[s : s + LEAF]
+                root = local_components(px, eps)
+                out.append((0, pk, pk[root]))
+                out += touches(pk, px, pieces)
+                order = np.argsort(root, kind="stable")
+                first = np.flatnonzero(np.r_[True, np.diff(root[order]) > 0])
+                pieces.append((pk, px[order], first, root[order][first]))
             i, j = near_pairs(bx, cx, eps)
             out.append((2, bk[i], ck[j]))
             for gk, _, gcore, gx in guests:
                 gk, gx = gk[gcore], gx[gcore]
-                for at, hit in near(gx, cx, eps):
-                    i, j = np.nonzero(hit)
-                    touched = np.unique(i * len(ck) + root[j])  # each component once per guest
-                    out.append((1, gk[at + touched // max(len(ck), 1)], ck[touched % max(len(ck), 1)]))
+                out += touches(gk, gx, pieces)
                 i, j = near_pairs(bx, gx, eps)
                 out.append((2, bk[i], gk[j]))
             kind = np.concatenate([np.full(len(a), z, dtype=np.int32) for z, a, _ in out])
@@ -251,7 +304,7 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     if not n:
         return df.select(key, F.lit(-1).alias(out))
     sample = entries.select("x").orderBy(F.xxhash64("x")).limit(SAMPLE).collect() if n > LEAF else []
-    tree = cut_space(np.array([r["x"] for r in sample]), -(-n // LEAF)) if sample else cut_space(np.zeros((0, d)), 1)
+    tree = grow_tree(np.array([r["x"] for r in sample]), n, eps) if sample else cut_space(np.zeros((0, d)), 1)
     shared = df.sparkSession.sparkContext.broadcast(tree)
     schema = "k long, c long, core boolean, x array<double>"
     cores = scratch_table(_dealt(entries, shared, d, eps).mapInArrow(_core_entries(d, eps, min_samples), schema), "dbscan-core")
