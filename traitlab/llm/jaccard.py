@@ -140,7 +140,7 @@ class Signing:
             yield out
 
 
-def _repeated(texts: DataFrame, signing: Signing, bits: int, held: int = 1 << 22) -> DataFrame:
+def _repeated(texts: DataFrame, signing: Signing, bits: int, held: int = 1 << 20) -> DataFrame:
     """(fp): the leading ``32 + bits`` bits of every signature that tasks met
     more than once, and of few others.  A task hands on its signatures as
     sorted 32-bit numbers cut into ``2 ** bits`` slices, a number at most twice
