@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traitlab.llm import bpe, jaccard, lines, mixing, rules
-from traitlab.llm.common import table, written
+from traitlab.llm.common import BROADCAST_ROWS, small, table, written
 from traitlab.llm.queries import byte_bpe, token_digests
 
 #: token shares by language; the total grows until no language has to shrink
@@ -45,7 +45,7 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     draw = F.pmod(F.xxhash64("__mix_id", F.lit(5)), F.lit(1_000_000)) / 1_000_000
     times = rates.where("doc_id is not null").groupBy(F.col("doc_id").alias("__mix_id")).agg(F.max("rate").alias("__mix_rate"))
     times = written(times.select("__mix_id", F.floor(F.col("__mix_rate") + draw).cast("int").alias("__mix_times")).where("__mix_times > 1"), "times")
-    joined = docs.join(times, docs["doc_id"] == times["__mix_id"], "left")
+    joined = docs.join(small(times, 10 * BROADCAST_ROWS), docs["doc_id"] == times["__mix_id"], "left")
     again = F.explode(F.sequence(F.lit(1), F.coalesce("__mix_times", F.lit(1))))
     return joined.withColumn("__mix_copy", again).select(docs.columns)
 

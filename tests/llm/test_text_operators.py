@@ -103,6 +103,45 @@ def test_jaccard_all_pairs_share_a_signature():
             assert set(jaccard.signatures(a, 90, 100, 3, 1, bands).tolist()) & set(jaccard.signatures(b, 90, 100, 3, 1, bands).tolist())
 
 
+def test_jaccard_light_signatures_go_and_no_pair_does():
+    rng = np.random.default_rng(11)
+    bands = jaccard.Bands()
+    sign = lambda s, rule: set(jaccard.signatures(s, *rule, bands).tolist())
+    for rule in [(80, 100, 3, 1), (90, 100, 3, 1), (60, 100, 4, 2), (80, 100, 2, 1)]:
+        for _ in range(150):
+            both = rng.integers(0, 2**63, int(rng.integers(1, 250))).astype(np.uint64)
+            most = len(both) * (rule[1] - rule[0]) // rule[0]  # in which the sets may differ beside ``both``
+            left = int(rng.integers(0, most + 1))
+            more = rng.integers(0, 2**63, most).astype(np.uint64)
+            a, b = np.unique(np.concatenate([both, more[:left]])), np.unique(np.concatenate([both, more[left:]]))
+            if most:
+                assert sign(a, rule) & sign(b, rule)
+    # sets with nothing in common do not meet in signatures of no element
+    bands.of(1000)
+    size = next(x for x in bands.hi if x > 100) + 1  # the smallest of a band
+    far = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64)) for _ in range(200)]
+    assert max(Counter(x for s in far for x in sign(s, (80, 100, 3, 1))).values()) == 1
+
+
+def test_jaccard_sets_are_read_of_candidates_alone(spark, monkeypatch):
+    """Texts that share half of their words meet in signatures; only pairs that
+    their sketches allow need their sets."""
+    common = ["c%d" % i for i in range(40)]
+    data = [(i, " ".join(common + ["u%d-%d" % (i, j) for j in range(40)])) for i in range(30)]
+    data += [(100, " ".join("p%d" % i for i in range(80))), (101, " ".join("p%d" % i for i in range(3, 80)))]
+    tables, written = [], jaccard.written
+
+    def noted(df, name):
+        tables.append((name, out := written(df, name)))
+        return out
+
+    monkeypatch.setattr(jaccard, "written", noted)
+    got = rows(jaccard.jaccard_groups(spark.createDataFrame(data, "doc_id long, text string"), shingle=1, num=80, den=100))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute_groups(data, 1, 80, 100)
+    assert next(t for name, t in tables if name == "nodes").count() > 20
+    assert {t.count() for name, t in tables if name == "arrays"} <= {0, 2}
+
+
 def test_jaccard_large_sets_of_two_size_classes(spark):
     base = ["w%d" % i for i in range(2000)]
     data = [(1, " ".join(base)), (2, " ".join(base + ["x%d" % i for i in range(90)])), (3, " ".join(base[300:] + ["y%d" % i for i in range(300)])), (4, " ".join(base[:-150]))]
@@ -135,6 +174,19 @@ def test_one_of_each_keeps_smallest(docs):
     assert {r["doc_id"] for r in rows(kept)} == want
 
 
+def test_one_of_each_and_mixing_move_no_texts(spark, docs):
+    import corpus_pipeline
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.one_of_each(docs, jaccard.jaccard_groups(docs))
+        mixed = corpus_pipeline.mix_languages(spark, docs.selectExpr("doc_id", "text", "if(doc_id % 5 = 0, 'fr', 'en') lang"), "")
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (kept, mixed)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("BroadcastHashJoin" in x and "SortMergeJoin" not in x for x in plans)
+
+
 # --- quality rules
 
 

@@ -9,7 +9,11 @@ partitions, each cut into ``n2`` second-level ones, with
 differences, so one of its subsets of ``n2 - k2`` second-level partitions is
 the same in both sets.  Every such subset is a signature, hence no linked pair
 is missed.  A set also emits the signatures of the bands its larger partners
-may lie in.
+may lie in.  Signatures of few elements (or none) are met by sets that have
+nothing else in common; as a set's own size leaves it more first-level
+partitions that agree than one, it omits the lightest ones: so many partitions
+hold no lighter subset that one of them agrees, and an equal subset weighs the
+same in both sets.
 
 Equal sets (by a 128-bit name) are collapsed to one node first.  Nearly all
 signatures are met once: tasks first hand on short fingerprints of theirs, and
@@ -75,16 +79,21 @@ def signatures(shingles: np.ndarray, num: int, den: int, n2: int, k2: int, bands
         if not k:  # linked sets of this band are equal, and one node already
             continue
         n1 = -(-(k + 1) // (k2 + 1))
+        most = (den - num) * (size + min(bands.hi[band], size * den // num)) // (den + num)
+        agree = n1 - most // (k2 + 1)  # first-level partitions that agree with any partner in this band, at least
         with np.errstate(over="ignore"):
             seeded = mix(shingles + _U((band + 1) * 0x9E3779B97F4A7C15 % 2**64))
-            part = (seeded >> _U(20)) % _U(n1 * n2)
+            part = ((seeded >> _U(20)) % _U(n1 * n2)).astype(np.int64)
             sums = np.zeros(n1 * n2, dtype=np.uint64)
-            np.add.at(sums, part.astype(np.int64), mix(seeded))
+            np.add.at(sums, part, mix(seeded))
             sums = sums.reshape(n1, n2)
+            held = np.bincount(part, minlength=n1 * n2).reshape(n1, n2)
+            weigh = np.stack([held[:, subset].sum(axis=1) for subset in subsets])
+            least = np.partition(weigh.min(axis=0), agree - 1)[agree - 1]  # fewer than ``agree`` partitions have a lighter subset
             first = np.arange(n1, dtype=np.uint64)
             for j, subset in enumerate(subsets):
                 salt = (first * _U(len(subsets)) + _U(j)) * _U(4096) + _U(band)
-                out.append(mix(sums[:, subset].sum(axis=1, dtype=np.uint64) ^ mix(salt)))
+                out.append(mix(sums[:, subset].sum(axis=1, dtype=np.uint64) ^ mix(salt))[weigh[j] >= least])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -100,16 +109,18 @@ def check_name(shingles: np.ndarray) -> int:
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, n, name, check) per row; null names for the empty set."""
+    """(id, n, name, check) and the set's sketches (w, _0, _1 and so on) per
+    row; null names for the empty set."""
 
     def work(batches):
         for cols in batches:
             sets = [shingle_set(t, shingle) for t in cols["t"]]
             name = [set_name(s) if len(s) else None for s in sets]
             check = [check_name(s) if len(s) else None for s in sets]
-            yield {"id": cols["id"], "n": [len(s) for s in sets], "name": name, "check": check}
+            sketch = np.array([parity_sketch(s) for s in sets]).reshape(-1, SKETCH)
+            yield {"id": cols["id"], "n": [len(s) for s in sets], "name": name, "check": check, "w": lists([wide_sketch(s) for s in sets])} | {f"_{i}": sketch[:, i] for i in range(SKETCH)}
 
-    return map_batches(docs, work, "id long, n long, name long, check long")
+    return map_batches(docs, work, "id long, n long, name long, check long, w array<long>, " + ", ".join(f"_{i} long" for i in range(SKETCH)))
 
 
 def node_of(shingles: np.ndarray, clashes: frozenset) -> int:
@@ -178,10 +189,11 @@ def _repeated(texts: DataFrame, signing: Signing, bits: int, held: int = 1 << 20
     return map_batches(texts, work, "slice long, fps binary").groupBy("slice").applyInArrow(count, "fp long")
 
 
-def _members(texts: DataFrame, signing: Signing, shingles: int) -> DataFrame:
+def _members(texts: DataFrame, signing: Signing, shingles: int, once: bool) -> DataFrame:
     """(sig, node) of the signatures that two or more nodes share.  Signatures
     met once (nearly all) are left out before anything is joined; slices follow
-    the number of shingles, about one signature or less for each."""
+    the number of shingles, about one signature or less for each.  Rows move
+    to drop repeats only if not every node is signed ``once``."""
     bits = min(31, max(6, (shingles // 8_000_000).bit_length()))
     repeated = written(_repeated(texts, signing, bits), "repeated")
 
@@ -192,7 +204,8 @@ def _members(texts: DataFrame, signing: Signing, shingles: int) -> DataFrame:
     rows = map_batches(texts, work, "node long, sigs array<long>").select(F.explode("sigs").alias("sig"), "node")
     rows = written(rows.join(small(repeated, 10 * BROADCAST_ROWS), F.shiftrightunsigned("sig", 32 - bits) == F.col("fp"), "left_semi"), "signed")
     shared = written(rows.groupBy("sig").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("sig"), "shared")
-    return rows.join(small(shared, 10 * BROADCAST_ROWS), "sig", "left_semi").dropDuplicates(["sig", "node"])
+    rows = rows.join(small(shared, 10 * BROADCAST_ROWS), "sig", "left_semi")
+    return rows if once else rows.dropDuplicates(["sig", "node"])
 
 
 def parity_sketch(shingles: np.ndarray, longs: int = SKETCH) -> np.ndarray:
@@ -230,9 +243,10 @@ def _may_link(num: int, den: int) -> Column:
     return sizes & (_differ("x", "y") * (den + num) <= most) & (_differ_wide(F.col("xw"), F.col("yw")) * (den + num) <= most)
 
 
-def _verified(pairs: DataFrame, arrays: DataFrame, num: int, den: int) -> DataFrame:
-    """Of ``pairs(a, b)``, a written table, those whose sets reach num/den."""
-    few = small(pairs)
+def _verified(pairs: DataFrame, sets_of, num: int, den: int) -> DataFrame:
+    """Of ``pairs(a, b)``, a written table, those whose sets reach num/den.
+    Only the sets of their nodes are read again, by ``sets_of``."""
+    few, arrays = small(pairs), sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     left = arrays.select(F.col("node").alias("a"), F.col("s").alias("sa")).join(few, "a")
     right = arrays.select(F.col("node").alias("b"), F.col("s").alias("sb")).join(small(pairs.select("b").distinct(), 10 * BROADCAST_ROWS) if few is not pairs else pairs.select("b").distinct(), "b", "left_semi")
     both = left.join(right, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
@@ -246,16 +260,16 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = written(_sets(picked, shingle), "sets")
     clashes = frozenset(r[0] for r in collect_bounded(named.where("name is not null").groupBy("name").agg(F.min("check").alias("c1"), F.max("check").alias("c2")).where("c1 != c2").select("name"), MAX_CLASHES, "names of several sets"))
     number = F.when(F.col("name").isin(*clashes), F.col("check")).otherwise(F.col("name")) if clashes else F.col("name")
-    sets = named.select("id", "n", number.alias("node"))
+    sets = named.select("id", "n", number.alias("node"), "w", *[f"_{i}" for i in range(SKETCH)])
     reps = written(sets.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "reps")
     # ids of copies alone need no signing; where they are too many to broadcast they are signed too, to the same end
     copies = written(sets.where("node is not null and id is not null").select("id").distinct().join(reps.select(F.col("rep").alias("id")).distinct(), "id", "left_anti"), "copies")
-    texts = picked.where("id is not null")
+    texts, signed = picked.where("id is not null"), sets.where("node is not null and id is not null").select("id")
     if copies.count() <= 10 * BROADCAST_ROWS:
-        texts = texts.join(F.broadcast(copies), "id", "left_anti")
+        texts, signed = (x.join(F.broadcast(copies), "id", "left_anti") for x in (texts, signed))
     signing = Signing(shingle, num, den, n2, k2, clashes)
-    members = written(_members(texts.select("t"), signing, reps.agg(F.sum("n")).first()[0] or 0), "members")
-    links = _links(picked, sets.select("id"), reps, members, signing, num, den, leader_rounds)
+    members = written(_members(texts.select("t"), signing, reps.agg(F.sum("n")).first()[0] or 0, signed.count() == reps.count()), "members")
+    links = _links(picked, sets, reps, members, signing, num, den, leader_rounds)
     if links is None:
         classes = reps.select("node", F.col("rep").alias("component_id"))
     else:
@@ -267,29 +281,32 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
-def _links(picked: DataFrame, ids: DataFrame, reps: DataFrame, members: DataFrame, signing: Signing, num: int, den: int, leader_rounds: int) -> DataFrame | None:
+def _links(picked: DataFrame, sets: DataFrame, reps: DataFrame, members: DataFrame, signing: Signing, num: int, den: int, leader_rounds: int) -> DataFrame | None:
     """Links between nodes that connect every component (null if none)."""
     rows = members.count()
     if not rows:
         return None
     nodes = written(members.select("node").distinct().join(reps, "node").select("node", F.col("rep").alias("id")), "nodes")
+    # a node comes twice only if its id does
+    again = not sets.groupBy("id").count().where("count > 1").join(nodes, "id", "left_semi").isEmpty()
+    once = lambda df: df.dropDuplicates(["node"]) if again else df
 
     def arrays(batches):
         for cols in batches:
             named = [(x, shingle_set(t, signing.shingle)) for x, t in zip(cols["node"], cols["t"])]
             named = [(x, s) for x, s in named if len(s) and node_of(s, signing.clashes) == x]  # rows may share an id
-            sets = [s for _, s in named]
-            yield {"node": [x for x, _ in named], "n": [len(s) for s in sets], "s": lists(sets), "sketch": lists([parity_sketch(s) for s in sets]), "wide": lists([wide_sketch(s) for s in sets])}
-
-    texts = picked.join(small(nodes), "id").select("node", "t")
-    whole = map_batches(texts, arrays, "node long, n long, s array<long>, sketch array<long>, wide array<long>")
-    whole = whole.select("node", "n", "s", "wide", *[F.get("sketch", F.lit(i)).alias(f"_{i}") for i in range(SKETCH)])
-    # a node comes twice only if its id does: then alone are the sets shuffled
-    again = ids.groupBy("id").count().where("count > 1")
-    whole = written(whole if again.join(nodes, "id", "left_semi").isEmpty() else whole.dropDuplicates(["node"]), "arrays")
-    n, longs = whole.agg(F.count("*"), F.sum(F.size("wide"))).first()
+            yield {"node": [x for x, _ in named], "s": lists([s for _, s in named])}
+
+    def sets_of(some):
+        """(node, s) of ``some`` nodes; their texts move only if the nodes are too many to broadcast."""
+        wanted = written(nodes.join(some, "node", "left_semi"), "wanted")
+        texts = picked.join(small(wanted, 10 * BROADCAST_ROWS), "id").select("node", "t")
+        return written(once(map_batches(texts, arrays, "node long, s array<long>")), "arrays")
+
+    whole = written(once(sets.join(small(nodes), ["node", "id"], "left_semi").drop("id")), "sketches")
+    n, longs = whole.agg(F.count("*"), F.sum(F.size("w"))).first()
     wide_rows = n if 8 * (n * (SKETCH + 4) + (longs or 0)) <= SKETCH_BYTES else 0  # broadcast by bytes
-    info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("wide").alias(f"{side}w"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
+    info = lambda side: whole.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("w").alias(f"{side}w"), *[F.col(f"_{i}").alias(f"{side}{i}") for i in range(SKETCH)])
     links, before = None, None
     for turn in range(leader_rounds + 1):
         if turn:
@@ -300,23 +317,32 @@ def _links(picked: DataFrame, ids: DataFrame, reps: DataFrame, members: DataFram
             rows, cross = spread.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("own")) / 2)).first()
             if not rows:
                 return links
-            members = written(members.join(small(spread.select("sig")), "sig", "left_semi"), "open-members")
+            members = written(members.join(small(spread.select("sig"), 10 * BROADCAST_ROWS), "sig", "left_semi"), "open-members")
             at = members.join(small(comp), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
         else:
             at, cross = members.withColumn("root", F.col("node")), float("inf")
         last = turn == leader_rounds or cross <= 20 * rows or (turn > 1 and cross > 0.8 * before)
         before = cross
-        if last:
+        if last and cross > 20 * rows:  # too many pairs to be moved before their sketches are compared
             x = at.select("sig", F.col("node").alias("x"), F.col("root").alias("xr")).join(small(info("x"), wide_rows), "x")
             y = at.select("sig", F.col("node").alias("y"), F.col("root").alias("yr")).join(small(info("y"), wide_rows), "y")
             pairs = x.join(y, "sig").where("x < y and xr != yr").where(_may_link(num, den)).select("x", "y").distinct()
         else:
-            pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)) if not turn else F.xxhash64("node", "sig", F.lit(turn)), F.col("node"), F.col("root")))
-            lead = written(at.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("lead"), F.col("l.root").alias("lr")), "lead")
-            met = written(distinct_pairs(at.join(small(lead), "sig").where("root != lr").select("node", "lead"), "node", "lead"), "met")
+            if last:  # a pair meets in many signatures: its sketches are fetched once
+                other = at.select("sig", F.col("node").alias("lead"), F.col("root").alias("lr"))
+                met = at.join(other, "sig").where("node < lead and root != lr")
+            elif turn:
+                pick = F.min(F.struct(F.xxhash64("node", "sig", F.lit(turn)), F.col("node"), F.col("root")))
+                lead = written(at.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("lead"), F.col("l.root").alias("lr")), "lead")
+                met = at.join(small(lead), "sig").where("root != lr")
+            else:  # every node is its own root
+                pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node")))
+                lead = written(members.groupBy("sig").agg(pick.alias("l")).select("sig", F.col("l.node").alias("lead")), "lead")
+                met = members.join(small(lead), "sig").where("node != lead")
+            met = written(distinct_pairs(met.select("node", "lead"), "node", "lead"), "met")
             pairs = met.select(F.col("a").alias("x"), F.col("b").alias("y")).join(small(info("x"), wide_rows), "x").join(small(info("y"), wide_rows), "y").where(_may_link(num, den)).select("x", "y")
         pairs = written(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), "pairs")
-        new = written(_verified(pairs, whole, num, den), "links")
+        new = written(_verified(pairs, sets_of, num, den), "links")
         links = new if links is None else links.unionByName(new)
         if last:
             return links
@@ -326,5 +352,5 @@ def _links(picked: DataFrame, ids: DataFrame, reps: DataFrame, members: DataFram
 def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id is its group's smallest (rows that repeat
     an id stay together; rows without id stay)."""
-    out = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(out, F.col(id_col) == F.col("_drop"), "left_anti")
+    out = written(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_drop")).distinct(), "drop")
+    return docs.join(small(out, 10 * BROADCAST_ROWS), F.col(id_col) == F.col("_drop"), "left_anti")
